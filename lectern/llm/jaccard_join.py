@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.batches import slices
 from lectern.llm.shared import Scratch, connected_components, durable, scratch
 from lectern.llm.shingles import prefix_length, required_overlap, shingle_sets
 
@@ -34,8 +35,8 @@ SKETCH_BITS = 20
 SKETCH_SLICES = 16
 SHORT_LIST = 32
 #: A block of a cluster holds up to so many documents and shingles in expectation.
-BLOCK_DOCS, BLOCK_SHINGLES = 4096, 4_000_000
-POSTINGS_A_BUCKET = 400_000
+BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1_500_000
+POSTINGS_A_BUCKET = 250_000
 BLOOM_SIZE = 8_388_593  # a prime; bits of the filter that keeps texts nobody asks for out of a shuffle
 
 
@@ -46,12 +47,12 @@ def _texts(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     width = 1 << SKETCH_BITS
     counts, shingles, held, size = np.zeros(width, np.int64), 0, [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for h in _texts(batch):
             shingles += len(h)
             held.append((h & np.uint64(width - 1)).astype(np.int64))
             size += len(h)
-            if size >= 1 << 21:
+            if size >= 1 << 20:
                 counts += np.bincount(np.concatenate(held), minlength=width)
                 held, size = [], 0
     if held:
@@ -127,7 +128,7 @@ def _indexer(ranks, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         rank = ranks.value
-        for batch in batches:
+        for batch in slices(batches):
             ids, ns, keys, post = batch.column("doc_id").to_pylist(), [], [], []
             for i, h in zip(ids, _texts(batch), strict=True):
                 key = hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None
@@ -236,7 +237,7 @@ def overlap_by_probe(a: np.ndarray, b: np.ndarray) -> int:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by hub, the hub's own text first. One set is held; partners are probed as they pass."""
     hub, own = None, None
-    for batch in batches:
+    for batch in slices(batches):
         a, b = [], []
         for h, i, role, s in zip(*(batch.column(k).to_pylist() for k in ("hub", "doc_id", "role")), _texts(batch), strict=True):
             if role == 0:
