@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2 << 20
 
@@ -15,3 +16,11 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterat
         rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def widened(schema: StructType, **kinds: str) -> StructType:
+    """schema with more columns."""
+    out = StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out

@@ -6,20 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lectern.llm import url_filter
+from lectern.llm.embedding_dedup import embedding_dedup
 from lectern.llm.jaccard_join import jaccard_join
+from lectern.llm.secrets import secret_report
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(_table(spark, sf_dir, "documents"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+_QUERIES = (op1_embedding_near_dedup, op3_secret_scan, op4_url_filter, op9_ngram_jaccard_join)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_ngram_jaccard_join,)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filter": url_filter.SQL}

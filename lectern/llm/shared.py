@@ -30,6 +30,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file of the driver's making in the shared folder, whatever store that is in."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    for k in range(0, len(data), 1 << 20):
+        out.write(bytearray(data[k : k + (1 << 20)]))
+    out.close()
+
+
 def new_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/lectern-{kind}-{uuid.uuid4().hex}"
 
