@@ -73,6 +73,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Ids that may be broadcast: 8 bytes each, some tens of MB as a hash relation.
+BROADCAST_IDS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id isn't among ids (one column; a null is equal to a null).
+
+    The ids are kept and counted first: so many as BROADCAST_IDS are broadcast, which spares the documents
+    a shuffle; more are joined by shuffling both sides.
+    """
+    held = durable(ids.toDF("__id").distinct())
+    few = held.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(held) if few else held.hint("merge"), docs[column].eqNullSafe(held["__id"]), "left_anti")
+
+
 def connected_components(edges: DataFrame, place: Scratch, max_rounds: int = 60) -> DataFrame:
     """(id, component) for every id in edges (u, v): component is the smallest id reachable.
 
