@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import url_filter
+from lectern.llm import language_id, pieces, quality, token_files, toxicity, url_filter
+from lectern.llm.decontaminate import contamination
 from lectern.llm.embedding_dedup import embedding_dedup
 from lectern.llm.jaccard_join import jaccard_join
 from lectern.llm.secrets import secret_report
@@ -20,6 +21,10 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(_table(spark, sf_dir, "documents"))
 
@@ -28,11 +33,42 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_report(_table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_report(_table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_embedding_near_dedup, op3_secret_scan, op4_url_filter, op9_ngram_jaccard_join)
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_QUERIES = (
+    op1_embedding_near_dedup,
+    op2_benchmark_decontamination,
+    op3_secret_scan,
+    op4_url_filter,
+    op5_token_id_output,
+    op6_sentencepiece,
+    op7_toxicity,
+    op8_language_id,
+    op9_ngram_jaccard_join,
+    op10_quality,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
