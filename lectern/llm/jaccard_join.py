@@ -9,8 +9,11 @@ never built: a candidate's remaining shingles are probed by binary search in its
 * Which shingles are rare is told by one count sketch over all documents. It only orders shingles, the
   same way everywhere, so that an estimate can't lose a link.
 * Documents of one shingle set form one class; a class is compared once, whatever its size.
-* Lists of up to SHORT_LIST documents give candidate pairs, each verified on whole texts. The
-  documents of longer lists are gathered into clusters, and each cluster is searched in blocks of
+* Lists of up to SHORT_LIST documents are merged into pairs with the number of lists that they share.
+  Sets of a and b elements that share T elements share at least T - max(T_a, T_b) + 1 of their short
+  lists, T_a and T_b being the least overlaps that a and b ask of any partner; pairs that reach this
+  are verified on whole texts.
+* The documents of longer lists are gathered into clusters, and each cluster is searched in blocks of
   bounded size by DivideSkip in memory, which returns rows in proportion to its documents, not pairs.
 
 Every step reads the shared folder or the input again, so a lost executor repeats only its tasks.
@@ -170,7 +173,7 @@ def _packed(post: list[tuple[int, int, np.ndarray]], buckets: int) -> pa.RecordB
 
 
 def _merge_bucket(table: pa.Table) -> pa.Table:
-    """Inverted lists of one bucket. 'pair': candidates of short lists; 'star': a long list's first and other members."""
+    """Inverted lists of one bucket: pairs on short lists and how many they share; star: a long list's first and each member."""
     ids, sizes, hashes = [], [], []
     for i, s, c, h in zip(*(table.column(k).to_pylist() for k in ("ids", "sizes", "lengths", "hashes")), strict=True):
         count = np.frombuffer(c, np.int32)
@@ -196,18 +199,22 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
         right.append(ids[a : a + m])
         kind.append(np.ones(m, bool))
     if not left:
-        return pa.table({"star": pa.array([], pa.bool_()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        return pa.table({"star": pa.array([], pa.bool_()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
     a, b, star = np.concatenate(left), np.concatenate(right), np.concatenate(kind)
-    found = np.unique(np.stack([star.astype(np.int64), np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-    return pa.table({"star": pa.array(found[:, 0].astype(bool)), "a": pa.array(found[:, 1]), "b": pa.array(found[:, 2])})
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((high, low, star))
+    low, high, star = low[order], high[order], star[order]
+    new = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (star[1:] != star[:-1])))
+    shared = np.diff(np.concatenate((np.flatnonzero(new), [len(new)])))
+    return pa.table({"star": star[new], "a": low[new], "b": high[new], "shared": shared})
 
 
-def _wanted_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and text of the documents in ids (and of a few more): others don't enter the shuffle.
+def _with_texts(requests: DataFrame, docs: DataFrame) -> DataFrame:
+    """requests with the text of doc_id. Documents that none asks for stay out of the shuffle, a few apart.
 
-    A Bloom bitmap of fixed size (1 MB) goes to the executors, never a list of documents.
+    They are told by a Bloom bitmap of fixed size (1 MB), the only thing that is broadcast.
     """
-    at = ids.select(F.pmod("doc_id", F.lit(BLOOM_SIZE)).alias("at"))
+    at = requests.select(F.pmod("doc_id", F.lit(BLOOM_SIZE)).alias("at"))
     found = at.groupBy(F.expr("at div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(at % 32 as int)))").alias("bits")).toArrow()
     bits = np.zeros(BLOOM_SIZE // 32 + 1, np.int64)
     bits[found.column("w").to_numpy()] = found.column("bits").to_numpy()
@@ -220,7 +227,7 @@ def _wanted_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
             hit = (sent.value[pos // 32] >> (pos % 32).astype(np.uint32)) & 1
             yield batch.filter(pa.array(hit.astype(bool)))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string").join(requests, "doc_id")
 
 
 def overlap_by_probe(a: np.ndarray, b: np.ndarray) -> int:
@@ -304,7 +311,7 @@ def divide_skip(sets: list[np.ndarray], side: np.ndarray | None = None) -> tuple
 
 def _search_block(table: pa.Table) -> pa.Table:
     """Links within a block, or between the two blocks, of a cluster: a row for each linked document."""
-    table = table.sort_by("doc_id")
+    table = table.group_by(["doc_id", "text", "copies", "block", "i", "j"]).aggregate([]).sort_by("doc_id")
     ids = table.column("doc_id").to_numpy()
     copies = table.column("copies").to_numpy()
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
@@ -337,27 +344,27 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         member = known.filter("set_key is not null and doc_id is not null").distinct()
         classes = member.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n"))
         classes = place.table(classes, "classes")
-        member = place.table(member.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep", "set_key"), "member")
+        member = place.table(member.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep", "set_key", "n"), "member")
         merged = place.table(
-            index.filter("kind = 'postings'").select("bucket", "ids", "sizes", "lengths", "hashes").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_merge_bucket, "star boolean, a long, b long").distinct(),
+            index.filter("kind = 'postings'").select("bucket", "ids", "sizes", "lengths", "hashes").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_merge_bucket, "star boolean, a long, b long, shared long"),
             "merged",
         )
-        rep = member.select(F.col("doc_id"), "rep")
+        rep = member.select("doc_id", "rep", "n").groupBy("doc_id", "rep").agg(F.max("n").alias("n"))
         found = (
-            merged.join(rep.withColumnsRenamed({"doc_id": "a", "rep": "ra"}), "a")
-            .join(rep.withColumnsRenamed({"doc_id": "b", "rep": "rb"}), "b")
+            merged.groupBy("star", "a", "b").agg(F.sum("shared").alias("shared"))
+            .join(rep.withColumnsRenamed({"doc_id": "a", "rep": "ra", "n": "na"}), "a")
+            .join(rep.withColumnsRenamed({"doc_id": "b", "rep": "rb", "n": "nb"}), "b")
             .filter("ra <> rb")
-            .select("star", F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-            .distinct()
+            .groupBy("star", F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+            .agg(F.sum("shared").alias("shared"), F.min(F.expr(f"({PERCENT} * (na + nb) + {99 + PERCENT}) div {100 + PERCENT} - ({PERCENT} * greatest(na, nb) + 99) div 100 + 1")).alias("least"))
+            .filter("star or shared >= least")
         )
-        found = place.table(found, "found")
+        found = place.table(found.select("star", "a", "b"), "found")
         cluster = place.table(connected_components(found.filter("star").select(F.col("a").alias("u"), F.col("b").alias("v")), place), "cluster")
         sizes = classes.groupBy("rep").agg(F.sum("copies").alias("copies"), F.max("n").alias("n"))
         pairs = _short_list_pairs(found, cluster, place)
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(cluster.select("id")).distinct()
-        texts = place.table(_wanted_texts(docs, wanted).dropDuplicates(["doc_id", "text"]), "texts")
-        linked = place.table(_verified(pairs, texts).distinct(), "linked")
-        dense = place.table(_cluster_links(cluster, sizes, texts), "dense")
+        linked = place.table(_verified(pairs, docs).distinct(), "linked")
+        dense = place.table(_cluster_links(cluster, sizes, docs), "dense")
         weight = sizes.select(F.col("rep").alias("other"), "copies")
         both = linked.select(F.col("a").alias("doc_id"), F.col("b").alias("other")).union(linked.select("b", "a"))
         links = both.join(weight, "other").select("doc_id", F.col("copies").alias("links")).union(dense.select("doc_id", "links"))
@@ -376,13 +383,13 @@ def _short_list_pairs(found: DataFrame, cluster: DataFrame, place: Scratch) -> D
     return place.table(found.filter("not star").join(ca, "a", "left").join(cb, "b", "left").filter("ca is null or cb is null or ca <> cb").select("a", "b"), "pairs")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    partner = pairs.join(texts, F.col("b") == F.col("doc_id")).select(F.col("a").alias("hub"), "doc_id", "text", F.lit(1).alias("role"))
-    own = pairs.select(F.col("a").alias("hub")).distinct().join(texts, F.col("hub") == F.col("doc_id")).select("hub", "doc_id", "text", F.lit(0).alias("role"))
-    return own.union(partner).repartition("hub").sortWithinPartitions("hub", "role", "doc_id").mapInArrow(_verify, "a long, b long")
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    asked = pairs.select(F.col("a").alias("hub"), F.col("b").alias("doc_id"), F.lit(1).alias("role"))
+    asked = asked.union(pairs.select("a", F.col("a").alias("b"), F.lit(0)).distinct())
+    return _with_texts(asked, docs).select("hub", "doc_id", "text", "role").repartition("hub").sortWithinPartitions("hub", "role", "doc_id").mapInArrow(_verify, "a long, b long")
 
 
-def _cluster_links(cluster: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
+def _cluster_links(cluster: DataFrame, sizes: DataFrame, docs: DataFrame) -> DataFrame:
     """DivideSkip over each cluster, in pairs of blocks that hold a bounded number of shingles."""
     rows = cluster.join(sizes, cluster["id"] == sizes["rep"]).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"), "copies", "n")
     blocks = rows.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("k"))
@@ -390,4 +397,4 @@ def _cluster_links(cluster: DataFrame, sizes: DataFrame, texts: DataFrame) -> Da
     dealt = rows.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), k).cast("int"))
     dealt = dealt.select("doc_id", "cluster", "copies", "block", F.explode(F.sequence(F.lit(0), k - 1)).alias("other"))
     dealt = dealt.select("doc_id", "cluster", "copies", "block", F.least("other", block).alias("i"), F.greatest("other", block).alias("j"))
-    return texts.join(dealt, "doc_id").groupBy("cluster", "i", "j").applyInArrow(_search_block, "doc_id long, root long, links long")
+    return _with_texts(dealt, docs).groupBy("cluster", "i", "j").applyInArrow(_search_block, "doc_id long, root long, links long")
