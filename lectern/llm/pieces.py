@@ -250,7 +250,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.Record
             text = written(text)
             for k, at in enumerate(range(0, len(text), CHUNK)):
                 part = text[at : at + CHUNK + reach]
-                yield pa.RecordBatch.from_arrays([pa.array([row]), pa.array([k]), pa.array([min(CHUNK, len(text) - at)]), pa.array([at + CHUNK >= len(text)]), pa.array([part])], ["row", "chunk", "size", "last", "part"])
+                columns = [pa.array([row], pa.int64()), pa.array([k], pa.int32()), pa.array([min(CHUNK, len(text) - at)], pa.int32()), pa.array([at + CHUNK >= len(text)]), pa.array([part])]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "size", "last", "part"])
 
 
 def _giant_ids(giant: DataFrame, model: str | None, place: Scratch) -> DataFrame:
@@ -286,7 +287,7 @@ def _giant_ids(giant: DataFrame, model: str | None, place: Scratch) -> DataFrame
                 found = {s: f for s, f in found.items() if s == 0 or not last}
                 m = len(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * m), pa.array([chunk] * m), pa.array(list(found), pa.int32()), pa.array([f[0] for f in found.values()], pa.int32()), pa.array([np.array(f[1], "<i4").tobytes() for f in found.values()], pa.binary())],
+                    [pa.array([row] * m, pa.int64()), pa.array([chunk] * m, pa.int32()), pa.array(list(found), pa.int32()), pa.array([f[0] for f in found.values()], pa.int32()), pa.array([np.array(f[1], "<i4").tobytes() for f in found.values()], pa.binary())],
                     ["row", "chunk", "exit", "entry", "ids"],
                 )
 
