@@ -1,0 +1,16 @@
+"""Registered queries: each wires an operator to the tables, beside its SQL where there is one."""
+
+from __future__ import annotations
+
+from lectern.plans import accounting, measures, relational, stateful
+from lectern.plans.registry import Query
+
+_MODULES = (accounting, relational, measures, stateful)
+
+
+def queries() -> dict[str, Query]:
+    return {name: f for m in _MODULES for name, f in m.query.queries.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for m in _MODULES for name, sql in m.query.oracles.items()}

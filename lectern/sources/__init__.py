@@ -1,0 +1 @@
+"""Readers, format rules and sinks."""
