@@ -18,12 +18,14 @@ that died leaves nothing that is read.
 from __future__ import annotations
 
 import functools
+import json
+import os
 import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,11 @@ END_ID = 0
 _HEAD = "<8sQQ"
 _NULL_ID = -(1 << 63)
 #: The memory of a worker for chunks that it has encoded before.
-CACHE_CHUNKS, CHUNK_CHARS = 500_000, 40
+CACHE_CHUNKS, CHUNK_CHARS = 400_000, 40
 
 #: The characters that a byte-level pre-tokenizer takes for white space.
 _SPACES = "\t\n\v\f\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_PIECES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n")
 _CUT = re.compile(f"(?<=[^ {_SPACES}]) (?=[^ {_SPACES}])")
 
 
@@ -52,48 +55,95 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Remembered(dict):
+    """Packed ids by chunk, made when first asked for. What was asked for of late is kept: of two generations
+    of up to `most` chunks the older goes. Chunks of over `chars` characters aren't kept."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int, chars: int):
+        super().__init__()
+        self._make, self._most, self._chars, self._older = make, most, chars, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self._older.get(chunk)
+        if ids is None:
+            ids = self._make(chunk)
+        if len(chunk) <= self._chars:
+            if len(self) >= self._most:
+                self._older = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizers library, which sees each frequent chunk of text only once.
+    """Ids of whole texts by the tokenizers library.
 
     A byte-level pre-tokenizer always parts a text before a single space that stands between two other
-    characters, and merges don't cross such a place; so the ids of the chunks are the ids of the text.
+    characters, and merges don't cross such a place; so the ids of the chunks are the ids of the text, and
+    a frequent chunk is encoded once. Within a chunk, runs of Latin letters, of digits, of ASCII signs but the
+    apostrophe, and single line feeds are pre-tokens, which go to the library's model at once. Tokenizers of
+    other kinds get whole texts.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._cache: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            kind = json.load(f)
+        before, model = kind.get("pre_tokenizer") or {}, kind.get("model") or {}
+        plain = not kind.get("normalizer") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix") and not model.get("dropout")
+        self._chunked = plain and model.get("type") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        if self._chunked:
+            level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            letters = "".join(map(chr, range(0x20, 0x250)))
+            mapped = "".join(part for part, _ in level.pre_tokenize_str(letters))
+            self._bytes = dict(zip(letters.encode(), mapped, strict=True))
+            self._bytes[ord("\n")] = level.pre_tokenize_str("\n")[0][0]
+            self._pieces = Remembered(self._piece, CACHE_CHUNKS, CHUNK_CHARS)
+        self._chunks = Remembered(self._encode_chunk, CACHE_CHUNKS, CHUNK_CHARS)
+        self._heads = Remembered(lambda c: self._encode_chunk(c, "") if c else b"", CACHE_CHUNKS // 8, CHUNK_CHARS)
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array(self._code, e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _chunks(self, text: str) -> list[str]:
+        return [self._pack(e.ids) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _piece(self, piece: str) -> bytes:
+        level = piece.encode().decode("latin-1").translate(self._bytes)
+        return self._pack([t.id for t in self._tokenizer.model.tokenize(level)])
+
+    def _encode_chunk(self, chunk: str, before: str = " ") -> bytes:
+        """The ids of a chunk, which follows a space or, at the beginning of a text, nothing."""
+        parts = _PIECES.findall(chunk)
+        if not parts or sum(map(len, parts)) < len(chunk) or "\n\n" in chunk or chunk[0] == "\n" or chunk[-1] == "\n":
+            return self._encode([before + chunk])[0]
+        parts[0] = before + parts[0]
+        return b"".join(map(self._pieces.__getitem__, parts))
+
+    def _words(self, text: str) -> list[str]:
+        """The chunks of a text, each without the one space that goes before it."""
         if any(s in text for s in self._special):
             return [text]
         odd = text[:1] == " " or text[-1:] == " " or "  " in text
         for c in "\t\n\v\f\r" if text.isascii() else _SPACES:
             odd = odd or (c in text and (c + " " in text or " " + c in text))
-        parts = _CUT.split(text) if odd else text.split(" ")
-        return parts[:1] + [" " + p for p in parts[1:]]
+        return _CUT.split(text) if odd else text.split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, packed; none for a null or empty one."""
-        chunks = [self._chunks(t) if t else [] for t in texts]
-        known = self._cache
-        fresh = list({c for cs in chunks for c in cs if c not in known})
-        if len(known) + len(fresh) > CACHE_CHUNKS:
-            known = self._cache = {}
-            fresh = list({c for cs in chunks for c in cs})
-        extra: dict[str, bytes] = {}
-        for c, ids in zip(fresh, self._encode(fresh), strict=True):
-            (known if len(c) <= CHUNK_CHARS else extra)[c] = ids
-        if extra:
-            return [b"".join([known[c] if c in known else extra[c] for c in cs]) for cs in chunks]
-        return [b"".join([known[c] for c in cs]) for cs in chunks]
+        if not self._chunked:
+            return self._encode([t or "" for t in texts])
+        out = []
+        for text in texts:
+            first, *rest = self._words(text) if text else [""]
+            out.append(self._heads[first] + b"".join(map(self._chunks.__getitem__, rest)))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
