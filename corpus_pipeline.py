@@ -50,7 +50,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and token_ids of every document; its ids decode to its text."""
-    found = pieces.unpacked(pieces.encode(docs.select("doc_id", "lang", "source", "text")))
+    found = pieces.encode_lists(docs.select("doc_id", "lang", "source", "text"))
     return found.select("doc_id", "lang", "source", F.size("token_ids").alias("n_tokens"), "token_ids")
 
 

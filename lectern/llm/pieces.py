@@ -25,7 +25,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,11 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lectern.llm.batches import slices, widened
 from lectern.llm.shared import Scratch, durable, scratch
+from lectern.llm.word_cache import WordCache
 
 GIANT, CHUNK = 65_536, 16_384
-CACHE_WORDS, WORD_CHARS = 500_000, 40
-TOGETHER, TOGETHER_CHARS = 4096, 48  # words segmented at once, and the longest of them
+CACHE_WORDS, WORD_CHARS = 300_000, 40
+TOGETHER, TOGETHER_CHARS = 1024, 48  # words segmented at once, and the longest of them
 MARK = "▁"
 _LOW = -1e300
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -83,7 +84,7 @@ class Pieces:
         self._scores = np.array([f[0] for f in found])[order]
         self._ids = np.array([f[1] for f in found], np.int32)[order]
         self._cut = re.compile(f"(?<=[^ {MARK}])[ {MARK}]")
-        self._cache: dict[str, bytes] = {}
+        self._cache = WordCache(self._fresh, CACHE_WORDS, WORD_CHARS)
 
     def matches(self, text: str, at: int) -> Iterator[tuple[int, float, int]]:
         """(length, score, id or -1) of the pieces at a place, shorter ones first."""
@@ -203,18 +204,7 @@ class Pieces:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as packed little-endian 32-bit integers; none for a null or empty one."""
-        words = [self._words(t) if t else [] for t in texts]
-        known = self._cache
-        fresh = list({w for ws in words for w in ws if w not in known})
-        if len(known) + len(fresh) > CACHE_WORDS:
-            known = self._cache = {}
-            fresh = list({w for ws in words for w in ws})
-        extra: dict[str, bytes] = {}
-        for w, ids in zip(fresh, self._fresh(fresh), strict=True):
-            (known if len(w) <= WORD_CHARS else extra)[w] = ids
-        if extra:
-            return [b"".join([known[w] if w in known else extra[w] for w in ws]) for ws in words]
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        return self._cache.joined([self._words(t) if t else [] for t in texts])
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space in front, which encoding adds, is taken off."""
@@ -310,26 +300,30 @@ def _giant_ids(giant: DataFrame, model: str | None, place: Scratch) -> DataFrame
     return ids.select("row", F.expr("aggregate(parts, cast('' as binary), (a, p) -> a || p.ids)").alias("ids"))
 
 
-def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, schema: StructType | None = None) -> DataFrame:
     """docs with token_ids (packed little-endian 32-bit) added; a column of that name is replaced.
 
-    Every row gets the ids of its whole text: none for a null or empty one. Rows may repeat.
+    Every row gets the ids of its whole text: none for a null or empty one. Rows may repeat. `then` turns
+    the batches of that into those of `schema`, in the same worker.
     """
     docs = docs.drop("token_ids")
     columns = docs.columns
+    finish = then or (lambda batch: batch)
+    result = schema or widened(docs.schema, token_ids="binary")
 
     def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model or default_model())
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pieces.encode(batch.column("text").to_pylist()), pa.binary())], [*batch.schema.names, "token_ids"])
+            ids = pa.array(pieces.encode(batch.column("text").to_pylist()), pa.binary())
+            yield finish(pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "token_ids"]))
 
     large = F.coalesce(F.length("text") > GIANT, F.lit(False))
-    normal = docs.filter(~large).mapInArrow(direct, widened(docs.schema, token_ids="binary"))
+    normal = docs.filter(~large).mapInArrow(direct, result)
     giant = durable(docs.filter(large).select(F.monotonically_increasing_id().alias("row"), F.struct(*columns).alias("doc")))
     with scratch(docs.sparkSession) as place:
         ids = durable(_giant_ids(giant.select("row", F.col("doc")["text"].alias("text")), model, place))
     long = giant.join(ids, "row").select(*(F.col("doc")[c].alias(c) for c in columns), F.col("ids").alias("token_ids"))
-    return normal.unionByName(long)
+    return normal.unionByName(long.mapInArrow(lambda batches: map(finish, slices(batches)), result) if then else long)
 
 
 def decode(encoded: DataFrame, model: str | None = None, into: str = "decoded") -> DataFrame:
@@ -345,35 +339,32 @@ def decode(encoded: DataFrame, model: str | None = None, into: str = "decoded")
     return encoded.mapInArrow(run, widened(encoded.schema, **{into: "string"}))
 
 
+def encode_lists(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """docs with token_ids as an array of integers; a column of that name is replaced."""
+    docs = docs.drop("token_ids")
+
+    def lists(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw = [r or b"" for r in batch.column("token_ids").to_pylist()]
+        ends = pa.array(np.concatenate(([0], np.cumsum([len(r) // 4 for r in raw]))).astype(np.int32))
+        ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(raw), "<i4")))
+        return batch.set_column(batch.num_columns - 1, "token_ids", ids)
+
+    return encode(docs, model, lists, StructType([*docs.schema.fields, StructField("token_ids", ArrayType(IntegerType()))]))
+
+
 def piece_report(docs: DataFrame, model: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (of the ids as little-endian 32-bit integers) and whether decoding gives the text back.
 
     U+2581 in a text is decoded as the space that it stands for, and compared so.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(model or default_model())
-        for batch in slices(batches):
-            ids = batch.column("token_ids").to_pylist()
-            same = [pieces.decode(np.frombuffer(raw, "<i4").tolist()) == (t or "").replace(MARK, " ") for raw, t in zip(ids, batch.column("text").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(raw) // 4 for raw in ids], pa.int64()), pa.array([zlib.crc32(raw) for raw in ids], pa.int64()), pa.array(same)],
-                ["doc_id", "n_tokens", "ids_crc32", "round_trip"],
-            )
-
-    found = encode(docs.select("doc_id", "text"), model)
-    return found.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_crc32 long, round_trip boolean")
-
-
-def unpacked(encoded: DataFrame) -> DataFrame:
-    """encoded with token_ids as an array of integers."""
-    fields = [f if f.name != "token_ids" else StructField("token_ids", ArrayType(IntegerType())) for f in encoded.schema.fields]
-    at = encoded.columns.index("token_ids")
+    docs = docs.select("doc_id", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            raw = batch.column(at).to_pylist()
-            ends = np.concatenate(([0], np.cumsum([len(r or b"") // 4 for r in raw]))).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(r or b"" for r in raw), "<i4")))
-            yield batch.set_column(at, "token_ids", ids)
+    def report(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pieces = _pieces(model or default_model())
+        ids = batch.column("token_ids").to_pylist()
+        same = [pieces.decode(np.frombuffer(raw, "<i4").tolist()) == (t or "").replace(MARK, " ") for raw, t in zip(ids, batch.column("text").to_pylist(), strict=True)]
+        columns = [batch.column("doc_id"), pa.array([len(raw) // 4 for raw in ids], pa.int64()), pa.array([zlib.crc32(raw) for raw in ids], pa.int64()), pa.array(same, pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_crc32", "round_trip"])
 
-    return encoded.mapInArrow(run, StructType(fields))
+    schema = widened(StructType([docs.schema["doc_id"]]), n_tokens="long", ids_crc32="long", round_trip="boolean")
+    return encode(docs, model, report, schema)
