@@ -37,7 +37,7 @@ _LANES = "281479271743489L"  # 0x0001000100010001
 
 _WORDS = r"""
   if(trim(BOTH ' \t\n\u000b\f\r' FROM coalesce({text}, '')) = '', array(),
-     split(translate(trim(BOTH ' \t\n\u000b\f\r' FROM {text}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'))
+     split(lower(trim(BOTH ' \t\n\u000b\f\r' FROM {text})), '[\\x20\\x09-\\x0D]+'))
 """
 
 
@@ -55,15 +55,16 @@ def _with_fingerprint(rows: DataFrame, hashes: str) -> DataFrame:
 
     The bits j, j + 16, j + 32 and j + 48 are counted together, in the four 16-bit lanes of one sum.
     """
-    zero = ", ".join(f"'a{j}', 0L, 'b{j}', 0L" for j in range(16))
-    add = ", ".join(f"'a{j}', s.a{j} + (shiftrightunsigned(x, {j}) & {_LANES}), 'b{j}', s.b{j} + (shiftrightunsigned(xxhash64(x), {j}) & {_LANES})" for j in range(16))
-    rows = rows.withColumn("votes", F.expr(f"aggregate({hashes}, named_struct({zero}), (s, x) -> named_struct({add}))")).withColumn("voters", F.expr(f"size({hashes})"))
+    rows = rows.withColumn("again", F.expr(f"transform({hashes}, x -> xxhash64(x))"))
+    count = "aggregate({h}, 0L, (s, x) -> s + (shiftrightunsigned(x, {j}) & " + _LANES + "))"
+    sums = {f"{side}{j}": F.expr(count.format(h=h, j=j)) for side, h in (("a", hashes), ("b", "again")) for j in range(16)}
+    rows = rows.withColumns(sums | {"voters": F.expr(f"size({hashes})")})
 
     def half(side: str) -> Column:
-        bits = [f"if(2 * (shiftrightunsigned(votes.{side}{j}, {16 * q}) & 65535L) > voters, shiftleft(1L, {j + 16 * q}), 0L)" for j in range(16) for q in range(4)]
+        bits = [f"if(2 * (shiftrightunsigned({side}{j}, {16 * q}) & 65535L) > voters, shiftleft(1L, {j + 16 * q}), 0L)" for j in range(16) for q in range(4)]
         return F.expr(" | ".join(bits))
 
-    return rows.withColumns({"f0": half("a"), "f1": half("b")}).drop("votes", "voters")
+    return rows.withColumns({"f0": half("a"), "f1": half("b")}).drop("again", "voters", *sums)
 
 
 def _block(k: int) -> str:
@@ -77,7 +78,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     """(doc_id, item_id, similarity, start_word): for each document and item with a qualifying window the best one.
 
     Words are runs of other characters than space, tab, line feed, vertical tab, form feed and carriage
-    return, with A-Z lower-cased. A null or empty text holds nothing and an item without words is found
+    return, in lower case. A null or empty text holds nothing and an item without words is found
     nowhere. Items of one text are all reported; rows repeated under one id are one document, of several
     texts under one id the best window counts; rows of a null id are judged as one document. A document
     shorter than an item is compared whole. Other columns are not looked at. Items of over 65,535
@@ -124,7 +125,9 @@ def _pass(docs: DataFrame, items: DataFrame, size: int, percent: int) -> DataFra
     close = close.filter(f"not ({earlier})").select("doc_id", "item_id", "start", "ww").join(F.broadcast(items.select("item_id", "iw").distinct()), "item_id")
 
     close = close.select("doc_id", "item_id", "start", F.expr(_SHINGLES.format(w="ww", k=size)).alias("a"), F.expr(_SHINGLES.format(w="iw", k=size)).alias("b"))
-    common = "aggregate(array_distinct(b), 0, (n, x) -> n + least(size(filter(a, y -> y = x)), size(filter(b, y -> y = x))))"
+    # where no shingle repeats, the sum of the lesser counts is the size of the intersection
+    counted = "aggregate(array_distinct(b), 0, (n, x) -> n + least(size(filter(a, y -> y = x)), size(filter(b, y -> y = x))))"
+    common = f"if(size(array_distinct(a)) = size(a) and size(array_distinct(b)) = size(b), size(array_intersect(a, b)), {counted})"
     close = close.select("doc_id", "item_id", "start", F.expr(common).alias("low"), F.expr("size(a) + size(b)").alias("both"))
     close = close.filter(F.col("low") * 100 >= percent * (F.col("both") - F.col("low")))
     return close.select("doc_id", "item_id", (F.col("low") / (F.col("both") - F.col("low"))).alias("similarity"), F.col("start").alias("start_word"))
