@@ -60,7 +60,7 @@ def is_sha256(c: Column) -> Column:
 
 
 def is_identity(c: Column) -> Column:
-    return c.rlike(f"^({'|'.join(PREFIXES.values())})_[0-9a-f]{{{DIGEST_CHARS}}}$")
+    return c.rlike(f"^({'|'.join(PREFIXES.values())})_[0-9a-f]{{{DIGEST_CHARS}}}\\z")
 
 
 def is_run_id(c: Column) -> Column:

@@ -28,7 +28,7 @@ def best_match(declared: DataFrame, groups: DataFrame) -> DataFrame:
     'missed' if it covers less than half, 'tie' if several cover most, else 'matched'.
     """
     pairs = _named(declared, "id_").join(_named(groups, "group"), "page", "left")
-    scored = pairs.withColumn("overlap", F.coalesce(G.overlap_area(F.col("id__box"), F.col("group_box")), F.lit(0).cast("long")))
+    scored = pairs.withColumn("overlap", F.when(F.col("group").isNull(), F.lit(0).cast("long")).otherwise(G.overlap_area(F.col("id__box"), F.col("group_box"))))
     best = scored.groupBy("page", F.col("id_").alias("id"), "id__box").agg(F.max_by(F.struct("overlap", "group"), F.struct("overlap", F.negative(F.col("group")))).alias("b"), F.max("overlap").alias("top"))
     ties = scored.join(best.select("page", F.col("id").alias("id_"), "top"), ["page", "id_"]).filter("overlap = top").groupBy("page", F.col("id_").alias("id")).agg(F.count("*").alias("n"))
     size = F.col("id__box")["w"] * F.col("id__box")["h"]

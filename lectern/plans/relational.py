@@ -272,7 +272,7 @@ def j08_rectangle_relations(spark, d):
 
 
 @query(f"""WITH {RECTANGLES}, a AS (SELECT * FROM rectangles WHERE id <= 2), b AS (SELECT * FROM rectangles WHERE id > 2),
-s AS (SELECT a.page, a.id, a.w * a.h AS size, b.id AS g, coalesce(greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)), 0) AS o FROM a LEFT JOIN b USING (page)),
+s AS (SELECT a.page, a.id, a.w * a.h AS size, b.id AS g, CASE WHEN b.id IS NULL THEN 0 ELSE greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) END AS o FROM a LEFT JOIN b USING (page)),
 m AS (SELECT page, id, size, max(o) AS top FROM s GROUP BY ALL), n AS (SELECT s.page, s.id, count(*) AS n, min(g) AS g FROM s JOIN m ON s.page = m.page AND s.id = m.id AND s.o = m.top AND s.size = m.size GROUP BY ALL)
 SELECT m.page, m.id, CASE WHEN top * 2 >= size AND n = 1 THEN g ELSE -1 END AS "group", top AS overlap, CASE WHEN top * 2 < size THEN 'missed' WHEN n > 1 THEN 'tie' ELSE 'matched' END AS verdict FROM m JOIN n USING (page, id)""")
 def j09_best_overlap(spark, d):
