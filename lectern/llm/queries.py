@@ -75,5 +75,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in _QUERIES}
 
 
+_OP1_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(id, root) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id
+), component AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id), degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT c.id AS vec_id, coalesce(d.n, 0) AS n_links, c.component_id, c.id = c.component_id AS kept FROM component c LEFT JOIN degree d USING (id)
+"""
+
+_OP9_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM words
+), size AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach(id, root) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id
+), component AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id), degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT c.id AS doc_id, coalesce(z.n, 0) AS n_shingles, c.component_id, coalesce(d.n, 0) AS n_links FROM component c LEFT JOIN size z ON z.doc_id = c.id LEFT JOIN degree d ON d.id = c.id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.SQL}
+    return {"op1_embedding_near_dedup": _OP1_SQL, "op4_url_filter": url_filter.SQL, "op9_ngram_jaccard_join": _OP9_SQL}
