@@ -52,9 +52,23 @@ def write_bundles(df: DataFrame, folder: str, order: str, text: str, path: str)
 
 
 def inventory(spark: SparkSession, folder: str, max_bytes: int) -> DataFrame:
-    """(relative_path, bytes, sha256) of the files under a folder; one larger than max_bytes fails the read."""
+    """(relative_path, bytes, sha256) of the files under a folder; one larger than max_bytes fails the read.
+
+    Spark's scan passes over files without bytes, so that they aren't listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     large = F.raise_error(F.concat(F.lit("larger than the limit: "), F.col("path")))
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath()
     path = F.regexp_replace(F.col("path"), "^[a-z]+:/*" + root.strip("/") + "/", "")
     return files.select(path.alias("relative_path"), F.when(F.col("length") <= max_bytes, F.col("length")).otherwise(large).alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def overwrite_index(df: DataFrame, path: str) -> DataFrame:
+    """A derived index in the place of the one before, reread; readers see one or the other by Spark's commit."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def publish_tree(df: DataFrame, keys: list[str], path: str) -> None:
+    """An artifact table partitioned by its keys; a path that exists is refused, not merged into."""
+    df.write.partitionBy(*keys).mode("errorifexists").parquet(path)
