@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -11,11 +12,24 @@ SLICE_BYTES = 2 << 20
 
 
 def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of batches in order, in pieces of about size bytes; a larger row is a piece by itself."""
+    """The rows of batches in order, in pieces of about size bytes; a larger row is a piece by itself.
+
+    After the last one, memory that the task has freed goes back to the system: workers live on for other
+    tasks, beside which it would count.
+    """
     for batch in batches:
         rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def widened(schema: StructType, **kinds: str) -> StructType:

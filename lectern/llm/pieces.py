@@ -38,7 +38,7 @@ from lectern.llm.shared import Scratch, durable, scratch
 from lectern.llm.word_cache import WordCache
 
 GIANT, CHUNK = 65_536, 16_384
-CACHE_WORDS, WORD_CHARS = 300_000, 40
+CACHE_WORDS, WORD_CHARS = 200_000, 40
 TOGETHER, TOGETHER_CHARS = 1024, 48  # words segmented at once, and the longest of them
 MARK = "▁"
 _LOW = -1e300

@@ -8,7 +8,7 @@ import numpy as np
 
 WORDS = 5
 #: Texts are hashed together up to this many bytes; a longer text is hashed alone and whole.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 _ODD = 0x9E3779B97F4A7C15
 _UNDO = pow(_ODD, -1, 1 << 64)
