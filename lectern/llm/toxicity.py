@@ -23,7 +23,7 @@ BITS = 18
 #: The bound of the training sample: labelled rows, and characters of their texts together.
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 12_000_000
 LEAST_TEXTS = 5  # a cell in fewer training texts has no weight
-PENALTY, ROUNDS, RATE = 3.0, 80, 0.05
+PENALTY, ROUNDS, RATE = 10.0, 80, 0.1
 
 
 @dataclass(frozen=True)
@@ -52,10 +52,11 @@ def train(texts: list[str], toxic: np.ndarray) -> ToxicityModel:
     hit = np.bincount(cell, weights=y[row], minlength=size)
     ratio = np.log((hit + 1) / (y.sum() + 2)) - np.log((many * (many >= LEAST_TEXTS) - hit + 1) / (len(y) - y.sum() + 2))
     x = ratio[cell].astype(np.float32)
-    w, grow, bias, bias_grow = np.zeros(size), np.full(size, 1e-8), np.log(y.mean() / (1 - y.mean())), 1e-8
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))  # both labels weigh alike, however rare one is
+    w, grow, bias, bias_grow = np.zeros(size), np.full(size, 1e-8), 0.0, 1e-8
     for _ in range(ROUNDS):  # full-batch Adagrad
         z = np.bincount(row, weights=x * w[cell], minlength=len(y)) + bias
-        off = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(y)
+        off = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) * share
         g = np.bincount(cell, weights=x * off[row], minlength=size) + PENALTY * w / len(y)
         grow += g * g
         w -= RATE * g / np.sqrt(grow)
