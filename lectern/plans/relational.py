@@ -27,6 +27,12 @@ _SOURCES = "sources AS (SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.txt
 # --- sources and sinks --------------------------------------------------------------------------------
 
 
+@query(None)
+def s01_file_inventory(spark, d):
+    """The files of a folder, with their sizes and digests."""
+    return sinks.inventory(spark, d, 1 << 30)
+
+
 @query(f"""WITH {_SOURCES} SELECT relative_path, sha256, row_number() OVER (ORDER BY relative_path) AS place, bytes FROM sources""")
 def s02_source_inventory(spark, d):
     return sinks.numbered_in_order(_sources(spark, d).select("relative_path", "sha256", "bytes"), "relative_path", "place")
@@ -368,6 +374,12 @@ def x06_cross_format_identity(spark, d):
 # --- sampling ---------------------------------------------------------------------------------------------
 
 
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS place FROM orders""")
+def o01_total_order(spark, d):
+    """A position in a total order of all rows; the key breaks ties."""
+    return sinks.numbered_in_order(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ("o_totalprice", "o_orderkey"), "place").drop("o_totalprice")
+
+
 @query("""SELECT doc_id, ('0x' || left(sha256('{"act_id":"act-' || CAST(doc_id AS VARCHAR) || '","purpose":"nuda-sample","run_id":"run-1"}'), 8))::BIGINT % 1000 < 250 AS sampled FROM documents""")
 def o02_per_mille_sample(spark, d):
     return table(spark, d, "documents").select("doc_id", S.per_mille(F.concat(F.lit("act-"), F.col("doc_id").cast("string")), "run-1", "nuda-sample", 250).alias("sampled"))
