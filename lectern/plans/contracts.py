@@ -14,9 +14,6 @@ from lectern.functions import text as T
 from lectern.operators import accounting as A
 from lectern.operators import attempts as V
 from lectern.operators import contracts as K
-from lectern.operators import intervals as I
-from lectern.operators import metrics as M
-from lectern.operators import rectangles as B
 from lectern.operators import reconcile as R
 from lectern.plans.registry import Registry
 from lectern.sources.tables import ATTEMPTS, CURRENT, READINGS, RECTANGLES, attempts, current_readings, readings, rectangles, table

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions import canonical as C
-from lectern.functions import geometry as G
 from lectern.operators import intervals as I
 from lectern.operators import rectangles as B
 from lectern.operators import reconcile as R
