@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -38,3 +40,18 @@ def widened(schema: StructType, **kinds: str) -> StructType:
     for name, kind in kinds.items():
         out = out.add(name, kind)
     return out
+
+
+#: Rows that are summed in one call.
+FAN_IN = 256
+
+
+def summed(parts: DataFrame, keys: list[str], add: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """Partial results of tasks, a row for each key and task (column lot: the task's number), added up by key.
+
+    They are added in three levels, so that no call gets more than FAN_IN rows of a key below 16 million tasks.
+    """
+    for level in range(3):
+        lot = F.lit(0) if level == 2 else F.expr(f"lot div {FAN_IN}").cast("int")
+        parts = parts.withColumn("lot", lot).groupBy(*keys, "lot").applyInArrow(add, parts.schema)
+    return parts.drop("lot")

@@ -5,6 +5,8 @@ A document is the set of its distinct five-word shingles; two documents link whe
 with its T - 1 longest lists put aside every partner still occurs on one of the n - T + 1 short ones.
 Only these short lists (each document's rarest shingles) are built and merged; the long lists are
 never built: a candidate's remaining shingles are probed by binary search in its partner's sorted set.
+Lists are sorted runs; where a heap would merge them one element at a time, a bucket's runs are sorted
+together in numpy, which visits the same elements in the same order.
 
 * Which shingles are rare is told by one count sketch over all documents. It only orders shingles, the
   same way everywhere, so that an estimate can't lose a link.
@@ -26,16 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.batches import slices
+from lectern.llm.batches import slices, summed
 from lectern.llm.shared import Scratch, connected_components, durable, scratch
 from lectern.llm.shingles import prefix_length, required_overlap, shingle_sets
 
 PERCENT = 75
 SKETCH_BITS = 20
-SKETCH_SLICES = 16
+SKETCH_SLICES = 64
 SHORT_LIST = 32
 #: A block of a cluster holds up to so many documents and shingles in expectation.
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1_500_000
@@ -69,8 +72,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([kind().itemsize] * SKETCH_SLICES, pa.int32()),
                 pa.array([p.tobytes() for p in parts], pa.binary()),
                 pa.array([shingles] + [0] * (SKETCH_SLICES - 1), pa.int64()),
+                pa.array([TaskContext.get().partitionId()] * SKETCH_SLICES, pa.int32()),
             ],
-            ["part", "width", "counts", "shingles"],
+            ["part", "width", "counts", "shingles", "lot"],
         )
 
 
@@ -80,22 +84,19 @@ def _add_sketches(table: pa.Table) -> pa.Table:
         total = total + np.frombuffer(raw, np.uint16 if w == 2 else np.int64).astype(np.int64)
     return pa.table(
         {
-            "part": table.column("part").slice(0, 1).cast(pa.int32()),
+            "part": table.column("part").slice(0, 1),
+            "width": pa.array([8], pa.int32()),
             "counts": pa.array([total.tobytes()], pa.binary()),
             "shingles": pa.array([sum(table.column("shingles").to_pylist())], pa.int64()),
+            "lot": table.column("lot").slice(0, 1),
         }
     )
 
 
 def _shingle_ranks(docs: DataFrame) -> tuple[np.ndarray, int]:
     """For each sketch cell a 16-bit rank that grows with its count over all documents; the count of all."""
-    rows = (
-        docs.select("text")
-        .mapInArrow(_sketch, "part int, width int, counts binary, shingles long")
-        .groupBy("part")
-        .applyInArrow(_add_sketches, "part int, counts binary, shingles long")
-        .collect()  # SKETCH_SLICES rows of 0.5 MB, whatever the input
-    )
+    parts = docs.select("text").mapInArrow(_sketch, "part int, width int, counts binary, shingles long, lot int")
+    rows = summed(parts, ["part"], _add_sketches).collect()  # SKETCH_SLICES rows of 128 KB, whatever the input
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for r in rows:
         part = np.frombuffer(r["counts"], np.int64)

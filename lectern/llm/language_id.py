@@ -1,7 +1,7 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
 Counts are taken over all labelled rows outside the held-out fold: a row for each language and task is
-summed by language, so what reaches the driver is one matrix. Its log-probabilities are broadcast, and the
+summed by language, level by level, so what reaches the driver is one matrix. Its log-probabilities are broadcast, and the
 texts of a batch are scored together, sparsely: the matrix rows of their n-grams are gathered and summed.
 """
 
@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.batches import slices, widened
+from lectern.llm.batches import slices, summed, widened
 from lectern.llm.ngrams import char_ngrams, held_out
 
 ORDERS = (1, 2, 3)
@@ -23,7 +24,9 @@ BITS = 15
 SMOOTHING = 0.5
 UNDECIDED = "und"
 #: Languages counted in memory at once by a training task, and n-grams scored at once.
-HELD_LANGUAGES, HELD_CELLS = 64, 1 << 20
+HELD_LANGUAGES, HELD_CELLS = 64, 1 << 18
+#: The matrix takes 128 KB a language where it is broadcast; a column of more values isn't one of languages.
+MAX_LANGUAGES = 1000
 
 
 @dataclass(frozen=True)
@@ -70,8 +73,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, tuple[np.ndarray, list[int]]] = {}
 
     def told() -> pa.RecordBatch:
-        rows = [(k, n[0], c.tobytes()) for k, (c, n) in held.items()]
-        return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.binary()), strict=True)], ["lang", "rows", "counts"])
+        rows = [(k, n[0], c.tobytes(), TaskContext.get().partitionId()) for k, (c, n) in held.items()]
+        return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.binary(), pa.int32()), strict=True)], ["lang", "rows", "counts", "lot"])
 
     for batch in slices(batches):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
@@ -87,13 +90,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sum(table: pa.Table) -> pa.Table:
     counts = sum(np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist())
-    return pa.table({"lang": table.column("lang").slice(0, 1), "rows": pa.array([sum(table.column("rows").to_pylist())]), "counts": pa.array([counts.tobytes()], pa.binary())})
+    return pa.table({"lang": table.column("lang").slice(0, 1), "rows": pa.array([sum(table.column("rows").to_pylist())]), "counts": pa.array([counts.tobytes()], pa.binary()), "lot": table.column("lot").slice(0, 1)})
 
 
 def fit(docs: DataFrame) -> LanguageModel:
-    """Learns from text and lang of all rows outside the held-out fold where both are given."""
+    """Learns from text and lang of all rows outside the held-out fold where both are given.
+
+    Over MAX_LANGUAGES different values of lang are refused.
+    """
     known = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    rows = known.mapInArrow(_count, "lang string, rows long, counts binary").groupBy("lang").applyInArrow(_sum, "lang string, rows long, counts binary").orderBy("lang").collect()
+    if known.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages")
+    rows = summed(known.mapInArrow(_count, "lang string, rows long, counts binary, lot int"), ["lang"], _sum).orderBy("lang").collect()
     if not rows:
         return LanguageModel([], np.zeros(0), np.zeros((1 << BITS, 0), np.float32))
     counts = np.stack([np.frombuffer(r["counts"], np.int64) for r in rows], axis=1) + SMOOTHING

@@ -39,7 +39,7 @@ from lectern.llm.word_cache import WordCache
 
 GIANT, CHUNK = 65_536, 16_384
 CACHE_WORDS, WORD_CHARS = 200_000, 40
-TOGETHER, TOGETHER_CHARS = 1024, 48  # words segmented at once, and the longest of them
+TOGETHER, TOGETHER_CHARS = 512, 48  # words segmented at once, and the longest of them
 MARK = "▁"
 _LOW = -1e300
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
