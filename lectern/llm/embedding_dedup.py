@@ -85,7 +85,7 @@ def _dealer(cosine: float, grid: int, counting: bool):
                         near = np.flatnonzero((gap**2).sum(axis=1) <= budget)
                         if not len(near):
                             continue
-                        cell = (home[near] + step).astype(np.int8 if np.abs(home).max() < 100 else np.int64)
+                        cell = (home[near] + step).astype(np.int16)  # a coordinate is at most 1, a width far over 1e-4
                         name = pa.array([c.tobytes() for c in cell], pa.binary())
                         fixed = [pa.array(np.full(len(near), d, np.int32)), pa.array(np.full(len(near), k, np.int32)), name, pa.array(np.full(len(near), any(move)))]
                         if counting:
