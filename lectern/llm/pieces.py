@@ -38,8 +38,8 @@ from lectern.llm.shared import Scratch, durable, scratch
 from lectern.llm.word_cache import WordCache
 
 GIANT, CHUNK = 65_536, 16_384
-CACHE_WORDS, WORD_CHARS = 200_000, 40
-TOGETHER, TOGETHER_CHARS = 512, 48  # words segmented at once, and the longest of them
+CACHE_WORDS, WORD_CHARS = 150_000, 40
+TOGETHER, TOGETHER_CHARS = 40_000, 48  # characters segmented at once, about, and those of the longest word among them
 MARK = "▁"
 _LOW = -1e300
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -152,9 +152,14 @@ class Pieces:
         full = [written(w) for w in words]
         out: list[bytes | None] = [None] * len(full)
         order = sorted((k for k in range(len(full)) if len(full[k]) <= TOGETHER_CHARS), key=lambda k: len(full[k]))
-        for at in range(0, len(order), TOGETHER):
-            for k, ids in zip(order[at : at + TOGETHER], self.together([full[k] for k in order[at : at + TOGETHER]]), strict=True):
+        at = 0
+        while at < len(order):
+            some = order[at : at + TOGETHER // len(full[order[at]])]
+            while len(some) > 1 and len(some) * len(full[some[-1]]) > TOGETHER:
+                some = some[: max(1, TOGETHER // len(full[some[-1]]))]
+            for k, ids in zip(some, self.together([full[k] for k in some]), strict=True):
                 out[k] = ids
+            at += len(some)
         return [np.array(self.segment(w), "<i4").tobytes() if o is None else o for w, o in zip(full, out, strict=True)]
 
     def together(self, words: list[str]) -> list[bytes | None]:

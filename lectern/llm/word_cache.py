@@ -8,18 +8,22 @@ from operator import not_
 
 
 class WordCache:
-    """encode gives the packed ids of a list of words; up to `words` of at most `chars` characters are kept."""
+    """encode gives the packed ids of a list of words. What was asked for of late is kept: of two generations of
+    up to `words` words the older goes. Words of over `chars` characters aren't kept."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], words: int, chars: int):
         self._encode, self._most, self._chars = encode, words, chars
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def joined(self, texts: list[list[str]]) -> list[bytes]:
         """For each text, given as its words, their ids one after the other."""
         found = [list(map(self._known.get, words)) for words in texts]
         missing = [list(compress(words, map(not_, ids))) for words, ids in zip(texts, found, strict=True)]
-        fresh = list(set().union(*missing))
-        made = dict(zip(fresh, self._encode(fresh), strict=True))
+        wanted = set().union(*missing)
+        made = {w: self._older[w] for w in wanted if w in self._older}
+        fresh = list(wanted.difference(made))
+        made.update(zip(fresh, self._encode(fresh), strict=True))
         out = []
         for ids, words in zip(found, missing, strict=True):
             if words:
@@ -27,6 +31,6 @@ class WordCache:
                 ids = [i or next(late) for i in ids]
             out.append(b"".join(ids))
         if len(self._known) + len(made) > self._most:
-            self._known = {}
+            self._older, self._known = self._known, {}
         self._known.update((w, i) for w, i in made.items() if len(w) <= self._chars)
         return out
