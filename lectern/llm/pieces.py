@@ -38,7 +38,7 @@ from lectern.llm.shared import Scratch, durable, scratch
 from lectern.llm.word_cache import WordCache
 
 GIANT, CHUNK = 65_536, 16_384
-CACHE_WORDS, WORD_CHARS = 150_000, 40
+CACHE_WORDS, WORD_CHARS = 100_000, 40
 TOGETHER, TOGETHER_CHARS = 40_000, 48  # characters segmented at once, about, and those of the longest word among them
 MARK = "▁"
 _LOW = -1e300
