@@ -36,8 +36,8 @@ MAX_SHINGLES = 65_535
 _LANES = "281479271743489L"  # 0x0001000100010001
 
 _WORDS = r"""
-  if(trim(BOTH ' \t\n\u000b\f\r' FROM coalesce({text}, '')) = '', array(),
-     split(lower(trim(BOTH ' \t\n\u000b\f\r' FROM {text})), '[\\x20\\x09-\\x0D]+'))
+  if(trim(BOTH ' \t\n\u000b\u000c\r' FROM coalesce({text}, '')) = '', array(),
+     split(lower(trim(BOTH ' \t\n\u000b\u000c\r' FROM {text})), '[\\x20\\x09-\\x0D]+'))
 """
 
 

@@ -161,6 +161,15 @@ def test_decontamination_in_parts_and_natively(spark, monkeypatch):
     assert not re.search("Python|Pandas|Arrow", parts._jdf.queryExecution().executedPlan().toString())
 
 
+def test_decontamination_at_edges_of_f_and_form_feed(spark):
+    items = ["for which of these nine planets was the moon itself", "f", "fluff", "\fform feed at the\fedge of an item\f"]
+    texts = [f"so {t} it is" for t in items] + [items[0], "f", "\f" + items[1] + "\f", "\f", "luf", "form feed at the edge of an item"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in dec.contamination(docs_of(spark, texts), bench).collect()}
+    want = {(d, i): s for d, t in enumerate(texts) for i, b in enumerate(items) if (s := brute_similarity(t, b)) >= 0.75}
+    assert got == pytest.approx(want) and {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0), (5, 1), (6, 1), (9, 3)} == set(want)
+
+
 # --- op3 ------------------------------------------------------------------------------------------------------
 
 
