@@ -1,17 +1,15 @@
-"""Benchmark decontamination by SimHash over item-sized windows, in DataFrame and SQL functions alone.
+"""Benchmark decontamination by exact search over item-sized windows, in DataFrame and SQL functions alone.
 
 An item of m words is compared with windows of m words. Both are multisets of word shingles, of five
 words or of all m where m < 5; their similarity is the weighted Jaccard sum(min) / sum(max) of the
 shingles' counts. A window qualifies at 0.75 or more.
 
-1. Windows start where a document holds a shingle of an item of that length (or end at the document's
-   end). Any other window can be moved right to its first such shingle without losing one, so the best
-   window for each item is among them; windows without any have similarity 0.
-2. A window's fingerprint is its 128-bit SimHash, each shingle voting once for each time it occurs.
-3. Fingerprints are looked up in a multi-index: 16 blocks of 8 bits. Two fingerprints within RADIUS bits
-   agree up to one bit in some block, and the index holds every value within one bit, so that all items
-   within the radius are found; their distance is then counted.
-4. Candidates are verified exactly on the words.
+1. A qualifying window holds three quarters of the item's shingles, so of any quarter and one more of
+   them (repeats counted) it holds one. The rarest in the benchmark are the item's anchors; a document
+   is compared with an item only if it holds an anchor, once, at the first anchor that it holds.
+2. Two windows d words apart have counts in common that differ by d at most. A window that lacks e
+   common shingles to be the best is followed by the one e words on; none between can be better.
+3. What is found on shingle hashes is computed once more on the words.
 
 The benchmark is broadcast in parts of at most PART_WORDS words, one pass over the documents each; the
 documents are never shuffled, only verified rows are.
@@ -21,19 +19,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.shared import without
 
 PERCENT = 75
 SHINGLE = 5
-#: 0.75 of weighted Jaccard is an angle of 31 degrees, 22 of 128 bits in the mean; the radius is two deviations more.
-RADIUS, BLOCKS, BLOCK_BITS = 31, 16, 8
 PART_WORDS = 500_000
-#: Votes are counted in 16-bit lanes.
-MAX_SHINGLES = 65_535
-_LANES = "281479271743489L"  # 0x0001000100010001
 
 _WORDS = r"""
   if(trim(BOTH ' \t\n\u000b\u000c\r' FROM coalesce({text}, '')) = '', array(),
@@ -50,43 +43,52 @@ def _hashed(size: int) -> str:
           transform(sequence(0, size(v) - {size}), i -> xxhash64({shingle})), array()))[0] as h)))"""
 
 
-def _with_fingerprint(rows: DataFrame, hashes: str) -> DataFrame:
-    """rows with f0 and f1, the two halves of the SimHash of an array of shingle hashes.
-
-    The bits j, j + 16, j + 32 and j + 48 are counted together, in the four 16-bit lanes of one sum.
-    """
-    rows = rows.withColumn("again", F.expr(f"transform({hashes}, x -> xxhash64(x))"))
-    count = "aggregate({h}, 0L, (s, x) -> s + (shiftrightunsigned(x, {j}) & " + _LANES + "))"
-    sums = {f"{side}{j}": F.expr(count.format(h=h, j=j)) for side, h in (("a", hashes), ("b", "again")) for j in range(16)}
-    rows = rows.withColumns(sums | {"voters": F.expr(f"size({hashes})")})
-
-    def half(side: str) -> Column:
-        bits = [f"if(2 * (shiftrightunsigned({side}{j}, {16 * q}) & 65535L) > voters, shiftleft(1L, {j + 16 * q}), 0L)" for j in range(16) for q in range(4)]
-        return F.expr(" | ".join(bits))
+_SHINGLES = "if(size({w}) >= {k}, transform(sequence(0, size({w}) - {k}), i -> array_join(slice({w}, i + 1, {k}), ' ')), array())"
 
-    return rows.withColumns({"f0": half("a"), "f1": half("b")}).drop("again", "voters", *sums)
 
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-def _block(k: int) -> str:
-    return f"cast(shiftrightunsigned(f{k // 8}, {BLOCK_BITS * (k % 8)}) & 255L as int)"
 
+def _prepared(b: str) -> str:
+    """What _best asks of an item's shingles b: them, their number, and how their repeats are counted.
 
-_SHINGLES = "if(size({w}) >= {k}, transform(sequence(0, size({w}) - {k}), i -> array_join(slice({w}, i + 1, {k}), ' ')), array())"
+    levels[t] holds the shingles that occur more than t times. Where repeats go deeper than there are repeated
+    shingles, rep holds those with their counts, and levels the first alone.
+    """
+    rep = "array_distinct(filter(v, (x, i) -> get(v, i - 1) = x))"
+    most = "aggregate(v, named_struct('x', v[0], 'n', 0, 'most', 0), (s, x) -> if(s.x = x, named_struct('x', x, 'n', s.n + 1, 'most', greatest(s.most, s.n + 1)), named_struct('x', x, 'n', 1, 'most', greatest(s.most, 1))), s -> s.most)"
+    levels = "transform(sequence(0, if(most <= size(rep), most - 1, 0)), t -> array_distinct(filter(v, (x, i) -> get(v, i - t) = x)))"
+    counts = "if(most <= size(rep), array(), transform(rep, x -> named_struct('x', x, 'c', size(filter(v, y -> y = x)))))"
+    body = f"named_struct('n', size(v), 'levels', {levels}, 'rep', {counts})"
+    return _let("v", f"sort_array({b})", _let("rep", rep, _let("most", most, body)))
+
+
+def _best(h: str, item: str, percent: int) -> str:
+    """(common, at, size): the first window of shingles h that has most in common with an item, and its size."""
+    window = f"slice({h}, st + 1, {item}.n)"
+    deeper = f"""aggregate(sequence(1, size({item}.levels) - 1), 0, (n, t) -> n + size(array_intersect(filter(v, (x, i) -> get(v, i - t) = x), {item}.levels[t])))"""
+    repeats = f"""if(size({item}.levels) > 1, {_let("v", "sort_array(w)", deeper)}, 0) + aggregate({item}.rep, 0, (n, r) -> n + greatest(0, least(r.c, size(filter(w, y -> y = r.x))) - 1))"""
+    common = _let("w", window, f"size(array_intersect(w, {item}.levels[0])) + {repeats}")
+    least = f"cast(ceil({percent} * (least(size({h}), {item}.n) + {item}.n) / {100 + percent}) as int)"
+    step = "named_struct('next', st + greatest(1, greatest({least}, s.best + 1, l + 1) - l), 'best', greatest(s.best, l), 'at', if(l > s.best, st, s.at))"
+    state = "named_struct('next', 0, 'best', 0, 'at', 0)"
+    walk = f"""aggregate(sequence(0, greatest(size({h}) - {item}.n, 0)), {state}, (s, st) -> if(st < s.next, s, {_let("l", common, step.format(least="least"))}),
+      s -> named_struct('common', s.best, 'at', s.at, 'both', least(size({h}), {item}.n) + {item}.n))"""
+    return _let("least", least, walk)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", percent: int = PERCENT) -> DataFrame:
-    """(doc_id, item_id, similarity, start_word): for each document and item with a qualifying window the best one.
+    """(doc_id, item_id, similarity, start_word): for each document and item with a qualifying window the first of the best.
 
     Words are runs of other characters than space, tab, line feed, vertical tab, form feed and carriage
     return, in lower case. A null or empty text holds nothing and an item without words is found
     nowhere. Items of one text are all reported; rows repeated under one id are one document, of several
     texts under one id the best window counts; rows of a null id are judged as one document. A document
-    shorter than an item is compared whole. Other columns are not looked at. Items of over 65,535
-    shingles are refused.
+    shorter than an item is compared whole. Other columns are not looked at.
     """
     items = benchmark.select("item_id", F.expr(_WORDS.format(text="text")).alias("iw")).filter("size(iw) > 0").distinct()
     items = items.withColumn("m", F.size("iw")).withColumn("k", F.least(F.lit(SHINGLE), F.col("m")))
-    items = items.withColumn("iw", F.when(F.col("m") - F.col("k") < MAX_SHINGLES, F.col("iw")).otherwise(F.raise_error(F.lit("an item holds over 65,535 shingles"))))
     sizes = items.groupBy("k").agg(F.sum("m").alias("words")).collect()  # at most SHINGLE rows
     docs = docs.select(F.col(id_column).alias("doc_id"), "text")
     found = [
@@ -102,35 +104,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 
 
 def _pass(docs: DataFrame, items: DataFrame, size: int, percent: int) -> DataFrame:
-    hashed = items.withColumn("v", F.expr("transform(iw, x -> xxhash64(x))"))
     shingle = ", ".join(f"get(v, i + {k})" for k in range(size))
-    hashed = hashed.withColumn("ih", F.expr(f"transform(sequence(0, m - {size}), i -> xxhash64({shingle}))")).drop("v")
-    starts = F.broadcast(hashed.select("m", F.explode("ih").alias("sh")).distinct())
-
-    windows = docs.select("doc_id", F.expr(_hashed(size))).select("doc_id", "w", "h", F.expr("posexplode(h) as (pos, sh)")).join(starts, "sh")
-    windows = windows.select("doc_id", "m", F.greatest(F.lit(0), F.least("pos", F.size("w") - F.col("m"))).alias("start"), "w", "h")
-    windows = windows.select("doc_id", "m", "start", F.expr("slice(w, start + 1, m)").alias("ww"), F.expr(f"slice(h, start + 1, greatest(m - {size - 1}, 0))").alias("wh"))
-    windows = _with_fingerprint(windows, "wh").drop("wh")
-
-    index = _with_fingerprint(hashed, "ih").drop("ih")
-    places = ", ".join(f"struct({k} as block, {_block(k)} as value)" for k in range(BLOCKS))
-    near = ", ".join(["0", *(str(1 << b) for b in range(BLOCK_BITS))])
-    index = index.select("item_id", "m", F.col("f0").alias("g0"), F.col("f1").alias("g1"), F.expr(f"inline(array({places}))"))
-    index = index.select("item_id", "m", "g0", "g1", "block", F.expr(f"explode(transform(array({near}), x -> value ^ x)) as value"))
-
-    probes = windows.select("*", F.expr(f"inline(array({places}))"))
-    close = probes.join(F.broadcast(index), ["m", "block", "value"]).filter(f"bit_count(f0 ^ g0) + bit_count(f1 ^ g1) <= {RADIUS}")
-    # a candidate is verified once, in the first block in which the two are within a bit
-    earlier = " or ".join(f"(block > {k} and bit_count({_block(k)} ^ {_block(k).replace('f0', 'g0').replace('f1', 'g1')}) <= 1)" for k in range(BLOCKS - 1))
-    close = close.filter(f"not ({earlier})").select("doc_id", "item_id", "start", "ww").join(F.broadcast(items.select("item_id", "iw").distinct()), "item_id")
-
-    close = close.select("doc_id", "item_id", "start", F.expr(_SHINGLES.format(w="ww", k=size)).alias("a"), F.expr(_SHINGLES.format(w="iw", k=size)).alias("b"))
-    # where no shingle repeats, the sum of the lesser counts is the size of the intersection
-    counted = "aggregate(array_distinct(b), 0, (n, x) -> n + least(size(filter(a, y -> y = x)), size(filter(b, y -> y = x))))"
-    common = f"if(size(array_distinct(a)) = size(a) and size(array_distinct(b)) = size(b), size(array_intersect(a, b)), {counted})"
-    close = close.select("doc_id", "item_id", "start", F.expr(common).alias("low"), F.expr("size(a) + size(b)").alias("both"))
-    close = close.filter(F.col("low") * 100 >= percent * (F.col("both") - F.col("low")))
-    return close.select("doc_id", "item_id", (F.col("low") / (F.col("both") - F.col("low"))).alias("similarity"), F.col("start").alias("start_word"))
+    hashed = items.select("item_id", "iw", F.expr(_let("v", "transform(iw, x -> xxhash64(x))", f"transform(sequence(0, m - {size}), i -> xxhash64({shingle}))")).alias("ih"))
+    held = hashed.select("item_id", "iw", "ih", F.explode("ih").alias("sh"))
+    rare = held.join(held.groupBy("sh").agg(F.count("*").alias("rows")), "sh").groupBy("item_id", "iw", "ih").agg(F.sort_array(F.collect_list(F.struct("rows", "sh"))).alias("by"))
+    few = f"(size(by) * {100 - percent}) div 100 + 1"
+    known = rare.select("item_id", "iw", F.expr(_prepared("ih")).alias("item"), F.expr(f"array_distinct(transform(slice(by, 1, cast({few} as int)), x -> x.sh))").alias("anchors"))
+    anchors = known.select("item_id", "iw", F.expr("posexplode(anchors) as (j, sh)"))
+
+    close = docs.select("doc_id", F.expr(_hashed(size))).select("doc_id", "w", "h", F.expr("explode(array_distinct(h)) as sh")).join(F.broadcast(anchors), "sh").drop("sh")
+    close = close.join(F.broadcast(known), ["item_id", "iw"]).filter("j = 0 or not arrays_overlap(slice(anchors, 1, j), h)")
+    close = close.withColumn("f", F.expr(_best("h", "item", percent))).filter(f"f.common * 100 >= {percent} * (f.both - f.common)")
+    close = close.select("doc_id", "item_id", F.expr(_SHINGLES.format(w="w", k=size)).alias("a"), F.expr(_prepared(_SHINGLES.format(w="iw", k=size))).alias("b"))
+    close = close.withColumn("f", F.expr(_best("a", "b", percent))).filter(f"f.common * 100 >= {percent} * (f.both - f.common)")
+    return close.select("doc_id", "item_id", F.expr("f.common / (f.both - f.common)").alias("similarity"), F.col("f.at").alias("start_word"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -170,6 +170,23 @@ def test_decontamination_at_edges_of_f_and_form_feed(spark):
     assert got == pytest.approx(want) and {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0), (5, 1), (6, 1), (9, 3)} == set(want)
 
 
+def test_decontamination_finds_every_window_from_075_on(spark):
+    r = random.Random(5)
+    items = [prose(n, 200 + n) + (" " + " ".join(["tail"] * run)) * (run > 0) for n, run in ((70, 10), (104, 14), (40, 0), (64, 0), (12, 30))]
+    items += ["x y " * 15, "one " * 25, "four words of it", "deep " * 8 + "less " * 8 + "also " * 8 + prose(20, 9)]
+    texts = []
+    for k, item in enumerate(items):
+        w = item.split()
+        for cut in range(9):
+            texts.append(" ".join(prose(r.randint(0, 90), r.random()).split() + edited(w, cut, 31 * k + cut) + prose(r.randint(0, 40), r.random()).split()))
+        run = len(w) - 10
+        texts += [prose(20, 300 + k) + " " + " ".join(w[:run]) + " " + prose(10, 400 + k), " ".join(w[: -(-len(w) * 4 // 5)]), " ".join(w[3:] + w[:9])]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in dec.contamination(docs_of(spark, texts), bench).collect()}
+    want = {(d, i): s for d, t in enumerate(texts) for i, b in enumerate(items) if (s := brute_similarity(t, b)) >= 0.75}
+    assert got == pytest.approx(want) and {9, 21} <= {d for d, _ in want} and sum(s < 0.8 for s in want.values()) > 5
+
+
 # --- op3 ------------------------------------------------------------------------------------------------------
 
 
