@@ -83,7 +83,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 
     Words are runs of other characters than space, tab, line feed, vertical tab, form feed and carriage
     return, in lower case. A null or empty text holds nothing and an item without words is found
-    nowhere. Items of one text are all reported; rows repeated under one id are one document, of several
+    nowhere. Items of one text are all reported, items of a null item_id under null; rows repeated under one id are one document, of several
     texts under one id the best window counts; rows of a null id are judged as one document. A document
     shorter than an item is compared whole. Other columns are not looked at.
     """
@@ -105,18 +105,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 
 def _pass(docs: DataFrame, items: DataFrame, size: int, percent: int) -> DataFrame:
     shingle = ", ".join(f"get(v, i + {k})" for k in range(size))
-    hashed = items.select("item_id", "iw", F.expr(_let("v", "transform(iw, x -> xxhash64(x))", f"transform(sequence(0, m - {size}), i -> xxhash64({shingle}))")).alias("ih"))
-    held = hashed.select("item_id", "iw", "ih", F.explode("ih").alias("sh"))
-    rare = held.join(held.groupBy("sh").agg(F.count("*").alias("rows")), "sh").groupBy("item_id", "iw", "ih").agg(F.sort_array(F.collect_list(F.struct("rows", "sh"))).alias("by"))
+    # items go by the digest of their words: an item_id may be null or stand for several texts
+    items = items.withColumn("key", F.unhex(F.sha2(F.array_join("iw", " ").cast("binary"), 256)))
+    hashed = items.dropDuplicates(["key"]).select("key", "iw", F.expr(_let("v", "transform(iw, x -> xxhash64(x))", f"transform(sequence(0, m - {size}), i -> xxhash64({shingle}))")).alias("ih"))
+    held = hashed.select("key", F.explode("ih").alias("sh"))
+    rare = held.join(held.groupBy("sh").agg(F.count("*").alias("rows")), "sh").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("rows", "sh"))).alias("by"))
     few = f"(size(by) * {100 - percent}) div 100 + 1"
-    known = rare.select("item_id", "iw", F.expr(_prepared("ih")).alias("item"), F.expr(f"array_distinct(transform(slice(by, 1, cast({few} as int)), x -> x.sh))").alias("anchors"))
-    anchors = known.select("item_id", "iw", F.expr("posexplode(anchors) as (j, sh)"))
+    known = rare.join(hashed, "key").select("key", "iw", F.expr(_prepared("ih")).alias("item"), F.expr(f"array_distinct(transform(slice(by, 1, cast({few} as int)), x -> x.sh))").alias("anchors"))
+    anchors = known.select("key", F.expr("posexplode(anchors) as (j, sh)"))
 
     close = docs.select("doc_id", F.expr(_hashed(size))).select("doc_id", "w", "h", F.expr("explode(array_distinct(h)) as sh")).join(F.broadcast(anchors), "sh").drop("sh")
-    close = close.join(F.broadcast(known), ["item_id", "iw"]).filter("j = 0 or not arrays_overlap(slice(anchors, 1, j), h)")
-    close = close.withColumn("f", F.expr(_best("h", "item", percent))).filter(f"f.common * 100 >= {percent} * (f.both - f.common)")
-    close = close.select("doc_id", "item_id", F.expr(_SHINGLES.format(w="w", k=size)).alias("a"), F.expr(_prepared(_SHINGLES.format(w="iw", k=size))).alias("b"))
-    close = close.withColumn("f", F.expr(_best("a", "b", percent))).filter(f"f.common * 100 >= {percent} * (f.both - f.common)")
+    close = close.join(F.broadcast(known), "key").filter("j = 0 or not arrays_overlap(slice(anchors, 1, j), h)")
+    # generated, so that the optimizer neither computes f again in the filter nor joins that to the one above
+    close = close.withColumn("f", F.explode(F.array(F.expr(_best("h", "item", percent))))).filter(f"f.common * 100 >= {percent} * (f.both - f.common)")
+    close = close.select("doc_id", "key", F.expr(_SHINGLES.format(w="w", k=size)).alias("a"), F.expr(_prepared(_SHINGLES.format(w="iw", k=size))).alias("b"))
+    close = close.withColumn("f", F.explode(F.array(F.expr(_best("a", "b", percent))))).filter(f"f.common * 100 >= {percent} * (f.both - f.common)")
+    close = close.join(F.broadcast(items.select("key", "item_id")), "key")
     return close.select("doc_id", "item_id", F.expr("f.common / (f.both - f.common)").alias("similarity"), F.col("f.at").alias("start_word"))
 
 

@@ -187,6 +187,16 @@ def test_decontamination_finds_every_window_from_075_on(spark):
     assert got == pytest.approx(want) and {9, 21} <= {d for d, _ in want} and sum(s < 0.8 for s in want.values()) > 5
 
 
+def test_decontamination_by_long_items_and_null_ids(spark):
+    long = " ".join(f"{w}{i % 977}" for i, w in enumerate(prose(70_000, 81).split()))
+    items = [(None, prose(30, 82)), (None, prose(20, 83)), (1, long), (2, prose(25, 84)), (2, prose(35, 85))]
+    texts = [prose(9, 86) + " " + items[0][1], items[1][1] + " end", prose(40, 87), "a b " + long + " c", items[4][1], items[3][1]]
+    docs, bench = docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((tuple(r) for r in dec.contamination(docs, bench).collect()), key=str)
+    assert got == [(0, None, 1.0, 9), (1, None, 1.0, 0), (3, 1, 1.0, 2), (4, 2, 1.0, 0), (5, 2, 1.0, 0)]
+    assert [r["doc_id"] for r in dec.decontaminate(docs, bench).collect()] == [2]
+
+
 # --- op3 ------------------------------------------------------------------------------------------------------
 
 
