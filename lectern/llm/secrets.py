@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
 Two second-order character models are trained from labelled samples, one of random strings and one of
-ordinary identifiers. A run of token characters is reported when the mean log-likelihood ratio per
-character favours randomness by MIN_RATIO. Spans of the fixed patterns are always reported.
+ordinary identifiers. A run of token characters, or what spans of the fixed patterns leave of it, is
+reported when the mean log-likelihood ratio per character favours randomness by MIN_RATIO. Spans of the
+fixed patterns are always reported.
 """
 
 from __future__ import annotations
@@ -87,6 +88,15 @@ def ratio(token: bytes, model: np.ndarray) -> float:
     return float(model[c[:-2], c[1:-1], c[2:]].mean()) if len(c) > 2 else 0.0
 
 
+def _rests(start: int, end: int, held: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the held spans leave of [start, end)."""
+    rests, at = [], start
+    for s, e in sorted(h for h in held if h[0] < end and start < h[1]):
+        rests.append((at, s))
+        at = max(at, e)
+    return [(s, e) for s, e in [*rests, (at, end)] if s < e]
+
+
 def find_spans(text: str | None, model: np.ndarray, min_ratio: float = MIN_RATIO) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """(start, end, kind) of the fixed patterns, and those that the models add; in code points, by start."""
     if not text:
@@ -98,6 +108,7 @@ def find_spans(text: str | None, model: np.ndarray, min_ratio: float = MIN_RATIO
     low = raw.lower()
     if any(w in low for w in _WORDS):
         base += [(m.start(), m.end(), "assign") for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
+    assigned = [s[:2] for s in base]
     runs = np.flatnonzero(np.diff(np.concatenate(([False], _CODE[np.frombuffer(raw, np.uint8)] >= 0, [False])).astype(np.int8)))
     starts, ends = runs[::2], runs[1::2]
     for a, b in zip(starts[ends - starts >= MIN_RUN], ends[ends - starts >= MIN_RUN], strict=True):
@@ -106,11 +117,11 @@ def find_spans(text: str | None, model: np.ndarray, min_ratio: float = MIN_RATIO
         fixed = [(at + m.start(), at + m.end(), "access") for m in _ACCESS.finditer(token) if m.end() - m.start() >= 16]
         fixed += [(at + m.start(), at + m.end(), "hex") for m in _HEX.finditer(token) if m.end() - m.start() >= 32]
         base += fixed
-        if b - a >= MIN_TOKEN and not fixed and ratio(raw[a:b], model) >= min_ratio:
-            added.append((at, at + int(b - a), "markov"))
+        for s, e in _rests(at, at + int(b - a), assigned + [f[:2] for f in fixed]):
+            if e - s >= MIN_TOKEN and ratio(raw[int(a) + s - at : int(a) + e - at], model) >= min_ratio:
+                added.append((s, e, "markov"))
     base.sort(key=lambda s: (s[0], KINDS.index(s[2])))
-    held = [(s, e) for s, e, kind in base if kind == "assign"]
-    return base, [s for s in added if not any(x < s[1] and s[0] < y for x, y in held)]
+    return base, added
 
 
 def _told(spans: list[tuple[int, int, str]]) -> str:
