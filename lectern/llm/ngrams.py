@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: The label values that a sample may have to share its rows.
+MAX_VALUES = 64
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -36,11 +38,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
     """Texts and labels of a bounded sample of labelled rows outside the held-out fold.
 
     The rows of least hash of doc_id, so many of each label value that there are `rows` at most, and of
-    them, in that order, as many as hold up to `chars` characters; texts are whole. The same rows come
-    whatever the partitions.
+    them, in that order, those that fit into the value's share of `chars` characters; texts are whole and
+    one that doesn't fit is passed over. The same rows come whatever the partitions. Refused are more than
+    MAX_VALUES label values, fractions, and a sample without a value that some text is labelled with.
     """
+    raw = [r[0] for r in labels.filter(F.col(label).isNotNull()).select(label).distinct().limit(MAX_VALUES + 1).collect()]
+    if len(raw) > MAX_VALUES or any(float(v) != int(v) for v in raw):
+        raise ValueError(f"{label} holds fractions or more than {MAX_VALUES} values")
     known = labels.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("long").alias("label")).distinct()
-    values = [r["label"] for r in known.select("label").distinct().orderBy("label").limit(64).collect()]
+    values = [r["label"] for r in known.select("label").distinct().orderBy("label").collect()]
     ids = None
     for v in values:
         some = known.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(-(-rows // max(1, len(values))))
@@ -52,8 +58,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
     chosen = F.broadcast(session.createDataFrame(keep, "doc_id long, label long"))
     sized = docs.select("doc_id", F.length("text").alias("n")).join(chosen, "doc_id").filter("n > 0").groupBy("doc_id", "label").agg(F.max("n").alias("n"))
     order = sorted(sized.withColumn("h", F.xxhash64("doc_id")).collect(), key=lambda r: (r["h"], r["doc_id"]))
-    total = np.cumsum([r["n"] for r in order])
-    within = [(r["doc_id"], r["label"]) for r, t in zip(order, total, strict=True) if t <= chars]
+    left, within = dict.fromkeys(values, chars // len(values)), []
+    for r in order:
+        if r["n"] <= left[r["label"]]:
+            left[r["label"]] -= r["n"]
+            within.append((r["doc_id"], r["label"]))
+    without = sorted(set(values) - {v for _, v in within})
+    if without and not docs.filter("length(text) > 0").join(known.filter(F.col("label").isin(without)), "doc_id").isEmpty():
+        raise ValueError(f"no text of {label} {without} fits into the sample of {rows} rows and {chars} characters")
     if not within:
         return [], np.zeros(0, np.int64)
     chosen = F.broadcast(session.createDataFrame(within, "doc_id long, label long"))

@@ -421,6 +421,19 @@ def test_labels_of_the_held_out_fold_are_not_learned(spark):
 
 
 def test_language_id(spark):
+def test_a_long_text_takes_no_other_out_of_the_sample(spark):
+    texts = [f"text of {i} " + "word " * 20 for i in range(60)]
+    texts[:6] = ["long " * 4000] * 6
+    docs, labels = docs_of(spark, texts), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic long")
+    got, y = ngrams.labelled_sample(docs, labels, "toxic", 3000, 14_000)
+    known = {i for i in range(60) if zlib.crc32(str(i).encode()) % 5}
+    assert sorted(got) == sorted(texts[i] for i in known if i >= 6) and set(y) == {0, 1}
+    for bad, chars in ((labels, 200), (labels.withColumn("toxic", F.col("toxic") / 2), 14_000), (labels.withColumn("toxic", F.col("doc_id") * 2 + 99), 14_000)):
+        many = bad.unionByName(spark.range(200, 210).select(F.col("id").alias("doc_id"), F.col("id").cast("double").alias("toxic"))) if bad is not labels else bad
+        with pytest.raises(ValueError):
+            ngrams.labelled_sample(docs, many, "toxic", 3000, chars)
+
+
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     got = language_id.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
     assert (got[got.held_out].lang == got[got.held_out].lang_pred).mean() > 0.95
