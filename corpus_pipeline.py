@@ -13,7 +13,7 @@ from lectern.llm import language_id, pieces
 from lectern.llm.decontaminate import decontaminate
 from lectern.llm.jaccard_join import jaccard_join
 from lectern.llm.secrets import redact
-from lectern.llm.shared import new_path, remove_path, without
+from lectern.llm.shared import durable, new_path, remove_path, scratch, without
 
 #: A document is rejected if no language is likelier than all others together.
 LEAST_SCORE = 0.5
@@ -28,15 +28,19 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one of least doc_id; of rows repeated under one doc_id, one.
+    """Of each component of linked rows the one of least doc_id, nulls last; of equal texts under one doc_id, one.
 
-    Rows of a null doc_id link with nothing and all stay.
+    Where a doc_id is null or repeated, rows are numbered in the order of doc_id and linked by number.
     """
-    found = jaccard_join(docs)
-    kept = without(docs, found.filter("doc_id <> component_id").select("doc_id"))
-    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    if docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty():
+        return without(docs, jaccard_join(docs).filter("doc_id <> component_id").select("doc_id"))
+    order = F.col("doc_id").asc_nulls_last()
+    with scratch(spark) as place:
+        rows = docs.repartitionByRange(order, F.xxhash64("text")).sortWithinPartitions(order).withColumn("__row", F.monotonically_increasing_id())
+        rows = place.table(rows, "rows")
+        found = jaccard_join(rows.select(F.col("__row").alias("doc_id"), "text"))
+        kept = without(rows, found.filter("doc_id <> component_id").select("doc_id"), "__row").drop("__row")
+        return durable(kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(kept.filter("doc_id is null")))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -125,5 +125,6 @@ def _pass(docs: DataFrame, items: DataFrame, size: int, percent: int) -> DataFra
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id holds no item; rows of a null doc_id stay only if none of them holds one."""
-    return without(docs, contamination(docs, benchmark).select("doc_id"))
+    """The rows of docs whose text holds no item. Each row is judged by its own text, whatever its doc_id."""
+    keyed = docs.withColumn("__text", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    return without(keyed, contamination(keyed, benchmark, "__text").select("doc_id"), "__text").drop("__text")

@@ -243,14 +243,16 @@ def overlap_by_probe(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by hub, the hub's own text first. One set is held; partners are probed as they pass."""
-    hub, own = None, None
+    """Rows come by hub, the hub's own texts first. Their distinct sets are held; partners are probed as they pass."""
+    hub, own = None, {}
     for batch in slices(batches):
         a, b = [], []
         for h, i, role, s in zip(*(batch.column(k).to_pylist() for k in ("hub", "doc_id", "role")), _texts(batch), strict=True):
             if role == 0:
-                hub, own = h, s
-            elif h == hub and overlap_by_probe(own, s) >= required_overlap(len(own), len(s), PERCENT):
+                if h != hub:
+                    hub, own = h, {}
+                own[s.tobytes()] = s
+            elif h == hub and any(overlap_by_probe(o, s) >= required_overlap(len(o), len(s), PERCENT) for o in own.values()):
                 a.append(h)
                 b.append(i)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])

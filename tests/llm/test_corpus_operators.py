@@ -197,6 +197,14 @@ def test_decontamination_by_long_items_and_null_ids(spark):
     assert [r["doc_id"] for r in dec.decontaminate(docs, bench).collect()] == [2]
 
 
+def test_decontamination_judges_each_row(spark):
+    item = prose(30, 61)
+    rows = [(None, prose(40, 62)), (None, "a " + item), (None, prose(40, 63)), (4, item), (4, prose(40, 64))]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = dec.decontaminate(docs_of(spark, rows), bench)
+    assert sorted((r["doc_id"], r["text"]) for r in clean.collect() if r["doc_id"]) == [rows[4]] and clean.filter("doc_id is null").count() == 2
+
+
 # --- op3 ------------------------------------------------------------------------------------------------------
 
 
@@ -232,14 +240,6 @@ def test_secret_scan(spark):
     assert secrets.redact(docs).columns == docs.columns
 
 
-def test_markov_models_tell_held_out_samples():
-    model = secrets.train(secrets.labelled_samples(2000, seed=1))
-    held = [(secrets.ratio(t.encode(), model) >= secrets.MIN_RATIO, bool(y)) for t, y in secrets.labelled_samples(1000, seed=2)]
-    assert sum(a == b for a, b in held) / len(held) > 0.99
-
-
-# --- op4 ------------------------------------------------------------------------------------------------------
-
 def test_what_fixed_spans_leave_of_a_run_is_judged():
     r, model = random.Random(3), secrets.default_model()
     tail, hexed = "".join(r.choices(secrets.ALPHABET[:62], k=60)), "".join(r.choices("0123456789abcdef", k=32))
@@ -250,6 +250,14 @@ def test_what_fixed_spans_leave_of_a_run_is_judged():
     assert not secrets.find_spans(hexed + "_request_handler_default_name", model)[1]
 
 
+def test_markov_models_tell_held_out_samples():
+    model = secrets.train(secrets.labelled_samples(2000, seed=1))
+    held = [(secrets.ratio(t.encode(), model) >= secrets.MIN_RATIO, bool(y)) for t, y in secrets.labelled_samples(1000, seed=2)]
+    assert sum(a == b for a, b in held) / len(held) > 0.99
+
+
+# --- op4 ------------------------------------------------------------------------------------------------------
+
 
 def brute_verdict(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
@@ -413,14 +421,6 @@ def test_held_out_fold(spark):
     assert got == {k for k in range(200) if zlib.crc32(str(k).encode()) % 5 == 0}
 
 
-def test_labels_of_the_held_out_fold_are_not_learned(spark):
-    docs, labels = labelled(spark)
-    turned = labels.withColumn("toxic", F.when(ngrams.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    a, b = toxicity.fit(docs, labels), toxicity.fit(docs, turned)
-    assert (a.weights == b.weights).all() and a.bias == b.bias
-
-
-def test_language_id(spark):
 def test_a_long_text_takes_no_other_out_of_the_sample(spark):
     texts = [f"text of {i} " + "word " * 20 for i in range(60)]
     texts[:6] = ["long " * 4000] * 6
@@ -434,6 +434,14 @@ def test_a_long_text_takes_no_other_out_of_the_sample(spark):
             ngrams.labelled_sample(docs, many, "toxic", 3000, chars)
 
 
+def test_labels_of_the_held_out_fold_are_not_learned(spark):
+    docs, labels = labelled(spark)
+    turned = labels.withColumn("toxic", F.when(ngrams.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = toxicity.fit(docs, labels), toxicity.fit(docs, turned)
+    assert (a.weights == b.weights).all() and a.bias == b.bias
+
+
+def test_language_id(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     got = language_id.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
     assert (got[got.held_out].lang == got[got.held_out].lang_pred).mean() > 0.95

@@ -43,6 +43,15 @@ def test_stages(spark, folder, tmp_path):
     assert all(model.decode(r["token_ids"]) == texts[r["doc_id"]] and r["n_tokens"] == len(r["token_ids"]) for r in docs.collect())
 
 
+def test_null_and_repeated_ids(spark):
+    one, two, three = prose(80, 91), prose(80, 92), prose(80, 93)
+    rows = [(None, one), (None, one), (None, " ".join(edited(one.split(), 1, 4))), (5, two), (5, three), (5, three), (6, two), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got if r["doc_id"]) == sorted([(5, two), (5, three)])
+    assert len([r for r in got if r["doc_id"] is None]) == 2
+
+
 def test_run(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == 4
     whole = corpus_pipeline.run(spark, SMALL)
