@@ -283,7 +283,13 @@ def f10_derived_identities(spark, d):
     return pages.withColumn("attempt_id", C.identity("attempt", operation=F.lit("read"), ordinal=F.lit(1), subject_id=F.col("page_id")))
 
 
-def _turn_pairs(spark, d, most=400):
+def _turn_pairs(spark, d):
+    turns = attempts(spark, d)
+    after = turns.select("subject_id", (F.col("ordinal") - 1).alias("ordinal"), F.col("text").alias("after"))
+    return turns.select("subject_id", "ordinal", F.col("text").alias("before")).join(after, ["subject_id", "ordinal"])
+
+
+def _turn_beginnings(spark, d, most=400):
     turns = attempts(spark, d)
     after = turns.select("subject_id", (F.col("ordinal") - 1).alias("ordinal"), F.col("text").alias("after"))
     return turns.select("subject_id", "ordinal", F.left("text", F.lit(most)).alias("before")).join(after.withColumn("after", F.left("after", F.lit(most))), ["subject_id", "ordinal"])
@@ -317,7 +323,7 @@ def f14_departures(spark, d):
 SELECT subject_id, ordinal, CASE WHEN ordinal % 4 = 0 THEN 'not-compared' WHEN length(x) * length(y) > 90000 THEN 'unknown' ELSE 'compared' END AS status,
   CASE WHEN ordinal % 4 <> 0 AND length(x) * length(y) <= 90000 THEN CASE WHEN x <> y THEN 'yes' ELSE 'no' END END AS departed FROM p""")
 def f15_dissent(spark, d):
-    """Three-valued: an uncompared or unbounded pair has no answer, which isn't the answer no."""
+    """Three-valued: an uncompared or unbounded pair has no answer, which isn't the answer no. On beginnings of turns, as its SQL."""
     status = F.when(F.col("ordinal") % 4 == 0, "not-compared").when(F.length("before") * F.length("after") > 90_000, "unknown").otherwise("compared")
     rows = _turn_pairs(spark, d).withColumn("status", status)
     return rows.select("subject_id", "ordinal", "status", F.when(F.col("status") == "compared", F.when(F.col("before") != F.col("after"), "yes").otherwise("no")).alias("departed"))
@@ -331,7 +337,7 @@ def f16_edit_distance(spark, d):
 
 @query(None)
 def f17_character_and_word_scores(spark, d):
-    pairs = _turn_pairs(spark, d, 200)
+    pairs = _turn_pairs(spark, d)
     return pairs.select("subject_id", "ordinal", T.character_score("before", "after").alias("cer"), T.word_score("before", "after").alias("wer"))
 
 
@@ -340,6 +346,15 @@ def f18_excised(spark, d):
     gaps = F.expr("array(struct(10 as start, 20 as end), struct(50 as start, 60 as end))")
     return table(spark, d, "documents").select("doc_id", F.sha2(T.excise(F.col("text"), gaps), 256).alias("digest"))
 
+    rows = _turn_beginnings(spark, d).withColumn("status", status)
+    return rows.select("subject_id", "ordinal", "status", F.when(F.col("status") == "compared", F.when(F.col("before") != F.col("after"), "yes").otherwise("no")).alias("departed"))
+
+
+@query(None)
+def f15_dissent_whole(spark, d):
+    """f15 on whole turns, up to the reference's limit of character pairs."""
+    pairs = F.length("before").cast("long") * F.length("after")
+    status = F.when(F.col("ordinal") % 4 == 0, "not-compared").when(pairs > T.MAX_PAIRS, "unknown").otherwise("compared")
 
 @query("""SELECT doc_id, (length(text) - length(replace(text, '(', ''))) <> (length(text) - length(replace(text, ')', ''))) OR (length(text) - length(replace(text, '[', ''))) <> (length(text) - length(replace(text, ']', ''))) AS unclosed,
  length(text) > 0 AND 1000000 > 2000 * length(text) AS short, ends_with(rtrim(text), '-') AS abrupt FROM documents""")
@@ -350,6 +365,13 @@ def f20_truncation_signals(spark, d):
 
 @query(None)
 def f21_repeated_tail(spark, d):
+@query(None)
+def f16_edit_distance_whole(spark, d):
+    """f16 on whole items, whatever their letters."""
+    pairs = table(spark, d, "benchmark").select("item_id", F.lower("text").alias("r"), F.lower(F.expr("substring(text, 3)")).alias("h"))
+    return pairs.select("item_id", F.levenshtein("r", "h").alias("errors"))
+
+
     return table(spark, d, "documents").select("doc_id", T.repeated_tail_of("text").alias("r")).select("doc_id", "r.*").filter("repeats > 0")
 
 
