@@ -103,6 +103,13 @@ def f04_units(spark, d):
     return scored.select("item_id", F.col("c.reference_units").alias("characters"), F.col("w.reference_units").alias("words"))
 
 
+@query(None)
+def f04_units_whole(spark, d):
+    """f04 on every item, whatever its letters."""
+    scored = table(spark, d, "benchmark").select("item_id", T.character_score("text", "text").alias("c"), T.word_score("text", "text").alias("w"))
+    return scored.select("item_id", F.col("c.reference_units").alias("characters"), F.col("w.reference_units").alias("words"))
+
+
 @F.pandas_udf(StringType())
 def _attributed(before: pd.Series, after: pd.Series) -> pd.Series:
     flags = lambda t: [(0, len(t), "order"), (0, 12, "testimony-diff"), (30, 60, "repetition")]

@@ -241,6 +241,12 @@ def f03_graphemic_profile(spark, d):
     return table(spark, d, "documents").filter(F.col("text").rlike(r"^[\x00-\x7F]*\z")).select("doc_id", F.sha2(T.graphemic_view("text"), 256).alias("digest"))
 
 
+@query(None)
+def f03_graphemic_profile_whole(spark, d):
+    """f03 on every document, whatever its letters."""
+    return table(spark, d, "documents").select("doc_id", F.sha2(T.graphemic_view("text"), 256).alias("digest"))
+
+
 @query(None)
 def f05_search_key(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(T.search_key("text"), 256).alias("digest"))
@@ -308,6 +314,21 @@ def f11_change_span(spark, d):
     return span.select("doc_id", F.when(same, F.col("s.end") > F.col("s.start")).alias("changed"))
 
 
+@query(None)
+def f11_change_span_whole(spark, d):
+    """f11 on texts of any length: whether the change span tells a change; the span itself is held against a law: what lies outside it is common.
+
+    An insertion leaves no span of the text before, but one of the text after.
+    """
+    i = F.col("doc_id")
+    after = F.concat(F.left("text", F.lit(40)), F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("#"), i.cast("string"))), F.substr("text", F.lit(61), F.length("text")))
+    rows = table(spark, d, "documents").select("doc_id", F.col("text").alias("before"), after.alias("after"))
+    span = rows.withColumn("s", T.change_span(F.col("before"), F.col("after")))
+    tail = F.col("s.end") - F.length("before")
+    same = (F.left("before", F.col("s.start")) == F.left("after", F.col("s.start"))) & (F.right("before", -tail) == F.right("after", -tail))
+    return span.select("doc_id", F.when(same, (F.col("s.end") > F.col("s.start")) | (F.length("after") + tail > F.col("s.start"))).alias("changed"))
+
+
 @query(None)
 def f13_alignment(spark, d):
     pairs = _turn_pairs(spark, d)
@@ -325,6 +346,15 @@ SELECT subject_id, ordinal, CASE WHEN ordinal % 4 = 0 THEN 'not-compared' WHEN l
 def f15_dissent(spark, d):
     """Three-valued: an uncompared or unbounded pair has no answer, which isn't the answer no. On beginnings of turns, as its SQL."""
     status = F.when(F.col("ordinal") % 4 == 0, "not-compared").when(F.length("before") * F.length("after") > 90_000, "unknown").otherwise("compared")
+    rows = _turn_beginnings(spark, d).withColumn("status", status)
+    return rows.select("subject_id", "ordinal", "status", F.when(F.col("status") == "compared", F.when(F.col("before") != F.col("after"), "yes").otherwise("no")).alias("departed"))
+
+
+@query(None)
+def f15_dissent_whole(spark, d):
+    """f15 on whole turns, up to the reference's limit of character pairs."""
+    pairs = F.length("before").cast("long") * F.length("after")
+    status = F.when(F.col("ordinal") % 4 == 0, "not-compared").when(pairs > T.MAX_PAIRS, "unknown").otherwise("compared")
     rows = _turn_pairs(spark, d).withColumn("status", status)
     return rows.select("subject_id", "ordinal", "status", F.when(F.col("status") == "compared", F.when(F.col("before") != F.col("after"), "yes").otherwise("no")).alias("departed"))
 
@@ -335,6 +365,13 @@ def f16_edit_distance(spark, d):
     return pairs.filter(F.concat("r", "h").rlike(r"^[\x00-\x7F]*\z")).select("item_id", F.levenshtein("r", "h").alias("errors"))
 
 
+@query(None)
+def f16_edit_distance_whole(spark, d):
+    """f16 on whole items, whatever their letters."""
+    pairs = table(spark, d, "benchmark").select("item_id", F.lower("text").alias("r"), F.lower(F.expr("substring(text, 3)")).alias("h"))
+    return pairs.select("item_id", F.levenshtein("r", "h").alias("errors"))
+
+
 @query(None)
 def f17_character_and_word_scores(spark, d):
     pairs = _turn_pairs(spark, d)
@@ -346,15 +383,6 @@ def f18_excised(spark, d):
     gaps = F.expr("array(struct(10 as start, 20 as end), struct(50 as start, 60 as end))")
     return table(spark, d, "documents").select("doc_id", F.sha2(T.excise(F.col("text"), gaps), 256).alias("digest"))
 
-    rows = _turn_beginnings(spark, d).withColumn("status", status)
-    return rows.select("subject_id", "ordinal", "status", F.when(F.col("status") == "compared", F.when(F.col("before") != F.col("after"), "yes").otherwise("no")).alias("departed"))
-
-
-@query(None)
-def f15_dissent_whole(spark, d):
-    """f15 on whole turns, up to the reference's limit of character pairs."""
-    pairs = F.length("before").cast("long") * F.length("after")
-    status = F.when(F.col("ordinal") % 4 == 0, "not-compared").when(pairs > T.MAX_PAIRS, "unknown").otherwise("compared")
 
 @query("""SELECT doc_id, (length(text) - length(replace(text, '(', ''))) <> (length(text) - length(replace(text, ')', ''))) OR (length(text) - length(replace(text, '[', ''))) <> (length(text) - length(replace(text, ']', ''))) AS unclosed,
  length(text) > 0 AND 1000000 > 2000 * length(text) AS short, ends_with(rtrim(text), '-') AS abrupt FROM documents""")
@@ -365,13 +393,6 @@ def f20_truncation_signals(spark, d):
 
 @query(None)
 def f21_repeated_tail(spark, d):
-@query(None)
-def f16_edit_distance_whole(spark, d):
-    """f16 on whole items, whatever their letters."""
-    pairs = table(spark, d, "benchmark").select("item_id", F.lower("text").alias("r"), F.lower(F.expr("substring(text, 3)")).alias("h"))
-    return pairs.select("item_id", F.levenshtein("r", "h").alias("errors"))
-
-
     return table(spark, d, "documents").select("doc_id", T.repeated_tail_of("text").alias("r")).select("doc_id", "r.*").filter("repeats > 0")
 
 
