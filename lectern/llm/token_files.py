@@ -18,14 +18,10 @@ that died leaves nothing that is read.
 from __future__ import annotations
 
 import functools
-import json
-import os
-import re
 import struct
 import uuid
 import zlib
-from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.batches import slices
+from lectern.llm.byte_pairs import load
 from lectern.llm.shared import durable, new_path, remove_path
 
 MAGIC = b"tokidx01"
 END_ID = 0
 _HEAD = "<8sQQ"
+_HEAD_BYTES = struct.calcsize(_HEAD)
 _NULL_ID = -(1 << 63)
-#: The memory of a worker for chunks that it has encoded before.
-CACHE_CHUNKS, CHUNK_CHARS = 400_000, 40
-
-#: The characters that a byte-level pre-tokenizer takes for white space.
-_SPACES = "\t\n\v\f\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-_PIECES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n")
-_CUT = re.compile(f"(?<=[^ {_SPACES}]) (?=[^ {_SPACES}])")
+#: Bytes of text that are encoded at once, and that make a part. A row of each part goes to the driver.
+SLICE_BYTES, PART_BYTES = 2 << 20, 256 << 20
 
 
 def default_tokenizer() -> str:
@@ -55,95 +48,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Remembered(dict):
-    """Packed ids by chunk, made when first asked for. What was asked for of late is kept: of two generations
-    of up to `most` chunks the older goes. Chunks of over `chars` characters aren't kept."""
-
-    def __init__(self, make: Callable[[str], bytes], most: int, chars: int):
-        super().__init__()
-        self._make, self._most, self._chars, self._older = make, most, chars, {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._older.get(chunk)
-        if ids is None:
-            ids = self._make(chunk)
-        if len(chunk) <= self._chars:
-            if len(self) >= self._most:
-                self._older = dict(self)
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-
 class Encoder:
-    """Ids of whole texts by the tokenizers library.
-
-    A byte-level pre-tokenizer always parts a text before a single space that stands between two other
-    characters, and merges don't cross such a place; so the ids of the chunks are the ids of the text, and
-    a frequent chunk is encoded once. Within a chunk, runs of Latin letters, of digits, of ASCII signs but the
-    apostrophe, and single line feeds are pre-tokens, which go to the library's model at once. Tokenizers of
-    other kinds get whole texts.
-    """
+    """Ids of whole texts by the tokenizers library: those of byte-level BPE are made for many texts at once."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self._code = "H" if self.dtype.itemsize == 2 else "I"
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        with open(path, encoding="utf-8") as f:
-            kind = json.load(f)
-        before, model = kind.get("pre_tokenizer") or {}, kind.get("model") or {}
-        plain = not kind.get("normalizer") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix") and not model.get("dropout")
-        self._chunked = plain and model.get("type") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-        if self._chunked:
-            level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-            letters = "".join(map(chr, range(0x20, 0x250)))
-            mapped = "".join(part for part, _ in level.pre_tokenize_str(letters))
-            self._bytes = dict(zip(letters.encode(), mapped, strict=True))
-            self._bytes[ord("\n")] = level.pre_tokenize_str("\n")[0][0]
-            self._pieces = Remembered(self._piece, CACHE_CHUNKS, CHUNK_CHARS)
-        self._chunks = Remembered(self._encode_chunk, CACHE_CHUNKS, CHUNK_CHARS)
-        self._heads = Remembered(lambda c: self._encode_chunk(c, "") if c else b"", CACHE_CHUNKS // 8, CHUNK_CHARS)
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return array(self._code, ids).tobytes()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [self._pack(e.ids) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _piece(self, piece: str) -> bytes:
-        level = piece.encode().decode("latin-1").translate(self._bytes)
-        return self._pack([t.id for t in self._tokenizer.model.tokenize(level)])
-
-    def _encode_chunk(self, chunk: str, before: str = " ") -> bytes:
-        """The ids of a chunk, which follows a space or, at the beginning of a text, nothing."""
-        parts = _PIECES.findall(chunk)
-        if not parts or sum(map(len, parts)) < len(chunk) or "\n\n" in chunk or chunk[0] == "\n" or chunk[-1] == "\n":
-            return self._encode([before + chunk])[0]
-        parts[0] = before + parts[0]
-        return b"".join(map(self._pieces.__getitem__, parts))
-
-    def _words(self, text: str) -> list[str]:
-        """The chunks of a text, each without the one space that goes before it."""
-        if any(s in text for s in self._special):
-            return [text]
-        odd = text[:1] == " " or text[-1:] == " " or "  " in text
-        for c in "\t\n\v\f\r" if text.isascii() else _SPACES:
-            odd = odd or (c in text and (c + " " in text or " " + c in text))
-        return _CUT.split(text) if odd else text.split(" ")
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, packed; none for a null or empty one."""
-        if not self._chunked:
-            return self._encode([t or "" for t in texts])
-        out = []
-        for text in texts:
-            first, *rest = self._words(text) if text else [""]
-            out.append(self._heads[first] + b"".join(map(self._chunks.__getitem__, rest)))
-        return out
+        self._tokenizer, self.dtype, self._pairs = load(path)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, numbers of ids of each) of an array of strings; a null is empty."""
+        if self._pairs:
+            return self._pairs.encode(texts)
+        found = [e.ids for e in self._tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, self.dtype), *(np.array(f, self.dtype) for f in found)]), np.array([len(f) for f in found], np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -160,26 +76,25 @@ def _writer(uri: str, tokenizer: str | None, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer or default_tokenizer())
         fs, path = _filesystem(uri)
-        name, ids, lengths, low, part = uuid.uuid4().hex, [], [], None, None
-        end = np.array([end_id], encoder.dtype).tobytes()
-        for batch in slices(batches):
+        name, doc_ids, lengths, low, part = uuid.uuid4().hex, [], [], None, None
+        for batch in slices(batches, SLICE_BYTES):
             if part is None:
                 fs.create_dir(path, recursive=True)
                 part, low = fs.open_output_stream(f"{path}/{name}.bin"), batch.column("place")[0].as_py()
-            for packed in encoder.encode(batch.column("text").to_pylist()):
-                part.write(packed + end)
-                lengths.append(len(packed) // encoder.dtype.itemsize + 1)
-            ids.append(batch.column("doc_id").fill_null(_NULL_ID).to_numpy())
+            ids, number = encoder.encode(batch.column("text"))
+            part.write(np.insert(ids, np.cumsum(number), encoder.dtype.type(end_id)).tobytes())
+            lengths.append(number + 1)
+            doc_ids.append(batch.column("doc_id").fill_null(_NULL_ID).to_numpy())
         if part is None:
             return
         part.close()
-        offsets = np.concatenate(([0], np.cumsum(lengths))).astype("<u8")
+        offsets = np.cumsum(np.concatenate([np.zeros(1, np.int64), *lengths])).astype("<u8")
         with fs.open_output_stream(f"{path}/{name}.idx") as index:
-            index.write(struct.pack(_HEAD, MAGIC, len(lengths), encoder.dtype.itemsize))
-            index.write(np.concatenate(ids).astype("<i8").tobytes())
+            index.write(struct.pack(_HEAD, MAGIC, len(offsets) - 1, encoder.dtype.itemsize))
+            index.write(np.concatenate(doc_ids).astype("<i8").tobytes())
             index.write(offsets.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([low], pa.int64()), pa.array([name]), pa.array([len(lengths)], pa.int64()), pa.array([int(offsets[-1])], pa.int64())],
+            [pa.array([low], pa.int64()), pa.array([name]), pa.array([len(offsets) - 1], pa.int64()), pa.array([int(offsets[-1])], pa.int64())],
             ["place", "name", "docs", "ids"],
         )
 
@@ -190,11 +105,13 @@ def write_token_files(docs: DataFrame, uri: str, tokenizer: str | None = None, e
     """Writes docs (doc_id, text) under uri and returns the manifest: part, name, docs, ids, base.
 
     Every text is encoded whole and closed by end_id; a null or empty one is end_id alone. Null doc_ids
-    come first, rows of one doc_id stay together in the order of their texts.
+    come first, rows of one doc_id stay together in the order of their texts. There are as many parts as
+    shuffle partitions, more where the texts are of more than PART_BYTES for each, or `parts`.
     """
     spark = docs.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    n = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
+    rows = rows.repartitionByRange(n, "doc_id")
     rows = rows.withColumn("place", F.spark_partition_id().cast("long")).sortWithinPartitions("doc_id", "text")
     made = rows.mapInArrow(_writer(uri, tokenizer, end_id), "place long, name string, docs long, ids long").collect()  # a row for each part
     made.sort(key=lambda r: r["place"])
@@ -204,19 +121,25 @@ def write_token_files(docs: DataFrame, uri: str, tokenizer: str | None = None, e
 
 
 class TokenFile:
-    """One part, memory-mapped where its store is local."""
+    """One part, both files memory-mapped where their store is local."""
 
     def __init__(self, uri: str, name: str):
         fs, path = _filesystem(uri)
-        with fs.open_input_file(f"{path}/{name}.idx") as f:
-            magic, n, width = struct.unpack(_HEAD, f.read(struct.calcsize(_HEAD)))
-            if magic != MAGIC:
-                raise ValueError(f"not a token index: {name}")
-            self.doc_ids = np.frombuffer(f.read(8 * n), "<i8")
-            self.offsets = np.frombuffer(f.read(8 * (n + 1)), "<u8").astype(np.int64)
+        self._index = fs.open_input_file(f"{path}/{name}.idx")
+        magic, self.docs, width = struct.unpack(_HEAD, self._index.read_at(_HEAD_BYTES, 0))
+        if magic != MAGIC:
+            raise ValueError(f"not a token index: {name}")
         self.dtype = np.dtype(f"<u{width}")
         self._data = fs.open_input_file(f"{path}/{name}.bin")
 
+    def doc_ids(self, a: int, b: int) -> np.ndarray:
+        """The doc_ids of the documents a to b."""
+        return np.frombuffer(self._index.read_at(8 * (b - a), _HEAD_BYTES + 8 * a), "<i8")
+
+    def offsets(self, a: int, b: int) -> np.ndarray:
+        """Where the documents a to b begin; that of number `docs` is the end."""
+        return np.frombuffer(self._index.read_at(8 * (b - a), _HEAD_BYTES + 8 * (self.docs + a)), "<u8").astype(np.int64)
+
     def ids(self, a: int, b: int) -> np.ndarray:
         """The ids at positions a to b within the part."""
         w = self.dtype.itemsize
@@ -230,10 +153,11 @@ def read_token_files(spark: SparkSession, uri: str, manifest: DataFrame) -> Data
         for batch in batches:
             for name, base in zip(batch.column("name").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 part = TokenFile(uri, name)
-                for top in range(0, len(part.doc_ids), 4096):
-                    at = part.offsets[top : top + 4097]
+                for top in range(0, part.docs, 4096):
+                    end = min(part.docs, top + 4096)
+                    at = part.offsets(top, end + 1)
                     crc = [zlib.crc32(part.ids(a, b).astype("<u4").tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
-                    ids = part.doc_ids[top : top + 4096]
+                    ids = part.doc_ids(top, end)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids, mask=ids == _NULL_ID), pa.array(at[:-1] + base), pa.array(np.diff(at)), pa.array(crc, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"],

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -320,8 +321,25 @@ def test_other_tokenizers_get_whole_texts():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    got = token_files.Encoder(path).encode(["Hello  World", None])
-    assert np.frombuffer(got[0], "<u2").tolist() == tok.encode("Hello  World", add_special_tokens=False).ids and got[1] == b""
+    ids, number = token_files.Encoder(path).encode(pa.array(["Hello  World", None]))
+    assert ids.tolist() == tok.encode("Hello  World", add_special_tokens=False).ids and number.tolist() == [len(ids), 0]
+
+
+def test_byte_pairs_give_the_library_s_ids():
+    from tokenizers import Tokenizer
+
+    path, r = token_files.default_tokenizer(), random.Random(3)
+    tok, encoder = Tokenizer.from_file(path), token_files.Encoder(path)
+    parts = ["a", "b", "the", " ", "  ", "'", "'s", "'re", "'ll", "'ve", "'t", "'d", "'m", "\n", "\t", "1", "23", "!", ".", "é", "ß", "×", "日", "\u2003", "\xa0", "\u3000", "\x85", "\x1c", "\x1f", "\0", "x" * 40]
+    parts += [" '", " 's", "''", "İ", "\u024f", "\u0250", "😀", "\u0301", "²", "_", "\r\n", "\x7f", "S", "RE", "|", "<|endoftext|>"]
+    texts = [None, *ODD, *TOKENS] + ["".join(r.choices(parts[:-1] if k % 10 else parts, k=r.randint(0, 14))) for k in range(6000)]
+    want = [e.ids for e in tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    for size in (len(texts), 7):  # all at once, and with what was remembered
+        got = []
+        for k in range(0, len(texts), size):
+            ids, number = encoder.encode(pa.array(texts[k : k + size], pa.string()))
+            got += [x.tolist() for x in np.split(ids, np.cumsum(number)[:-1])]
+        assert got == want
 
 
 @pytest.fixture(scope="module")
