@@ -3,10 +3,8 @@
 A document is the set of its distinct five-word shingles; two documents link when their sets satisfy
 100 * intersection >= 75 * union. A query of n shingles needs T = ceil(0.75 n) of them in a partner, so
 with its T - 1 longest lists put aside every partner still occurs on one of the n - T + 1 short ones.
-Only these short lists (each document's rarest shingles) are built and merged; the long lists are
-never built: a candidate's remaining shingles are probed by binary search in its partner's sorted set.
-Lists are sorted runs; where a heap would merge them one element at a time, a bucket's runs are sorted
-together in numpy, which visits the same elements in the same order.
+Only these short lists (each document's rarest shingles) are built over the whole table, as sorted runs that
+tasks merge by sorting them together in numpy, which visits the elements in a heap's order.
 
 * Which shingles are rare is told by one count sketch over all documents. It only orders shingles, the
   same way everywhere, so that an estimate can't lose a link.
@@ -15,8 +13,10 @@ together in numpy, which visits the same elements in the same order.
   Sets of a and b elements that share T elements share at least T - max(T_a, T_b) + 1 of their short
   lists, T_a and T_b being the least overlaps that a and b ask of any partner; pairs that reach this
   are verified on whole texts.
-* The documents of longer lists are gathered into clusters, and each cluster is searched in blocks of
-  bounded size by DivideSkip in memory, which returns rows in proportion to its documents, not pairs.
+* Documents on longer lists are dealt to blocks of bounded size: by bands of set sizes, as sets of which one
+  is over 4/3 of the other can't link, and within a band by the list that they share first. Two blocks are
+  compared where some long list has documents in both, and blocks of neighbouring bands at most. A task searches
+  one pair of blocks by DivideSkip in memory and returns rows in proportion to its documents, not pairs.
 
 Every step reads the shared folder or the input again, so a lost executor repeats only its tasks.
 """
@@ -40,8 +40,15 @@ PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_SLICES = 64
 SHORT_LIST = 32
-#: A block of a cluster holds up to so many documents and shingles in expectation.
+#: A block holds up to so many documents and shingles in expectation. What shares a long list is dealt to as many
+#: as SPREAD blocks before they reach that, but to none of fewer than SMALL documents.
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1_500_000
+SPREAD, SMALL = 8, 256
+#: Ratio of the set sizes of a band, a little over 4/3: sets that can link are in one band or in neighbouring ones.
+BAND = 1.34
+#: DivideSkip puts aside T / (SKIP * log2 of its longest list + 1) lists, and merges them too where PROBE steps for
+#: each probe would be more than the lists' elements.
+SKIP, PROBE = 0.05, 12
 POSTINGS_A_BUCKET = 250_000
 BLOOM_SIZE = 8_388_593  # a prime; bits of the filter that keeps texts nobody asks for out of a shuffle
 
@@ -274,52 +281,80 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def divide_skip(sets: list[np.ndarray], side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All linked pairs (i, j) among sets; with side, only pairs of which one is on each side.
 
-    Queries go by size; a query looks among itself and larger sets, where T = required_overlap(n, n).
-    Of its inverted lists, the T - 1 longest are put aside; the others are merged and counted; the
-    documents found are probed by binary search.
+    Queries go by size; a query of n looks among sets that come after it and have up to 4/3 n elements, where
+    T = required_overlap(n, n) or more are shared. Of its inverted lists the L longest are put aside, the
+    others merged, counting each set's occurrences; those of T - L or more remain, and the L lists are probed
+    for them by binary search, or merged too where that is less work.
     """
     size = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(size, kind="stable")
-    flat = np.concatenate([sets[i] for i in order]) if len(sets) else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(order)), size[order])
-    by = np.argsort(flat, kind="stable")  # within a list by size, so the larger sets are a list's end
+    size, n_sets = size[order], len(order)
+    flat = np.concatenate([sets[i] for i in order]) if n_sets else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(n_sets), size)
+    by = np.argsort(flat, kind="stable")  # within a list by size
     listed, edge = owner[by], np.flatnonzero(np.concatenate(([True], flat[by][1:] != flat[by][:-1], [True])))
-    where = np.empty(len(flat), np.int64)
-    where[by] = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-    start = np.concatenate(([0], np.cumsum(size[order])))
+    number = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+    entry = number * n_sets + listed  # ascending: a list's number and a set on it
+    place = np.empty(len(flat), np.int64)
+    place[by] = np.arange(len(flat))
+    start = np.concatenate(([0], np.cumsum(size)))
+    limit = np.searchsorted(PERCENT * size, 100 * size, "right")
     found_a, found_b = [], []
-    for q, i in enumerate(order):
-        n = int(size[i])
-        if not n:
+
+    def counted(begin: np.ndarray, end: np.ndarray, q: int, stop: int) -> np.ndarray:
+        """How often each set after q and before stop stands on the lists' ranges."""
+        length = end - begin
+        at = np.repeat(end - np.cumsum(length), length) + np.arange(int(length.sum()))
+        held = listed[at] - (q + 1)
+        return np.bincount(held[held < stop - q - 1], minlength=stop - q - 1)
+
+    for q in range(n_sets):
+        n, stop = int(size[q]), int(limit[q])
+        if not n or stop <= q + 1:
             continue
+        mine = place[start[q] : start[q + 1]]
+        lists = number[mine]
+        begin, end = mine + 1, edge[lists + 1]  # sets before q have looked for it
+        length = end - begin
         t = required_overlap(n, n, PERCENT)
-        lists = where[start[q] : start[q + 1]]
-        length = edge[lists + 1] - edge[lists]
-        short = lists[np.argsort(length, kind="stable")[: n - t + 1]]
-        short = short[edge[short + 1] - edge[short] > 1]
-        if not len(short):
+        if np.count_nonzero(length) < t:
+            continue
+        rank = np.argsort(length, kind="stable")
+        put_aside = min(t - 1, int(t / (SKIP * np.log2(max(2, int(length.max()))) + 1)))
+        short, long = rank[: n - put_aside], rank[n - put_aside :]
+        count = counted(begin[short], end[short], q, stop)
+        near = np.flatnonzero(count >= t - put_aside)
+        if side is not None:
+            near = near[side[order[q]] != side[order[near + q + 1]]]
+        if not len(near):
             continue
-        near = np.unique(np.concatenate([listed[edge[k] : edge[k + 1]] for k in short]))
-        near = near[near > q]
-        near = near[100 * n >= PERCENT * size[order[near]]]
-        for c in near:
-            j = order[c]
-            if side is not None and side[i] == side[j]:
-                continue
-            if overlap_by_probe(sets[i], sets[j]) >= required_overlap(n, int(size[j]), PERCENT):
-                found_a.append(i)
-                found_b.append(j)
-    return np.array(found_a, np.int64), np.array(found_b, np.int64)
-
-
-def _search_block(table: pa.Table) -> pa.Table:
-    """Links within a block, or between the two blocks, of a cluster: a row for each linked document."""
-    table = table.group_by(["doc_id", "text", "copies", "block", "i", "j"]).aggregate([]).sort_by("doc_id")
-    ids = table.column("doc_id").to_numpy()
-    copies = table.column("copies").to_numpy()
+        total = count[near]
+        if put_aside:
+            if len(near) * len(long) * PROBE < int(length[long].sum()):
+                probe = (lists[long][:, None] * n_sets + (near + q + 1)[None, :]).ravel()
+                at = np.minimum(np.searchsorted(entry, probe), len(entry) - 1)
+                total = total + (entry[at] == probe).reshape(len(long), len(near)).sum(axis=0)
+            else:
+                total = total + counted(begin[long], end[long], q, stop)[near]
+        near = near[total >= -(-PERCENT * (n + size[near + q + 1]) // (100 + PERCENT))]
+        found_a.append(np.full(len(near), order[q]))
+        found_b.append(order[near + q + 1])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+
+
+def _search_blocks(table: pa.Table) -> pa.Table:
+    """Links within a block, or between two blocks: a row for each linked document."""
+    table = table.group_by(["doc_id", "text", "copies", "least", "most", "block", "i", "j"]).aggregate([]).sort_by("doc_id")
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    side = None if i == j else table.column("block").to_numpy()
-    a, b = divide_skip(list(shingle_sets(table.column("text").to_pylist())), side)
+    sets = list(shingle_sets(table.column("text").to_pylist()))
+    # of several texts of one doc_id only those of the block's band
+    size = np.array([len(s) for s in sets])
+    own = np.flatnonzero((size >= table.column("least").to_numpy()) & (size <= table.column("most").to_numpy()))
+    sets, table = [sets[k] for k in own], table.take(pa.array(own))
+    ids, copies = table.column("doc_id").to_numpy(), table.column("copies").to_numpy()
+    side = None if i == j else (table.column("block").to_numpy() == i)
+    a, b = divide_skip(sets, side)
     root = local_roots(len(ids), a, b)
     links = np.zeros(len(ids), np.int64)
     np.add.at(links, a, copies[b])
@@ -363,11 +398,13 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
             .filter("star or shared >= least")
         )
         found = place.table(found.select("star", "a", "b"), "found")
-        cluster = place.table(connected_components(found.filter("star").select(F.col("a").alias("u"), F.col("b").alias("v")), place), "cluster")
-        sizes = classes.groupBy("rep").agg(F.sum("copies").alias("copies"), F.max("n").alias("n"))
-        pairs = _short_list_pairs(found, cluster, place)
+        sizes = classes.groupBy("rep").agg(F.sum("copies").alias("copies"))
+        stars = found.filter("star").select("a", "b")
+        blocks = place.table(_blocks(stars, classes, sizes), "blocks")
+        block_pairs = place.table(_block_pairs(stars, blocks), "block_pairs")
+        pairs = _short_list_pairs(found, blocks, block_pairs, place)
         linked = place.table(_verified(pairs, docs).distinct(), "linked")
-        dense = place.table(_cluster_links(cluster, sizes, docs), "dense")
+        dense = place.table(_block_links(blocks, block_pairs, docs), "dense")
         weight = sizes.select(F.col("rep").alias("other"), "copies")
         both = linked.select(F.col("a").alias("doc_id"), F.col("b").alias("other")).union(linked.select("b", "a"))
         links = both.join(weight, "other").select("doc_id", F.col("copies").alias("links")).union(dense.select("doc_id", "links"))
@@ -380,10 +417,45 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         return durable(out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
-def _short_list_pairs(found: DataFrame, cluster: DataFrame, place: Scratch) -> DataFrame:
-    """Candidates of short lists, without those that a cluster's search compares anyway."""
-    ca, cb = (cluster.select(F.col("id").alias(k), F.col("component").alias("c" + k)) for k in "ab")
-    return place.table(found.filter("not star").join(ca, "a", "left").join(cb, "b", "left").filter("ca is null or cb is null or ca <> cb").select("a", "b"), "pairs")
+def _blocks(stars: DataFrame, classes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(doc_id, copies, least, most, band, block) of the documents on long lists: of texts in several bands, a row for each,
+    with the least and the largest of the sets' sizes there.
+
+    A document's home is the least of its long lists' first documents. Homes of more than SMALL documents have blocks
+    of their own, smaller ones share blocks.
+    """
+    member = stars.select(F.col("b").alias("doc_id"), "a").union(stars.select("a", "a")).groupBy("doc_id").agg(F.min("a").alias("home"))
+    band = F.floor(F.log("n") / F.log(F.lit(BAND))).alias("band")
+    rows = member.join(classes.groupBy(F.col("rep").alias("doc_id"), band).agg(F.min("n").alias("least"), F.max("n").alias("most")), "doc_id")
+    homes = rows.groupBy("band", "home").agg(F.count("*").alias("docs"), F.sum("most").alias("shingles"))
+    small = homes.filter(F.col("docs") <= SMALL).groupBy("band").agg(F.ceil(F.greatest(F.sum("docs") / (2 * SMALL), F.sum("shingles") / BLOCK_SHINGLES)).alias("buckets"))
+    dealt = homes.join(small, "band", "left").select(
+        "band",
+        "home",
+        F.when(F.col("docs") <= SMALL, F.concat_ws("/", "band", F.lit("all"), F.pmod(F.xxhash64("home"), "buckets"))).otherwise(F.concat_ws("/", "band", "home")).alias("name"),
+        F.when(F.col("docs") <= SMALL, 1)
+        .otherwise(F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("shingles") / BLOCK_SHINGLES, F.least(F.lit(SPREAD), F.col("docs") / SMALL))))
+        .alias("parts"),
+    )
+    block = F.concat_ws("/", "name", F.pmod(F.xxhash64("doc_id"), "parts"))
+    return rows.join(dealt, ["band", "home"]).join(sizes.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "copies", "least", "most", "band", block.alias("block"))
+
+
+def _block_pairs(stars: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(i, j), i <= j: the blocks to compare, those of neighbouring bands that a long list has documents in."""
+    member = stars.union(stars.select("a", "a")).distinct()
+    touched = member.join(blocks.select(F.col("doc_id").alias("b"), "band", "block"), "b").select("a", "band", "block").distinct()
+    x, y = (touched.select("a", F.col("band").alias(f"band_{k}"), F.col("block").alias(k)) for k in "ij")
+    return x.join(y, "a").filter("i <= j and abs(band_i - band_j) <= 1").select("i", "j").distinct()
+
+
+def _short_list_pairs(found: DataFrame, blocks: DataFrame, block_pairs: DataFrame, place: Scratch) -> DataFrame:
+    """Candidates of short lists, without those that a search of blocks compares anyway."""
+    short = place.table(found.filter("not star").select("a", "b"), "short")
+    x, y = (blocks.select(F.col("doc_id").alias(k), F.col("block").alias(f"block_{k}")) for k in "ab")
+    both = short.join(x, "a").join(y, "b").select("a", "b", F.least("block_a", "block_b").alias("i"), F.greatest("block_a", "block_b").alias("j"))
+    searched = both.join(block_pairs, ["i", "j"]).select("a", "b").distinct()
+    return place.table(short.join(searched, ["a", "b"], "left_anti"), "pairs")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -392,12 +464,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return _with_texts(asked, docs).select("hub", "doc_id", "text", "role").repartition("hub").sortWithinPartitions("hub", "role", "doc_id").mapInArrow(_verify, "a long, b long")
 
 
-def _cluster_links(cluster: DataFrame, sizes: DataFrame, docs: DataFrame) -> DataFrame:
-    """DivideSkip over each cluster, in pairs of blocks that hold a bounded number of shingles."""
-    rows = cluster.join(sizes, cluster["id"] == sizes["rep"]).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"), "copies", "n")
-    blocks = rows.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("k"))
-    k, block = F.col("k"), F.col("block")
-    dealt = rows.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), k).cast("int"))
-    dealt = dealt.select("doc_id", "cluster", "copies", "block", F.explode(F.sequence(F.lit(0), k - 1)).alias("other"))
-    dealt = dealt.select("doc_id", "cluster", "copies", "block", F.least("other", block).alias("i"), F.greatest("other", block).alias("j"))
-    return _with_texts(dealt, docs).groupBy("cluster", "i", "j").applyInArrow(_search_block, "doc_id long, root long, links long")
+def _block_links(blocks: DataFrame, block_pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """DivideSkip over each pair of blocks."""
+    one = block_pairs.select(F.explode(F.array_distinct(F.array("i", "j"))).alias("block"), "i", "j")
+    return _with_texts(blocks.join(one, "block"), docs).groupBy("i", "j").applyInArrow(_search_blocks, "doc_id long, root long, links long")

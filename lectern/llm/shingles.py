@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,23 +11,14 @@ WORDS = 5
 #: Texts are hashed together up to this many bytes; a longer text is hashed alone and whole.
 BATCH_BYTES = 1 << 19
 
-_ODD = 0x9E3779B97F4A7C15
-_UNDO = pow(_ODD, -1, 1 << 64)
+#: A longer word is hashed by itself.
+WORD_BYTES = 256
+
 _MIX = [0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if len(_powers[0]) < n:
-        with np.errstate(over="ignore"):
-            up = np.full(n, _ODD, np.uint64)
-            down = np.full(n, _UNDO, np.uint64)
-            up[0] = down[0] = 1
-            _powers = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-    return _powers
+#: The low k bytes of a lane.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -35,17 +27,31 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word data[start:end]: its length and lanes of eight bytes, mixed in turn."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,)).copy()
+    size = ends - starts
+    h = _mixed(size.astype(np.uint64) + np.uint64(_MIX[2]))
+    left = np.flatnonzero(size <= WORD_BYTES)
+    at, rest = starts[left], size[left]
+    while len(left):
+        h[left] = _mixed((h[left] + (lanes[at] & _LOW[np.minimum(rest, 8)])) * np.uint64(_MIX[3]) + np.uint64(_MIX[4]))
+        more = rest > 8
+        left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    for k in np.flatnonzero(size > WORD_BYTES):
+        h[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return h
+
+
 def _of_batch(texts: list[bytes]) -> list[np.ndarray]:
     buf = b"\n".join(texts)
     data = np.frombuffer(buf, np.uint8)
     edges = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    up, down = _power_tables(len(data) + 1)
     inside = ~_SPACE[data]
     turn = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     starts, ends = turn[::2], turn[1::2]
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-    word = _mixed((total[ends] - total[starts]) * down[starts])
+    word = word_hashes(data, starts, ends)
     first = np.searchsorted(starts, edges)
     n = len(word)
     joined = np.zeros(max(0, n - WORDS + 1), np.uint64)

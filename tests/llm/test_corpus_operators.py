@@ -528,20 +528,39 @@ def test_jaccard_join(spark):
     assert jaccard_join(docs.limit(0)).count() == 0
 
 
-def test_jaccard_join_of_long_lists(spark, monkeypatch):
+@pytest.mark.parametrize("small", [5, 40, 256])
+def test_jaccard_join_of_long_lists(spark, monkeypatch, small):
     from lectern.llm import jaccard_join as module
 
     monkeypatch.setattr(module, "BLOCK_DOCS", 20)
-    rows = list(enumerate(near_copies(2, groups=3, size=70, words=40) + near_copies(3, groups=5)))
-    got = sorted(map(tuple, jaccard_join(docs_of(spark, rows)).collect()), key=repr)
-    assert got == brute_join(rows)
+    monkeypatch.setattr(module, "SMALL", small)
+    line = prose(30, 7)  # in many documents of all sizes, most of a few
+    texts = near_copies(2, groups=3, size=70, words=40) + near_copies(3, groups=5)
+    texts += [f"{line} {prose(k % 45, 8000 + k)}" for k in range(150)] + [" ".join([line] * 2 + [prose(k, 9)]) for k in range(60)] + [" ".join(line.split()[: 5 + k % 26]) for k in range(60)]
+    rows = [*enumerate(texts), (3, texts[3]), (None, line)]
+    assert sorted(map(tuple, jaccard_join(docs_of(spark, rows)).collect()), key=repr) == brute_join(rows)
+
+
+def test_words_of_equal_polynomials_differ(spark):
+    words = ["a"]
+    while len(words[-1]) < 4096:
+        words.append(words[-1] + words[-1].translate(str.maketrans("ab", "ba")))
+    words += [w.translate(str.maketrans("ab", "ba")) for w in words] + ["x" * n for n in (255, 256, 257, 300)] + ["x" * 256 + "y" * k for k in range(9)]
+    assert len({int(h[0]) for h in shingle_sets(words)}) == len(set(words))
+    assert {r["n_links"] for r in jaccard_join(docs_of(spark, [w for w in words if len(w) >= 1024])).collect()} == {0}
 
 
-def test_divide_skip_against_all_pairs():
-    sets = list(shingle_sets(near_copies(4, groups=12, size=9, words=30)))
+@pytest.mark.parametrize(("skip", "probe"), [(0.05, 12), (0.0001, 0), (0.0001, 1e9), (5, 12)])
+def test_divide_skip_against_all_pairs(monkeypatch, skip, probe):
+    from lectern.llm import jaccard_join as module
+
+    monkeypatch.setattr(module, "SKIP", skip)
+    monkeypatch.setattr(module, "PROBE", probe)
+    sets = list(shingle_sets(near_copies(4, groups=12, size=9, words=30) + [prose(k, 3) for k in range(12)] + [None]))
     a, b = divide_skip(sets)
-    want = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
-    assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} == want
+    want = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if len(sets[i]) and 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    found = [tuple(sorted(p)) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    assert len(found) == len(set(found)) and set(found) == want
     side = np.arange(len(sets)) % 2
     a, b = divide_skip(sets, side)
     assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} == {p for p in want if side[p[0]] != side[p[1]]}
