@@ -67,8 +67,8 @@ def brute_dedup(rows, cosine=0.95):
     links, root = [0] * len(rows), {rows[k][0]: rows[k][0] for k in good}
     pairs = []
     for a, b in itertools.combinations(good, 2):
-        x, y = (np.array(rows[k][1], np.float32).astype(float) for k in (a, b))
-        if len(x) == len(y) and (np.array_equal(x, y) or x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= cosine):
+        x, y = (np.array(rows[k][1], float) / np.abs(rows[k][1]).max() for k in (a, b))
+        if len(x) == len(y) and (np.array_equal(rows[a][1], rows[b][1]) or x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= cosine):
             links[a] += 1
             links[b] += 1
             pairs.append((rows[a][0], rows[b][0]))
@@ -91,15 +91,44 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.embedding_dedup(table.limit(0)).count() == 0
 
 
-def test_embedding_dedup_splits_cells(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 7)
+@pytest.mark.parametrize("rows_a_cell", [7, 30])
+def test_embedding_dedup_splits_cells(spark, monkeypatch, rows_a_cell):
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", rows_a_cell)
     r = np.random.default_rng(9)
-    base = r.standard_normal(16)
-    rows = [(k, [float(v) for v in np.float32(base + r.standard_normal(16) * 0.25)]) for k in range(60)]
+    base = r.standard_normal((2, 16))
+    rows = [(3 * k, [float(v) for v in np.float32(base[k % 5 // 4] + r.standard_normal(16) * 0.25)]) for k in range(90)]
     got = sorted(map(tuple, embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()), key=repr)
     assert got == brute_dedup(rows)
 
 
+def test_embedding_dedup_by_every_grid(monkeypatch):
+    r = np.random.default_rng(3)
+    x = np.repeat(r.standard_normal((60, 20)), 5, axis=0) + r.standard_normal((300, 20)) * 0.18
+    x = np.concatenate([x, r.standard_normal((400, 20))])
+    monkeypatch.setattr(embedding_dedup, "TILE", 16)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = {(a, b) for a, b in np.argwhere(unit @ unit.T >= 0.95).tolist() if a < b}
+    q = embedding_dedup._rounded(x)
+    for grid in (1, 2, 3, 4):
+        found = []
+        own, probes = {}, {}
+        for k, near, cell, probe in embedding_dedup._cells(q, grid, 0.95):
+            for row, c in zip(near.tolist(), map(tuple, cell.tolist()), strict=True):
+                (probes if probe else own).setdefault((k, c), []).append(row)
+        for (k, c), first in own.items():
+            rows = np.array(first + probes.get((k, c), []))
+            found += [tuple(sorted(rows[[u, v]].tolist())) for a, b in embedding_dedup._near(q[rows], len(first), True, k, 0.95) for u, v in zip(a, b, strict=True)]
+        assert want and len(found) == len(set(found)) and want <= set(found)
+
+
+def test_embedding_dedup_of_doubles(spark):
+    rows = [(1, [1e39, 1.0]), (2, [1e39, 2.0]), (3, [1e-300, 0.0]), (4, [-1.0, 0.0]), (5, [0.0, 1e-310]), (6, [-0.0, 1.0])]
+    c = np.arccos(0.95)
+    rows += [(10, [0.0, 0.0, 1.0]), (11, [0.0, np.sin(c + 1e-9), np.cos(c + 1e-9)]), (12, [0.0, -np.sin(c - 1e-9), np.cos(c - 1e-9)])]  # floats can't tell these angles
+    got = sorted(map(tuple, embedding_dedup.embedding_dedup(spark.createDataFrame([(i, [float(v) for v in e]) for i, e in rows], "vec_id long, embedding array<double>")).collect()))
+    assert [r[:3] for r in got] == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4), (5, 1, 5), (6, 1, 5), (10, 1, 10), (11, 0, 11), (12, 1, 10)]
+
+
 # --- op2 ------------------------------------------------------------------------------------------------------
 
 
