@@ -62,13 +62,45 @@ def labelled_samples(n: int = 4000, seed: int = 11) -> list[tuple[str, int]]:
     return out
 
 
+def _triples(text: str | None) -> np.ndarray:
+    """The numbers of the successive triples of a text's token characters; others are passed over."""
+    c = _CODE[np.frombuffer((text or "").encode("ascii", "ignore"), np.uint8)]
+    c = c[c >= 0]
+    return (c[:-2] * _SIZE + c[1:-1]) * _SIZE + c[2:]
+
+
 def train(samples: Iterable[tuple[str, int]]) -> np.ndarray:
     """Log-likelihood ratios [a, b, c] of character c after ab: random strings over ordinary identifiers."""
-    counts = np.full((2, _SIZE, _SIZE, _SIZE), 0.0)
+    counts = np.zeros((2, _SIZE**3))
     for text, label in samples:
-        c = _CODE[np.frombuffer(text.encode("ascii", "ignore"), np.uint8)]
-        c = c[c >= 0]
-        np.add.at(counts[1 if label else 0], (c[:-2], c[1:-1], c[2:]), 1.0)
+        np.add.at(counts[1 if label else 0], _triples(text), 1.0)
+    return _ratios(counts)
+
+
+def fit(samples: DataFrame) -> np.ndarray:
+    """The model of a table of labelled samples (text, label: 1 random, 0 ordinary), whatever its size.
+
+    Rows of a null label teach nothing, a null or short text neither; of no rows, every ratio is 0. Triples are
+    counted in tasks and summed; the counts that reach the driver are those of 2 * 67**3 triples at most.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            labels = batch.column("label").to_pylist()
+            for y in (False, True):
+                own = [_triples(t) for t, z in zip(batch.column("text").to_pylist(), labels, strict=True) if z is not None and bool(z) == y]
+                found, n = np.unique(np.concatenate([np.zeros(0, np.int64), *own]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([y] * len(found)).cast(pa.bool_()), pa.array(found), pa.array(n)], ["label", "triple", "n"])
+
+    found = samples.select("text", "label").mapInArrow(count, "label boolean, triple long, n long").groupBy("label", "triple").agg(F.sum("n").alias("n"))
+    counts = np.zeros((2, _SIZE**3))
+    for r in found.collect():
+        counts[int(r["label"]), r["triple"]] = r["n"]
+    return _ratios(counts)
+
+
+def _ratios(counts: np.ndarray) -> np.ndarray:
+    counts = counts.reshape(2, _SIZE, _SIZE, _SIZE)
     pair = counts.sum(axis=1)  # first-order counts, by which thin second-order ones are smoothed
     single = pair.sum(axis=1) + 1.0
     one = single / single.sum(axis=1, keepdims=True)
@@ -91,34 +123,50 @@ def ratio(token: bytes, model: np.ndarray) -> float:
 def _rests(start: int, end: int, held: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What the held spans leave of [start, end)."""
     rests, at = [], start
-    for s, e in sorted(h for h in held if h[0] < end and start < h[1]):
+    for s, e in sorted(held):
         rests.append((at, s))
         at = max(at, e)
     return [(s, e) for s, e in [*rests, (at, end)] if s < e]
 
 
+def _code_points(raw: bytes) -> np.ndarray:
+    """For each byte of UTF-8, and the end, the code points before it."""
+    first = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
+    return np.concatenate((np.zeros(1, np.int64), np.cumsum(first)))
+
+
 def find_spans(text: str | None, model: np.ndarray, min_ratio: float = MIN_RATIO) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """(start, end, kind) of the fixed patterns, and those that the models add; in code points, by start."""
+    """(start, end, kind) of the fixed patterns, and those that the models add; in code points, by start.
+
+    The work is in proportion to the text: runs and the spans of assign are swept once, side by side.
+    """
     if not text:
         return [], []
     raw = text.encode("utf-8", "surrogatepass")
-    plain = len(raw) == len(text)
-    place = (lambda b: b) if plain else (lambda b: len(raw[:b].decode("utf-8", "surrogatepass")))
     base, added = [], []
     low = raw.lower()
     if any(w in low for w in _WORDS):
         base += [(m.start(), m.end(), "assign") for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
-    assigned = [s[:2] for s in base]
-    runs = np.flatnonzero(np.diff(np.concatenate(([False], _CODE[np.frombuffer(raw, np.uint8)] >= 0, [False])).astype(np.int8)))
-    starts, ends = runs[::2], runs[1::2]
-    for a, b in zip(starts[ends - starts >= MIN_RUN], ends[ends - starts >= MIN_RUN], strict=True):
+    assigned, done = [s[:2] for s in base], 0
+    turns = np.flatnonzero(np.diff(np.concatenate(([False], _CODE[np.frombuffer(raw, np.uint8)] >= 0, [False])).astype(np.int8)))
+    starts, ends = turns[::2], turns[1::2]
+    long = ends - starts >= MIN_RUN
+    starts, ends = starts[long], ends[long]
+    places = starts if len(raw) == len(text) or not len(starts) else _code_points(raw)[starts]
+    for a, b, at in zip(starts.tolist(), ends.tolist(), places.tolist(), strict=True):
         token = raw[a:b].decode("ascii")
-        at = place(int(a))
+        end = at + b - a
         fixed = [(at + m.start(), at + m.end(), "access") for m in _ACCESS.finditer(token) if m.end() - m.start() >= 16]
         fixed += [(at + m.start(), at + m.end(), "hex") for m in _HEX.finditer(token) if m.end() - m.start() >= 32]
         base += fixed
-        for s, e in _rests(at, at + int(b - a), assigned + [f[:2] for f in fixed]):
-            if e - s >= MIN_TOKEN and ratio(raw[int(a) + s - at : int(a) + e - at], model) >= min_ratio:
+        while done < len(assigned) and assigned[done][1] <= at:
+            done += 1
+        held, k = [f[:2] for f in fixed], done
+        while k < len(assigned) and assigned[k][0] < end:
+            held.append(assigned[k])
+            k += 1
+        for s, e in _rests(at, end, held):
+            if e - s >= MIN_TOKEN and ratio(raw[a + s - at : a + e - at], model) >= min_ratio:
                 added.append((s, e, "markov"))
     base.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     return base, added

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from lectern.llm.batches import slices, widened
 from lectern.llm.shared import shared_dir, write_bytes
 
-_HEAD = struct.Struct("<8sQQ")
-_MAGIC = b"urlarr01"
+_HEAD = struct.Struct("<8sQQQ")
+_MAGIC = b"urlarr02"
 _ACTIONS = ("allow", "block")
 #: The array is built on the driver; a longer list is refused, not cut.
 MAX_ENTRIES = 20_000_000
@@ -36,7 +36,7 @@ RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/"
 
 
 def digest_array(rules: Iterable[tuple[str, str]]) -> bytes:
-    """The file's bytes: head, keys, offsets of the strings, actions, path lengths in use, strings."""
+    """The file's bytes: head, keys, offsets of the strings, actions, path lengths and numbers of dots in hosts that occur, strings."""
     held: dict[str, str] = {}
     for rule, action in rules:
         if action not in _ACTIONS:
@@ -48,8 +48,9 @@ def digest_array(rules: Iterable[tuple[str, str]]) -> bytes:
     keys = np.array([k for k, _, _ in order], "<u8")
     ends = np.cumsum([0] + [len(r) for _, r, _ in order]).astype("<u8")
     lengths = np.array(sorted({len(r.decode()) - len(r.decode().split("/", 1)[0]) for _, r, _ in order}), "<u8")
+    dots = np.array(sorted({r.split(b"/", 1)[0].count(b".") for _, r, _ in order}), "<u8")
     actions = np.array([a for _, _, a in order], "<u8")
-    return _HEAD.pack(_MAGIC, len(keys), len(lengths)) + b"".join(x.tobytes() for x in (keys, ends, actions, lengths)) + b"".join(r for _, r, _ in order)
+    return _HEAD.pack(_MAGIC, len(keys), len(lengths), len(dots)) + b"".join(x.tobytes() for x in (keys, ends, actions, lengths, dots)) + b"".join(r for _, r, _ in order)
 
 
 class DigestArray:
@@ -58,11 +59,12 @@ class DigestArray:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self._map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        magic, n, m = _HEAD.unpack_from(self._map)
+        magic, n, m, d = _HEAD.unpack_from(self._map)
         if magic != _MAGIC:
             raise ValueError(f"not a digest array: {path}")
-        whole = np.frombuffer(self._map, "<u8", 3 * n + 1 + m, _HEAD.size)
-        self.keys, self.ends, self.actions, self.path_lengths = np.split(whole, [n, 2 * n + 1, 3 * n + 1])
+        whole = np.frombuffer(self._map, "<u8", 3 * n + 1 + m + d, _HEAD.size)
+        self.keys, self.ends, self.actions, self.path_lengths, self.dots = np.split(whole, [n, 2 * n + 1, 3 * n + 1, 3 * n + 1 + m])
+        self.longest = int(np.diff(self.ends).max()) if n else 0
         self._strings = _HEAD.size + whole.nbytes
 
     def find(self, probes: list[bytes]) -> np.ndarray:
@@ -102,10 +104,20 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def _suffixes(host: str) -> Iterator[str]:
-    while host:
-        yield host
-        host = host.partition(".")[2]
+def _suffixes(host: str, dots: list[int], longest: int) -> Iterator[str]:
+    """The ends of a host, from its labels on, that hold so many dots as some entry's host, and no more characters than any."""
+    at, wanted = len(host), iter(dots)
+    want = next(wanted, -1)
+    for k in range(dots[-1] + 1 if dots else 0):
+        at = host.rfind(".", max(0, len(host) - longest - 1), at)
+        if at < 0 and len(host) > longest:
+            return
+        if k == want:
+            if len(host) > at + 1:
+                yield host[at + 1 :]
+            want = next(wanted, -1)
+        if at < 0:
+            return
 
 
 def url_filter(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, default: str = "allow") -> DataFrame:
@@ -125,15 +137,16 @@ def url_filter(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, defau
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = _opened(SparkFiles.get(name))
-        lengths = array.path_lengths.tolist()
+        lengths, dots, longest = array.path_lengths.tolist(), array.dots.tolist(), array.longest
         for batch in slices(batches):
             probes, owner = [], []
             for k, (h, p) in enumerate(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)):
                 ends = [p[:n] for n in lengths if n <= len(p)]
-                for s in _suffixes(h):
+                for s in _suffixes(h, dots, longest):
                     for e in ends:
-                        probes.append((s + e).encode("utf-8", "surrogatepass"))
-                        owner.append(k)
+                        if len(s) + len(e) <= longest:
+                            probes.append((s + e).encode("utf-8", "surrogatepass"))
+                            owner.append(k)
             best: list[tuple | None] = [None] * batch.num_rows
             for q in np.flatnonzero((found := array.find(probes)) >= 0):
                 rule, action = probes[q].decode(), int(array.actions[found[q]])

@@ -280,6 +280,27 @@ def test_what_fixed_spans_leave_of_a_run_is_judged():
     assert not secrets.find_spans(hexed + "_request_handler_default_name", model)[1]
 
 
+def test_secret_scan_of_long_texts_takes_proportionate_work():
+    import time
+
+    def took(n):
+        text = "é " + ("token=" + "k8Jf2mQ9xZ7vL4nR1tW6yB3cD5gH" + " and some_ordinary_name_of_code-k8Jf2mQ9xZ7vL4nR1tW6yB3cD5gH\n") * n
+        start = time.process_time()
+        base, added = secrets.find_spans(text, secrets.default_model())
+        assert len(base) == n and len(added) == n and text[slice(*added[-1][:2])].endswith("yB3cD5gH")
+        return time.process_time() - start
+
+    took(100)
+    assert took(16_000) < 16 * took(2000)  # 8 times the text, 64 times if it were quadratic
+
+
+def test_fit_counts_as_train(spark):
+    samples = secrets.labelled_samples(300, seed=5)
+    table = spark.createDataFrame([*samples, (None, 1), ("", 0), ("no label at all", None), ("ab", 1)], "text string, label int")
+    assert np.array_equal(secrets.fit(table), secrets.train(samples))
+    assert not secrets.fit(table.limit(0)).any()
+
+
 def test_markov_models_tell_held_out_samples():
     model = secrets.train(secrets.labelled_samples(2000, seed=1))
     held = [(secrets.ratio(t.encode(), model) >= secrets.MIN_RATIO, bool(y)) for t, y in secrets.labelled_samples(1000, seed=2)]
@@ -312,6 +333,28 @@ def test_url_filter(spark):
     assert url_filter.url_filter(pages.limit(0)).count() == 0
 
 
+def test_url_filter_of_long_hosts_and_odd_rules(spark):
+    rules = [("a.b/", "block"), ("b/x", "allow"), ("b/x", "block"), ("c.a.b/xy", "allow"), ("..b/", "block"), ("b./", "block"), ("b", "allow"), ("com/" + "p" * 50, "block")]
+    hosts = ["b", "a.b", "x.a.b", "c.a.b", "d.c.a.b", ".a.b", "..b", "q..b", "b.", "a.b.", "." * 9, "a." * 500_000 + "b", "a" * 1_000_000, "b" * 1_000_000 + ".com", ""]
+    urls = [f"x://{h}/{p}" for h in hosts for p in ("", "x", "xyz", "p" * 60)] * 2
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.url_filter(pages, rules, "block").collect()}
+    held = {}
+    for rule, action in rules:
+        held[rule] = max(held.get(rule, ""), action)
+    for k, url in enumerate(urls):
+        host, path = url[4:].split("/", 1)
+        fits = [(-len(r), -"ab".index(a[0]), r, a) for r, a in held.items() for h, s, p in [r.partition("/")] if (host == h or host.endswith("." + h)) and ("/" + path).startswith(s + p)]
+        assert got[k] == ((min(fits)[2], min(fits)[3]) if fits else (None, "block")), url[:99]
+
+
+def test_url_lists_over_the_bound_are_refused(monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_ENTRIES", 2)
+    assert url_filter.digest_array([("a/", "allow"), ("b/", "block"), ("a/", "block")])
+    with pytest.raises(ValueError, match="over 2"):
+        url_filter.digest_array([("a/", "allow"), ("b/", "block"), ("c/", "block")])
+
+
 def test_digest_collisions_are_told_apart(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda s: len(s))
     (tmp_path / "a.bin").write_bytes(url_filter.digest_array([("a.com/", "block"), ("b.com/", "allow"), ("a.com/", "allow"), ("c/", "block")]))
