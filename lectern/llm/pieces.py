@@ -7,14 +7,15 @@ whose last piece is longest wins, then whose last but one is longest, and so on.
 
 A text of more than GIANT characters is split into chunks, which tasks work on at once. The state at a
 chunk's edge is how many characters of the next chunk the last piece reaches into, so a chunk is a matrix
-of scores from entry to exit state. Matrices combine associatively under (max, +); a document's running
-product gives the scores of the states at every edge. Given those, each chunk is backtraced by itself, for
-each exit state, and the chain of states that the end of the document leads back through selects one
-backtrace of each chunk.
+of scores from entry to exit state. Matrices combine associatively under (max, +): groups of FAN neighbours are
+multiplied by tasks of their own, level by level, and the scores of the states at every edge come back down
+the same tree. Given those, each chunk is backtraced by itself, for each exit state. Which one the end of the
+document leads back to is a scan of the same kind from the other side, over matrices of 0 and minus infinity.
 
-In other texts no piece holds U+2581 after another character, so that segmentations of words are
-independent: the distinct words of a batch are segmented together by the same recurrence, a column of
-all words at a time, and frequent words are kept.
+Where no piece holds U+2581 after another character, segmentations of words are independent: in other texts
+the distinct words of a batch are segmented together by the same recurrence, a column of all words at a
+time, and frequent words are kept. A model with such a piece has its texts segmented whole; one that changes
+texts before it cuts them is refused.
 
 The model file at hand is typed BPE. Merging pairs in rank order isn't a sum over a segmentation and has
 no max-plus form, so its pieces and scores are read as a unigram model's. Decoding is the library's.
@@ -38,6 +39,7 @@ from lectern.llm.shared import Scratch, durable, scratch
 from lectern.llm.word_cache import WordCache
 
 GIANT, CHUNK = 65_536, 16_384
+FAN = 32  # neighbouring matrices that a task combines
 CACHE_WORDS, WORD_CHARS = 100_000, 40
 TOGETHER, TOGETHER_CHARS = 40_000, 48  # characters segmented at once, about, and those of the longest word among them
 MARK = "▁"
@@ -72,6 +74,10 @@ class Pieces:
             else:
                 self.scores[piece] = (sp.get_score(i), i)
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
+        probe = " a  ﬁ\tＡ\n "
+        if sp.normalize(probe) != written(probe):
+            raise ValueError(f"{path} normalises texts")
+        self.by_words = not any(MARK in p.lstrip(MARK) for p in self.scores)
         self.longest = max(map(len, self.scores))
         self.starts = {p[:k] for p in self.scores for k in range(1, len(p) + 1)}
         self.unknown = min(s for s, _ in self.scores.values()) - 10.0
@@ -143,7 +149,9 @@ class Pieces:
         return self.backtraces(text, len(text), entry)[0][1]
 
     def _words(self, text: str) -> list[str]:
-        """The words of a text, each without the one space that goes before it."""
+        """The words of a text, each without the one space that goes before it; all of it, where words aren't independent."""
+        if not self.by_words:
+            return [text]
         odd = "  " in text or MARK in text or text[:1] == " "
         return self._cut.split(text) if odd else text.split(" ")
 
@@ -246,7 +254,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.Record
             for k, at in enumerate(range(0, len(text), CHUNK)):
                 part = text[at : at + CHUNK + reach]
                 columns = [pa.array([row], pa.int64()), pa.array([k], pa.int32()), pa.array([min(CHUNK, len(text) - at)], pa.int32()), pa.array([at + CHUNK >= len(text)]), pa.array([part])]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "size", "last", "part"])
+                yield pa.RecordBatch.from_arrays(columns, ["row", "k", "size", "last", "part"])
 
 
 def _giant_ids(giant: DataFrame, model: str | None, place: Scratch) -> DataFrame:
@@ -258,51 +266,101 @@ def _giant_ids(giant: DataFrame, model: str | None, place: Scratch) -> DataFrame
 
     def matrices(batches):
         pieces = _pieces(model or default_model())
-        for batch in batches:
+        for batch in slices(batches):
             made = [pieces.transfer(p, n).tobytes() for p, n in zip(batch.column("part").to_pylist(), batch.column("size").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(made, pa.binary())], ["row", "chunk", "matrix"])
-
-    def scan(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk")
-        width = int(np.sqrt(len(table.column("matrix")[0].as_py()) // 8))
-        state = np.full(width, _LOW)
-        state[0] = 0.0
-        entries = []
-        for raw in table.column("matrix").to_pylist():
-            entries.append(state.tobytes())
-            state = (state[:, None] + np.frombuffer(raw).reshape(width, width)).max(axis=0)
-            state[state < _LOW / 2] = _LOW
-        return pa.table({"row": table.column("row"), "chunk": table.column("chunk"), "entry": pa.array(entries, pa.binary())})
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("k"), pa.array(made, pa.binary())], ["row", "k", "matrix"])
 
     def traced(batches):
         pieces = _pieces(model or default_model())
-        for batch in batches:
-            for row, chunk, size, last, part, entry in zip(*(batch.column(c).to_pylist() for c in ("row", "chunk", "size", "last", "part", "entry")), strict=True):
+        for batch in slices(batches):
+            steps, parts = [], []
+            for size, last, part, entry in zip(*(batch.column(c).to_pylist() for c in ("size", "last", "part", "state")), strict=True):
                 found = pieces.backtraces(part, size, np.frombuffer(entry))
-                found = {s: f for s, f in found.items() if s == 0 or not last}
-                m = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * m, pa.int64()), pa.array([chunk] * m, pa.int32()), pa.array(list(found), pa.int32()), pa.array([f[0] for f in found.values()], pa.int32()), pa.array([np.array(f[1], "<i4").tobytes() for f in found.values()], pa.binary())],
-                    ["row", "chunk", "exit", "entry", "ids"],
-                )
-
-    def chain(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("chunk", "descending")])
-        want, done, keep = 0, -1, []
-        for chunk, exit_, entry in zip(*(table.column(c).to_pylist() for c in ("chunk", "exit", "entry")), strict=True):
-            if chunk != done and exit_ == want:
-                keep.append((chunk, exit_))
-                want, done = entry, chunk
-        return pa.table({"row": pa.array([table.column("row")[0].as_py()] * len(keep), pa.int64()), "chunk": pa.array([k for k, _ in keep], pa.int32()), "exit": pa.array([e for _, e in keep], pa.int32())})
+                found = [found.get(s) if s == 0 or not last else None for s in range(pieces.longest)]
+                steps.append([f[0] if f else -1 for f in found])
+                parts.append([np.array(f[1], "<i4").tobytes() if f else None for f in found])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("k"), pa.array(steps, pa.list_(pa.int32())), pa.array(parts, pa.list_(pa.binary()))], ["row", "k", "steps", "parts"])
+
+    def backward(batches):
+        for batch in batches:
+            steps = np.array(batch.column("steps").to_pylist(), np.int64).reshape(batch.num_rows, -1)
+            made = np.full((*steps.shape, steps.shape[1]), _LOW)
+            at, exit_ = np.nonzero(steps >= 0)
+            made[at, exit_, steps[at, exit_]] = 0.0
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("k"), pa.array([m.tobytes() for m in made], pa.binary())], ["row", "k", "matrix"])
+
+    def chosen(batches):
+        for batch in batches:
+            exits = [int(np.frombuffer(s).argmax()) for s in batch.column("state").to_pylist()]
+            ids = [p[e] for p, e in zip(batch.column("parts").to_pylist(), exits, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("k"), pa.array(ids, pa.binary())], ["row", "k", "ids"])
+
+    def joined(table: pa.Table) -> pa.Table:
+        table = table.sort_by("k")
+        return pa.table({"row": table.column("row").slice(0, 1), "ids": pa.array([b"".join(table.column("ids").to_pylist())], pa.binary())})
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = place.table(giant.mapInArrow(cut, "row long, chunk int, size int, last boolean, part string").repartition(n, "row", "chunk"), "chunks")
-    moved = chunks.repartition(n, "row", "chunk")
-    entries = moved.mapInArrow(matrices, "row long, chunk int, matrix binary").groupBy("row").applyInArrow(scan, "row long, chunk int, entry binary")
-    traces = place.table(moved.join(entries, ["row", "chunk"]).mapInArrow(traced, "row long, chunk int, exit int, entry int, ids binary"), "traces")
-    chosen = traces.select("row", "chunk", "exit", "entry").groupBy("row").applyInArrow(chain, "row long, chunk int, exit int")
-    ids = traces.join(chosen, ["row", "chunk", "exit"]).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    return ids.select("row", F.expr("aggregate(parts, cast('' as binary), (a, p) -> a || p.ids)").alias("ids"))
+    chunks = place.table(giant.mapInArrow(cut, "row long, k int, size int, last boolean, part string").repartition(n, "row", "k"), "chunks")
+    last = chunks.agg(F.max("k")).first()[0] or 0
+    moved = chunks.repartition(n, "row", "k")
+    forward = place.table(moved.mapInArrow(matrices, _MATRIX), "forward")
+    traces = moved.join(_scan(forward, last, place, "forward"), ["row", "k"]).mapInArrow(traced, "row long, k int, steps array<int>, parts array<binary>")
+    traces = place.table(traces, "traces")
+    turned = traces.select("row", (F.lit(last) - F.col("k")).alias("k"), "steps").mapInArrow(backward, _MATRIX)
+    exits = _scan(place.table(turned, "backward"), last, place, "backward").withColumn("k", F.lit(last) - F.col("k"))
+    ids = traces.join(exits, ["row", "k"]).select("row", "k", "parts", "state").mapInArrow(chosen, "row long, k int, ids binary")
+    return ids.groupBy("row").applyInArrow(joined, "row long, ids binary")
+
+
+_MATRIX = "row long, k int, matrix binary"
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The max-plus product of a matrix, or a vector of states, and a matrix."""
+    out = (a[..., :, None] + b).max(axis=-2)
+    out[out < _LOW / 2] = _LOW
+    return out
+
+
+def _square(raw: bytes) -> np.ndarray:
+    m = np.frombuffer(raw)
+    return m.reshape(int(np.sqrt(len(m))), -1)
+
+
+def _product(table: pa.Table) -> pa.Table:
+    """The product of a group of neighbouring matrices, under the group's number."""
+    first, *rest = [_square(m) for m in table.sort_by("k").column("matrix").to_pylist()]
+    return pa.table({"row": table.column("row").slice(0, 1), "k": table.column("part").slice(0, 1), "matrix": pa.array([functools.reduce(times, rest, first).tobytes()], pa.binary())})
+
+
+def _entries(table: pa.Table) -> pa.Table:
+    """The states before each of a group of neighbours, from those before the group: null stands for the text's beginning."""
+    table = table.sort_by("k")
+    states = []
+    for raw in table.column("matrix").to_pylist():
+        matrix = _square(raw)
+        if not states:
+            begin = table.column("state")[0].as_py()
+            state = np.where(np.arange(len(matrix)) == 0, 0.0, _LOW) if begin is None else np.frombuffer(begin)
+        states.append(state.tobytes())
+        state = times(state, matrix)
+    return pa.table({"row": table.column("row"), "k": table.column("k"), "state": pa.array(states, pa.binary())})
+
+
+def _scan(matrices: DataFrame, last: int, place: Scratch, name: str) -> DataFrame:
+    """(row, k, state): the best scores of the states before each matrix (row, k, matrix; k up to last) of a row."""
+    levels = [matrices]
+    while last >= FAN:
+        up = levels[-1].withColumn("part", F.expr(f"k div {FAN}").cast("int")).groupBy("row", "part").applyInArrow(_product, _MATRIX)
+        levels.append(place.table(up, f"{name}{len(levels)}"))
+        last //= FAN
+    top = levels.pop().withColumn("state", F.lit(None).cast("binary"))
+    found = top.groupBy("row").applyInArrow(_entries, "row long, k int, state binary")
+    while levels:
+        known = found.withColumnRenamed("k", "part")
+        below = levels.pop().withColumn("part", F.expr(f"k div {FAN}").cast("int")).join(known, ["row", "part"])
+        found = below.groupBy("row", "part").applyInArrow(_entries, "row long, k int, state binary")
+    return found
 
 
 def encode(docs: DataFrame, model: str | None = None, then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, schema: StructType | None = None) -> DataFrame:

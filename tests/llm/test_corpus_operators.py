@@ -453,8 +453,7 @@ def test_scan_equals_direct_segmentation(model):
                 part, n = whole[at : at + size + model.longest - 1], min(size, len(whole) - at)
                 entries.append(state)
                 parts.append((part, n))
-                state = (state[:, None] + model.transfer(part, n)).max(axis=0)
-                state = np.where(state < -1e299, -1e300, state)
+                state = pieces.times(state, model.transfer(part, n))
             ids, exit_ = [], 0
             for (part, n), entry in reversed(list(zip(parts, entries, strict=True))):
                 exit_, own = model.backtraces(part, n, entry)[exit_]
@@ -462,15 +461,41 @@ def test_scan_equals_direct_segmentation(model):
             assert ids == model.segment(whole)
 
 
-def test_giant_texts(spark, model, monkeypatch):
+def test_matrices_combine_in_any_grouping(model):
+    whole = pieces.written("associative combination " * 20 + "日é")
+    made = [model.transfer(whole[at : at + 16 + model.longest - 1], min(16, len(whole) - at)) for at in range(0, len(whole), 16)]
+    left = made[0]
+    for m in made[1:]:
+        left = pieces.times(left, m)
+    while len(made) > 1:
+        made = [pieces.times(*made[k : k + 2]) if k + 1 < len(made) else made[k] for k in range(0, len(made), 2)]
+    assert np.array_equal(left, made[0]) and left[0, 0] == best_total(model, whole)
+
+
+def test_models_of_other_kinds(model, monkeypatch):
+    assert model.by_words
+    other = pieces.Pieces(pieces.default_model())
+    other.scores["e▁t"] = (5.0, 999)
+    other.starts |= {"e▁", "e▁t"}
+    other.by_words = not any("▁" in p.lstrip("▁") for p in other.scores)
+    text = " ".join(["we two"] * 12)  # longer than what is segmented by tables
+    assert not other.by_words and np.frombuffer(other.encode([text])[0], "<i4").tolist() == other.segment(pieces.written(text)) and 999 in other.segment("▁we▁two")
+    monkeypatch.setattr(pieces, "written", lambda t: t)
+    with pytest.raises(ValueError, match="normalises"):
+        pieces.Pieces(pieces.default_model())
+
+
+@pytest.mark.parametrize("fan", [2, 32])
+def test_giant_texts(spark, model, monkeypatch, fan):
     monkeypatch.setattr(pieces, "GIANT", 20_000)
-    texts = [*TOKENS, prose(9000, 3), "y" * 40_000, "ab " * 15_000 + "é\n"]
+    monkeypatch.setattr(pieces, "FAN", fan)
+    texts = [*TOKENS, prose(9000, 3), "y" * 40_000, "ab " * 15_000 + "é\n", "a\n日" * 30_000]
     docs = docs_of(spark, texts + [texts[-1]]).withColumn("token_ids", F.lit("old"))
     found = pieces.encode(docs)
     got = {r["doc_id"]: (r["token_ids"], r["decoded"]) for r in pieces.decode(found).collect()}
     for k, text in enumerate(texts):
         if text:
-            assert bytes(got[k][0]) == np.array(model.segment(pieces.written(text)), "<i4").tobytes() if len(text) > 20_000 else model.encode([text])[0]
+            assert bytes(got[k][0]) == np.array(model.segment(pieces.written(text)), "<i4").tobytes()
         assert got[k][1] == (text or "")
     assert got[len(texts)][0] == got[len(texts) - 1][0]
     assert {r["doc_id"]: r["token_ids"] for r in pieces.encode_lists(docs.filter("doc_id = 5")).collect()}[5] == np.frombuffer(bytes(got[5][0]), "<i4").tolist()
