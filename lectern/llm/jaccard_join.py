@@ -13,10 +13,11 @@ tasks merge by sorting them together in numpy, which visits the elements in a he
   Sets of a and b elements that share T elements share at least T - max(T_a, T_b) + 1 of their short
   lists, T_a and T_b being the least overlaps that a and b ask of any partner; pairs that reach this
   are verified on whole texts.
-* Documents on longer lists are dealt to blocks of bounded size: by bands of set sizes, as sets of which one
-  is over 4/3 of the other can't link, and within a band by the list that they share first. Two blocks are
-  compared where some long list has documents in both, and blocks of neighbouring bands at most. A task searches
-  one pair of blocks by DivideSkip in memory and returns rows in proportion to its documents, not pairs.
+* A longer list is a group under a label, the least document on it; lists of one label are one group. A group is searched
+  in windows of neighbouring set sizes, as sets of which one is over 4/3 of the other can't link, and windows of
+  many documents in pairs of parts. A task searches some windows or one pair of parts by DivideSkip in memory, and
+  returns rows in proportion to its documents, not pairs. A pair that shares several labels counts under
+  the least, and a window whose documents all have the same lesser label first isn't searched.
 
 Every step reads the shared folder or the input again, so a lost executor repeats only its tasks.
 """
@@ -39,10 +40,10 @@ from lectern.llm.shingles import prefix_length, required_overlap, shingle_sets
 PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_SLICES = 64
-SHORT_LIST = 32
-#: A block holds up to so many documents and shingles in expectation. What shares a long list is dealt to as many
-#: as SPREAD blocks before they reach that, but to none of fewer than SMALL documents.
-BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1_500_000
+SHORT_LIST = 8
+#: A part of a window holds up to so many documents and shingles in expectation. Windows are dealt to as many as SPREAD
+#: parts before they reach that, but to none of fewer than SMALL documents; a task has windows of 2 * SMALL in all.
+PART_DOCS, PART_SHINGLES = 2048, 1_500_000
 SPREAD, SMALL = 8, 256
 #: Ratio of the set sizes of a band, a little over 4/3: sets that can link are in one band or in neighbouring ones.
 BAND = 1.34
@@ -50,6 +51,7 @@ BAND = 1.34
 #: each probe would be more than the lists' elements.
 SKIP, PROBE = 0.05, 12
 POSTINGS_A_BUCKET = 250_000
+MOST_TASKS = 100_000  # further buckets are merged one after the other by the same tasks
 BLOOM_SIZE = 8_388_593  # a prime; bits of the filter that keeps texts nobody asks for out of a shuffle
 
 
@@ -180,8 +182,24 @@ def _packed(post: list[tuple[int, int, np.ndarray]], buckets: int) -> pa.RecordB
     )
 
 
+def _merge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets of a task, whose rows come one bucket after the other."""
+    held, now = [], None
+    for batch in batches:
+        bucket = batch.column("bucket").to_numpy()
+        edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            if held and bucket[a] != now:
+                yield from _merge_bucket(pa.Table.from_batches(held)).to_batches()
+                held = []
+            now = bucket[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield from _merge_bucket(pa.Table.from_batches(held)).to_batches()
+
+
 def _merge_bucket(table: pa.Table) -> pa.Table:
-    """Inverted lists of one bucket: pairs on short lists and how many they share; star: a long list's first and each member."""
+    """Inverted lists of one bucket: pairs on short lists and how many they share; star: a long list's label and each member."""
     ids, sizes, hashes = [], [], []
     for i, s, c, h in zip(*(table.column(k).to_pylist() for k in ("ids", "sizes", "lengths", "hashes")), strict=True):
         count = np.frombuffer(c, np.int32)
@@ -209,7 +227,7 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
     if not left:
         return pa.table({"star": pa.array([], pa.bool_()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
     a, b, star = np.concatenate(left), np.concatenate(right), np.concatenate(kind)
-    low, high = np.minimum(a, b), np.maximum(a, b)
+    low, high = np.minimum(a, b), np.maximum(a, b)  # a label is the least already
     order = np.lexsort((high, low, star))
     low, high, star = low[order], high[order], star[order]
     new = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (star[1:] != star[:-1])))
@@ -278,8 +296,8 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = low
 
 
-def divide_skip(sets: list[np.ndarray], side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All linked pairs (i, j) among sets; with side, only pairs of which one is on each side.
+def divide_skip(sets: list[np.ndarray], side: np.ndarray | None = None, idle: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All linked pairs (i, j) among sets; with side, only pairs of which one is on each side; with idle, none of two idle sets.
 
     Queries go by size; a query of n looks among sets that come after it and have up to 4/3 n elements, where
     T = required_overlap(n, n) or more are shared. Of its inverted lists the L longest are put aside, the
@@ -326,6 +344,8 @@ def divide_skip(sets: list[np.ndarray], side: np.ndarray | None = None) -> tuple
         near = np.flatnonzero(count >= t - put_aside)
         if side is not None:
             near = near[side[order[q]] != side[order[near + q + 1]]]
+        if idle is not None and idle[order[q]]:
+            near = near[~idle[order[near + q + 1]]]
         if not len(near):
             continue
         total = count[near]
@@ -343,24 +363,33 @@ def divide_skip(sets: list[np.ndarray], side: np.ndarray | None = None) -> tuple
     return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
-def _search_blocks(table: pa.Table) -> pa.Table:
-    """Links within a block, or between two blocks: a row for each linked document."""
-    table = table.group_by(["doc_id", "text", "copies", "least", "most", "block", "i", "j"]).aggregate([]).sort_by("doc_id")
-    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+def _search_task(table: pa.Table) -> pa.Table:
+    """Links within the windows of a task, or between two parts of one: a row for each linked document and window."""
+    table = table.group_by([c for c in table.column_names if c != "task"]).aggregate([]).sort_by([("label", "ascending"), ("win", "ascending"), ("doc_id", "ascending")])
     sets = list(shingle_sets(table.column("text").to_pylist()))
-    # of several texts of one doc_id only those of the block's band
     size = np.array([len(s) for s in sets])
-    own = np.flatnonzero((size >= table.column("least").to_numpy()) & (size <= table.column("most").to_numpy()))
-    sets, table = [sets[k] for k in own], table.take(pa.array(own))
-    ids, copies = table.column("doc_id").to_numpy(), table.column("copies").to_numpy()
-    side = None if i == j else (table.column("block").to_numpy() == i)
-    a, b = divide_skip(sets, side)
-    root = local_roots(len(ids), a, b)
-    links = np.zeros(len(ids), np.int64)
-    np.add.at(links, a, copies[b])
-    np.add.at(links, b, copies[a])
-    keep = links > 0
-    return pa.table({"doc_id": ids[keep], "root": ids[root][keep], "links": links[keep]})
+    label, win, ids, copies, home, part, least, most = (table.column(c).to_numpy() for c in ("label", "win", "doc_id", "copies", "home", "part", "least", "most"))
+    low, before = np.array(table.column("low").to_pylist(), bool), table.column("before").to_pylist()
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    edge = np.flatnonzero(np.concatenate(([True], (label[1:] != label[:-1]) | (win[1:] != win[:-1]), [True])))
+    out = []
+    for start, stop in zip(edge[:-1], edge[1:], strict=True):
+        # of several texts of one doc_id those of the window's sizes
+        own = start + np.flatnonzero((size[start:stop] >= least[start:stop]) & (size[start:stop] <= most[start:stop]))
+        a, b = divide_skip([sets[k] for k in own], None if i == j else part[own] == i, low[own])
+        a, b = own[a], own[b]
+        first = home[a] == label[start]
+        for k in np.flatnonzero(home[a] != home[b]):
+            first[k] = set(before[a[k]].split(",")).isdisjoint(before[b[k]].split(",")) or not before[a[k]]
+        a, b = a[first] - start, b[first] - start
+        links = np.zeros(stop - start, np.int64)
+        np.add.at(links, a, copies[start + b])
+        np.add.at(links, b, copies[start + a])
+        root = local_roots(stop - start, a, b)
+        keep = np.flatnonzero(links)
+        out.append((ids[start + keep], ids[start + root[keep]], links[keep]))
+    columns = [np.concatenate([o[c] for o in out]) for c in range(3)]
+    return pa.table({"doc_id": columns[0], "root": columns[1], "links": columns[2]})
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
@@ -383,28 +412,28 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         classes = member.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n"))
         classes = place.table(classes, "classes")
         member = place.table(member.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep", "set_key", "n"), "member")
-        merged = place.table(
-            index.filter("kind = 'postings'").select("bucket", "ids", "sizes", "lengths", "hashes").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_merge_bucket, "star boolean, a long, b long, shared long"),
-            "merged",
-        )
+        postings = index.filter("kind = 'postings'").select("bucket", "ids", "sizes", "lengths", "hashes")
+        postings = postings.repartitionById(min(buckets, MOST_TASKS), F.col("bucket") % min(buckets, MOST_TASKS)).sortWithinPartitions("bucket")
+        merged = place.table(postings.mapInArrow(_merge_buckets, "star boolean, a long, b long, shared long"), "merged")
         rep = member.select("doc_id", "rep", "n").groupBy("doc_id", "rep").agg(F.max("n").alias("n"))
-        found = (
-            merged.groupBy("star", "a", "b").agg(F.sum("shared").alias("shared"))
+        short = (
+            merged.filter("not star").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
             .join(rep.withColumnsRenamed({"doc_id": "a", "rep": "ra", "n": "na"}), "a")
             .join(rep.withColumnsRenamed({"doc_id": "b", "rep": "rb", "n": "nb"}), "b")
             .filter("ra <> rb")
-            .groupBy("star", F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+            .groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
             .agg(F.sum("shared").alias("shared"), F.min(F.expr(f"({PERCENT} * (na + nb) + {99 + PERCENT}) div {100 + PERCENT} - ({PERCENT} * greatest(na, nb) + 99) div 100 + 1")).alias("least"))
-            .filter("star or shared >= least")
+            .filter("shared >= least")
         )
-        found = place.table(found.select("star", "a", "b"), "found")
+        short = place.table(short.select("a", "b"), "short")
+        to_rep = rep.select("doc_id", "rep")
+        stars = merged.filter("star").select("a", "b").distinct().join(to_rep.withColumnsRenamed({"doc_id": "a", "rep": "label"}), "a").join(to_rep.withColumnsRenamed({"doc_id": "b", "rep": "id"}), "b")
+        stars = place.table(stars.select("label", "id").union(stars.select("label", "label")).distinct(), "stars")
         sizes = classes.groupBy("rep").agg(F.sum("copies").alias("copies"))
-        stars = found.filter("star").select("a", "b")
-        blocks = place.table(_blocks(stars, classes, sizes), "blocks")
-        block_pairs = place.table(_block_pairs(stars, blocks), "block_pairs")
-        pairs = _short_list_pairs(found, blocks, block_pairs, place)
-        linked = place.table(_verified(pairs, docs).distinct(), "linked")
-        dense = place.table(_block_links(blocks, block_pairs, docs), "dense")
+        linked = place.table(_verified(_short_list_pairs(short, stars, place), docs).distinct(), "linked")
+        labels = place.table(stars.groupBy("id").agg(F.sort_array(F.collect_set("label")).alias("labels")), "labels")  # one for each of its short lists at most
+        windows = place.table(_windows(labels, classes, sizes), "windows")
+        dense = place.table(_window_links(windows, _window_parts(windows, place), labels, docs), "dense")
         weight = sizes.select(F.col("rep").alias("other"), "copies")
         both = linked.select(F.col("a").alias("doc_id"), F.col("b").alias("other")).union(linked.select("b", "a"))
         links = both.join(weight, "other").select("doc_id", F.col("copies").alias("links")).union(dense.select("doc_id", "links"))
@@ -417,54 +446,48 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         return durable(out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
-def _blocks(stars: DataFrame, classes: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(doc_id, copies, least, most, band, block) of the documents on long lists: of texts in several bands, a row for each,
-    with the least and the largest of the sets' sizes there.
+def _windows(labels: DataFrame, classes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """A row for each document, label and window: that of its own band, and the next, where it is `low`.
 
-    A document's home is the least of its long lists' first documents. Homes of more than SMALL documents have blocks
-    of their own, smaller ones share blocks.
+    home is the document's least label, at the label's place among its labels. least and most are the least and
+    the largest of its sets' sizes in the band; a document of texts in several bands has rows for each.
     """
-    member = stars.select(F.col("b").alias("doc_id"), "a").union(stars.select("a", "a")).groupBy("doc_id").agg(F.min("a").alias("home"))
     band = F.floor(F.log("n") / F.log(F.lit(BAND))).alias("band")
-    rows = member.join(classes.groupBy(F.col("rep").alias("doc_id"), band).agg(F.min("n").alias("least"), F.max("n").alias("most")), "doc_id")
-    homes = rows.groupBy("band", "home").agg(F.count("*").alias("docs"), F.sum("most").alias("shingles"))
-    small = homes.filter(F.col("docs") <= SMALL).groupBy("band").agg(F.ceil(F.greatest(F.sum("docs") / (2 * SMALL), F.sum("shingles") / BLOCK_SHINGLES)).alias("buckets"))
-    dealt = homes.join(small, "band", "left").select(
-        "band",
-        "home",
-        F.when(F.col("docs") <= SMALL, F.concat_ws("/", "band", F.lit("all"), F.pmod(F.xxhash64("home"), "buckets"))).otherwise(F.concat_ws("/", "band", "home")).alias("name"),
-        F.when(F.col("docs") <= SMALL, 1)
-        .otherwise(F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("shingles") / BLOCK_SHINGLES, F.least(F.lit(SPREAD), F.col("docs") / SMALL))))
-        .alias("parts"),
-    )
-    block = F.concat_ws("/", "name", F.pmod(F.xxhash64("doc_id"), "parts"))
-    return rows.join(dealt, ["band", "home"]).join(sizes.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "copies", "least", "most", "band", block.alias("block"))
+    bands = classes.groupBy(F.col("rep").alias("id"), band).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    rows = labels.join(bands, "id").join(sizes.withColumnRenamed("rep", "id"), "id")
+    rows = rows.select("id", "copies", "least", "most", "band", F.col("labels")[0].alias("home"), F.posexplode("labels").alias("at", "label"))
+    rows = rows.withColumn("low", F.explode(F.array(F.lit(False), F.lit(True))))
+    return rows.withColumn("win", F.col("band") + F.col("low").cast("long")).drop("band")
+
+
+def _window_parts(windows: DataFrame, place: Scratch) -> DataFrame:
+    """(label, win, parts, task) of the windows to search; task is null for those that are split."""
+    found = windows.groupBy("label", "win").agg(F.count("*").alias("docs"), F.sum("most").alias("shingles"), F.count_if(~F.col("low")).alias("own"), F.min("home").alias("h"), F.max("home").alias("g"))
+    found = found.filter("own > 0 and docs > 1 and (h = label or h < g)")
+    parts = F.ceil(F.greatest(F.col("docs") / PART_DOCS, F.col("shingles") / PART_SHINGLES, F.least(F.lit(SPREAD), F.col("docs") / SMALL)))
+    found = place.table(found.select("label", "win", "docs", parts.cast("int").alias("parts")), "sizes")
+    tasks = (found.filter("parts = 1").agg(F.sum("docs")).first()[0] or 0) // (2 * SMALL) + 1
+    return found.select("label", "win", "parts", F.when(F.col("parts") == 1, F.concat(F.lit("some/"), F.pmod(F.xxhash64("label", "win"), F.lit(tasks)))).alias("task"))
 
 
-def _block_pairs(stars: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(i, j), i <= j: the blocks to compare, those of neighbouring bands that a long list has documents in."""
-    member = stars.union(stars.select("a", "a")).distinct()
-    touched = member.join(blocks.select(F.col("doc_id").alias("b"), "band", "block"), "b").select("a", "band", "block").distinct()
-    x, y = (touched.select("a", F.col("band").alias(f"band_{k}"), F.col("block").alias(k)) for k in "ij")
-    return x.join(y, "a").filter("i <= j and abs(band_i - band_j) <= 1").select("i", "j").distinct()
+def _window_links(windows: DataFrame, parts: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """DivideSkip over each window, in pairs of parts where it is split."""
+    part, other = F.col("part"), F.col("other")
+    before = F.concat_ws(",", F.slice("labels", F.lit(1), F.col("at")).cast("array<string>"))
+    rows = windows.join(parts, ["label", "win"]).join(labels, "id").withColumn("before", before).drop("labels", "at")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.withColumn("i", F.least(part, other)).withColumn("j", F.greatest(part, other)).drop("other", "parts")
+    rows = rows.withColumn("task", F.coalesce("task", F.concat_ws("/", "label", "win", "i", "j"))).withColumnRenamed("id", "doc_id")
+    return _with_texts(rows, docs).groupBy("task").applyInArrow(_search_task, "doc_id long, root long, links long")
 
 
-def _short_list_pairs(found: DataFrame, blocks: DataFrame, block_pairs: DataFrame, place: Scratch) -> DataFrame:
-    """Candidates of short lists, without those that a search of blocks compares anyway."""
-    short = place.table(found.filter("not star").select("a", "b"), "short")
-    x, y = (blocks.select(F.col("doc_id").alias(k), F.col("block").alias(f"block_{k}")) for k in "ab")
-    both = short.join(x, "a").join(y, "b").select("a", "b", F.least("block_a", "block_b").alias("i"), F.greatest("block_a", "block_b").alias("j"))
-    searched = both.join(block_pairs, ["i", "j"]).select("a", "b").distinct()
-    return place.table(short.join(searched, ["a", "b"], "left_anti"), "pairs")
+def _short_list_pairs(short: DataFrame, stars: DataFrame, place: Scratch) -> DataFrame:
+    """Candidates of short lists, without those that share a label, which a window's search compares."""
+    both = short.join(stars.withColumnRenamed("id", "a"), "a").join(stars.withColumnRenamed("id", "b"), ["b", "label"])
+    return place.table(short.join(both.select("a", "b").distinct(), ["a", "b"], "left_anti"), "pairs")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     asked = pairs.select(F.col("a").alias("hub"), F.col("b").alias("doc_id"), F.lit(1).alias("role"))
     asked = asked.union(pairs.select("a", F.col("a").alias("b"), F.lit(0)).distinct())
     return _with_texts(asked, docs).select("hub", "doc_id", "text", "role").repartition("hub").sortWithinPartitions("hub", "role", "doc_id").mapInArrow(_verify, "a long, b long")
-
-
-def _block_links(blocks: DataFrame, block_pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """DivideSkip over each pair of blocks."""
-    one = block_pairs.select(F.explode(F.array_distinct(F.array("i", "j"))).alias("block"), "i", "j")
-    return _with_texts(blocks.join(one, "block"), docs).groupBy("i", "j").applyInArrow(_search_blocks, "doc_id long, root long, links long")

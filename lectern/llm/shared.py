@@ -94,14 +94,15 @@ def connected_components(edges: DataFrame, place: Scratch, max_rounds: int = 60)
     Large-star and small-star rounds: each id links its larger neighbours to its smallest one, then
     its smaller neighbours likewise, until a round changes nothing. Every round is two aggregations
     with map-side minima and two joins, and its edges go to a scratch table, so a lost executor costs
-    one round. The number of rounds grows with the logarithm of the longest path.
+    one round. Minima do too: a join of two tables is one whose skewed keys adaptive execution splits, and a
+    large component has one. The number of rounds grows with the logarithm of the longest path.
     """
     def told(frame: DataFrame) -> tuple[int, int]:
         row = frame.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         return row["n"], row["h"]
 
-    def star(frame: DataFrame) -> DataFrame:
-        low = frame.groupBy("u").agg(F.min("v").alias("m"))
+    def star(frame: DataFrame, name: str) -> DataFrame:
+        low = place.table(frame.groupBy("u").agg(F.min("v").alias("m")), name)
         return frame.join(low, "u").select("u", "v", F.least("u", "m").alias("m"))
 
     now = place.table(
@@ -110,8 +111,8 @@ def connected_components(edges: DataFrame, place: Scratch, max_rounds: int = 60)
     before = told(now)
     for k in range(1, max_rounds + 1):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = star(large)
+        large = place.table(star(both, "low").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low = star(large, "lower")
         small = low.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         now = place.table(small.filter("u <> v").distinct(), f"cc{k}")
         place.drop(f"cc{k - 1}")

@@ -629,7 +629,7 @@ def test_jaccard_join(spark):
 def test_jaccard_join_of_long_lists(spark, monkeypatch, small):
     from lectern.llm import jaccard_join as module
 
-    monkeypatch.setattr(module, "BLOCK_DOCS", 20)
+    monkeypatch.setattr(module, "PART_DOCS", 20)
     monkeypatch.setattr(module, "SMALL", small)
     line = prose(30, 7)  # in many documents of all sizes, most of a few
     texts = near_copies(2, groups=3, size=70, words=40) + near_copies(3, groups=5)
@@ -661,6 +661,8 @@ def test_divide_skip_against_all_pairs(monkeypatch, skip, probe):
     side = np.arange(len(sets)) % 2
     a, b = divide_skip(sets, side)
     assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} == {p for p in want if side[p[0]] != side[p[1]]}
+    a, b = divide_skip(sets, idle=side == 1)
+    assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} == {p for p in want if side[p[0]] * side[p[1]] == 0}
 
 
 def test_bounds_of_the_search():
