@@ -125,6 +125,9 @@ def _pass(docs: DataFrame, items: DataFrame, size: int, percent: int) -> DataFra
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs whose text holds no item. Each row is judged by its own text, whatever its doc_id."""
+    """The rows of docs whose text holds no item. Each row is judged by its own text, whatever its doc_id.
+
+    Null and empty texts hold nothing and stay; without items all rows stay.
+    """
     keyed = docs.withColumn("__text", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     return without(keyed, contamination(keyed, benchmark, "__text").select("doc_id"), "__text").drop("__text")

@@ -123,5 +123,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def language_report(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every row of docs by a model of its own lang column.
+
+    Null texts and those without letters are UNDECIDED with score 0. A null doc_id counts as held out.
+    """
     found = identify(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), fit(docs))
     return found.select("doc_id", "held_out", "lang_pred", "score")

@@ -39,23 +39,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
 
     The rows of least hash of doc_id, so many of each label value that there are `rows` at most, and of
     them, in that order, those that fit into the value's share of `chars` characters; texts are whole and
-    one that doesn't fit is passed over. The same rows come whatever the partitions. Refused are more than
-    MAX_VALUES label values, fractions, and a sample without a value that some text is labelled with.
+    one that doesn't fit is passed over. The same rows come whatever the partitions. Labels keep their own
+    values, fractions too; null and NaN ones are no labels. A doc_id that is labelled in several ways counts under
+    each, and of several texts of one doc_id the greatest is taken. Refused are more than MAX_VALUES label
+    values, which nothing could be told about one by one, and a sample without a value that some text is
+    labelled with.
     """
-    raw = [r[0] for r in labels.filter(F.col(label).isNotNull()).select(label).distinct().limit(MAX_VALUES + 1).collect()]
-    if len(raw) > MAX_VALUES or any(float(v) != int(v) for v in raw):
-        raise ValueError(f"{label} holds fractions or more than {MAX_VALUES} values")
-    known = labels.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("long").alias("label")).distinct()
+    value = F.col(label).cast("double")
+    labels = labels.filter(value.isNotNull() & ~F.isnan(value)).select(F.col("doc_id").cast("long").alias("doc_id"), value.alias("label"))
+    if labels.select("label").distinct().limit(MAX_VALUES + 1).count() > MAX_VALUES:
+        raise ValueError(f"{label} holds more than {MAX_VALUES} values")
+    known = labels.filter(~held_out(F.col("doc_id"))).distinct()
     values = [r["label"] for r in known.select("label").distinct().orderBy("label").collect()]
     ids = None
     for v in values:
         some = known.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(-(-rows // max(1, len(values))))
         ids = some if ids is None else ids.unionByName(some)
     if ids is None:
-        return [], np.zeros(0, np.int64)
+        return [], np.zeros(0)
     keep = [tuple(r) for r in ids.collect()]  # at most `rows` and one for each value
     session = docs.sparkSession
-    chosen = F.broadcast(session.createDataFrame(keep, "doc_id long, label long"))
+    chosen = F.broadcast(session.createDataFrame(keep, "doc_id long, label double"))
     sized = docs.select("doc_id", F.length("text").alias("n")).join(chosen, "doc_id").filter("n > 0").groupBy("doc_id", "label").agg(F.max("n").alias("n"))
     order = sorted(sized.withColumn("h", F.xxhash64("doc_id")).collect(), key=lambda r: (r["h"], r["doc_id"]))
     left, within = dict.fromkeys(values, chars // len(values)), []
@@ -67,8 +71,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
     if without and not docs.filter("length(text) > 0").join(known.filter(F.col("label").isin(without)), "doc_id").isEmpty():
         raise ValueError(f"no text of {label} {without} fits into the sample of {rows} rows and {chars} characters")
     if not within:
-        return [], np.zeros(0, np.int64)
-    chosen = F.broadcast(session.createDataFrame(within, "doc_id long, label long"))
+        return [], np.zeros(0)
+    chosen = F.broadcast(session.createDataFrame(within, "doc_id long, label double"))
     found = docs.select("doc_id", "text").join(chosen, "doc_id").filter("length(text) > 0").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
     got = sorted(found.collect(), key=lambda r: r["doc_id"])
-    return [r["text"] for r in got], np.array([r["label"] for r in got], np.int64)
+    return [r["text"] for r in got], np.array([r["label"] for r in got])

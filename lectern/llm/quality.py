@@ -39,7 +39,7 @@ def _logistic(z: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class QualityModel:
-    grades: list[int]
+    grades: list[float]  # ascending, as they stand in the labels
     weights: np.ndarray
     thresholds: np.ndarray  # one fewer than grades, ascending
 
@@ -83,10 +83,11 @@ def train(texts: list[str], grades: np.ndarray) -> QualityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> QualityModel:
+    """Learns from labels on a bounded sample outside the held-out fold; grades may be any numbers. See labelled_sample."""
     return train(*labelled_sample(docs, labels, label, rows, chars))
 
 
-def rate(docs: DataFrame, model: QualityModel, wanted: int | None = None) -> DataFrame:
+def rate(docs: DataFrame, model: QualityModel, wanted: float | None = None) -> DataFrame:
     """docs with expected_grade, tail_prob (of reaching `wanted`, by default the highest grade) and selected
     (tail_prob >= SELECT) added; columns of those names are replaced. A null text counts as empty."""
     docs = docs.drop("expected_grade", "tail_prob", "selected")
@@ -107,5 +108,9 @@ def rate(docs: DataFrame, model: QualityModel, wanted: int | None = None) -> Dat
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, expected_grade, tail_prob and selected of every row of docs, null, empty and repeated ones too.
+
+    A null doc_id counts as held out. Without labels the only grade is 0 and every text reaches it.
+    """
     rated = rate(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), fit(docs, labels))
     return rated.select("doc_id", "held_out", "expected_grade", "tail_prob", "selected")

@@ -18,42 +18,52 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of embeddings: its links, component and whether it stays. Bad vectors link with nothing."""
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document and benchmark item with a window of 0.75 or more; null and empty texts hold none."""
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents: counts and digest of base spans, and all spans. A null text is empty."""
     return secret_report(_table(spark, sf_dir, "documents"))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of pages: host, path, rule and verdict. A null url fits no rule."""
     return url_filter.url_filter(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
 def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents: its place, length and checksum in the token files. A null text is the end id alone."""
     return token_files.token_report(_table(spark, sf_dir, "documents"))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents: ids counted and summed, and the round trip. A null text has no ids."""
     return pieces.piece_report(_table(spark, sf_dir, "documents"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents scored by a model of labels.toxic. A null text counts as empty."""
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents with its language. A null text is undecided."""
     return language_id.language_report(_table(spark, sf_dir, "documents"))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents: its shingles, component and links. A null text has and links with none."""
     return jaccard_join(_table(spark, sf_dir, "documents"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents rated by a model of labels.quality. A null text counts as empty."""
     return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 

@@ -212,7 +212,7 @@ def masked(text: str | None, spans: list[tuple[int, int, str]], mask: str) -> st
 
 
 def redact(docs: DataFrame, model: np.ndarray | None = None, min_ratio: float = MIN_RATIO, mask: str = "[SECRET]") -> DataFrame:
-    """docs with every span that secret_scan reports replaced by mask in text; all else is unchanged."""
+    """docs with every span that secret_scan reports replaced by mask in text; all else is unchanged, null texts too."""
     sent = docs.sparkSession.sparkContext.broadcast(default_model() if model is None else model)
     at = docs.columns.index("text")
 
@@ -225,6 +225,6 @@ def redact(docs: DataFrame, model: np.ndarray | None = None, min_ratio: float =
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of base spans, base_sha256 and spans of each row: the digest of secret_scan."""
+    """doc_id, counts of base spans, base_sha256 and spans of each row: the digest of secret_scan. A null text counts as empty."""
     found = secret_scan(docs.select("doc_id", "text"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_markov")

@@ -66,8 +66,14 @@ def train(texts: list[str], toxic: np.ndarray) -> ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ToxicityModel:
-    """Learns from labels.toxic on a bounded sample outside the held-out fold; see labelled_sample."""
-    return train(*labelled_sample(docs, labels, "toxic", rows, chars))
+    """Learns from labels.toxic on a bounded sample outside the held-out fold; see labelled_sample.
+
+    Labels other than 0 and 1 are refused. Of no labelled text, every text scores one half.
+    """
+    texts, toxic = labelled_sample(docs, labels, "toxic", rows, chars)
+    if not np.isin(toxic, (0, 1)).all():
+        raise ValueError("toxic holds other values than 0 and 1")
+    return train(texts, toxic)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -89,5 +95,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of docs, null, empty and repeated ones too, by a model of labels.
+
+    A null doc_id counts as held out. Equal texts score alike.
+    """
     scored = score_toxicity(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), fit(docs, labels))
     return scored.select("doc_id", "held_out", "score", "predicted")

@@ -543,10 +543,25 @@ def test_a_long_text_takes_no_other_out_of_the_sample(spark):
     got, y = ngrams.labelled_sample(docs, labels, "toxic", 3000, 14_000)
     known = {i for i in range(60) if zlib.crc32(str(i).encode()) % 5}
     assert sorted(got) == sorted(texts[i] for i in known if i >= 6) and set(y) == {0, 1}
-    for bad, chars in ((labels, 200), (labels.withColumn("toxic", F.col("toxic") / 2), 14_000), (labels.withColumn("toxic", F.col("doc_id") * 2 + 99), 14_000)):
-        many = bad.unionByName(spark.range(200, 210).select(F.col("id").alias("doc_id"), F.col("id").cast("double").alias("toxic"))) if bad is not labels else bad
+    more = spark.range(200, 280).select(F.col("id").alias("doc_id"), F.col("id").alias("toxic"))
+    for bad, chars in ((labels, 200), (labels.unionByName(more), 14_000)):
         with pytest.raises(ValueError):
-            ngrams.labelled_sample(docs, many, "toxic", 3000, chars)
+            ngrams.labelled_sample(docs, bad, "toxic", 3000, chars)
+    with pytest.raises(ValueError, match="other values"):
+        toxicity.fit(docs, labels.withColumn("toxic", F.col("toxic") / 2))
+
+
+def test_labels_keep_their_values(spark):
+    docs = docs_of(spark, [f"text {i}" for i in range(40)] + [(3, "text 3"), (None, "none")])
+    grades = [(i, 0.5 + i % 7 * 1.5) for i in range(40)] + [(3, 99.5), (None, 4.0), (5, None), (6, float("nan")), (7, 0.5 + 7 % 7 * 1.5)]
+    labels = spark.createDataFrame(grades, "doc_id long, quality double")
+    texts, y = ngrams.labelled_sample(docs, labels, "quality", 3000, 10_000)
+    want = sorted((f"text {i}", g) for i, g in set(grades[:41]) if zlib.crc32(str(i).encode()) % 5)
+    assert sorted(zip(texts, y.tolist(), strict=True)) == want
+    model = quality.fit(docs, labels)
+    assert model.grades == sorted({g for _, g in want}) and (np.diff(model.thresholds) > 0).all()
+    rated = quality.rate(docs, model, wanted=2.0).toPandas()
+    assert rated.expected_grade.between(model.grades[0], model.grades[-1]).all()
 
 
 def test_labels_of_the_held_out_fold_are_not_learned(spark):
@@ -556,6 +571,89 @@ def test_labels_of_the_held_out_fold_are_not_learned(spark):
     assert (a.weights == b.weights).all() and a.bias == b.bias
 
 
+TEN = ["a bad word here", "good day to you", "bad bad luck", "you are bad", "a fine day", "the day is good", "bad", "", "daylight", "wordy word"]
+
+
+def grams(text, n):
+    return [text[i : i + n] for i in range(len(text) - n + 1)]
+
+
+def test_toxicity_by_plain_counting(monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 1)
+    toxic = np.array([1, 0, 1, 1, 0, 0, 1, 0, 0, 0])
+    cell = {g: int(ngrams.char_ngrams(g, (5,), toxicity.BITS)[0]) for t in TEN for g in grams(t, 5)}
+    assert len(set(cell.values())) == len(cell)  # none of these share a cell
+    ratio = {g: np.log((sum(g in t for t, y in zip(TEN, toxic) if y) + 1) / (toxic.sum() + 2)) - np.log((sum(g in t for t, y in zip(TEN, toxic) if not y) + 1) / ((1 - toxic).sum() + 2)) for g in cell}
+    names = sorted(ratio)
+    x = np.array([[ratio[g] * (g in t) for g in names] for t in TEN])
+    share = np.where(toxic == 1, 0.5 / toxic.sum(), 0.5 / (1 - toxic).sum())
+    w, grow, bias, bias_grow = np.zeros(len(names)), np.full(len(names), 1e-8), 0.0, 1e-8
+    for _ in range(toxicity.ROUNDS):
+        off = (1 / (1 + np.exp(-(x @ w + bias))) - toxic) * share
+        g = x.T @ off + toxicity.PENALTY * w / len(TEN)
+        grow, bias_grow = grow + g * g, bias_grow + off.sum() ** 2
+        w, bias = w - toxicity.RATE * g / np.sqrt(grow), bias - toxicity.RATE * off.sum() / np.sqrt(bias_grow)
+    model = toxicity.train(TEN, toxic)
+    for t in [*TEN, "a bad day", None]:
+        want = 1 / (1 + np.exp(-(bias + sum(w[names.index(g)] * ratio[g] for g in set(grams(t or "", 5)) & set(names)))))
+        assert model.score(t) == pytest.approx(want, abs=1e-4)
+
+
+def test_language_posteriors_by_plain_counting(spark):
+    texts = [("the cat", "en"), ("the dog and the cat", "en"), ("le chat", "fr"), ("le chien et le chat", "fr"), ("der hund", "de"), ("THE END", "en"), ("ça va", "fr"), ("", "de"), (None, "fr"), ("nobody", None)]
+    rows = [(i, *texts[k]) for k, i in enumerate(i for i in range(40) if zlib.crc32(str(i).encode()) % 5) if k < len(texts)]
+    rows += [(i, "x y z", "xx") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0] + [(None, "q", "qq")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs.repartition(3))
+    assert model.languages == ["de", "en", "fr"]
+    known = [(t.lower(), lang) for t, lang in texts if t is not None and lang]
+    cells = lambda t: [int(c) for n in (1, 2, 3) for g in grams(t.lower(), n) for c in ngrams.char_ngrams(g, (n,), language_id.BITS)]
+    count = {lang: np.bincount(sum((cells(t) for t, z in known if z == lang), []), minlength=1 << language_id.BITS) + language_id.SMOOTHING for lang in model.languages}
+    for t in ("the", "le", "Der Hund!", "qqq", "a"):
+        z = np.array([np.log(sum(x == lang for _, x in known) / len(known)) + np.log(count[lang] / count[lang].sum())[cells(t)].sum() for lang in model.languages])
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        names, scores = model.predict([t])
+        assert names == [model.languages[int(z.argmax())]] and scores[0] == pytest.approx(p.max(), abs=1e-4)
+    even = language_id.LanguageModel(["aa", "bb"], np.log([0.5, 0.5]), np.zeros((1 << language_id.BITS, 2), np.float32))
+    assert even.predict(["tie", None, "1"]) == (["aa", "und", "und"], [0.5, 0.0, 0.0])
+
+
+def test_quality_by_plain_likelihood(monkeypatch):
+    grades = np.array([0.5, 3, 0.5, 3, 7, 7, 0.5, 3, 3, 7])
+    model = quality.train(TEN, grades)
+    known = [0.5, 3, 7]
+    assert model.grades == known
+    x = np.stack([quality.features(t) for t in TEN]).astype(float)
+
+    def loss(weights, thresholds):
+        upto = np.hstack([np.zeros((10, 1)), 1 / (1 + np.exp(-(thresholds[None, :] - (x @ weights)[:, None]))), np.ones((10, 1))])
+        y = np.array([known.index(g) for g in grades])
+        return -np.log(upto[np.arange(10), y + 1] - upto[np.arange(10), y]).mean() + quality.PENALTY / 2 * (weights**2).sum()
+
+    w, theta = model.weights.astype(float), np.array(model.thresholds)
+    here, r = loss(w, theta), np.random.default_rng(1)
+    start = np.log(np.array([0.3, 0.7]) / (1 - np.array([0.3, 0.7])))
+    assert here < loss(np.zeros_like(w), start) - 0.5
+    for _ in range(20):  # near a minimum: no step of some length in any direction leads lower
+        way = r.standard_normal(len(w)) * (x != 0).any(axis=0)
+        assert loss(w + way / np.linalg.norm(way), theta) > here - 0.01 and loss(w, theta + r.standard_normal(2) * 0.3) > here - 0.01
+    for t in TEN:
+        above = 1 / (1 + np.exp(-(quality.features(t) @ model.weights - model.thresholds)))
+        got = model.above(quality.features(t)[None, :])
+        assert got[0] == pytest.approx(above, abs=1e-6) and (np.diff(above) < 0).all()
+        assert model.expected(got)[0] == pytest.approx(0.5 * (1 - above[0]) + 3 * (above[0] - above[1]) + 7 * above[1], abs=1e-5)
+
+
+def test_repeated_rows_and_ties_score_alike(spark):
+    docs, labels = labelled(spark, 120)
+    twice = docs.unionByName(docs).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
+    for report, columns in ((toxicity.toxicity_report, ["score"]), (quality.quality_report, ["expected_grade", "tail_prob"])):
+        got = report(twice, labels)
+        assert got.count() == 241 and got.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), *(F.count_distinct(c).alias(c) for c in columns)).filter(" or ".join(["n <> 2", *(f"{c} <> 1" for c in columns)])).count() == 0
+    got = language_id.language_report(twice)
+    assert got.count() == 241 and {r["lang_pred"] for r in got.collect()} == {"en"}
+
+
 def test_language_id(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     got = language_id.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
