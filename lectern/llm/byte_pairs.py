@@ -18,10 +18,12 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from lectern.llm.packed import Places, Remembered, bytes_of, laid_out, pieces_of, starts_of
+
 #: Longer pre-tokens aren't merged in columns but given to the library.
 WIDE = 32
 #: Pre-tokens merged at once, and those remembered from one call to the next.
-TOGETHER, REMEMBERED = 20_000, 150_000
+TOGETHER, REMEMBERED = 20_000, 300_000
 
 _SPACE, _LETTER, _DIGIT, _SIGN, _OTHER, _BLANK = range(6)  # _OTHER: unknown, no white space; _BLANK: unknown
 _NONE = np.iinfo(np.int32).max
@@ -141,20 +143,13 @@ class BytePairs:
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         order = np.argsort(key, kind="stable")
         first = np.concatenate(([True], key[order][1:] != key[order][:-1]))
-        self._rank_of, self._made = order[first].astype(np.int32), made
-        self._levels = _hashed(key[order][first])
-        self._known = pa.array([], pa.large_binary())
-        self._known_ids, self._known_sizes = np.zeros(0, dtype), np.zeros(0, np.int64)
+        self._rank_of, self._made = np.append(order[first], _NONE).astype(np.int32), made
+        self._pairs = Places(key[order][first].view(np.uint64))
+        self._distinct = Remembered(self._fresh, REMEMBERED, WIDE, dtype)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of the merge of each two symbols, _NONE where there is none."""
-        key = left * self._size + right
-        out = np.full(len(key), _NONE, np.int32)
-        for shift, odd, keys, at in self._levels:
-            slot = ((key.view(np.uint64) * odd) >> shift).astype(np.int64)
-            hit = keys[slot] == key
-            out[hit] = self._rank_of[at[slot[hit]]]
-        return out
+        return self._rank_of[self._pairs.find((left * self._size + right).view(np.uint64))]
 
     def _merged(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, numbers of ids) of pre-tokens of up to WIDE bytes, each merged by its lowest rank, leftmost first."""
@@ -195,64 +190,35 @@ class BytePairs:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, numbers of ids) of distinct pre-tokens; those asked for before are looked up."""
-        seen = _positions(words, self._known)
-        new = np.flatnonzero(seen < 0)
-        data, ends = _bytes(words)
-        start, size = ends[:-1][new], np.diff(ends)[new]
+    def _fresh(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, numbers of ids) of distinct pre-tokens."""
+        data, ends = bytes_of(words)
+        start, size = ends[:-1], np.diff(ends)
         order = np.argsort(size, kind="stable")
-        parts, numbers = [], np.zeros(len(new), np.int64)
+        parts, numbers = [np.zeros(0, self._dtype)], np.zeros(len(words), np.int64)
         short = order[: np.searchsorted(size[order], WIDE, "right")]
         for top in range(0, len(short), TOGETHER):
             some = short[top : top + TOGETHER]
-            ids, number = self._merged(data, start[some], size[some])
+            ids, numbers[some] = self._merged(data, start[some], size[some])
             parts.append(ids)
-            numbers[some] = number
         for k in order[len(short) :]:
             ids = self._library([data[start[k] : start[k] + size[k]].tobytes().decode()])[0]
             parts.append(np.array(ids, self._dtype))
             numbers[k] = len(ids)
-        made = np.concatenate([*parts, np.zeros(0, self._dtype)])
-        place = np.zeros(len(new), np.int64)
-        place[order] = np.concatenate(([0], np.cumsum(numbers[order])))[:-1] if len(new) else 0
-        # known ones first, then those made now
-        known_at = np.concatenate(([0], np.cumsum(self._known_sizes)))
-        at, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        old = np.flatnonzero(seen >= 0)
-        at[old], number[old] = known_at[seen[old]], self._known_sizes[seen[old]]
-        at[new], number[new] = place + len(self._known_ids), numbers
-        ids = _laid_out(np.concatenate([self._known_ids, made]), at, number)
-        keep = np.flatnonzero((number <= WIDE) & (np.diff(ends) <= WIDE))
-        if len(new):
-            self._remember(words, ids, number, old, new, keep)
-        return ids, number
-
-    def _remember(self, words: pa.Array, ids: np.ndarray, number: np.ndarray, old: np.ndarray, new: np.ndarray, keep: np.ndarray) -> None:
-        """Adds new pre-tokens; where that would be too many, those of the last call alone stay."""
-        starts = np.concatenate(([0], np.cumsum(number)))[:-1]
-        fresh = len(self._known) + len(new) > REMEMBERED
-        take = (keep if fresh else np.intersect1d(keep, new, assume_unique=True))[:REMEMBERED]
-        more = words.take(pa.array(take))
-        own = _laid_out(ids, starts[take], number[take])
-        if fresh:
-            self._known, self._known_ids, self._known_sizes = more, own, number[take]
-        else:
-            self._known = pa.concat_arrays([self._known, more])
-            self._known_ids = np.concatenate([self._known_ids, own])
-            self._known_sizes = np.concatenate([self._known_sizes, number[take]])
+        at = np.empty(len(words), np.int64)
+        at[order] = starts_of(numbers[order])
+        return laid_out(np.concatenate(parts), at, numbers), numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, numbers of ids of each) of an array of strings; a null is empty."""
-        data, ends = _bytes(texts.cast(pa.large_binary()))
+        data, ends = bytes_of(texts.cast(pa.large_binary()))
         if not len(data):
             return np.zeros(0, self._dtype), np.zeros(len(texts), np.int64)
         raw = data.tobytes() if self._special else b""
         if any(s in raw for s in self._special):
             return self._around_special(texts, data, ends)
         start, strange = pre_tokens(data, ends[1:])
-        bounds = np.concatenate((start, [len(data)])).astype(np.int64)
-        words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        words = pieces_of(data, start)
         if strange.any():
             odd = words.filter(pa.array(strange)).dictionary_encode()
             found = self._library([w.decode() for w in odd.dictionary.to_pylist()])
@@ -267,11 +233,10 @@ class BytePairs:
             coded = words.dictionary_encode()
             ids, number = self._distinct(coded.dictionary)
             which = coded.indices.to_numpy()
-        at = np.concatenate(([0], np.cumsum(number)))[:-1]
-        each = number[which]
+        at, each = starts_of(number), number[which]
         total = np.concatenate(([0], np.cumsum(each)))
         where = np.searchsorted(start, ends)  # a text's first token
-        return _laid_out(ids, at[which], each), np.diff(total[where])
+        return laid_out(ids, at[which], each), np.diff(total[where])
 
     def _around_special(self, texts: pa.Array, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Texts that hold a special token go to the library whole, the others together."""
@@ -282,51 +247,9 @@ class BytePairs:
         sizes[~special], sizes[special] = number, [len(f) for f in found]
         at = np.empty(len(texts), np.int64)
         both = np.concatenate([number, np.array([len(f) for f in found], np.int64)])
-        starts = np.concatenate(([0], np.cumsum(both)))[:-1]
+        starts = starts_of(both)
         at[~special], at[special] = starts[: len(number)], starts[len(number) :]
-        return _laid_out(np.concatenate([ids, *(np.array(f, self._dtype) for f in found)]), at, sizes), sizes
-
-
-def _bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets from 0) of an array of large binaries; nulls are empty."""
-    array = array.fill_null(b"") if array.null_count else array
-    ends = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
-    if not len(array) or ends[-1] == ends[0]:
-        return np.zeros(0, np.uint8), np.zeros(len(array) + 1, np.int64)
-    return np.frombuffer(array.buffers()[2], np.uint8)[ends[0] : ends[-1]], ends - ends[0]
-
-
-def _positions(words: pa.Array, known: pa.Array) -> np.ndarray:
-    """For each word its place among the known ones, or -1."""
-    if not len(known):
-        return np.full(len(words), -1, np.int64)
-    import pyarrow.compute as pc
-
-    return pc.index_in(words, known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def _laid_out(ids: np.ndarray, at: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """The ids at[k] to at[k] + number[k] of every k, one after the other."""
-    stop = np.cumsum(number)
-    total = int(stop[-1]) if len(stop) else 0
-    return ids[np.repeat(at - (stop - number), number) + np.arange(total)]
-
-
-def _hashed(keys: np.ndarray) -> list[tuple[np.uint64, np.uint64, np.ndarray, np.ndarray]]:
-    """Tables of (shift, factor, keys by slot, positions by slot); a key is in the first one where its slot was free."""
-    tables, left, factor = [], np.arange(len(keys)), 0x9E3779B97F4A7C15
-    while len(left):
-        bits = max(4, int(len(left)).bit_length() + 2)
-        odd, shift = np.uint64(factor), np.uint64(64 - bits)
-        with np.errstate(over="ignore"):
-            slot = ((keys[left].view(np.uint64) * odd) >> shift).astype(np.int64)
-        _, first = np.unique(slot, return_index=True)
-        held, at = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
-        held[slot[first]], at[slot[first]] = keys[left[first]], left[first]
-        tables.append((shift, odd, held, at))
-        left = np.delete(left, first)
-        factor = (factor * 0xD6E8FEB86659FD93 + 0x51ED270B) & (1 << 64) - 1 | 1
-    return tables
+        return laid_out(np.concatenate([ids, *(np.array(f, self._dtype) for f in found)]), at, sizes), sizes
 
 
 def load(path: str):

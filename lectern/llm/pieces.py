@@ -30,17 +30,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lectern.llm.batches import slices, widened
+from lectern.llm.packed import Places, Remembered, bytes_of, laid_out, pieces_of, starts_of
 from lectern.llm.shared import Scratch, durable, scratch
-from lectern.llm.word_cache import WordCache
 
 GIANT, CHUNK = 65_536, 16_384
 FAN = 32  # neighbouring matrices that a task combines
-CACHE_WORDS, WORD_CHARS = 100_000, 40
+SLICE_BYTES = 2 << 20  # of texts that are encoded at once
+REMEMBERED, WORD_BYTES = 300_000, 40  # words remembered from one slice to the next
 TOGETHER, TOGETHER_CHARS = 40_000, 48  # characters segmented at once, about, and those of the longest word among them
 MARK = "▁"
 _LOW = -1e300
@@ -82,15 +84,16 @@ class Pieces:
         self.starts = {p[:k] for p in self.scores for k in range(1, len(p) + 1)}
         self.unknown = min(s for s, _ in self.scores.values()) - 10.0
         keys = np.array([_hash(p) for p in self.starts], np.uint64)
-        order = np.argsort(keys)
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two beginnings of pieces share a hash")
         found = [self.scores.get(p, (-np.inf, -2)) for p in self.starts]
-        self._keys = keys[order]
-        self._scores = np.array([f[0] for f in found])[order]
-        self._ids = np.array([f[1] for f in found], np.int32)[order]
-        self._cut = re.compile(f"(?<=[^ {MARK}])[ {MARK}]")
-        self._cache = WordCache(self._fresh, CACHE_WORDS, WORD_CHARS)
+        self._prefixes = Places(keys)
+        self._scores = np.array([f[0] for f in found])
+        self._ids = np.array([f[1] for f in found], np.int32)
+        self._flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self._sizes = np.array([len(b) for b in self.bytes_of], np.int64)
+        self._places = starts_of(self._sizes)
+        self._words = Remembered(self._fresh, REMEMBERED, WORD_BYTES, np.dtype("<i4"))
 
     def matches(self, text: str, at: int) -> Iterator[tuple[int, float, int]]:
         """(length, score, id or -1) of the pieces at a place, shorter ones first."""
@@ -148,33 +151,42 @@ class Pieces:
         entry[0] = 0.0
         return self.backtraces(text, len(text), entry)[0][1]
 
-    def _words(self, text: str) -> list[str]:
-        """The words of a text, each without the one space that goes before it; all of it, where words aren't independent."""
-        if not self.by_words:
-            return [text]
-        odd = "  " in text or MARK in text or text[:1] == " "
-        return self._cut.split(text) if odd else text.split(" ")
-
-    def _fresh(self, words: list[str]) -> list[bytes]:
-        """The ids of words, packed."""
-        full = [written(w) for w in words]
-        out: list[bytes | None] = [None] * len(full)
-        order = sorted((k for k in range(len(full)) if len(full[k]) <= TOGETHER_CHARS), key=lambda k: len(full[k]))
-        at = 0
-        while at < len(order):
-            some = order[at : at + TOGETHER // len(full[order[at]])]
-            while len(some) > 1 and len(some) * len(full[some[-1]]) > TOGETHER:
-                some = some[: max(1, TOGETHER // len(full[some[-1]]))]
-            for k, ids in zip(some, self.together([full[k] for k in some]), strict=True):
-                out[k] = ids
+    def _fresh(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, numbers of ids) of words, each of which is written with the space before it."""
+        data, ends = bytes_of(words)
+        text = data.tobytes().decode("utf-8", "surrogatepass")
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+        code[code == 0x20] = ord(MARK)
+        bounds = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[ends]
+        start, size = bounds[:-1], np.diff(bounds)
+        order = np.argsort(size, kind="stable")
+        parts, numbers, done, at = [np.zeros(0, "<i4")], np.zeros(len(words), np.int64), [np.zeros(0, np.int64)], 0
+        short = int(np.searchsorted(size[order], TOGETHER_CHARS, "right"))
+        while at < short:
+            some = order[at : min(short, at + TOGETHER // int(size[order[at]]))]
+            some = some[: max(1, TOGETHER // int(size[some[-1]]))]
             at += len(some)
-        return [np.array(self.segment(w), "<i4").tobytes() if o is None else o for w, o in zip(full, out, strict=True)]
-
-    def together(self, words: list[str]) -> list[bytes | None]:
-        """segment() of many short words at once; None where a character has to be spelt in several bytes."""
-        n, wide = len(words), max(map(len, words))
-        size = np.array([len(w) for w in words])
-        code = np.frombuffer("".join(w.ljust(wide, "\0") for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, wide)
+            wide = int(size[some[-1]])
+            place = start[some][:, None] + np.arange(wide)
+            ids, number, whole = self.together(np.where(np.arange(wide) < size[some][:, None], code[np.minimum(place, len(code) - 1)], 0), size[some])
+            parts.append(ids)
+            numbers[some[whole]] = number
+            done.append(some[whole])
+        odd = np.ones(len(words), bool)
+        odd[np.concatenate(done)] = False
+        for k in np.flatnonzero(odd):
+            ids = self.segment(code[start[k] : start[k] + size[k]].tobytes().decode("utf-32-le", "surrogatepass"))
+            parts.append(np.array(ids, "<i4"))
+            numbers[k] = len(ids)
+        done = np.concatenate([*done, np.flatnonzero(odd)])
+        places = np.empty(len(words), np.int64)
+        places[done] = starts_of(numbers[done])
+        return laid_out(np.concatenate(parts), places, numbers), numbers
+
+    def together(self, code: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """segment() of short words at once, rows of characters: (ids, numbers of ids, which words) of those in which no
+        character has to be spelt in several bytes."""
+        n, wide = code.shape
         reach = min(self.longest, wide)
         score = np.full((reach + 1, n, wide), -np.inf)
         ids = np.full((reach + 1, n, wide), -2, np.int32)
@@ -186,8 +198,8 @@ class Pieces:
         with np.errstate(over="ignore"):
             for k in range(1, reach + 1):
                 h = _step(h, code[word, place + k - 1])
-                at = np.minimum(np.searchsorted(self._keys, h), len(self._keys) - 1)
-                alive = self._keys[at] == h
+                at = self._prefixes.find(h)
+                alive = at >= 0
                 word, place, h, at = word[alive], place[alive], h[alive], at[alive]
                 piece = self._ids[at] >= 0
                 score[k][word[piece], place[piece]] = self._scores[at[piece]]
@@ -210,19 +222,44 @@ class Pieces:
             k = back[end[left], rows[left]]
             end[left] -= k
             out[left, column] = ids[k, left, end[left]]
-        used = out != -1
-        flat, stop = out[used].astype("<i4").tobytes(), np.cumsum(used.sum(axis=1)) * 4
-        odd = (out == -2).any(axis=1)
-        return [None if o else flat[a:b] for o, a, b in zip(odd.tolist(), [0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
+        whole = ~(out == -2).any(axis=1)
+        used = (out != -1) & whole[:, None]
+        return out[used].astype("<i4"), used.sum(axis=1)[whole], np.flatnonzero(whole)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, numbers of ids of each) of an array of strings; none for a null or empty one."""
+        full = spaced(texts)
+        data, ends = bytes_of(full)
+        if not len(data):
+            return np.zeros(0, "<i4"), np.zeros(len(texts), np.int64)
+        begin = np.zeros(len(data) + 1, bool)
+        begin[ends[1:]] = True
+        begin[ends[:-1]] = True
+        if self.by_words:  # a word begins with a space that no other goes before
+            blank = data == 0x20
+            begin[1:-1] |= blank[1:] & ~blank[:-1]
+        start = np.flatnonzero(begin[:-1])
+        words = pieces_of(data, start).dictionary_encode()
+        ids, numbers = self._words(words.dictionary)
+        which = words.indices.to_numpy()
+        each = numbers[which]
+        total = np.concatenate(([0], np.cumsum(each)))
+        return laid_out(ids, starts_of(numbers)[which], each), np.diff(total[np.searchsorted(start, ends)])
+
+    def spelt(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of pieces, one after the other."""
+        return laid_out(self._flat, self._places[ids], self._sizes[ids])
+
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        """The text of ids; the space in front, which encoding adds, is taken off."""
+        return self.spelt(np.asarray(ids, np.int64)).tobytes().removeprefix(b" ").decode("utf-8", "replace")
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as packed little-endian 32-bit integers; none for a null or empty one."""
-        return self._cache.joined([self._words(t) if t else [] for t in texts])
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids; the space in front, which encoding adds, is taken off."""
-        of = self.bytes_of
-        return b"".join([of[i] for i in ids]).removeprefix(b" ").decode("utf-8", "replace")
+def spaced(texts: pa.Array) -> pa.Array:
+    """Texts as they are cut: with a space in front of those that aren't empty, U+2581 taken for one; nulls are empty."""
+    texts = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), MARK, " ")
+    front = pa.array(np.where(pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), "", " "), pa.large_string())
+    return pc.binary_join_element_wise(front, texts, pa.scalar("", pa.large_string())).cast(pa.large_binary())
 
 
 def _step(h, code):
@@ -376,8 +413,10 @@ def encode(docs: DataFrame, model: str | None = None, then: Callable[[pa.RecordB
 
     def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model or default_model())
-        for batch in slices(batches):
-            ids = pa.array(pieces.encode(batch.column("text").to_pylist()), pa.binary())
+        for batch in slices(batches, SLICE_BYTES):
+            flat, numbers = pieces.encode(batch.column("text"))
+            ends = np.concatenate(([0], np.cumsum(numbers) * 4)).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(numbers), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
             yield finish(pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "token_ids"]))
 
     large = F.coalesce(F.length("text") > GIANT, F.lit(False))
@@ -396,7 +435,7 @@ def decode(encoded: DataFrame, model: str | None = None, into: str = "decoded")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model or default_model())
         for batch in slices(batches):
-            texts = [None if raw is None else pieces.decode(np.frombuffer(raw, "<i4").tolist()) for raw in batch.column("token_ids").to_pylist()]
+            texts = [None if raw is None else pieces.decode(np.frombuffer(raw, "<i4")) for raw in batch.column("token_ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, into])
 
     return encoded.mapInArrow(run, widened(encoded.schema, **{into: "string"}))
@@ -407,9 +446,8 @@ def encode_lists(docs: DataFrame, model: str | None = None) -> DataFrame:
     docs = docs.drop("token_ids")
 
     def lists(batch: pa.RecordBatch) -> pa.RecordBatch:
-        raw = [r or b"" for r in batch.column("token_ids").to_pylist()]
-        ends = pa.array(np.concatenate(([0], np.cumsum([len(r) // 4 for r in raw]))).astype(np.int32))
-        ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(raw), "<i4")))
+        raw, ends = bytes_of(batch.column("token_ids").cast(pa.large_binary()))
+        ids = pa.ListArray.from_arrays(pa.array((ends // 4).astype(np.int32)), pa.array(np.frombuffer(raw, "<i4")))
         return batch.set_column(batch.num_columns - 1, "token_ids", ids)
 
     return encode(docs, model, lists, StructType([*docs.schema.fields, StructField("token_ids", ArrayType(IntegerType()))]))
@@ -424,9 +462,19 @@ def piece_report(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     def report(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces = _pieces(model or default_model())
-        ids = batch.column("token_ids").to_pylist()
-        same = [pieces.decode(np.frombuffer(raw, "<i4").tolist()) == (t or "").replace(MARK, " ") for raw, t in zip(ids, batch.column("text").to_pylist(), strict=True)]
-        columns = [batch.column("doc_id"), pa.array([len(raw) // 4 for raw in ids], pa.int64()), pa.array([zlib.crc32(raw) for raw in ids], pa.int64()), pa.array(same, pa.bool_())]
+        raw, ends = bytes_of(batch.column("token_ids").cast(pa.large_binary()))
+        ids, at = np.frombuffer(raw, "<i4"), ends // 4
+        # what the ids spell against what was cut, all texts of the batch at once
+        told, (want, bounds) = pieces.spelt(ids), bytes_of(spaced(batch.column("text")))
+        size = np.concatenate(([0], np.cumsum(pieces._sizes[ids])))[at]
+        same = np.diff(size) == np.diff(bounds)
+        if same.all():
+            wrong = np.concatenate(([0], np.cumsum(told != want)))
+            same = wrong[bounds[1:]] == wrong[bounds[:-1]]
+        else:
+            same = np.array([told[size[k] : size[k + 1]].tobytes() == want[bounds[k] : bounds[k + 1]].tobytes() for k in range(batch.num_rows)], bool)
+        crc = [zlib.crc32(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        columns = [batch.column("doc_id"), pa.array(np.diff(at)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_crc32", "round_trip"])
 
     schema = widened(StructType([docs.schema["doc_id"]]), n_tokens="long", ids_crc32="long", round_trip="boolean")

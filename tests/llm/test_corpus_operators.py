@@ -419,6 +419,11 @@ def model():
     return pieces.Pieces(pieces.default_model())
 
 
+def piece_ids(model, texts):
+    ids, numbers = model.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(numbers)[:-1])] if texts else []
+
+
 def best_total(model, text):
     best = [0.0] + [-1e300] * len(text)
     for at in range(len(text)):
@@ -434,13 +439,17 @@ def total(model, ids):
 
 def test_pieces_round_trip_and_have_the_best_total(model):
     texts = [t for t in TOKENS if t] + ["▁x ▁▁y", "<s> </s> <0x41>", "x" * 900, "a   b", "   "]
-    for text, raw in zip(texts, model.encode(texts), strict=True):
-        ids = np.frombuffer(raw, "<i4").tolist()
+    for text, ids in zip(texts, piece_ids(model, texts), strict=True):
         assert model.decode(ids) == text.replace("▁", " ")
         assert ids == model.segment(pieces.written(text))
         if text.isascii() and "\n" not in text and "\t" not in text and "\v" not in text and "\0" not in text and "|" not in text:
             assert total(model, ids) == best_total(model, pieces.written(text))
-    assert model.encode([None, ""]) == [b"", b""]
+    assert piece_ids(model, [None, ""]) == [[], []] and piece_ids(model, []) == []
+    r = random.Random(2)
+    odd = ["".join(r.choices(["a", "the", " ", "  ", "▁", "é", "日", "\n", "x" * 30, ",", "\0", "\t", "ing"], k=r.randint(0, 12))) for _ in range(3000)]
+    for size in (3000, 7):  # all at once, and with what was remembered
+        got = sum((piece_ids(model, odd[k : k + size]) for k in range(0, 3000, size)), [])
+        assert all(ids == model.segment(pieces.written(t) if t else "") for t, ids in zip(odd, got, strict=True))
 
 
 def test_scan_equals_direct_segmentation(model):
@@ -479,7 +488,7 @@ def test_models_of_other_kinds(model, monkeypatch):
     other.starts |= {"e▁", "e▁t"}
     other.by_words = not any("▁" in p.lstrip("▁") for p in other.scores)
     text = " ".join(["we two"] * 12)  # longer than what is segmented by tables
-    assert not other.by_words and np.frombuffer(other.encode([text])[0], "<i4").tolist() == other.segment(pieces.written(text)) and 999 in other.segment("▁we▁two")
+    assert not other.by_words and piece_ids(other, [text])[0] == other.segment(pieces.written(text)) and 999 in other.segment("▁we▁two")
     monkeypatch.setattr(pieces, "written", lambda t: t)
     with pytest.raises(ValueError, match="normalises"):
         pieces.Pieces(pieces.default_model())
