@@ -41,16 +41,17 @@ PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_SLICES = 64
 SHORT_LIST = 8
-#: A part of a window holds up to so many documents and shingles in expectation. Windows are dealt to as many as SPREAD
-#: parts before they reach that, but to none of fewer than SMALL documents; a task has windows of 2 * SMALL in all.
-PART_DOCS, PART_SHINGLES = 2048, 1_500_000
-SPREAD, SMALL = 8, 256
+#: A part of a window holds up to so many documents and shingles in expectation; windows that aren't split share tasks
+#: of TASK_DOCS documents.
+PART_DOCS, PART_SHINGLES, TASK_DOCS = 1024, 1_500_000, 512
 #: Ratio of the set sizes of a band, a little over 4/3: sets that can link are in one band or in neighbouring ones.
 BAND = 1.34
 #: DivideSkip puts aside T / (SKIP * log2 of its longest list + 1) lists, and merges them too where PROBE steps for
 #: each probe would be more than the lists' elements.
 SKIP, PROBE = 0.05, 12
-POSTINGS_A_BUCKET = 250_000
+#: More buckets than a document has short lists, as a rule, so that what a bucket tells of a document, a label or a
+#: pair for several lists at once, doesn't depend on the table's size.
+POSTINGS_A_BUCKET, FEWEST_BUCKETS = 250_000, 256
 MOST_TASKS = 100_000  # further buckets are merged one after the other by the same tasks
 BLOOM_SIZE = 8_388_593  # a prime; bits of the filter that keeps texts nobody asks for out of a shuffle
 
@@ -405,7 +406,8 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with scratch(spark) as place:
         ranks, shingles = _shingle_ranks(docs)
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shingles // (4 * POSTINGS_A_BUCKET)))
+        buckets = max(FEWEST_BUCKETS, -(-shingles // (4 * POSTINGS_A_BUCKET)))
+        tasks = min(buckets, MOST_TASKS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shingles // (4 * POSTINGS_A_BUCKET))))
         index = place.table(docs.mapInArrow(_indexer(spark.sparkContext.broadcast(ranks), buckets), _INDEX_DDL), "index")
         known = index.filter("kind = 'doc'").select("doc_id", "n", "set_key")
         member = known.filter("set_key is not null and doc_id is not null").distinct()
@@ -413,7 +415,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         classes = place.table(classes, "classes")
         member = place.table(member.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep", "set_key", "n"), "member")
         postings = index.filter("kind = 'postings'").select("bucket", "ids", "sizes", "lengths", "hashes")
-        postings = postings.repartitionById(min(buckets, MOST_TASKS), F.col("bucket") % min(buckets, MOST_TASKS)).sortWithinPartitions("bucket")
+        postings = postings.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket")
         merged = place.table(postings.mapInArrow(_merge_buckets, "star boolean, a long, b long, shared long"), "merged")
         rep = member.select("doc_id", "rep", "n").groupBy("doc_id", "rep").agg(F.max("n").alias("n"))
         short = (
@@ -464,9 +466,9 @@ def _window_parts(windows: DataFrame, place: Scratch) -> DataFrame:
     """(label, win, parts, task) of the windows to search; task is null for those that are split."""
     found = windows.groupBy("label", "win").agg(F.count("*").alias("docs"), F.sum("most").alias("shingles"), F.count_if(~F.col("low")).alias("own"), F.min("home").alias("h"), F.max("home").alias("g"))
     found = found.filter("own > 0 and docs > 1 and (h = label or h < g)")
-    parts = F.ceil(F.greatest(F.col("docs") / PART_DOCS, F.col("shingles") / PART_SHINGLES, F.least(F.lit(SPREAD), F.col("docs") / SMALL)))
+    parts = F.ceil(F.greatest(F.col("docs") / PART_DOCS, F.col("shingles") / PART_SHINGLES))
     found = place.table(found.select("label", "win", "docs", parts.cast("int").alias("parts")), "sizes")
-    tasks = (found.filter("parts = 1").agg(F.sum("docs")).first()[0] or 0) // (2 * SMALL) + 1
+    tasks = (found.filter("parts = 1").agg(F.sum("docs")).first()[0] or 0) // TASK_DOCS + 1
     return found.select("label", "win", "parts", F.when(F.col("parts") == 1, F.concat(F.lit("some/"), F.pmod(F.xxhash64("label", "win"), F.lit(tasks)))).alias("task"))
 
 

@@ -732,12 +732,12 @@ def test_jaccard_join(spark):
     assert jaccard_join(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("small", [5, 40, 256])
+@pytest.mark.parametrize("small", [9, 60, 1024])
 def test_jaccard_join_of_long_lists(spark, monkeypatch, small):
     from lectern.llm import jaccard_join as module
 
-    monkeypatch.setattr(module, "PART_DOCS", 20)
-    monkeypatch.setattr(module, "SMALL", small)
+    monkeypatch.setattr(module, "PART_DOCS", small)
+    monkeypatch.setattr(module, "TASK_DOCS", 2 * small)
     line = prose(30, 7)  # in many documents of all sizes, most of a few
     texts = near_copies(2, groups=3, size=70, words=40) + near_copies(3, groups=5)
     texts += [f"{line} {prose(k % 45, 8000 + k)}" for k in range(150)] + [" ".join([line] * 2 + [prose(k, 9)]) for k in range(60)] + [" ".join(line.split()[: 5 + k % 26]) for k in range(60)]
