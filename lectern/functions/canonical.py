@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +44,41 @@ def self_hash(df: DataFrame, field: str = "self_hash") -> Column:
     return digest(record(**{c: F.col(c) for c in df.columns if c != field}))
 
 
+def digest_in_order(df: DataFrame, keys: list[str], order: list[str], line: str, opening: str = "", between: str = "\n", closing: str = "") -> DataFrame:
+    """(keys, n, digest): sha256 of a group's lines in order, with what stands before, between and after them.
+
+    A group's rows come sorted to a task, which hashes them as they pass: its memory doesn't grow with the group. A null
+    line is passed over.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rows = df.filter(F.col(line).isNotNull()).select(*keys, *order, F.col(line).alias("__line"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, h, n, out = None, None, 0, []
+
+        def done() -> None:
+            h.update(closing.encode())
+            out.append((*key, n, h.hexdigest()))
+
+        for batch in batches:
+            for *now, text in zip(*(batch.column(c).to_pylist() for c in (*keys, "__line")), strict=True):
+                if h is None or now != key:
+                    if h is not None:
+                        done()
+                    key, n, h = now, 0, hashlib.sha256(opening.encode())
+                h.update(((between if n else "") + text).encode("utf-8", "surrogatepass"))
+                n += 1
+        if h is not None:
+            done()
+        types = [batch.schema.field(c).type for c in keys] if out else [pa.null()] * len(keys)
+        columns = [pa.array([r[k] for r in out], t) for k, t in enumerate([*types, pa.int64(), pa.string()])]
+        if out:
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "n", "digest"])
+
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n long, digest string"
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
 def refuse_floats(schema: T.StructType, path: str = "$") -> list[str]:
     """The paths at which a schema holds a floating-point number, which canonical records may not."""
 

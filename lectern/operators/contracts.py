@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.functions.canonical import digest, record
+from lectern.functions.canonical import digest, digest_in_order, record
 
 
 def violations(df: DataFrame, subject: list[str], rules: dict[str, Column]) -> DataFrame:
@@ -55,8 +55,8 @@ def chain(links: DataFrame, key: str, position: str, digest_column: str, previou
 def sealed(df: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
     """(keys, n, seal): the digest of a group's rows in order, by which a later reading can be compared."""
     line = digest(record(**{c: F.col(c) for c in [order, *fields]}))
-    rows = df.groupBy(*keys).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))).alias("m"))
-    return rows.select(*keys, "n", F.sha2(F.array_join(F.transform("m", lambda x: x["line"]), "\n"), 256).alias("seal"))
+    rows = df.select(*keys, order, line.alias("line"))
+    return digest_in_order(rows, keys, [order], "line").withColumnRenamed("digest", "seal")
 
 
 def paired(frames: dict[str, DataFrame], keys: list[str]) -> DataFrame:

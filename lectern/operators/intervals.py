@@ -6,6 +6,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """df dealt to tasks by ranges of (keys, order), with the range's number: a key of many rows spans several."""
+    return df.repartitionByRange(*keys, *order).withColumn("__part", F.spark_partition_id())
+
+
+def lagged(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """df with the value of the row before, by order within keys; no task holds all rows of a key.
+
+    A range's first row of a key gets the last value of the range before, of which there is a row for each range and key.
+    """
+    ranged = _ranged(df, keys, order)
+    own = Window.partitionBy(*keys, "__part")
+    ranged = ranged.withColumns({name: F.lag(value).over(own.orderBy(*order)), "__place": F.row_number().over(own.orderBy(*order))})
+    lasts = ranged.groupBy(*keys, "__part").agg(F.max_by(value, F.struct(*order)).alias("__last"))
+    carried = lasts.withColumn("__last", F.lag("__last").over(Window.partitionBy(*keys).orderBy("__part")))
+    out = ranged.join(carried, [*keys, "__part"]).withColumn(name, F.when(F.col("__place") == 1, F.col("__last")).otherwise(F.col(name)))
+    return out.select(*df.columns, name)
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """df with a position from 1, by order within keys; no task holds all rows of a key."""
+    ranged = _ranged(df, keys, order)
+    ranged = ranged.withColumn(name, F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*order)))
+    sizes = ranged.groupBy(*keys, "__part").agg(F.max(name).alias("__n"))
+    before = sizes.withColumn("__base", F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return ranged.join(before, [*keys, "__part"]).withColumn(name, F.col(name) + F.col("__base")).select(*df.columns, name)
+
+
+def running_sum(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """df with the sum of a value up to each row, by a total order of all rows; the sums of whole ranges go to one task."""
+    ranged = _ranged(df, [], order)
+    upto = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = ranged.withColumn(name, F.sum(value).over(upto))
+    sums = ranged.groupBy("__part").agg(F.sum(value).alias("__n"))
+    before = sums.withColumn("__base", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return ranged.join(F.broadcast(before), "__part").withColumn(name, F.col(name) + F.col("__base")).select(*df.columns, name)
+
+
 def _islands(df: DataFrame, keys: list[str], starts_new: Column, order: list[str]) -> DataFrame:
     """df with island: a number that grows by one at each row that starts a new run."""
     window = Window.partitionBy(*keys).orderBy(*order)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.canonical import digest, record
+from lectern.operators.reconcile import difference
 
 SETS = ("calibration", "locked-acceptance")
 
@@ -34,12 +35,14 @@ def draw_key(seed: str, member: Column) -> Column:
 def stratified(catalog: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     """(gold_set, stratum, ordinal, sha256, place) of the first `quota` pages of each set and stratum by rank.
 
-    plan (gold_set, stratum, quota) is a small table of the caller's.
+    plan (gold_set, stratum, quota) is a small table of the caller's; its largest quota lets every task keep so many
+    rows of a stratum alone before the strata are shuffled.
     """
+    most = plan.agg(F.max("quota")).first()[0] or 0
     ranked = catalog.withColumn("gold_set", set_of(F.col("sha256"))).withColumn("rank", rank(seed, F.col("ordinal"), F.col("sha256"), F.col("stratum")))
     ranked = ranked.join(F.broadcast(plan), ["gold_set", "stratum"])
     place = F.row_number().over(Window.partitionBy("gold_set", "stratum").orderBy("rank", "ordinal"))
-    return ranked.withColumn("place", place).filter("place <= quota").select("gold_set", "stratum", "ordinal", "sha256", "place")
+    return ranked.withColumn("place", place).filter(F.col("place") <= most).filter("place <= quota").select("gold_set", "stratum", "ordinal", "sha256", "place")
 
 
 def plan_violations(catalog: DataFrame, plan: DataFrame) -> DataFrame:
@@ -51,3 +54,8 @@ def plan_violations(catalog: DataFrame, plan: DataFrame) -> DataFrame:
     unknown = plan.join(catalog.select("stratum").distinct(), "stratum", "left_anti").select("gold_set", "stratum", F.lit("unknown").alias("rule"))
     short = plan.join(eligible, ["gold_set", "stratum"], "left").filter("coalesce(eligible, 0) < quota").select("gold_set", "stratum", F.lit("shortfall").alias("rule"))
     return omitted.select("gold_set", "stratum", "rule").unionByName(unknown).unionByName(short)
+
+
+def replay(catalog: DataFrame, plan: DataFrame, seed: str, recorded: DataFrame) -> DataFrame:
+    """(gold_set, stratum, ordinal, side): recorded members that the draw, made again, doesn't have, and the other way round."""
+    return difference(stratified(catalog, plan, seed).select("gold_set", "stratum", "ordinal"), recorded.select("gold_set", "stratum", "ordinal"))

@@ -14,6 +14,7 @@ from lectern.functions import text as T
 from lectern.operators import accounting as A
 from lectern.operators import attempts as V
 from lectern.operators import contracts as K
+from lectern.operators import intervals as I
 from lectern.operators import reconcile as R
 from lectern.plans.registry import Registry
 from lectern.sources.tables import ATTEMPTS, CURRENT, READINGS, RECTANGLES, attempts, current_readings, readings, rectangles, table
@@ -96,16 +97,8 @@ def p07_forbidden_fields(spark, d):
 # --- text ---------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT item_id, length(t) AS characters, len(list_filter(string_split(t, ' '), lambda w: w <> '')) AS words FROM (SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM benchmark WHERE regexp_full_match(text, '[\\x00-\\x7F]*'))""")
-def f04_units(spark, d):
-    ascii_only = table(spark, d, "benchmark").filter(F.col("text").rlike(r"^[\x00-\x7F]*\z"))
-    scored = ascii_only.select("item_id", T.character_score("text", "text").alias("c"), T.word_score("text", "text").alias("w"))
-    return scored.select("item_id", F.col("c.reference_units").alias("characters"), F.col("w.reference_units").alias("words"))
-
-
 @query(None)
-def f04_units_whole(spark, d):
-    """f04 on every item, whatever its letters."""
+def f04_units(spark, d):
     scored = table(spark, d, "benchmark").select("item_id", T.character_score("text", "text").alias("c"), T.word_score("text", "text").alias("w"))
     return scored.select("item_id", F.col("c.reference_units").alias("characters"), F.col("w.reference_units").alias("words"))
 
@@ -242,9 +235,9 @@ def c15_export_claims(spark, d):
     return members.withColumn("claimed", F.col("members") + F.when(F.col("lang") == "fr", 1).otherwise(0)).withColumn("honest", F.col("claimed") == F.col("members"))
 
 
-@query("""SELECT cell, sha256('{"cell":"' || cell || '","measures":["seconds"],"state":"not-run"}') AS seal FROM (VALUES ('B0'), ('B0.5'), ('B2'), ('B3'), ('B4'), ('B5'), ('B6')) t(cell)""")
+@query("""SELECT cell, sha256('{"cell":"' || cell || '","measures":["seconds"],"state":"not-run"}') AS seal FROM (VALUES ('B0'), ('B0.5'), ('B2'), ('B3'), ('B4'), ('B5'), ('B5a'), ('B6')) t(cell)""")
 def c19_sealed_cells(spark, d):
-    cells = spark.createDataFrame([(c,) for c in ("B0", "B0.5", "B2", "B3", "B4", "B5", "B6")], "cell string")
+    cells = spark.createDataFrame([(c,) for c in ("B0", "B0.5", "B2", "B3", "B4", "B5", "B5a", "B6")], "cell string")
     return cells.select("cell", C.digest(C.record(cell=F.col("cell"), state=F.lit("not-run"), measures=F.array(F.lit("seconds")))).alias("seal"))
 
 
@@ -374,9 +367,8 @@ _YEARS = "years AS (SELECT source, doc_id, 1000 + (doc_id * 7919) % 900 AS year
 SELECT source, doc_id, concat_ws(',', CASE WHEN year < p THEN 'date-sequence' END, CASE WHEN a <> b THEN 'order' END) AS flags FROM l WHERE year < p OR a <> b""")
 def k23_page_flags(spark, d):
     """All flags of a page at once, from one ordering of its acts."""
-    page = Window.partitionBy("source")
     rows = _docs(spark, d).select("source", "doc_id", (1000 + (F.col("doc_id") * 7919) % 900).alias("year"))
-    rows = rows.withColumns({"p": F.lag("year").over(page.orderBy("doc_id")), "a": F.row_number().over(page.orderBy("doc_id")), "b": F.row_number().over(page.orderBy("year", "doc_id"))})
+    rows = I.lagged(I.ranked(I.ranked(rows, ["source"], ["doc_id"], "a"), ["source"], ["year", "doc_id"], "b"), ["source"], ["doc_id"], "year", "p")
     flags = F.concat_ws(",", F.when(F.col("year") < F.col("p"), "date-sequence"), F.when(F.col("a") != F.col("b"), "order"))
     return rows.select("source", "doc_id", flags.alias("flags")).filter("flags <> ''")
 
@@ -384,7 +376,7 @@ def k23_page_flags(spark, d):
 @query(f"""WITH {_YEARS}, l AS (SELECT *, lag(year) OVER (PARTITION BY source ORDER BY doc_id) AS p FROM years) SELECT doc_id, 'read again: date-sequence' AS request FROM l WHERE year < p""")
 def k24_reproof_requests(spark, d):
     rows = _docs(spark, d).select("source", "doc_id", (1000 + (F.col("doc_id") * 7919) % 900).alias("year"))
-    flagged = rows.withColumn("p", F.lag("year").over(Window.partitionBy("source").orderBy("doc_id"))).filter("year < p").withColumn("flags", F.array(F.lit("date-sequence")))
+    flagged = I.lagged(rows, ["source"], ["doc_id"], "year", "p").filter("year < p").withColumn("flags", F.array(F.lit("date-sequence")))
     return flagged.select("doc_id", F.explode(F.transform("flags", lambda f: F.concat(F.lit("read again: "), f))).alias("request"))
 
 

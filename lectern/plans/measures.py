@@ -137,7 +137,7 @@ def a21_failure_reason(spark, d):
 @query("""WITH y AS (SELECT source, doc_id, nullif(n_chars % 1000, 7) AS v FROM documents), l AS (SELECT *, lag(v) OVER (PARTITION BY source ORDER BY doc_id) AS p FROM y WHERE v IS NOT NULL) SELECT source, doc_id FROM l WHERE v < p""")
 def w05_sequence_regression(spark, d):
     rows = table(spark, d, "documents").select("source", "doc_id", F.nullif(F.col("n_chars") % 1000, F.lit(7).cast("long")).alias("v")).filter("v is not null")
-    return rows.withColumn("p", F.lag("v").over(Window.partitionBy("source").orderBy("doc_id"))).filter("v < p").select("source", "doc_id")
+    return I.lagged(rows, ["source"], ["doc_id"], "v", "p").filter("v < p").select("source", "doc_id")
 
 
 @query(f"""WITH {RECTANGLES}, a AS (SELECT page, id, row_number() OVER (PARTITION BY page ORDER BY id) AS p, row_number() OVER (PARTITION BY page ORDER BY y, x, id) AS q FROM rectangles) SELECT page, id FROM a WHERE p <> q""")
@@ -235,15 +235,8 @@ def f02_comparison_view(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(T.comparison_view("text"), 256).alias("digest"))
 
 
-@query("""SELECT doc_id, sha256(trim(regexp_replace(nfc_normalize(text), '\\s+', ' ', 'g'))) AS digest FROM documents WHERE regexp_full_match(text, '[\\x00-\\x7F]*')""")
-def f03_graphemic_profile(spark, d):
-    """On ASCII texts the profile is white space alone; its mappings are covered by tests."""
-    return table(spark, d, "documents").filter(F.col("text").rlike(r"^[\x00-\x7F]*\z")).select("doc_id", F.sha2(T.graphemic_view("text"), 256).alias("digest"))
-
-
 @query(None)
-def f03_graphemic_profile_whole(spark, d):
-    """f03 on every document, whatever its letters."""
+def f03_graphemic_profile(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(T.graphemic_view("text"), 256).alias("digest"))
 
 
@@ -295,38 +288,14 @@ def _turn_pairs(spark, d):
     return turns.select("subject_id", "ordinal", F.col("text").alias("before")).join(after, ["subject_id", "ordinal"])
 
 
-def _turn_beginnings(spark, d, most=400):
-    turns = attempts(spark, d)
-    after = turns.select("subject_id", (F.col("ordinal") - 1).alias("ordinal"), F.col("text").alias("after"))
-    return turns.select("subject_id", "ordinal", F.left("text", F.lit(most)).alias("before")).join(after.withColumn("after", F.left("after", F.lit(most))), ["subject_id", "ordinal"])
-
-
-@query("""WITH e AS (SELECT doc_id, text AS before, left(text, 40) || CASE WHEN doc_id % 3 = 0 THEN '' ELSE '#' || CAST(doc_id AS VARCHAR) END || substr(text, 61) AS after FROM documents WHERE length(text) > 200)
-SELECT doc_id, after <> before AS changed FROM e""")
-def f11_change_span(spark, d):
-    """Whether the change span tells a change; the span itself is held against a law: what lies outside it is common."""
-    i = F.col("doc_id")
-    after = F.concat(F.left("text", F.lit(40)), F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("#"), i.cast("string"))), F.substr("text", F.lit(61), F.length("text")))
-    rows = table(spark, d, "documents").filter("length(text) > 200").select("doc_id", F.col("text").alias("before"), after.alias("after"))
-    span = rows.withColumn("s", T.change_span(F.col("before"), F.col("after")))
-    tail = F.col("s.end") - F.length("before")
-    same = (F.left("before", F.col("s.start")) == F.left("after", F.col("s.start"))) & (F.right("before", -tail) == F.right("after", -tail))
-    return span.select("doc_id", F.when(same, F.col("s.end") > F.col("s.start")).alias("changed"))
-
-
 @query(None)
-def f11_change_span_whole(spark, d):
-    """f11 on texts of any length: whether the change span tells a change; the span itself is held against a law: what lies outside it is common.
-
-    An insertion leaves no span of the text before, but one of the text after.
-    """
+def f11_change_span(spark, d):
+    """The span of a text that an edit changed, and where that ends in the edited text; an insertion leaves a span of nothing."""
     i = F.col("doc_id")
     after = F.concat(F.left("text", F.lit(40)), F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("#"), i.cast("string"))), F.substr("text", F.lit(61), F.length("text")))
     rows = table(spark, d, "documents").select("doc_id", F.col("text").alias("before"), after.alias("after"))
-    span = rows.withColumn("s", T.change_span(F.col("before"), F.col("after")))
-    tail = F.col("s.end") - F.length("before")
-    same = (F.left("before", F.col("s.start")) == F.left("after", F.col("s.start"))) & (F.right("before", -tail) == F.right("after", -tail))
-    return span.select("doc_id", F.when(same, (F.col("s.end") > F.col("s.start")) | (F.length("after") + tail > F.col("s.start"))).alias("changed"))
+    rows = rows.withColumn("s", T.change_span(F.col("before"), F.col("after")))
+    return rows.select("doc_id", "s.start", "s.end", (F.length("after") - F.length("before") + F.col("s.end")).alias("after_end"))
 
 
 @query(None)
@@ -340,34 +309,19 @@ def f14_departures(spark, d):
     return _turn_pairs(spark, d).select("subject_id", "ordinal", F.size(T.departure_spans("before", "after")).alias("departures"))
 
 
-@query("""WITH p AS (SELECT a.conv_id AS subject_id, a.turn + 1 AS ordinal, left(a.text, 400) AS x, left(b.text, 400) AS y FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)
-SELECT subject_id, ordinal, CASE WHEN ordinal % 4 = 0 THEN 'not-compared' WHEN length(x) * length(y) > 90000 THEN 'unknown' ELSE 'compared' END AS status,
-  CASE WHEN ordinal % 4 <> 0 AND length(x) * length(y) <= 90000 THEN CASE WHEN x <> y THEN 'yes' ELSE 'no' END END AS departed FROM p""")
+@query("""WITH p AS (SELECT a.conv_id AS subject_id, a.turn + 1 AS ordinal, a.text AS x, b.text AS y FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
+v AS (SELECT *, trim(regexp_replace(nfc_normalize(x), '\\s+', ' ', 'g')) AS vx, trim(regexp_replace(nfc_normalize(y), '\\s+', ' ', 'g')) AS vy FROM p),
+s AS (SELECT *, CASE WHEN ordinal % 4 = 0 THEN 'not-compared' WHEN greatest(length(vx), length(vy)) > 100000 OR CAST(length(vx) AS BIGINT) * length(vy) > 100000000 THEN 'unknown' ELSE 'compared' END AS status FROM v)
+SELECT subject_id, ordinal, status, CASE WHEN status = 'compared' THEN vx <> vy END AS departed, CASE WHEN status = 'compared' THEN x <> y END AS departed_raw,
+  CASE WHEN status = 'compared' THEN length(y) - length(vy) END AS loss FROM s""")
 def f15_dissent(spark, d):
-    """Three-valued: an uncompared or unbounded pair has no answer, which isn't the answer no. On beginnings of turns, as its SQL."""
-    status = F.when(F.col("ordinal") % 4 == 0, "not-compared").when(F.length("before") * F.length("after") > 90_000, "unknown").otherwise("compared")
-    rows = _turn_beginnings(spark, d).withColumn("status", status)
-    return rows.select("subject_id", "ordinal", "status", F.when(F.col("status") == "compared", F.when(F.col("before") != F.col("after"), "yes").otherwise("no")).alias("departed"))
+    """Three-valued: an uncompared or unbounded pair has no answer, which isn't the answer no. On whole turns."""
+    rows = _turn_pairs(spark, d).withColumns({"vx": T.comparison_view("before"), "vy": T.comparison_view("after")})
+    return rows.select("subject_id", "ordinal", T.dissent(F.col("before"), F.col("after"), F.col("vx"), F.col("vy"), F.col("ordinal") % 4 != 0).alias("d")).select("subject_id", "ordinal", "d.*")
 
 
 @query(None)
-def f15_dissent_whole(spark, d):
-    """f15 on whole turns, up to the reference's limit of character pairs."""
-    pairs = F.length("before").cast("long") * F.length("after")
-    status = F.when(F.col("ordinal") % 4 == 0, "not-compared").when(pairs > T.MAX_PAIRS, "unknown").otherwise("compared")
-    rows = _turn_pairs(spark, d).withColumn("status", status)
-    return rows.select("subject_id", "ordinal", "status", F.when(F.col("status") == "compared", F.when(F.col("before") != F.col("after"), "yes").otherwise("no")).alias("departed"))
-
-
-@query("""WITH p AS (SELECT item_id, lower(left(text, 60)) AS r, lower(substr(text, 3, 58)) AS h FROM benchmark) SELECT item_id, levenshtein(r, h) AS errors FROM p WHERE regexp_full_match(r || h, '[\\x00-\\x7F]*')""")
 def f16_edit_distance(spark, d):
-    pairs = table(spark, d, "benchmark").select("item_id", F.lower(F.left("text", F.lit(60))).alias("r"), F.lower(F.substring("text", 3, 58)).alias("h"))
-    return pairs.filter(F.concat("r", "h").rlike(r"^[\x00-\x7F]*\z")).select("item_id", F.levenshtein("r", "h").alias("errors"))
-
-
-@query(None)
-def f16_edit_distance_whole(spark, d):
-    """f16 on whole items, whatever their letters."""
     pairs = table(spark, d, "benchmark").select("item_id", F.lower("text").alias("r"), F.lower(F.expr("substring(text, 3)")).alias("h"))
     return pairs.select("item_id", F.levenshtein("r", "h").alias("errors"))
 
@@ -428,9 +382,8 @@ def f30_shape_predicates(spark, d):
 @query("""WITH f AS (SELECT source, sha256('[' || string_agg('{"ordinal":' || CAST(doc_id AS VARCHAR) || ',"sha256":"' || sha256(text) || '"}', ',' ORDER BY doc_id) || ']') AS content FROM documents GROUP BY source) SELECT source, content, sha256('{"content":"' || content || '","run_id":"' || source || '"}') AS seed FROM f""")
 def f31_frame_seed(spark, d):
     line = C.canonical(C.record(ordinal=F.col("doc_id"), sha256=F.sha2("text", 256)))
-    frame = table(spark, d, "documents").select("source", "doc_id", line.alias("line")).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "line"))).alias("m"))
-    content = F.sha2(F.concat(F.lit("["), F.array_join(F.transform("m", lambda x: x["line"]), ","), F.lit("]")), 256)
-    return frame.select("source", content.alias("content")).withColumn("seed", C.digest(C.record(content=F.col("content"), run_id=F.col("source"))))
+    frame = C.digest_in_order(table(spark, d, "documents").select("source", "doc_id", line.alias("line")), ["source"], ["doc_id"], "line", "[", ",", "]")
+    return frame.select("source", F.col("digest").alias("content")).withColumn("seed", C.digest(C.record(content=F.col("content"), run_id=F.col("source"))))
 
 
 # --- geometry ------------------------------------------------------------------------------------------------
@@ -547,13 +500,10 @@ def j13_page_continuation(spark, d):
     return B.continuations(acts, pages, 4)
 
 
-@query("""SELECT o_orderkey, CAST(round(CAST(o_totalprice AS DECIMAL(18,4)) * (o_orderkey % 7200) / 3600, 2) AS DOUBLE) AS cost FROM orders WHERE false""")
+@query("""SELECT o_orderkey, CAST((CAST(CAST(o_totalprice AS DECIMAL(18,4)) * 10000 AS HUGEINT) * (o_orderkey % 7200) + 180000) // 360000 AS BIGINT) AS cents FROM orders""")
 def m14_projected_cost(spark, d):
-    """No row may be off by a cent from exact whole-number arithmetic."""
-    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,4)").alias("hourly"), (F.col("o_orderkey") % 7200).alias("s"))
-    cost = rows.withColumn("cost", M.projected_cost(F.col("hourly"), F.col("s")))
-    cents = F.call_function("div", (F.col("hourly") * 10_000).cast("decimal(38,0)") * F.col("s") + 180_000, F.lit(360_000))
-    return cost.filter(cents != (F.col("cost") * 100).cast("long")).select("o_orderkey", F.col("cost").cast("double").alias("cost"))
+    rows = table(spark, d, "orders").select("o_orderkey", M.projected_cost(F.col("o_totalprice"), F.col("o_orderkey") % 7200).alias("cost"))
+    return rows.select("o_orderkey", (F.col("cost") * 100).cast("long").alias("cents"))
 
 
 @query("""SELECT event_id, regexp_full_match(s, '\\d{4}-\\d{2}-\\d{2}') AND try_cast(s AS DATE) IS NOT NULL AS is_date FROM (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN '2024-02-3' || CAST(event_id % 10 AS VARCHAR) ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS s FROM events)""")

@@ -43,9 +43,7 @@ def s03_sealed_manifest(spark, d):
     """A manifest for each folder, sealed by the digest of its entries in path order."""
     entry = C.record(ordinal=F.col("ordinal"), relative_path=F.col("relative_path"), sha256=F.col("sha256"))
     rows = _sources(spark, d).select(F.split_part("relative_path", F.lit("/"), F.lit(1)).alias("folder"), "relative_path", C.canonical(entry).alias("line"))
-    sealed = rows.groupBy("folder").agg(F.count("*").alias("entries"), F.array_sort(F.collect_list(F.struct("relative_path", "line"))).alias("lines"))
-    body = F.concat(F.lit("["), F.array_join(F.transform("lines", lambda x: x["line"]), ","), F.lit("]"))
-    return sealed.select("folder", "entries", F.sha2(body, 256).alias("self_hash"))
+    return C.digest_in_order(rows, ["folder"], ["relative_path"], "line", "[", ",", "]").withColumnsRenamed({"n": "entries", "digest": "self_hash"})
 
 
 @query("""WITH b AS (SELECT doc_id, upper(hex(CASE doc_id % 13 WHEN 0 THEN from_hex('89504E470D0A1A0A') WHEN 1 THEN from_hex('FFD8') WHEN 2 THEN from_hex('49492A00') WHEN 3 THEN from_hex('4D4D002B')
@@ -127,7 +125,8 @@ def s18_inverted_index(spark, d):
 
 @query(f"""WITH {_SOURCES} SELECT split_part(relative_path, '/', 1) AS folder, count(*) AS members, sha256(string_agg(text, chr(10) ORDER BY ordinal)) AS content FROM sources GROUP BY ALL""")
 def s19_text_bundle(spark, d):
-    return sinks.text_bundle(_sources(spark, d).withColumn("folder", F.split_part("relative_path", F.lit("/"), F.lit(1))), "folder", "ordinal", "text").select("folder", "members", F.sha2("content", 256).alias("content"))
+    rows = _sources(spark, d).withColumn("folder", F.split_part("relative_path", F.lit("/"), F.lit(1)))
+    return C.digest_in_order(rows, ["folder"], ["ordinal"], "text").withColumnsRenamed({"n": "members", "digest": "content"})
 
 
 @query("""SELECT doc_id, CASE WHEN toxic = 1 THEN 'refused' ELSE 'held' END AS state FROM labels WHERE quality = 0 OR toxic = 1""")
@@ -142,8 +141,9 @@ def s21_salvage_tier(spark, d):
 
 @query(f"""WITH {_SOURCES} SELECT lang AS member, count(*) AS entries, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(string_agg(sha256, chr(10) ORDER BY relative_path)) AS digest FROM sources GROUP BY lang""")
 def s22_export_manifest(spark, d):
-    rows = _sources(spark, d).groupBy(F.col("lang").alias("member")).agg(F.count("*").alias("entries"), F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("relative_path", "sha256"))).alias("m"))
-    return rows.select("member", "entries", "bytes", F.sha2(F.array_join(F.transform("m", lambda x: x["sha256"]), "\n"), 256).alias("digest"))
+    rows = _sources(spark, d).withColumnRenamed("lang", "member")
+    sizes = rows.groupBy("member").agg(F.sum("bytes").alias("bytes"))
+    return C.digest_in_order(rows, ["member"], ["relative_path"], "sha256").withColumnRenamed("n", "entries").join(sizes, "member")
 
 
 @query(f"""WITH {_SOURCES} SELECT relative_path AS act_key, length(text) AS characters, sha256 AS text_sha256 FROM sources""")
@@ -419,11 +419,13 @@ def o06_draw_key(spark, d):
     return table(spark, d, "documents").select("doc_id", S.draw_key("seed-1", F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))).alias("draw_key"))
 
 
-@query("""SELECT NULL::VARCHAR AS gold_set, NULL::VARCHAR AS stratum, NULL::BIGINT AS ordinal, NULL::VARCHAR AS side WHERE false""")
+@query(f"""WITH {_DRAW}, drawn AS (SELECT * FROM ranked WHERE place <= CASE stratum WHEN 'en' THEN 7 WHEN 'fr' THEN 3 WHEN 'de' THEN 2 ELSE 0 END)
+SELECT gold_set, stratum, ordinal, 'missing' AS side FROM drawn WHERE place = 2 UNION ALL SELECT gold_set, stratum, -1, 'unexplained' FROM drawn WHERE place = 1 AND stratum = 'fr'""")
 def o07_draw_replay(spark, d):
-    """Members on which a recorded draw and its replay differ: none."""
-    drawn = _draw(spark, d)[0].select("gold_set", "stratum", "ordinal")
-    return R.difference(drawn, _draw(spark, d)[0].select("gold_set", "stratum", "ordinal"))
+    """Members on which a recorded draw and its replay differ; the record lost its second members and has strangers."""
+    drawn, plan = _draw(spark, d)
+    strangers = drawn.filter("place = 1 and stratum = 'fr'").withColumn("ordinal", F.lit(-1).cast("long"))
+    return S.replay(_catalog(spark, d), plan, "seed-1", drawn.filter("place <> 2").unionByName(strangers))
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_discount) AS p FROM lineitem), t AS (SELECT l_orderkey, min(l_linenumber) AS line, count(*) AS n FROM r WHERE p = 1 GROUP BY l_orderkey)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.operators import accounting as A
+from lectern.operators import intervals as I
 from lectern.plans.registry import Registry
 from lectern.sources.tables import READINGS, readings, table
 
@@ -14,11 +15,9 @@ query = Registry()
 @query(f"""WITH {READINGS}, tally AS (SELECT attempt // 200 AS checkpoint, count(DISTINCT act) AS failures FROM readings WHERE outcome = 'failed' GROUP BY ALL),
 run AS (SELECT checkpoint, failures, sum(failures) OVER (ORDER BY checkpoint) AS total FROM tally) SELECT checkpoint, failures, total > 40 AS tripped FROM run""")
 def t04_circuit_breaker(spark, d):
-    """Failures so far at each checkpoint; checkpoints are few, their counts are made with partial sums."""
-    from pyspark.sql import Window
-
+    """Failures so far at each checkpoint."""
     tally = readings(spark, d).filter("outcome = 'failed'").groupBy(F.expr("attempt div 200").alias("checkpoint")).agg(F.count_distinct("act").alias("failures"))
-    return tally.withColumn("tripped", F.sum("failures").over(Window.orderBy("checkpoint")) > 40)
+    return I.running_sum(tally, ["checkpoint"], "failures", "total").withColumn("tripped", F.col("total") > 40).drop("total")
 
 
 @query("""WITH RECURSIVE p(id, round) AS (SELECT doc_id, 0 FROM documents UNION ALL SELECT id, round + 1 FROM p WHERE round < 3 AND (id + round + 1) % 2 <> 0) SELECT id AS subject_id, max(round) AS rounds FROM p GROUP BY id""")

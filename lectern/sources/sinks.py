@@ -40,15 +40,9 @@ def inverted_index(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.explode(words).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("documents"), F.min(key).alias("first_id"))
 
 
-def text_bundle(df: DataFrame, folder: str, order: str, text: str) -> DataFrame:
-    """(folder, members, content): a folder's texts in order, a line feed between them."""
-    held = df.groupBy(folder).agg(F.count("*").alias("members"), F.array_sort(F.collect_list(F.struct(order, text))).alias("m"))
-    return held.select(folder, "members", F.array_join(F.transform("m", lambda x: x[text]), "\n").alias("content"))
-
-
 def write_bundles(df: DataFrame, folder: str, order: str, text: str, path: str) -> None:
-    """One folder of text files for each value of folder; rows stay in order within it."""
-    df.select(folder, order, text).repartition(folder).sortWithinPartitions(folder, order).select(folder, text).write.partitionBy(folder).mode("errorifexists").text(path)
+    """A folder of text files for each value of folder, of many rows in several; by name and within they are in order."""
+    df.select(folder, order, text).repartitionByRange(folder, order).sortWithinPartitions(folder, order).select(folder, text).write.partitionBy(folder).mode("errorifexists").text(path)
 
 
 def inventory(spark: SparkSession, folder: str, max_bytes: int) -> DataFrame:
