@@ -40,7 +40,7 @@ from lectern.llm.shingles import prefix_length, required_overlap, shingle_sets
 PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_SLICES = 64
-SHORT_LIST = 8
+SHORT_LIST = 32
 #: A part of a window holds up to so many documents and shingles in expectation; windows that aren't split share tasks
 #: of TASK_DOCS documents.
 PART_DOCS, PART_SHINGLES, TASK_DOCS = 1024, 1_500_000, 512
