@@ -73,30 +73,6 @@ def zero_filled(counts: DataFrame, column: str, words: tuple[str, ...], keys: li
     return frame.join(counts, [*keys, column], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-def coverage(chairs: DataFrame, floor: int) -> DataFrame:
-    """One row for each act of chairs (act, chair, outcome, attached, truncated, health_unrecorded).
-
-    A chair counts toward the floor if it is attached, its outcome is a reading and it isn't truncated.
-    """
-    reading = F.col("outcome").isin("read", "genuinely-empty")
-    attached = F.coalesce(F.col("attached"), F.lit(False))
-    cut = F.coalesce(F.col("truncated"), F.lit(False))
-    counted = reading & attached & ~cut
-    kind = lambda *words: F.count_if(F.col("outcome").isin(*words))
-    return chairs.groupBy("act").agg(
-        F.count("*").alias("configured"),
-        kind("read", "genuinely-empty", "excluded").alias("completed"),
-        kind("not-run").alias("unresolved_chairs"),
-        kind("failed", "dead").alias("failed_class"),
-        (F.count_if(counted) < floor).alias("under_witnessed"),
-        F.count_if(reading & ~counted).alias("page_granularity_only"),
-        F.count_if(F.coalesce(F.col("health_unrecorded"), F.lit(False))).alias("health_unrecorded"),
-        kind("failed").alias("shortfall_failed"),
-        F.count_if(cut).alias("shortfall_truncated"),
-        F.count_if(~attached).alias("shortfall_unaligned"),
-    )
-
-
 def page_category(categories: Column) -> Column:
     """The one category of a page from those of its acts: delivered if any is; excluded or blank if all are; else held."""
     distinct = F.array_distinct(F.coalesce(categories, F.array().cast("array<string>")))
@@ -109,13 +85,6 @@ def page_category(categories: Column) -> Column:
     )
 
 
-def run_status(reasons: DataFrame, units: DataFrame) -> DataFrame:
-    """(status, units, reasons): 'complete' where there are units and no reason against it, else 'partial'."""
-    n = units.agg(F.count("*").alias("units"))
-    m = reasons.agg(F.count("*").alias("reasons"))
-    return n.join(F.broadcast(m)).select(F.when((F.col("units") > 0) & (F.col("reasons") == 0), "complete").otherwise("partial").alias("status"), "units", "reasons")
-
-
 def hard_failures(events: DataFrame, policy: DataFrame, threshold: int) -> DataFrame:
     """(arm, failures, stop) from events (stage, subject, outcome, pass_kind) that the policy (stage, outcome) names.
 

@@ -33,15 +33,6 @@ def appendable(proposed: DataFrame, df: DataFrame, keys: list[str], ordinal: str
     return proposed.join(high, keys, "left").withColumn("status", status).drop("high")
 
 
-def budget_use(df: DataFrame, subject: str, kind: str, ordinal: str, total_cap: int, kind_caps: dict[str, int]) -> DataFrame:
-    """df with used_before, used_before_kind and within_budget, as each request finds them."""
-    total = F.row_number().over(Window.partitionBy(subject).orderBy(ordinal)) - 1
-    own = F.row_number().over(Window.partitionBy(subject, kind).orderBy(ordinal)) - 1
-    caps = F.coalesce(F.create_map(*[F.lit(x) for kv in kind_caps.items() for x in kv])[F.col(kind)], F.lit(0))
-    df = df.withColumns({"used_before": total, "used_before_kind": own})
-    return df.withColumn("within_budget", (F.col("used_before") < total_cap) & (F.col("used_before_kind") < caps))
-
-
 def currency(basis: DataFrame, df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
     """basis rows (keys, ordinal) with current: whether they still name the latest attempt."""
     now = df.groupBy(*keys).agg(F.max(ordinal).alias("now"))

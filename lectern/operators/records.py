@@ -174,6 +174,31 @@ def established_violations(established: DataFrame, reviews: DataFrame, readings:
     )
 
 
+def establish(reviews: DataFrame, readings: DataFrame) -> DataFrame:
+    """(act, text, text_status, review_ref, reading_ref, inputs, rule): the one established record of each act, or why there is none.
+
+    Only the reading that the latest review accepted may become one: a reading that succeeded, and was primed with its
+    witnesses. reviews: act, ref, ordinal, outcome, reading_ref. readings: act, ref, kind, outcome, text, gaps, regions.
+    """
+    c = F.col
+    rest = [k for k in reviews.columns if k != "act"]
+    last = reviews.groupBy("act").agg(F.max_by(F.struct(*rest), "ordinal").alias("v"))
+    r = readings.select("act", c("ref").alias("reading_ref"), "kind", c("outcome").alias("read_as"), "text", "gaps", "regions")
+    both = last.select("act", c("v.ref").alias("review_ref"), c("v.outcome").alias("decided"), c("v.reading_ref").alias("reading_ref")).join(r, ["act", "reading_ref"], "left")
+    rule = (
+        F.when(c("decided") != "accepted", F.concat(F.lit("review is "), c("decided")))
+        .when(c("read_as").isNull(), "reading missing")
+        .when(~c("kind").isin("primed-with-prior", "primed-without-prior"), "unprimed reading")
+        .when(c("read_as") != "read", F.concat(F.lit("reading is "), c("read_as")))
+        .when(~_named(c("text")), "reading without text")
+    )
+    sound = lambda value: F.when(c("rule").isNull(), value)
+    status = F.when(F.size("gaps") > 0, "partial").otherwise("established")
+    return both.withColumn("rule", rule).select(
+        "act", sound(c("text")).alias("text"), sound(status).alias("text_status"), "review_ref", "reading_ref", sound(F.concat(F.array("review_ref", "reading_ref"), F.array_sort("regions"))).alias("inputs"), "rule"
+    )
+
+
 def audit_chain_violations(readings: DataFrame, drafts: DataFrame, requests: DataFrame, findings: DataFrame) -> DataFrame:
     """(act, rule) where draft, request, finding and final reading don't make one chain.
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lectern.plans import accounting, contracts, measures, relational, stateful
+from lectern.plans import accounting, contracts, measures, records, relational, stateful
 from lectern.plans.registry import Query
 
-_MODULES = (accounting, relational, measures, contracts, stateful)
+_MODULES = (accounting, relational, measures, contracts, records, stateful)
 
 
 def queries() -> dict[str, Query]:

@@ -53,13 +53,6 @@ def k15_appendable_ordinals(spark, d):
     return V.appendable(proposed, attempts(spark, d), ["subject_id"], "ordinal")
 
 
-@query(f"""WITH {ATTEMPTS}, used AS (SELECT subject_id, ordinal, chair, row_number() OVER (PARTITION BY subject_id ORDER BY ordinal) - 1 AS used_before,
-  row_number() OVER (PARTITION BY subject_id, chair ORDER BY ordinal) - 1 AS used_before_kind FROM attempts)
-SELECT *, used_before < 3 AND used_before_kind < CASE chair WHEN 'user' THEN 2 WHEN 'assistant' THEN 1 ELSE 0 END AS within_budget FROM used""")
-def w04_recovery_budget(spark, d):
-    return V.budget_use(attempts(spark, d).drop("text"), "subject_id", "chair", "ordinal", 3, {"user": 2, "assistant": 1})
-
-
 @query(f"""WITH {READINGS} SELECT act, chair, count(*) AS attempts, arg_max(outcome, attempt) AS latest_outcome, count(*) FILTER (outcome = 'failed') AS failed
 FROM readings GROUP BY act, chair""")
 def a09_attempt_tally(spark, d):
@@ -163,27 +156,6 @@ def _chairs(spark, d):
     return current_readings(spark, d).withColumns({"attached": F.col("attempt") % 7 != 0, "truncated": F.col("attempt") % 11 == 0, "health_unrecorded": F.col("attempt") % 13 == 0})
 
 
-@query(f"""WITH {CURRENT}, facts AS (SELECT *, attempt % 7 <> 0 AS attached, attempt % 11 = 0 AS truncated, attempt % 13 = 0 AS unrecorded,
-  outcome IN ('read', 'genuinely-empty') AS reading FROM current)
-SELECT act, count(*) AS configured, count(*) FILTER (outcome IN ('read', 'genuinely-empty', 'excluded')) AS completed, count(*) FILTER (outcome = 'not-run') AS unresolved_chairs,
-  count(*) FILTER (outcome IN ('failed', 'dead')) AS failed_class, count(*) FILTER (reading AND attached AND NOT truncated) < 3 AS under_witnessed,
-  count(*) FILTER (reading AND NOT (attached AND NOT truncated)) AS page_granularity_only, count(*) FILTER (unrecorded) AS health_unrecorded,
-  count(*) FILTER (outcome = 'failed') AS shortfall_failed, count(*) FILTER (truncated) AS shortfall_truncated, count(*) FILTER (NOT attached) AS shortfall_unaligned
-FROM facts GROUP BY act""")
-def a01_witness_coverage(spark, d):
-    return A.coverage(_chairs(spark, d), 3)
-
-
-@query(f"""WITH {CURRENT}, cover AS (SELECT act, count(*) FILTER (outcome IN ('read', 'genuinely-empty')) AS readings, count(*) FILTER (outcome = 'not-run') AS open FROM current GROUP BY act),
-reasons AS (SELECT act FROM cover WHERE readings < 3 UNION ALL SELECT act FROM cover WHERE open > 0)
-SELECT CASE WHEN (SELECT count(*) FROM cover) > 0 AND (SELECT count(*) FROM reasons) = 0 THEN 'complete' ELSE 'partial' END AS status,
-  (SELECT count(*) FROM cover) AS units, (SELECT count(*) FROM reasons) AS reasons""")
-def a02_run_aggregate(spark, d):
-    cover = current_readings(spark, d).groupBy("act").agg(F.count_if(V.is_rereading(F.col("outcome"))).alias("readings"), F.count_if(F.col("outcome") == "not-run").alias("open"))
-    reasons = cover.filter("readings < 3").select("act", F.lit("under-witnessed").alias("reason")).unionByName(cover.filter("open > 0").select("act", F.lit("unresolved chair").alias("reason")))
-    return A.run_status(reasons, cover)
-
-
 _PAGES = """pages_ AS (SELECT o_orderkey AS page, CASE WHEN count(l_orderkey) = 0 THEN 'held-for-review'
    WHEN bool_or(l_returnflag = 'N') THEN 'delivered' WHEN bool_and(l_returnflag = 'A') THEN 'excluded-with-approval' WHEN bool_and(l_returnflag = 'R') THEN 'confirmed-blank'
    ELSE 'held-for-review' END AS category FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey)"""
@@ -318,14 +290,6 @@ def k25_pass_kinds(spark, d):
     return base.select(F.explode(kinds).alias("pass_kind"), "act", "chair")
 
 
-@query(f"""WITH {ATTEMPTS}, now AS (SELECT subject_id, max(ordinal) AS latest FROM attempts GROUP BY subject_id)
-SELECT doc_id AS subject_id, 'reading is not the latest' AS rule FROM labels JOIN now ON doc_id = subject_id WHERE latest <> quality + 1""")
-def k31_reviewed_reading(spark, d):
-    now = V.latest(attempts(spark, d).select("subject_id", "ordinal"), ["subject_id"], "ordinal")
-    named = table(spark, d, "labels").select(F.col("doc_id").alias("subject_id"), (F.col("quality") + 1).alias("named"))
-    return named.join(now, "subject_id").filter("ordinal <> named").select("subject_id", F.lit("reading is not the latest").alias("rule"))
-
-
 @query("""SELECT o_orderkey AS act, coalesce(string_agg(DISTINCT CAST(l_linenumber AS VARCHAR), ',' ORDER BY CAST(l_linenumber AS VARCHAR)), '') AS pages
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""")
 def k33_pages_of_act(spark, d):
@@ -333,19 +297,6 @@ def k33_pages_of_act(spark, d):
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("act")).join(marked, "act", "left").select("act", F.coalesce("pages", F.lit("")).alias("pages"))
 
 
-@query(f"""WITH {CURRENT} SELECT act, CASE WHEN bool_or(outcome IS NULL) THEN 'no outcome' WHEN bool_or(outcome = 'failed') THEN 'failed reading' WHEN count(*) < 5 THEN 'missing chair' END AS missing
-FROM current GROUP BY act""")
-def k36_missing_provenance(spark, d):
-    case = F.when(F.bool_or(F.col("outcome").isNull()), "no outcome").when(F.bool_or(F.col("outcome") == "failed"), "failed reading").when(F.count("*") < 5, "missing chair")
-    return current_readings(spark, d).groupBy("act").agg(case.alias("missing"))
-
-
-@query("""SELECT doc_id, CASE WHEN quality = toxic THEN 'agreed' ELSE 'adjudicated' END AS basis, CASE WHEN quality = toxic THEN quality ELSE 0 END AS result FROM labels""")
-def c20_adjudication(spark, d):
-    same = F.col("quality") == F.col("toxic")
-    return table(spark, d, "labels").select("doc_id", F.when(same, "agreed").otherwise("adjudicated").alias("basis"), F.when(same, F.col("quality")).otherwise(0).alias("result"))
-
-
 @query("""SELECT doc_id, sha256(text) AS material FROM documents WHERE sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 10 = 0) AND doc_id % 10 <> 0""")
 def c17_holdout_leakage(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("material"))
@@ -368,9 +319,3 @@ def c09_dissent_completeness(spark, d):
 @query(f"""WITH {READINGS} SELECT act, count(*) FILTER (outcome = 'failed') AS production_regions, count(*) FILTER (outcome = 'not-run') AS recovery_regions FROM readings GROUP BY act""")
 def c13_recovery_regions(spark, d):
     return readings(spark, d).groupBy("act").agg(F.count_if(F.col("outcome") == "failed").alias("production_regions"), F.count_if(F.col("outcome") == "not-run").alias("recovery_regions"))
-
-
-@query("""SELECT doc_id AS page, count(DISTINCT lang) AS strata FROM (SELECT doc_id, lang FROM documents UNION ALL SELECT doc_id, 'xx' FROM labels WHERE quality = 0) GROUP BY doc_id HAVING count(DISTINCT lang) > 1""")
-def c16_one_stratum_a_page(spark, d):
-    rows = table(spark, d, "documents").select(F.col("doc_id").alias("page"), "lang").unionByName(table(spark, d, "labels").filter("quality = 0").select(F.col("doc_id").alias("page"), F.lit("xx").alias("lang")))
-    return R.claimed_twice(rows, "page", "lang").withColumnRenamed("owners", "strata")

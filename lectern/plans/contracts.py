@@ -73,13 +73,6 @@ def j16_recovery_pairs(spark, d):
     return K.paired({"request": _placed(spark, d, "failed"), "review": _placed(spark, d, "not-run"), "reread": _placed(spark, d, "read")}, ["act", "ordinal"])
 
 
-@query("""WITH i AS (SELECT doc_id, quality FROM labels WHERE quality = 1) SELECT d.doc_id, 'not indexed' AS rule FROM documents d ANTI JOIN i USING (doc_id) UNION ALL SELECT i.doc_id, 'no record' FROM i ANTI JOIN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) r USING (doc_id)""")
-def a24_record_index(spark, d):
-    docs = _docs(spark, d).select("doc_id")
-    index = table(spark, d, "labels").filter("quality = 1").select("doc_id")
-    return docs.join(index, "doc_id", "left_anti").withColumn("rule", F.lit("not indexed")).unionByName(index.join(docs.filter("doc_id % 2 = 0"), "doc_id", "left_anti").withColumn("rule", F.lit("no record")))
-
-
 @query("""SELECT lang, source, 'missing' AS side FROM (SELECT lang, source FROM documents EXCEPT ALL SELECT lang, source FROM documents WHERE doc_id % 7 <> 0)""")
 def x04_difference_with_multiplicity(spark, d):
     docs = _docs(spark, d)
@@ -189,40 +182,6 @@ def g15_ink_conservation(spark, d):
 # --- contracts -----------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT doc_id, 'digest' AS rule FROM documents WHERE doc_id % 10 = 0 UNION ALL SELECT doc_id, 'path' FROM documents WHERE doc_id % 15 = 0 UNION ALL SELECT doc_id, 'run' FROM documents WHERE doc_id % 21 = 0""")
-def c06_envelope(spark, d):
-    i = F.col("doc_id")
-    rows = _docs(spark, d).select("doc_id", F.when(i % 10 == 0, "xyz").otherwise(F.sha2("text", 256)).alias("sha"), F.when(i % 15 == 0, "../x").otherwise("a/b").alias("path"), F.when(i % 21 == 0, "Run 1").otherwise("run-1").alias("run"))
-    return K.violations(rows, ["doc_id"], {"digest": C.is_sha256(F.col("sha")), "path": ~F.col("path").rlike(r"(^|/)\.\.?(/|$)"), "run": C.is_run_id(F.col("run"))})
-
-
-@query("""SELECT doc_id, sha256('{"approver":"lead","subject":"' || sha256(text) || '"}') AS approval FROM documents WHERE doc_id % 3 = 0""")
-def c07_approval_record(spark, d):
-    subject = F.sha2("text", 256)
-    return _docs(spark, d).filter("doc_id % 3 = 0").select("doc_id", C.digest(C.record(approver=F.lit("lead"), subject=subject)).alias("approval"))
-
-
-@query(f"""WITH {ATTEMPTS} SELECT subject_id, ordinal, 'text of a reading that has none' AS rule FROM attempts WHERE ordinal % 4 = 0 AND text <> '' UNION ALL SELECT subject_id, ordinal, 'reading without text' FROM attempts WHERE ordinal % 4 <> 0 AND text = ''""")
-def c08_reading_payload(spark, d):
-    read, blank = F.col("ordinal") % 4 != 0, F.col("text") == ""
-    return K.violations(attempts(spark, d), ["subject_id", "ordinal"], {"text of a reading that has none": read | blank, "reading without text": ~read | ~blank})
-
-
-@query("""SELECT l.doc_id, 'not accepted' AS rule FROM labels l WHERE quality = 0 UNION ALL SELECT l.doc_id, 'text differs' FROM labels l JOIN documents d USING (doc_id) WHERE d.doc_id % 8 = 0""")
-def c10_established_record(spark, d):
-    docs = _docs(spark, d).select("doc_id", F.sha2("text", 256).alias("read"), F.when(F.col("doc_id") % 8 == 0, F.sha2(F.lit("z"), 256)).otherwise(F.sha2("text", 256)).alias("kept"))
-    rows = table(spark, d, "labels").join(docs, "doc_id")
-    return K.violations(rows, ["doc_id"], {"not accepted": F.col("quality") == 1, "text differs": F.col("read") == F.col("kept")})
-
-
-@query(f"""WITH {ATTEMPTS} SELECT subject_id, ordinal - 1 AS position, 'broken link' AS rule FROM attempts WHERE ordinal > 1 AND (subject_id + ordinal) % 5 = 0""")
-def c11_audit_chain(spark, d):
-    turns = attempts(spark, d).select("subject_id", (F.col("ordinal") - 1).alias("position"), F.sha2("text", 256).alias("own"))
-    held = F.lag("own").over(Window.partitionBy("subject_id").orderBy("position"))
-    claimed = turns.withColumn("previous", F.when((F.col("subject_id") + F.col("position") + 1) % 5 == 0, F.sha2(F.lit("?"), 256)).otherwise(held))
-    return K.chain(claimed, "subject_id", "position", "own", "previous")
-
-
 @query(f"""WITH {RECTANGLES} SELECT page, id FROM rectangles WHERE id > 4 AND (page + id) % 6 = 0""")
 def c14_residuals_reach_denominator(spark, d):
     residual = rectangles(spark, d).filter("id > 4").select("page", "id")
@@ -338,21 +297,6 @@ def k18_testimony_denominator(spark, d):
     return current_readings(spark, d).groupBy("act").agg(F.count_distinct("chair").alias("chairs"), (F.count_distinct("chair") == 5).alias("whole"))
 
 
-@query(f"""WITH {CURRENT}, v AS (SELECT act, chair FROM current WHERE attempt % 4 <> 0) SELECT c.act, c.chair, CASE WHEN v.act IS NULL THEN 'unattached' WHEN c.outcome = 'failed' THEN 'stale' ELSE 'attached' END AS state FROM current c LEFT JOIN v USING (act, chair)""")
-def k19_attachment_view(spark, d):
-    now = current_readings(spark, d)
-    view = now.filter("attempt % 4 <> 0").select("act", "chair", F.lit(True).alias("there"))
-    state = K.first_failure([("unattached", F.col("there").isNull()), ("stale", F.col("outcome") == "failed")], "attached")
-    return now.join(view, ["act", "chair"], "left").select("act", "chair", state.alias("state"))
-
-
-@query(f"""WITH {RECTANGLES}, r AS (SELECT page, string_agg(CAST(id AS VARCHAR) || ':' || CASE WHEN id % 2 = 0 THEN 'covered' ELSE 'open' END, ',' ORDER BY id) AS regions FROM rectangles GROUP BY page) SELECT page, sha256('{{"page":' || CAST(page AS VARCHAR) || ',"regions":"' || regions || '"}}') AS dossier FROM r""")
-def k20_dossier(spark, d):
-    line = F.concat(F.col("id").cast("string"), F.lit(":"), F.when(F.col("id") % 2 == 0, "covered").otherwise("open"))
-    rows = rectangles(spark, d).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))).alias("m"))
-    return rows.select("page", C.digest(C.record(page=F.col("page"), regions=F.array_join(F.transform("m", lambda x: x["line"]), ","))).alias("dossier"))
-
-
 @query("""SELECT page_id, page_id % 14 <> 0 AS delivered_as_recorded FROM pages""")
 def k21_delivered_digest(spark, d):
     pages = table(spark, d, "pages").select("page_id", F.sha2("html", 256).alias("recorded"))
@@ -423,16 +367,6 @@ def k34_citation_link(spark, d):
     return table(spark, d, "lineitem").join(census, F.col("o_orderkey") == F.col("l_orderkey")).select("l_orderkey", "l_linenumber", F.col("o_orderpriority").alias("file"), F.col("c_name").alias("folder"))
 
 
-@query("""SELECT l.doc_id, CASE WHEN d.doc_id % 16 = 0 THEN 'text' WHEN d.doc_id % 9 = 0 THEN 'regions' WHEN quality = 0 THEN 'status' END AS disagrees FROM labels l JOIN documents d USING (doc_id) WHERE d.doc_id % 16 = 0 OR d.doc_id % 9 = 0 OR quality = 0""")
-def k35_record_reconciliation(spark, d):
-    """The first field in which a record, its review and its reading disagree."""
-    i = F.col("doc_id")
-    docs = _docs(spark, d).select("doc_id", F.sha2("text", 256).alias("text"), F.when(i % 16 == 0, "?").otherwise(F.sha2("text", 256)).alias("kept"), (i % 9 != 0).alias("same_regions"))
-    rows = table(spark, d, "labels").join(docs, "doc_id")
-    named = K.first_failure([("text", F.col("text") != F.col("kept")), ("regions", ~F.col("same_regions")), ("status", F.col("quality") == 0)])
-    return rows.select("doc_id", named.alias("disagrees")).filter("disagrees is not null")
-
-
 @query(f"""WITH {CURRENT}, chairs AS (SELECT DISTINCT chair FROM readings) SELECT act, (SELECT count(*) FROM chairs) AS roster, count(*) AS present, count(*) = (SELECT count(*) FROM chairs) AS agrees FROM current GROUP BY act""")
 def k37_roster_agreement(spark, d):
     now = current_readings(spark, d)

@@ -173,6 +173,22 @@ def k35_record_reconciliation(spark, d):
     return R.established_violations(*_established(spark, d))
 
 
+@query("""SELECT doc_id AS act, CASE WHEN doc_id % 8 > 5 THEN sha256('x' || text) END AS text_sha256, CASE doc_id % 8 WHEN 6 THEN 'partial' WHEN 7 THEN 'established' END AS text_status, CASE WHEN doc_id % 8 > 5 THEN 4 END AS inputs,
+ CASE doc_id % 8 WHEN 0 THEN 'review is held-for-review' WHEN 1 THEN 'reading missing' WHEN 2 THEN 'unprimed reading' WHEN 3 THEN 'reading is truncated' WHEN 4 THEN 'reading without text' WHEN 5 THEN 'review is recovery-requested' END AS rule FROM documents""")
+def c10_established_record(spark, d):
+    """The constructor that takes only what a review accepted."""
+    c = F.col
+    base = _docs(spark, d).select(c("doc_id").alias("act"), (c("doc_id") % 8).alias("k"), F.concat(F.lit("x"), "text").alias("text"))
+    first = base.select("act", F.lit("v1").alias("ref"), F.lit(1).alias("ordinal"), F.when(c("k") == 0, "held-for-review").otherwise("accepted").alias("outcome"), F.when(c("k") == 1, "none").otherwise("r1").alias("reading_ref"))
+    second = base.filter("k = 5").select("act", F.lit("v2").alias("ref"), F.lit(2).alias("ordinal"), F.lit("recovery-requested").alias("outcome"), F.lit("r1").alias("reading_ref"))
+    readings = base.select(
+        "act", F.lit("r1").alias("ref"), F.when(c("k") == 2, "unprimed").otherwise("primed-with-prior").alias("kind"), F.when(c("k") == 3, "truncated").otherwise("read").alias("outcome"), F.when(c("k") == 4, " ").otherwise(c("text")).alias("text"),
+        F.when(c("k") == 6, F.array(F.lit(2))).otherwise(F.array().cast("array<int>")).alias("gaps"), F.array(F.lit("b"), F.lit("a")).alias("regions"),
+    )
+    made = R.establish(first.unionByName(second), readings)
+    return made.select("act", _sha(c("text")).alias("text_sha256"), "text_status", F.when(c("inputs").isNotNull(), F.size("inputs")).alias("inputs"), "rule")
+
+
 @query("""SELECT doc_id AS act, 'not the reading that the review names' AS rule FROM documents WHERE doc_id % 15 = 3 UNION ALL SELECT doc_id, 'a newer reading exists' FROM documents WHERE doc_id % 15 IN (3, 12)""")
 def k31_reviewed_reading(spark, d):
     """The exact reading that a review names, never a newer one."""
@@ -255,3 +271,179 @@ def w04_recovery_budget(spark, d):
 def t03_bounded_recovery(spark, d):
     """Rounds that each act spent, of those whose requests reconcile; three at most."""
     return R.recovery_rounds(_requests(spark, d), _POLICY)
+
+
+# --- coverage and the run's aggregate ------------------------------------------------------------------------------------
+
+_OUTCOMES = ("read", "genuinely-empty", "failed", "dead", "not-run", "excluded")
+
+
+def _chairs(spark, d):
+    """Five chairs of each act: outcomes by turns, some unattached, truncated or without a health record."""
+    c = F.col
+    rows = _docs(spark, d).select(c("doc_id").alias("act"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k"))
+    outcome = F.get(F.array(*map(F.lit, _OUTCOMES)), ((c("act") * c("k") + c("act")) % 6).cast("int"))
+    return rows.select("act", F.concat(F.lit("chair-"), _id(c("k"))).alias("chair"), outcome.alias("outcome"), ((c("act") + c("k")) % 7 != 0).alias("attached"), ((c("act") + c("k")) % 11 == 0).alias("truncated"), ((c("act") + c("k")) % 13 == 0).alias("health_unrecorded"))
+
+
+_CHAIRS = """chairs AS (SELECT doc_id AS act, 'chair-' || CAST(k AS VARCHAR) AS chair, list_extract(['read', 'genuinely-empty', 'failed', 'dead', 'not-run', 'excluded'], CAST((doc_id * k + doc_id) % 6 AS BIGINT) + 1) AS outcome,
+  (doc_id + k) % 7 <> 0 AS attached, (doc_id + k) % 11 = 0 AS truncated, (doc_id + k) % 13 = 0 AS unrecorded FROM (SELECT doc_id, unnest(range(0, 5)) AS k FROM documents)),
+cover AS (SELECT act, count(*) FILTER (outcome IN ('read', 'genuinely-empty') AND attached AND NOT truncated) < 2 AS under_witnessed, count(*) FILTER (outcome = 'not-run') AS unresolved_chairs FROM chairs GROUP BY act)"""
+
+
+@query(f"""WITH {_CHAIRS} SELECT act, count(*) AS configured, {", ".join(f"count(*) FILTER (outcome = '{o}') AS outcome_{o.replace('-', '_')}" for o in _OUTCOMES)},
+  count(*) FILTER (outcome IN ('read', 'genuinely-empty', 'excluded')) AS class_completed, count(*) FILTER (outcome = 'not-run') AS class_unresolved, count(*) FILTER (outcome IN ('failed', 'dead')) AS class_failed,
+  count(*) FILTER (outcome IN ('read', 'genuinely-empty') AND attached AND NOT truncated) < 2 AS under_witnessed, count(*) FILTER (outcome IN ('read', 'genuinely-empty') AND NOT (attached AND NOT truncated)) AS page_granularity_only,
+  count(*) FILTER (unrecorded) AS health_unrecorded, count(*) FILTER (outcome = 'failed') AS shortfall_failed, count(*) FILTER (truncated) AS shortfall_truncated, count(*) FILTER (NOT attached) AS shortfall_unaligned FROM chairs GROUP BY act""")
+def a01_witness_coverage(spark, d):
+    return R.witness_coverage(_chairs(spark, d), 2)
+
+
+def _run(spark, d):
+    c = F.col
+    category = F.when(c("doc_id") % 5 == 0, "held-for-review").when(c("doc_id") % 5 == 1, "confirmed-blank").otherwise("delivered")
+    status = F.when(c("doc_id") % 5 >= 2, F.when(c("doc_id") % 7 == 0, None).when(c("doc_id") % 7 == 1, "partial").otherwise("established")).when(c("doc_id") % 35 == 1, "established")
+    acts = _docs(spark, d).select(c("doc_id").alias("act"), category.alias("category"), status.alias("text_status"))
+    coverage = R.witness_coverage(_chairs(spark, d).filter("act % 9 <> 0"), 2).select("act", "under_witnessed", c("class_unresolved").alias("unresolved_chairs"))
+    stranger = coverage.filter("act % 10 = 1").withColumn("act", -c("act"))
+    pages = _docs(spark, d).select(c("doc_id").alias("page"), F.when(c("doc_id") % 8 == 0, "refused").otherwise("sealed").alias("outcome"), F.when(c("doc_id") % 16 == 0, "corrupt").alias("reason"))
+    act_pages = acts.filter("act % 12 <> 1").select("act", c("act").alias("page"))
+    return acts, coverage.unionByName(stranger), pages, act_pages, spark.createDataFrame([("wittness-2",)], "chair string")
+
+
+_RUN = f"""{_CHAIRS}, acts AS (SELECT doc_id AS act, CASE WHEN doc_id % 5 = 0 THEN 'held-for-review' WHEN doc_id % 5 = 1 THEN 'confirmed-blank' ELSE 'delivered' END AS category,
+  CASE WHEN doc_id % 5 >= 2 THEN CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN 'partial' ELSE 'established' END WHEN doc_id % 35 = 1 THEN 'established' END AS text_status FROM documents),
+reasons AS (SELECT 'act' AS unit, act AS n, 'act is held-for-review' AS reason FROM acts WHERE category = 'held-for-review'
+  UNION ALL SELECT 'act', act, CASE WHEN text_status IS NULL THEN 'text status never measured' ELSE 'delivered with partial' END FROM acts WHERE category = 'delivered' AND (text_status IS NULL OR text_status = 'partial')
+  UNION ALL SELECT 'act', act, 'no witness coverage' FROM acts WHERE act % 9 = 0 UNION ALL SELECT 'act', act, 'under-witnessed' FROM cover WHERE act % 9 <> 0 AND under_witnessed
+  UNION ALL SELECT 'act', act, 'chair without an outcome' FROM cover WHERE act % 9 <> 0 AND unresolved_chairs > 0 UNION ALL SELECT 'act', -act, 'coverage of an unknown act' FROM cover WHERE act % 9 <> 0 AND act % 10 = 1
+  UNION ALL SELECT 'act', act, 'text status of an act that wasn''t delivered' FROM acts WHERE category <> 'delivered' AND text_status IS NOT NULL
+  UNION ALL SELECT 'page', doc_id, 'page was refused: ' || CASE WHEN doc_id % 16 = 0 THEN 'corrupt' ELSE 'no reason was recorded' END FROM documents WHERE doc_id % 8 = 0
+  UNION ALL SELECT 'page', doc_id, 'sealed and silent' FROM documents WHERE doc_id % 8 <> 0 AND doc_id % 12 = 1)"""
+
+
+@query(f"""WITH {_RUN} SELECT unit, CAST(n AS VARCHAR) AS subject, reason FROM reasons UNION ALL SELECT 'chair', 'wittness-2', 'no stage addresses the chair'""")
+def a02_run_reasons(spark, d):
+    """Everything that keeps the run from being complete, each by name."""
+    return R.run_reasons(*_run(spark, d))
+
+
+@query(f"""WITH {_RUN} SELECT 'partial' AS status, (SELECT count(*) FROM acts) AS acts, {", ".join(f"(SELECT count(*) FROM acts WHERE category = '{w}') AS {w.replace('-', '_')}" for w in R.A.CATEGORIES)},
+ (SELECT count(*) FROM documents WHERE doc_id % 8 <> 0) AS pages_sealed, (SELECT count(*) FROM documents WHERE doc_id % 8 = 0) AS pages_refused, (SELECT count(*) + 1 FROM reasons) AS reasons""")
+def a02_run_aggregate(spark, d):
+    return R.run_aggregate(*_run(spark, d))
+
+
+# --- categories, indexes, attachments, dossiers ----------------------------------------------------------------------------
+
+
+@query("""SELECT doc_id AS act, CASE doc_id % 7 WHEN 0 THEN 'no review' WHEN 1 THEN 'outstanding recovery' WHEN 2 THEN 'accepted but not established' WHEN 3 THEN 'established twice' WHEN 4 THEN 'established but not accepted' END AS rule FROM documents WHERE doc_id % 7 < 5
+UNION ALL SELECT -doc_id, r FROM documents, (VALUES ('unknown act'), ('established but not accepted'), ('no review')) x(r) WHERE doc_id % 50 = 6""")
+def j02_act_category(spark, d):
+    """The latest review with the established records: orphans, repeats and acts without an end."""
+    c = F.col
+    acts = _docs(spark, d).select(c("doc_id").alias("act"))
+    k = c("act") % 7
+    first = acts.filter(k != 0).select("act", F.lit(1).alias("ordinal"), F.lit("recovery-requested").alias("outcome"))
+    second = acts.filter((k != 0) & (k != 1)).select("act", F.lit(2).alias("ordinal"), F.when(k == 4, "held-for-review").otherwise("accepted").alias("outcome"))
+    kept = acts.filter((k > 2)).unionByName(acts.filter(k == 3)).unionByName(acts.filter("act % 50 = 6").select((-c("act")).alias("act")))
+    return R.act_category_violations(acts, first.unionByName(second), kept)
+
+
+@query("""SELECT doc_id AS act, CASE doc_id % 6 WHEN 0 THEN 'not indexed' WHEN 1 THEN 'repeated entry' WHEN 2 THEN 'digest' WHEN 3 THEN 'no record' END AS rule FROM documents WHERE doc_id % 6 < 4""")
+def a24_record_index(spark, d):
+    c = F.col
+    records = _docs(spark, d).select(c("doc_id").alias("act"), _sha(c("text")).alias("digest"))
+    entries = records.filter("act % 6 <> 0").withColumn("digest", F.when(c("act") % 6 == 2, _sha(F.lit("?"))).otherwise(c("digest")))
+    return R.index_violations(records.filter("act % 6 <> 3"), entries.unionByName(entries.filter("act % 6 = 1")))
+
+
+_BAD_VIEWS = ["no current testimony", "span of an unattached view, outcome", "span isn't the whole reading", "outcome", "stale", "chairs, no current testimony", "span beyond the reading"]
+
+
+@query(_expected("(SELECT doc_id AS act FROM documents)", "act", _BAD_VIEWS))
+def k19_attachment_view(spark, d):
+    """Act attachments against each chair's current testimony and the configured chairs."""
+    c = F.col
+    chairs = spark.createDataFrame([("a",), ("b",), ("page",)], "chair string")
+    n = len(_BAD_VIEWS) + 2
+    fault = lambda k: c("act") % n == k
+    rows = _docs(spark, d).select(c("doc_id").alias("act"), F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("page"))).alias("chair"), (F.length("text") + 9).alias("characters"))
+    now = rows.filter(~(fault(0) & (c("chair") == "a"))).select("act", "chair", F.when(c("chair") == "b", "failed").otherwise("read").alias("outcome"), c("characters") + F.when(fault(4) & (c("chair") == "a"), 1).otherwise(0))
+    now = now.toDF("act", "chair", "outcome", "characters")
+    span = lambda a, b: F.struct(F.lit(a).alias("start"), b.alias("end"))
+    nowhere = F.lit(None).cast("struct<start:int,end:int>")
+    views = rows.withColumns({"page_witness": c("chair") == "page", "attached": c("chair") != "b", "span": F.when(c("chair") == "a", span(0, c("characters"))).when(c("chair") == "page", span(2, F.lit(5)))})
+    first = c("chair") == "a"
+    views = views.withColumns({
+        "attached": F.when(first & (fault(1) | fault(3)), False).otherwise(c("attached")), "chair": F.when(fault(5) & (c("chair") == "b"), "z").otherwise(c("chair")),
+        "span": F.when(first & fault(3), nowhere).when(first & fault(2), span(1, c("characters"))).when((c("chair") == "page") & fault(6), span(2, c("characters") + 1)).otherwise(c("span")),
+    })
+    return R.attachment_violations(views, now, chairs)
+
+
+def _evidence(spark, d):
+    c = F.col
+    acts = _docs(spark, d).select(c("doc_id").alias("act"))
+    regions = _docs(spark, d).select(c("doc_id").alias("act"), F.explode(F.array(F.lit("r2"), F.lit("r1"))).alias("region"), _sha(c("text")).alias("sha256")).withColumn("image", F.concat_ws("/", "act", "region"))
+    told = _docs(spark, d).filter("doc_id % 4 <> 0").select(c("doc_id").alias("act"), F.explode(F.array(F.lit("b"), F.lit("a"))).alias("chair"), c("text"))
+    told = told.withColumns({"outcome": F.when((c("chair") == "b") & (c("act") % 3 == 0), "failed").otherwise("read"), "seen": F.when(c("chair") == "a", F.array(F.lit("r1"))).otherwise(F.array(F.lit("r1"), F.lit("r2")))})
+    return acts, regions, told
+
+
+@query("""SELECT doc_id AS act, 2 AS regions, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS covered, CASE WHEN doc_id % 4 <> 0 THEN 2 END AS witnesses, CASE WHEN doc_id % 4 <> 0 THEN CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END END AS reported,
+  CASE WHEN doc_id % 4 <> 0 THEN left(sha256('run-1/a'), 12) < left(sha256('run-1/b'), 12) END AS a_first FROM documents""")
+def k20_dossier(spark, d):
+    """What each reader is shown: regions in order, whether witnesses cover them, blinded names, and no text of a failed witness."""
+    c = F.col
+    shown = R.dossiers(*_evidence(spark, d), "blinded", _blind).filter("rule is null")
+    covered = F.when(F.exists("regions", lambda r: r["witness_covered"].isNotNull()), F.size(F.filter("regions", lambda r: r["witness_covered"])))
+    return shown.select(
+        "act", F.size("regions").alias("regions"), covered.alias("covered"), F.when(c("witnesses").isNotNull(), F.size("witnesses")).alias("witnesses"), F.when(c("witnesses").isNotNull(), F.size(F.filter("witnesses", lambda w: w["reported"].isNotNull()))).alias("reported"),
+        (c("witnesses")[0]["label"] == _blind(F.lit("a"))).alias("a_first"),
+    )
+
+
+@query("""SELECT doc_id AS act, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE 'labels collide' END AS rule, true AS sealed FROM documents""")
+def k20_dossier_collisions(spark, d):
+    """Names that a blinding gives to two witnesses are found, and the seal covers the same facts in any order of rows."""
+    acts, regions, told = _evidence(spark, d)
+    one = R.dossiers(acts, regions, told, "blinded", lambda chair: F.lit("witness"))
+    other = R.dossiers(acts, regions.orderBy(F.desc("region")), told.orderBy(F.desc("chair")), "blinded", lambda chair: F.lit("witness"))
+    return one.select("act", "rule", "dossier_digest").join(other.select("act", F.col("dossier_digest").alias("again")), "act").select("act", "rule", (F.col("dossier_digest") == F.col("again")).alias("sealed"))
+
+
+# --- gold ------------------------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS t, doc_id % 14 AS k FROM documents)
+SELECT '2' AS subject, 'several draws' AS rule UNION ALL SELECT '2', 'several frames' UNION ALL SELECT 'smp-' || t, 'not in the draw' FROM s WHERE k = 0 UNION ALL SELECT 'page-' || t, 'two strata' FROM s WHERE k = 1
+UNION ALL SELECT 'page-' || t, 'two ordinals' FROM s WHERE k = 2 UNION ALL SELECT 'smp-' || t, 'digest of two samples' FROM s WHERE k IN (1, 2) UNION ALL SELECT 'tr-' || t || 'x', 'transcription of no sample' FROM s WHERE k = 4
+UNION ALL SELECT 'smp-' || t || '/act-' || t || '/a', 'two readings of one transcriber' FROM s WHERE k = 5 UNION ALL SELECT 'adj-' || t, 'not exactly the act''s transcriptions' FROM s WHERE k IN (5, 6, 7)
+UNION ALL SELECT 'adj-' || t, 'embeds what isn''t there' FROM s WHERE k = 6 UNION ALL SELECT 'adj-' || t, 'adjudication of no sample' FROM s WHERE k = 7 UNION ALL SELECT 'smp-' || t || '/act-' || t, 'two adjudications' FROM s WHERE k = 8""")
+def c16_gold_corpus(spark, d):
+    """A whole gold corpus: one draw and frame, one description of a page, and adjudications of exactly their transcriptions."""
+    c = F.col
+    base = _docs(spark, d).select(_id(c("doc_id")).alias("t"), (c("doc_id") % 14).alias("k"), c("doc_id").alias("ordinal"), F.concat(F.lit("smp-"), _id(c("doc_id"))).alias("digest"), F.concat(F.lit("page-"), _id(c("doc_id"))).alias("page"))
+    name = lambda prefix, suffix="": F.concat(F.lit(prefix), c("t"), F.lit(suffix))
+    samples = base.select("digest", "page", F.lit("ordinary").alias("stratum"), "ordinal", F.lit("frame-1").alias("frame"), F.lit("stratified-seed").alias("method"), "k")
+    again = samples.filter("k in (1, 2)").withColumns({"stratum": F.when(c("k") == 1, "adverse").otherwise(c("stratum")), "ordinal": F.when(c("k") == 2, -1).otherwise(c("ordinal"))})
+    draws = base.filter("k <> 0").select(F.when(c("k") == 3, "draw-2").otherwise("draw-1").alias("draw"), F.when(c("k") == 3, "frame-2").otherwise("frame-1").alias("frame"), c("digest").alias("member"))
+    tr = base.select("k", "t", c("digest").alias("sample"), name("act-").alias("act"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("transcriber")).withColumn("hash", F.concat(F.lit("tr-"), "t", "transcriber"))
+    lost = base.filter("k = 4").select("k", "t", F.lit("smp-none").alias("sample"), name("act-").alias("act"), F.lit("a").alias("transcriber"), name("tr-", "x").alias("hash"))
+    twice = tr.filter("k = 5 and transcriber = 'a'").withColumn("hash", F.concat("hash", F.lit("2")))
+    own = F.array(name("tr-", "a"), name("tr-", "b"))
+    adj = base.select("k", "t", F.when(c("k") == 7, "smp-none").otherwise(c("digest")).alias("sample"), name("act-").alias("act"), name("adj-").alias("hash"), F.when(c("k") == 6, F.array(name("tr-", "a"), name("tr-", "z"))).otherwise(own).alias("embedded"))
+    more = adj.filter("k = 8").withColumn("hash", F.concat("hash", F.lit("2")))
+    return R.gold_violations(samples.unionByName(again).drop("k"), draws, tr.unionByName(lost).unionByName(twice).select("hash", "sample", "act", "transcriber"), adj.unionByName(more).select("hash", "sample", "act", "embedded"))
+
+
+@query("""SELECT 's' AS sample, doc_id AS act, CASE WHEN doc_id % 7 < 2 THEN 'agreed' WHEN doc_id % 7 = 2 THEN 'adjudicated' END AS basis, CASE WHEN doc_id % 7 < 2 THEN lang WHEN doc_id % 7 = 2 THEN lang || '!' END AS text,
+ CASE doc_id % 7 WHEN 3 THEN 'not one adjudicator' WHEN 4 THEN 'adjudicates an own reading' WHEN 5 THEN 'adjudicated though agreed' WHEN 6 THEN 'not two transcribers' END AS rule FROM documents""")
+def c20_adjudication(spark, d):
+    c = F.col
+    base = _docs(spark, d).select(F.lit("s").alias("sample"), c("doc_id").alias("act"), c("lang"), (c("doc_id") % 7).alias("k"))
+    first = base.select("sample", "act", "k", F.lit("transcriber").alias("role"), F.lit("ann").alias("transcriber"), c("lang").alias("text"))
+    second = base.filter("k <> 6").select("sample", "act", "k", F.lit("transcriber").alias("role"), F.lit("bob").alias("transcriber"), F.when(c("k").isin(0, 1, 5), c("lang")).otherwise(F.concat("lang", F.lit("?"))).alias("text"))
+    third = base.filter("k in (2, 4, 5)").select("sample", "act", "k", F.lit("adjudicator").alias("role"), F.when(c("k") == 4, "ann").otherwise("eve").alias("transcriber"), F.concat("lang", F.lit("!")).alias("text"))
+    return R.adjudications(first.unionByName(second).unionByName(third).drop("k"))

@@ -239,12 +239,6 @@ def j01_lineage(spark, d):
     return R.lineage_violations(refs, every.filter("ordinal % 8 <> 0"))
 
 
-@query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'no-review' WHEN l.quality = 1 THEN 'established' ELSE 'held' END AS category FROM documents d LEFT JOIN labels l USING (doc_id)""")
-def j02_act_category(spark, d):
-    joined = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
-    return joined.select("doc_id", F.when(F.col("quality").isNull(), "no-review").when(F.col("quality") == 1, "established").otherwise("held").alias("category"))
-
-
 @query("""WITH a AS (SELECT doc_id AS page, lang FROM documents WHERE doc_id % 7 <> 0), b AS (SELECT doc_id AS page, CASE WHEN doc_id % 5 = 0 THEN 'xx' ELSE lang END AS lang FROM documents WHERE doc_id % 11 <> 0)
 SELECT coalesce(a.page, b.page) AS page, CASE WHEN b.page IS NULL THEN 'left-only' WHEN a.page IS NULL THEN 'right-only' WHEN a.lang = b.lang THEN 'agrees' ELSE 'differs' END AS status FROM a FULL JOIN b ON a.page = b.page""")
 def j03_page_census(spark, d):

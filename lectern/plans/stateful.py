@@ -20,18 +20,6 @@ def t04_circuit_breaker(spark, d):
     return I.running_sum(tally, ["checkpoint"], "failures", "total").withColumn("tripped", F.col("total") > 40).drop("total")
 
 
-@query("""WITH RECURSIVE p(id, round) AS (SELECT doc_id, 0 FROM documents UNION ALL SELECT id, round + 1 FROM p WHERE round < 3 AND (id + round + 1) % 2 <> 0) SELECT id AS subject_id, max(round) AS rounds FROM p GROUP BY id""")
-def t03_bounded_recovery(spark, d):
-    """How many rounds each subject took, of three at most: a round resolves those of even id + round."""
-    every = table(spark, d, "documents").select(F.col("doc_id").alias("subject_id"))
-    open_ = F.lit(True)
-    rounds = F.lit(0)
-    for k in range(1, 4):
-        open_ = open_ & ((F.col("subject_id") + k) % 2 != 0)
-        rounds = rounds + F.when(open_, 1).otherwise(0)
-    return every.select("subject_id", rounds.alias("rounds"))
-
-
 @query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def t09_windowed_outcomes(spark, d):
     events = table(spark, d, "events")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import canonical as C
@@ -14,7 +15,8 @@ from lectern.operators import attempts as V
 from lectern.operators import intervals as I
 from lectern.operators import metrics as M
 from lectern.operators import rectangles as B
-from lectern.operators import reconcile as R
+from lectern.operators import reconcile
+from lectern.operators import records as R
 
 
 def _got(df):
@@ -31,8 +33,14 @@ def test_attempt_histories(spark):
 def test_unknown_outcome_and_empty_run(spark):
     units = spark.createDataFrame([("door", "admitted"), ("door", "lost")], "stage string, outcome string")
     assert _got(A.unknown_outcomes(units)) == [("door", "lost", 1)]
-    empty = spark.createDataFrame([], "act int")
-    assert A.run_status(empty, empty).first()["status"] == "partial"
+    none = [spark.createDataFrame([], k) for k in ("act long, category string, text_status string", "act long, under_witnessed boolean, unresolved_chairs long", "page long, outcome string, reason string", "act long, page long", "chair string")]
+    assert R.run_aggregate(*none).first()["status"] == "partial"
+    whole = [spark.createDataFrame(r, f.schema) for r, f in zip(([(1, "delivered", "established")], [(1, False, 0)], [(1, "sealed", None)], [(1, 1)], []), none, strict=True)]
+    assert R.run_aggregate(*whole).first()["status"] == "complete"
+    with pytest.raises(Exception, match="no witness outcome"):
+        R.witness_coverage(spark.createDataFrame([(1, "a", "dreamt", True, False, False)], "act long, chair string, outcome string, attached boolean, truncated boolean, health_unrecorded boolean"), 1).collect()
+    with pytest.raises(ValueError, match="policy"):
+        R.recovery_violations(whole[0], {"fallback-recrop": 2, "page-level-reread": 2})
     assert len({(s, o) for s, o, _, _ in A.ALGEBRA}) == len(A.ALGEBRA)
 
 
@@ -45,8 +53,8 @@ def test_page_category(spark):
 def test_reconcile(spark):
     a = spark.createDataFrame([(1, "x"), (2, None), (3, "z")], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (2, None), (4, "w"), (3, "q")], "k int, v string")
-    assert _got(R.reconcile(a, b, ["k"], ["v"])) == [(1, "agrees"), (2, "agrees"), (3, "differs"), (4, "right-only")]
-    assert _got(R.difference(a.unionByName(a.limit(1)), a)) == [(1, "x", "missing")]
+    assert _got(reconcile.reconcile(a, b, ["k"], ["v"])) == [(1, "agrees"), (2, "agrees"), (3, "differs"), (4, "right-only")]
+    assert _got(reconcile.difference(a.unionByName(a.limit(1)), a)) == [(1, "x", "missing")]
 
 
 def test_touching_intervals(spark):
