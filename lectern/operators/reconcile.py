@@ -39,6 +39,37 @@ def publish(proposed: DataFrame, stored: DataFrame, key: str, digest: str) -> Da
     return proposed.join(held, key, "left").withColumn("action", action).drop("held")
 
 
+def transfer(manifest: DataFrame, source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """manifest (key, sha256) with action: 'verified' (the target holds these bytes), 'copy', 'copy again' (it holds others),
+    or 'source changed' and 'source missing', which are refused. source and target hold key and content."""
+    own, held = source.select(key, F.sha2("content", 256).alias("__own")), target.select(key, F.sha2("content", 256).alias("__held"))
+    action = (
+        F.when(F.col("__held") == F.col("sha256"), "verified").when(F.col("__own").isNull(), "source missing").when(F.col("__own") != F.col("sha256"), "source changed")
+        .when(F.col("__held").isNull(), "copy").otherwise("copy again")
+    )
+    return manifest.join(own, key, "left").join(held, key, "left").withColumn("action", action).drop("__own", "__held")
+
+
+def run_binding(asked: DataFrame, stored: DataFrame, key: str, facts: list[str]) -> DataFrame:
+    """(key, action, differs): 'create' where no run is stored, 'resume' where every fact is as it was, else 'refuse' and the first that isn't."""
+    held = stored.select(key, F.struct(*facts).alias("__held"))
+    both = asked.join(held, key, "left")
+    differs = F.coalesce(*[F.when(~F.col(f).eqNullSafe(F.col("__held")[f]), f) for f in facts])
+    new = F.col("__held").isNull()
+    return both.select(key, F.when(new, "create").when(differs.isNull(), "resume").otherwise("refuse").alias("action"), F.when(~new, differs).alias("differs"))
+
+
+def pairwise(frames: dict[str, DataFrame], pairs: list[tuple[str, str]]) -> DataFrame:
+    """Rows that one of two frames lacks, for each pair of names; see difference."""
+    return union_all([difference(frames[a], frames[b]).withColumn("pair", F.lit(f"{a}/{b}")) for a, b in pairs])
+
+
+def firewalled(salvage: DataFrame, acts: DataFrame, key: str) -> DataFrame:
+    """salvage with rule 'leaks into the acts' where a row's key is an act's too; the two may share none."""
+    known = acts.select(key).distinct().withColumn("__act", F.lit(True))
+    return salvage.join(known, key, "left").withColumn("rule", F.when(F.col("__act"), "leaks into the acts")).drop("__act")
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n) of keys that occur more than once."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")

@@ -234,16 +234,6 @@ def a23_review_route(spark, d):
     return facts.select("act", F.nullif(route, F.lit("")).alias("route"))
 
 
-@query("""WITH declared AS (SELECT doc_id, n_chars, length(text) AS held FROM documents)
-SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN 'digest-mismatch' WHEN doc_id % 19 = 0 THEN 'unsupported-variant' WHEN held = 0 THEN 'empty' WHEN n_chars > 20000 THEN 'too-large'
-  WHEN doc_id % 23 = 0 THEN 'corrupt' ELSE 'admitted' END AS decision FROM declared""")
-def k01_admission_decision(spark, d):
-    """Refusal reasons in their fixed precedence: digest, container without index, empty, too large, decode verdict."""
-    i = F.col("doc_id")
-    decision = F.when(i % 17 == 0, "digest-mismatch").when(i % 19 == 0, "unsupported-variant").when(F.length("text") == 0, "empty").when(F.col("n_chars") > 20000, "too-large").when(i % 23 == 0, "corrupt").otherwise("admitted")
-    return table(spark, d, "documents").select("doc_id", decision.alias("decision"))
-
-
 @query("""SELECT 'nothing was admitted' AS rule, count(*) AS submitted FROM documents HAVING count(*) FILTER (n_chars < 0) = 0""")
 def k03_nothing_admitted(spark, d):
     counts = table(spark, d, "documents").agg(F.count("*").alias("submitted"), F.count_if(F.col("n_chars") < 0).alias("admitted"))

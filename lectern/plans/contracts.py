@@ -203,12 +203,6 @@ def c19_sealed_cells(spark, d):
 # --- composites ---------------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT source, count(*) FILTER (n_chars >= 300) AS admitted, count(*) FILTER (n_chars < 300) AS refused, count(*) = count(DISTINCT doc_id) AS one_record_each FROM documents GROUP BY source""")
-def k02_admissions_by_source(spark, d):
-    ok = F.col("n_chars") >= 300
-    return _docs(spark, d).groupBy("source").agg(F.count_if(ok).alias("admitted"), F.count_if(~ok).alias("refused"), (F.count("*") == F.count_distinct("doc_id")).alias("one_record_each"))
-
-
 @query("""WITH l AS (SELECT source, doc_id, sha256('{"doc_id":' || CAST(doc_id AS VARCHAR) || ',"lang":"' || lang || '"}') AS line FROM documents) SELECT source, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY doc_id)) AS seal FROM l GROUP BY source""")
 def k04_corpus_seal(spark, d):
     return K.sealed(_docs(spark, d), ["source"], "doc_id", ["lang"])

@@ -40,7 +40,7 @@ def _docs(spark, d):
 
 _id = lambda c: c.cast("string")
 _sha = lambda text: F.sha2(text, 256)
-_none = F.lit(None).cast("string")
+_none = lambda: F.lit(None).cast("string")
 
 
 # --- envelopes and approvals ------------------------------------------------------------------------------------
@@ -61,7 +61,7 @@ def c06_envelope(spark, d):
     c = F.col
     rows = _docs(spark, d).select("doc_id", "text").withColumns({
         "subject_id": C.identity("act", doc=c("doc_id")), "stage": F.lit("recensor"), "kind": F.lit("review"), "outcome": F.lit("accepted"), "schema": F.lit("evidence.v0"), "run_id": F.lit("run-1"), "config_digest": _sha(F.lit("config")),
-        "attempt_id": C.identity("attempt", doc=c("doc_id")), "producer": F.struct(F.lit("rev-1").alias("adapter_revision"), F.lit("recensor").alias("stage")), "approval_ref": _none,
+        "attempt_id": C.identity("attempt", doc=c("doc_id")), "producer": F.struct(F.lit("rev-1").alias("adapter_revision"), F.lit("recensor").alias("stage")), "approval_ref": _none(),
         "inputs": _refs((F.concat(F.lit("pages/"), _id(c("doc_id"))), _sha(c("text"))), (F.lit("config.toml"), _sha(F.lit("config")))), "payload": F.lit('{"text_status":"established"}'),
         "keys": F.array(*[F.lit(f) for f in R.ENVELOPE_FIELDS]),
     })
@@ -92,7 +92,7 @@ def c07_approval_record(spark, d):
     given = _docs(spark, d).select("doc_id", F.array(_id(c("doc_id")), F.lit("act-0")).alias("subject_ids"), F.lit("exclusion").alias("action"), F.lit("no ink").alias("reason"), _sha(c("text")).alias("target_version_hash"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"))
     rows = R.approvals(given, "lead")
     changes = [
-        {"schema": F.lit("approval-record.v9")}, {"approver": F.lit("agent")}, {"action": F.lit("rename")}, {"subject_ids": F.array().cast("array<string>")}, {"subject_ids": F.array(F.lit(" "))}, {"reason": F.lit("")}, {"timestamp": _none},
+        {"schema": F.lit("approval-record.v9")}, {"approver": F.lit("agent")}, {"action": F.lit("rename")}, {"subject_ids": F.array().cast("array<string>")}, {"subject_ids": F.array(F.lit(" "))}, {"reason": F.lit("")}, {"timestamp": _none()},
         {"target_version_hash": F.lit("v2")}, {"reason": F.lit("edited")},
     ]
     edited = _planted(rows, "doc_id", list(zip(_BAD_APPROVALS, changes, strict=True)))
@@ -206,7 +206,7 @@ def k36_missing_provenance(spark, d):
     c = F.col
     rows = _planted(
         _docs(spark, d).select(c("doc_id").alias("act"), F.lit("model-1").alias("model"), F.left(_sha(c("text")), F.lit(40)).alias("revision"), _sha(F.lit("c")).alias("config")), "act",
-        [("no model", {"model": F.lit(" "), "revision": _none}), ("no revision", {"revision": F.lit("main"), "config": _none}), ("no configuration", {"config": F.lit("x")})],
+        [("no model", {"model": F.lit(" "), "revision": _none()}), ("no revision", {"revision": F.lit("main"), "config": _none()}), ("no configuration", {"config": F.lit("x")})],
     )
     named = K.first_failure([("no model", F.coalesce(F.trim("model") == "", F.lit(True))), ("no revision", ~F.coalesce(C.is_revision(c("revision")), F.lit(False))), ("no configuration", ~F.coalesce(C.is_sha256(c("config")), F.lit(False)))])
     return rows.select("act", named.alias("missing")).filter("missing is not null")
@@ -228,7 +228,7 @@ def c11_audit_chain(spark, d):
     findings = act.select("act", c("finding_ref").alias("ref"), "draft_ref", F.lit(1).alias("ordinal"), flags.alias("flags"), change.alias("change"), F.lit(False).alias("unresolved"), _sha(c("finding_ref")).alias("digest"), F.array("draft_ref").alias("inputs"))
     rows = act.select("act", F.lit(1).alias("ordinal"), c("final").alias("text"), "draft_ref", "finding_ref", _sha(c("finding_ref")).alias("finding_digest"), _sha(F.concat(F.lit("request "), "draft_ref")).alias("request_digest"), F.lit(False).alias("unresolved"), F.array("draft_ref", "finding_ref").alias("inputs"))
     changes = [
-        {"draft_ref": F.lit("draft/none"), "request_digest": _none}, {"finding_ref": F.lit("finding/none")}, {"ordinal": F.lit(2)}, {"text": F.concat("text", F.lit("!"))}, {"finding_digest": F.lit("?")}, {"unresolved": F.lit(True)}, {"inputs": F.array("draft_ref")}, {"request_digest": F.lit("?")}, {"request_digest": c("request_digest")},
+        {"draft_ref": F.lit("draft/none"), "request_digest": _none()}, {"finding_ref": F.lit("finding/none")}, {"ordinal": F.lit(2)}, {"text": F.concat("text", F.lit("!"))}, {"finding_digest": F.lit("?")}, {"unresolved": F.lit(True)}, {"inputs": F.array("draft_ref")}, {"request_digest": F.lit("?")}, {"request_digest": c("request_digest")},
     ]
     return R.audit_chain_violations(_planted(rows, "act", list(zip(_BAD_CHAINS, changes, strict=True))), drafts, requests, findings)
 

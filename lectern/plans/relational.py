@@ -61,25 +61,6 @@ def s04_sniffed_format(spark, d):
     return table(spark, d, "documents").select("doc_id", formats.sniff(content).alias("format"))
 
 
-@query("""SELECT doc_id, unnest(range(1, CAST(n_chars // 2000 AS BIGINT) + 2)) AS page, count(*) OVER () * 0 AS zero FROM documents""")
-def s08_container_pages(spark, d):
-    fanned = table(spark, d, "documents").select("doc_id", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("n_chars div 2000 + 1"))).alias("page"))
-    return fanned.withColumn("zero", F.lit(0).cast("long"))
-
-
-@query(f"""WITH {_SOURCES} SELECT relative_path, sha256 FROM sources WHERE NOT (ordinal % 3 = 0)""")
-def s09_transfer_remaining(spark, d):
-    every = _sources(spark, d).select("relative_path", "sha256", "ordinal")
-    there = every.filter("ordinal % 3 = 0").select("relative_path", "sha256")
-    return every.join(there, ["relative_path", "sha256"], "left_anti").select("relative_path", "sha256")
-
-
-@query("""SELECT 'run-' || source AS run_id, count(DISTINCT lang) = 1 AS compatible FROM documents GROUP BY source""")
-def s10_run_binding(spark, d):
-    """A run may be resumed only if all that binds it is as it was."""
-    return table(spark, d, "documents").groupBy(F.concat(F.lit("run-"), F.col("source")).alias("run_id")).agg((F.count_distinct("lang") == 1).alias("compatible"))
-
-
 @query(f"""WITH {_SOURCES}, stored AS (SELECT relative_path, CASE WHEN ordinal % 6 = 0 THEN sha256('x') ELSE sha256 END AS held FROM sources WHERE ordinal % 2 = 0)
 SELECT relative_path, CASE WHEN held IS NULL THEN 'insert' WHEN held = sha256 THEN 'reuse' ELSE 'conflict' END AS action FROM sources LEFT JOIN stored USING (relative_path)""")
 def s11_publish_action(spark, d):
@@ -129,16 +110,6 @@ def s19_text_bundle(spark, d):
     return C.digest_in_order(rows, ["folder"], ["ordinal"], "text").withColumnsRenamed({"n": "members", "digest": "content"})
 
 
-@query("""SELECT doc_id, CASE WHEN toxic = 1 THEN 'refused' ELSE 'held' END AS state FROM labels WHERE quality = 0 OR toxic = 1""")
-def s20_review_items(spark, d):
-    return table(spark, d, "labels").filter("quality = 0 or toxic = 1").select("doc_id", F.when(F.col("toxic") == 1, "refused").otherwise("held").alias("state"))
-
-
-@query("""SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
-def s21_salvage_tier(spark, d):
-    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
-
-
 @query(f"""WITH {_SOURCES} SELECT lang AS member, count(*) AS entries, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(string_agg(sha256, chr(10) ORDER BY relative_path)) AS digest FROM sources GROUP BY lang""")
 def s22_export_manifest(spark, d):
     rows = _sources(spark, d).withColumnRenamed("lang", "member")
@@ -356,14 +327,6 @@ def x05_repeated_keys(spark, d):
     return R.duplicates(table(spark, d, "orders"), ["o_custkey"])
 
 
-@query(f"""WITH {_SOURCES} SELECT relative_path AS act_key, sha256 AS text_sha256, 'missing' AS side FROM sources WHERE false""")
-def x06_cross_format_identity(spark, d):
-    """Rows on which the JSON lines and the text bundle disagree: none."""
-    every = _sources(spark, d)
-    row = C.record(act_key=F.col("relative_path"), text_sha256=F.col("sha256"))
-    return R.difference(sinks.scan_json_lines(sinks.json_lines(every, row, "relative_path"), "act_key string, text_sha256 string"), every.select(F.col("relative_path").alias("act_key"), F.sha2("text", 256).alias("text_sha256")))
-
-
 # --- sampling ---------------------------------------------------------------------------------------------
 
 

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import display as D
 from lectern.operators import contracts as K
-from lectern.sources import formats, policies, sinks
+from lectern.sources import formats, policies, samples, sinks, structure
 
 
 def test_inventory(spark, tmp_path):
@@ -15,10 +18,52 @@ def test_inventory(spark, tmp_path):
     (tmp_path / "a" / "x.txt").write_bytes(b"one")
     (tmp_path / "y.bin").write_bytes(b"two")
     (tmp_path / "none").write_bytes(b"")
-    got = {r["relative_path"]: (r["bytes"], r["sha256"]) for r in sinks.inventory(spark, f"file://{tmp_path}", 10).collect()}
-    assert got == {"a/x.txt": (3, hashlib.sha256(b"one").hexdigest()), "y.bin": (3, hashlib.sha256(b"two").hexdigest())}
-    with pytest.raises(Exception, match="larger than the limit"):
-        sinks.inventory(spark, f"file://{tmp_path}", 2).collect()
+    folder = f"file://{tmp_path}"
+    got = {r["relative_path"]: (r["bytes"], r["sha256"]) for r in sinks.inventory(spark, folder, 10).collect()}
+    assert got == {"a/x.txt": (3, hashlib.sha256(b"one").hexdigest()), "y.bin": (3, hashlib.sha256(b"two").hexdigest()), "none": (0, hashlib.sha256(b"").hexdigest())}
+    for why, bounds in (("larger than 2", (2,)), ("more than 2", (10, 2)), ("deeper than 0", (10, 9, 0))):
+        with pytest.raises(sinks.Refused, match=why):
+            sinks.inventory(spark, folder, *bounds)
+    os.mkfifo(tmp_path / "pipe")
+    with pytest.raises(sinks.Refused, match="no regular file: pipe"):
+        sinks.inventory(spark, folder, 10)
+    (tmp_path / "pipe").unlink()
+    listed = sinks.inventory(spark, folder, 10)
+    (tmp_path / "y.bin").write_bytes(b"more than two")
+    with pytest.raises(Exception, match="changed while it was read"):
+        listed.collect()
+    (tmp_path / "link").symlink_to(tmp_path / "none")
+    with pytest.raises(sinks.Refused, match="a link: link"):
+        sinks.inventory(spark, folder, 100)
+
+
+def test_structure_of_files():
+    good = {k: samples.sample_file(k, "text") for k in range(5)}
+    kinds = ("png", "jpeg", "gif", "tiff", "tiff")
+    for k, data in good.items():
+        assert structure.fault(kinds[k], data) is None
+        # whatever is cut off or turned is told or harmless, and never raises
+        for cut in range(len(data)):
+            assert structure.fault(kinds[k], data[:cut]) is not None, (k, cut)
+            structure.fault(kinds[k], data[:cut] + bytes([data[cut] ^ 0xFF]) + data[cut + 1 :])
+        assert structure.fault(kinds[(k + 1) % 4], data) is not None
+    assert all(structure.fault("png", good[0][:at] + bytes([good[0][at] ^ 1]) + good[0][at + 1 :]) for at in range(len(good[0])))
+    assert [structure.page_count("tiff", good[k]) for k in (3, 4)] == [3, 1] and structure.page_count("png", good[0]) == 1
+    ring = bytearray(good[3])
+    ring[58:62] = struct.pack("<I", 8)
+    assert structure.fault("tiff", bytes(ring)) == "directories in a ring"
+    assert structure.fault("png", b"") == "empty" and structure.fault(None, b"x") == "unknown format"
+    head = struct.pack(">IIBBBBB", 3, 5, 1, 0, 0, 0, 1)
+    size = structure._png_bytes(3, 5, 1, 1)
+    png = structure.PNG + samples._chunk(b"IHDR", head) + samples._chunk(b"IDAT", zlib.compress(bytes(size))) + samples._chunk(b"IEND", b"")
+    assert structure.fault("png", png) is None and size == sum(h * (1 + (w + 7) // 8) for w, h in ((1, 1), (1, 1), (1, 2), (2, 1), (1, 3), (3, 2)))
+
+
+def test_sections_read_back(spark):
+    rows = spark.createDataFrame([("a", "x\n=== b 1\ny"), ("b", ""), ("c", "é\n")], "k string, t string")
+    assert sorted(map(tuple, sinks.scan_sections(sinks.sections(rows, "k", "t")).collect())) == sorted(map(tuple, rows.collect()))
+    with pytest.raises(Exception, match="cut off"):
+        sinks.scan_sections(spark.createDataFrame([("=== a 5\nxx",)], "section string")).collect()
 
 
 def test_policies_are_closed(spark, tmp_path):
