@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lectern.plans import accounting, contracts, evidence, measures, records, relational, stateful
+from lectern.plans import accounting, contracts, evidence, layers, measures, records, relational, stateful
 from lectern.plans.registry import Query
 
-_MODULES = (accounting, relational, measures, contracts, records, evidence, stateful)
+_MODULES = (accounting, relational, measures, contracts, records, evidence, layers, stateful)
 
 
 def queries() -> dict[str, Query]:

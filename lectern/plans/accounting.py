@@ -143,12 +143,6 @@ def c04_exclusion_needs_approval(spark, d):
     return current_readings(spark, d).withColumn("approval_ref", approved).filter("outcome = 'excluded' and approval_ref is null").select("act", "chair", "attempt")
 
 
-@query("""SELECT o_orderkey AS page, 'no act was cut on this page' AS reason FROM orders ANTI JOIN lineitem ON o_orderkey = l_orderkey""")
-def c05_silent_pages(spark, d):
-    pages = table(spark, d, "orders").select(F.col("o_orderkey").alias("page"))
-    return pages.join(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page")), "page", "left_anti").withColumn("reason", F.lit("no act was cut on this page"))
-
-
 # --- coverage and ledgers ------------------------------------------------------------------------------
 
 
@@ -262,15 +256,6 @@ def k14_attempt_resolution(spark, d):
     return every.join(now, ["act", "chair"], "left").select("act", "chair", case.alias("resolved"))
 
 
-@query(f"""WITH {ATTEMPTS}, s AS (SELECT subject_id, ordinal, (length(text) - length(replace(text, '(', ''))) <> (length(text) - length(replace(text, ')', ''))) AS unclosed,
-   length(text) > 0 AND subject_id * 1000 > 2000 * length(text) AS short, ends_with(rtrim(text), '-') AS abrupt, CASE WHEN ordinal % 3 = 0 THEN 'length' WHEN ordinal % 3 = 1 THEN 'stop' END AS word FROM attempts)
-SELECT subject_id, ordinal, CASE WHEN word = 'length' THEN 'truncated' WHEN unclosed AND short AND abrupt THEN 'truncated'
-   WHEN word = 'stop' AND NOT unclosed AND NOT short AND NOT abrupt THEN 'complete' ELSE 'unknown' END AS classification FROM s""")
-def k22_outcome_resolution(spark, d):
-    word = F.when(F.col("ordinal") % 3 == 0, "length").when(F.col("ordinal") % 3 == 1, "stop")
-    return attempts(spark, d).select("subject_id", "ordinal", T.truncation(F.col("text"), F.col("subject_id") * 1000, word).alias("classification"))
-
-
 @query(f"""WITH {CURRENT}, base AS (SELECT act, chair, attempt, outcome FROM current)
 SELECT 'production' AS pass_kind, act, chair FROM base UNION ALL SELECT 'unprimed', act, chair FROM base WHERE attempt % 10 = 0
 UNION ALL SELECT 'primed-without-prior', act, chair FROM base WHERE attempt % 10 = 1""")

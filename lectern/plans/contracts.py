@@ -79,14 +79,6 @@ def x04_difference_with_multiplicity(spark, d):
     return R.difference(docs.select("lang", "source"), docs.filter("doc_id % 7 <> 0").select("lang", "source"))
 
 
-@query("""SELECT 'payload.text' AS path, count(*) AS rows FROM documents""")
-def p07_forbidden_fields(spark, d):
-    """Where a payload's schema holds a field that evidence may not carry."""
-    rows = _docs(spark, d).select(F.struct("text", "n_chars", F.struct("lang").alias("meta")).alias("payload"))
-    found = K.forbidden_paths(rows.schema, {"text", "literal"})
-    return rows.agg(F.count("*").alias("rows")).select(F.explode(F.array(*[F.lit(p.removeprefix("$.")) for p in found])).alias("path"), "rows")
-
-
 # --- text ---------------------------------------------------------------------------------------------------------
 
 
@@ -145,15 +137,6 @@ def f24_display_round_trip(spark, d):
     return _docs(spark, d).select("doc_id", _shown_and_read(F.concat(F.lit("⟦a\\⟩"), F.col("text"))).alias("round_trip"))
 
 
-@query("""WITH s AS (SELECT doc_id, n_chars, CASE WHEN doc_id % 4 = 0 THEN n_chars + 5 ELSE least(20, n_chars) END AS e2, CASE WHEN doc_id % 5 = 0 THEN 5 ELSE 12 END AS s2 FROM documents)
-SELECT doc_id, 'span outside the text' AS rule FROM s WHERE NOT (10 <= n_chars AND s2 <= e2 AND e2 <= n_chars) UNION ALL SELECT doc_id, 'spans overlap' FROM s WHERE s2 < 10""")
-def f28_uncertainty_layer(spark, d):
-    i, n = F.col("doc_id"), F.col("n_chars")
-    spans = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(10).cast("long").alias("end")), F.struct(F.when(i % 5 == 0, 5).otherwise(12).cast("long").alias("start"), F.when(i % 4 == 0, n + 5).otherwise(F.least(F.lit(20).cast("long"), n)).alias("end")))
-    rows = _docs(spark, d).select("doc_id", "n_chars", spans.alias("s"))
-    return K.violations(rows, ["doc_id"], {"span outside the text": F.forall("s", lambda x: K.within(x["start"], x["end"], n)), "spans overlap": K.spans_apart(F.col("s"))})
-
-
 @query("""SELECT doc_id, trim(split_part(CASE WHEN doc_id % 2 = 0 THEN 'corrupt : bad byte: 3' ELSE 'empty' END, ':', 1)) AS code FROM documents""")
 def f29_reason_code(spark, d):
     detail = F.when(F.col("doc_id") % 2 == 0, "corrupt : bad byte: 3").otherwise("empty")
@@ -374,12 +357,6 @@ def k38_aggregate_recomputed(spark, d):
     return R.difference(basis, basis.withColumn("n", F.when(F.col("act") % 4 == 0, F.col("n") + 1).otherwise(F.col("n"))))
 
 
-@query("""SELECT l_orderkey AS page, l_linenumber AS region, 'act region on a page of another act' AS rule FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 10 = l_suppkey % 10""")
-def k39_region_binding(spark, d):
-    bound = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
-    return K.violations(bound.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("region"), "o_custkey", "l_suppkey"), ["page", "region"], {"act region on a page of another act": F.col("o_custkey") % 10 != F.col("l_suppkey") % 10})
-
-
 @query("""SELECT doc_id, 15 <= n_chars AS anchored, (doc_id % 40) < 15 AND 5 < (doc_id % 40) + 6 AS over_uncertainty FROM documents""")
 def k40_annotation_anchors(spark, d):
     s = F.col("doc_id") % 40
@@ -402,15 +379,6 @@ def k42_append_only(spark, d):
     return R.publish(rows, stored, "key", "sha256").select("key", "action")
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 5 = 0 AND doc_id % 3 = 0 THEN 'in both' WHEN doc_id % 5 <> 0 AND doc_id % 3 <> 0 THEN 'in neither' END AS rule FROM documents WHERE (doc_id % 5 = 0) = (doc_id % 3 = 0)""")
-def k43_sample_accounting(spark, d):
-    """Scoreable and excluded members are apart and make up the sample."""
-    docs = _docs(spark, d).select("doc_id")
-    parts = docs.join(docs.filter("doc_id % 5 = 0").withColumn("scoreable", F.lit(True)), "doc_id", "left").join(docs.filter("doc_id % 3 = 0").withColumn("excluded", F.lit(True)), "doc_id", "left")
-    both = F.coalesce("scoreable", F.lit(False)) & F.coalesce("excluded", F.lit(False))
-    return parts.select("doc_id", K.first_failure([("in both", both), ("in neither", F.col("scoreable").isNull() & F.col("excluded").isNull())]).alias("rule")).filter("rule is not null")
-
-
 @query(f"""WITH {ATTEMPTS}, o AS (SELECT subject_id, string_agg(chair, ',' ORDER BY ordinal) AS witnesses FROM attempts GROUP BY subject_id) SELECT witnesses, count(*) AS acts FROM o GROUP BY witnesses""")
 def k44_witness_order(spark, d):
     order = attempts(spark, d).groupBy("subject_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "chair"))), lambda x: x["chair"]), ",").alias("witnesses"))
@@ -425,25 +393,12 @@ def k45_dissent_counts(spark, d):
     return pairs.groupBy(F.col("subject_id").alias("act")).agg(F.count_if(~gone).alias("compared"), F.count_if(~gone & (F.col("text") != F.col("after"))).alias("departed"), F.count_if(gone).alias("unavailable"))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'exception' WHEN event_id % 7 = 0 THEN 'wrong type' WHEN event_id % 5 = 0 THEN 'prompt mismatch' WHEN event_id % 3 = 0 THEN 'dossier mismatch' WHEN event_id % 2 = 0 THEN 'delivery mismatch' ELSE 'answered' END AS kind FROM events""")
-def k46_failed_attempts(spark, d):
-    i = F.col("event_id")
-    kinds = [("exception", 11), ("wrong type", 7), ("prompt mismatch", 5), ("dossier mismatch", 3), ("delivery mismatch", 2)]
-    return table(spark, d, "events").select("event_id", K.first_failure([(k, i % n == 0) for k, n in kinds], "answered").alias("kind"))
-
-
 @query("""SELECT doc_id, length(text) <= 20000 AS measurable FROM documents""")
 def k47_measurable_text(spark, d):
     t = F.col("text")
     return _docs(spark, d).select("doc_id", ((F.length(t) <= 20_000) & ~t.rlike(r"\p{M}{33,}")).alias("measurable"))
 
 
-@query("""SELECT doc_id, len(list_distinct([sha256(text), sha256(lower(text)), sha256(trim(text))])) AS hashes FROM documents""")
-def k48_text_lineage(spark, d):
-    forms = F.array(F.sha2("text", 256), F.sha2(F.lower("text"), 256), F.sha2(F.trim("text"), 256))
-    return _docs(spark, d).select("doc_id", F.size(F.array_distinct(forms)).alias("hashes"))
-
-
 @query("""SELECT p_partkey, lower(trim(split_part(trim(p_brand || ' @rev-' || CAST(p_size AS VARCHAR)), '@', 1))) AS repository FROM part""")
 def k49_repository(spark, d):
     name = F.concat("p_brand", F.lit(" @rev-"), F.col("p_size").cast("string"))
@@ -469,12 +424,6 @@ def k52_config_at_use(spark, d):
     return _docs(spark, d).groupBy("source").agg(F.count_distinct("lang").alias("configurations"), (F.count_distinct("lang") == 1).alias("sealed"))
 
 
-@query("""WITH b AS (SELECT doc_id, doc_id % 4 <> 0 AS blob, doc_id % 3 <> 0 AS receipt, doc_id % 5 <> 0 AS page FROM documents), h AS (SELECT * FROM b WHERE blob OR receipt OR page) SELECT doc_id, blob, receipt, page, CASE WHEN blob AND receipt AND page THEN 'paired' ELSE 'unpaired' END AS verdict FROM h""")
-def k53_response_custody(spark, d):
-    docs = _docs(spark, d).select("doc_id")
-    return K.paired({"blob": docs.filter("doc_id % 4 <> 0"), "receipt": docs.filter("doc_id % 3 <> 0"), "page": docs.filter("doc_id % 5 <> 0")}, ["doc_id"])
-
-
 @query("""SELECT source || '/' || CAST(doc_id AS VARCHAR) AS residue FROM documents WHERE source NOT IN ('src1', 'src2', 'src3')""")
 def k54_cleanup_residue(spark, d):
     allowed = spark.createDataFrame([("src1",), ("src2",), ("src3",)], "source string")

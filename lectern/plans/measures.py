@@ -443,12 +443,6 @@ def g08_fallback_bands(spark, d):
     return pages.select("page", F.explode(G.bands(F.lit(260).cast("long"), 100 + F.col("page") % 50)).alias("t")).select("page", "t.*")
 
 
-@query("""WITH p AS (SELECT DISTINCT l_orderkey AS page, 100 + l_orderkey % 300 AS size FROM lineitem), t AS (SELECT page, size, unnest(range(0, CASE WHEN size <= 120 THEN 1 ELSE (size - 120 + 99) // 100 + 1 END)) AS i FROM p) SELECT page, i, least(i * 100, greatest(size - 120, 0)) AS start FROM t""")
-def g09_tile_grid(spark, d):
-    pages = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page")).distinct()
-    return pages.select("page", F.posexplode(G.grid_starts(100 + F.col("page") % 300, 120, 20)).alias("i", "start")).withColumn("i", F.col("i").cast("long"))
-
-
 @query("""WITH p AS (SELECT DISTINCT l_orderkey AS page, 300 + l_orderkey % 900 AS w, 400 + l_orderkey % 700 AS h FROM lineitem), c AS (SELECT page, v, greatest(1, (2 * h * v + w) // (2 * w)) AS hv FROM (SELECT page, w, h, unnest(range(1, least(w, 512) + 1)) AS v FROM p)) SELECT page, max(v) AS w, arg_max(hv, v) AS h FROM c WHERE hv <= 640 AND v * hv <= 200000 GROUP BY page""")
 def g10_fitted_size(spark, d):
     pages = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page")).distinct()
@@ -472,27 +466,11 @@ def g13_components(spark, d):
     return B.components(rectangles(spark, d), 3)
 
 
-@query(f"""WITH {RECTANGLES}, f AS (SELECT page, CAST(sum(w * h) AS BIGINT) AS total, CAST(sum(w * h) FILTER (id > 3) AS BIGINT) AS outside FROM rectangles GROUP BY page) SELECT page, total, coalesce(outside, 0) AS outside, coalesce(outside, 0) >= 2000 OR (coalesce(outside, 0) >= 24 AND coalesce(outside, 0) * 100 >= 2 * total) AS flagged FROM f""")
-def g14_residual_ink(spark, d):
-    """Ink outside coverage: flagged where it is much, or some and a fiftieth of all; by whole numbers."""
-    area = F.col("w") * F.col("h")
-    sums = rectangles(spark, d).groupBy("page").agg(F.sum(area).alias("total"), F.coalesce(F.sum(F.when(F.col("id") > 3, area)), F.lit(0)).alias("outside"))
-    return sums.withColumn("flagged", (F.col("outside") >= 2000) | ((F.col("outside") >= 24) & (F.col("outside") * 100 >= 2 * F.col("total"))))
-
-
 @query(None)
 def g16_grouped_acts(spark, d):
     return B.grouped_acts(rectangles(spark, d), 260, 6, 2, 15)
 
 
-@query(f"""WITH {RECTANGLES}, occluded AS (SELECT DISTINCT page FROM rectangles WHERE id = 7) SELECT page, id, CASE WHEN page IN (SELECT page FROM occluded) THEN 'review' ELSE 'accepted' END AS disposition FROM rectangles""")
-def g17_resolution(spark, d):
-    """Any occlusion on a page sends all of its proposals to review."""
-    boxes = rectangles(spark, d)
-    occluded = boxes.filter("id = 7").select("page").distinct().withColumn("hit", F.lit(True))
-    return boxes.join(occluded, "page", "left").select("page", "id", F.when(F.col("hit"), "review").otherwise("accepted").alias("disposition"))
-
-
 @query(None)
 def j13_page_continuation(spark, d):
     acts = B.grouped_acts(rectangles(spark, d), 260, 6, 2, 15).withColumn("id", F.col("act").cast("long"))

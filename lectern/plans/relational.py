@@ -154,23 +154,12 @@ def p04_readings_only(spark, d):
     return current_readings(spark, d).filter(F.col("outcome").isin("read", "genuinely-empty")).select("act", "chair")
 
 
-@query(f"""WITH {ATTEMPTS} SELECT subject_id, ordinal, CASE WHEN ordinal % 4 = 0 THEN 'unknown' WHEN chair = 'user' THEN 'compared' ELSE 'not-compared' END AS status FROM attempts""")
-def p05_comparability(spark, d):
-    case = F.when(F.col("ordinal") % 4 == 0, "unknown").when(F.col("chair") == "user", "compared").otherwise("not-compared")
-    return attempts(spark, d).select("subject_id", "ordinal", case.alias("status"))
-
-
 @query("""SELECT doc_id, sha256(text) AS text_sha256, n_chars FROM documents""")
 def p06_text_free_evidence(spark, d):
     whole = table(spark, d, "documents").select("doc_id", F.struct("text", F.sha2("text", 256).alias("text_sha256"), "n_chars").alias("payload"))
     return whole.select("doc_id", F.col("payload").dropFields("text").alias("p")).select("doc_id", "p.*")
 
 
-@query("""SELECT lang, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS characters FROM documents GROUP BY lang""")
-def p08_public_projection(spark, d):
-    return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("characters"))
-
-
 @query("""SELECT DISTINCT role AS chair, 'witness-' || left(sha256('{"chair":"' || role || '","run_id":"run-1"}'), 12) AS label FROM conversations""")
 def p09_blinded_label(spark, d):
     label = F.concat(F.lit("witness-"), F.left(C.digest(C.record(chair=F.col("role"), run_id=F.lit("run-1"))), F.lit(12)))
