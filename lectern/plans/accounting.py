@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.functions import text as T
 from lectern.operators import accounting as A
 from lectern.operators import attempts as V
 from lectern.operators import reconcile as R
@@ -234,14 +233,6 @@ def k03_nothing_admitted(spark, d):
     return counts.filter("admitted = 0").select(F.lit("nothing was admitted").alias("rule"), "submitted")
 
 
-@query("""SELECT l_orderkey AS page, l_linenumber AS act, CASE WHEN o.o_orderstatus = 'F' THEN 'held: page not sealed' WHEN l_returnflag = 'A' THEN 'held: page failed'
-  WHEN l_linenumber = 1 AND l_orderkey % 4 = 0 THEN 'held: continuation missing' ELSE 'proposed' END AS disposition FROM lineitem JOIN orders o ON l_orderkey = o_orderkey""")
-def k07_declared_act(spark, d):
-    acts = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    case = F.when(F.col("o_orderstatus") == "F", "held: page not sealed").when(F.col("l_returnflag") == "A", "held: page failed").when((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 4 == 0), "held: continuation missing").otherwise("proposed")
-    return acts.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("act"), case.alias("disposition"))
-
-
 @query(f"""WITH {CURRENT}, acts AS (SELECT DISTINCT act FROM current), chairs AS (SELECT DISTINCT chair FROM current)
 SELECT a.act, c.chair, CASE WHEN r.act IS NULL THEN 'dead' WHEN r.outcome = 'not-run' THEN 'not-run' WHEN r.outcome = 'failed' THEN 'failed'
    WHEN r.value < 5 THEN 'malformed' WHEN r.outcome = 'genuinely-empty' THEN 'genuinely-empty' ELSE 'read' END AS resolved

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType
 
 from lectern.functions import canonical as C
-from lectern.functions import display as D
 from lectern.functions import geometry as G
 from lectern.functions import text as T
 from lectern.operators import accounting as A
-from lectern.operators import attempts as V
 from lectern.operators import contracts as K
 from lectern.operators import intervals as I
 from lectern.operators import reconcile as R
@@ -88,55 +84,6 @@ def f04_units(spark, d):
     return scored.select("item_id", F.col("c.reference_units").alias("characters"), F.col("w.reference_units").alias("words"))
 
 
-@F.pandas_udf(StringType())
-def _attributed(before: pd.Series, after: pd.Series) -> pd.Series:
-    flags = lambda t: [(0, len(t), "order"), (0, 12, "testimony-diff"), (30, 60, "repetition")]
-    return pd.Series([D.attribute_change(a, b, flags(a)) for a, b in zip(before, after, strict=True)])
-
-
-@query("""SELECT item_id, CASE WHEN item_id % 3 = 0 THEN 'testimony-diff' WHEN item_id % 3 = 1 THEN 'repetition' ELSE 'order' END AS flag FROM benchmark""")
-def f12_change_attribution(spark, d):
-    i, t = F.col("item_id"), F.col("text")
-    place = F.when(i % 3 == 0, 5).when(i % 3 == 1, 40).otherwise(70)
-    after = F.concat(F.substr(t, F.lit(1), place), F.lit("#"), F.substr(t, place + 2, F.length(t)))
-    return table(spark, d, "benchmark").select("item_id", _attributed(t, after).alias("flag"))
-
-
-@F.pandas_udf(BooleanType())
-def _reconciled(first: pd.Series, second: pd.Series) -> pd.Series:
-    out = []
-    for a, b in zip(first, second, strict=True):
-        chosen = {(s, e): b[u:v] for s, e, u, v in T.departures(a, b)}
-        out.append(D.reconcile_drafts(a, b, chosen) == b)
-    return pd.Series(out)
-
-
-@query("""SELECT item_id, true AS replayed FROM benchmark""")
-def f19_adjudicated_text(spark, d):
-    """A draft whose disagreements are all resolved in the other's favour is the other."""
-    t = F.col("text")
-    other = F.concat(F.left(t, F.lit(20)), F.lit("<x>"), F.substr(t, F.lit(31), F.length(t)))
-    return table(spark, d, "benchmark").select("item_id", _reconciled(t, other).alias("replayed"))
-
-
-@query("""SELECT doc_id, doc_id % 4 IN (0, 1) AS valid FROM documents""")
-def f23_plain_output(spark, d):
-    """A single <output> element of plain text, without a document type."""
-    i = F.col("doc_id")
-    xml = F.when(i % 4 == 0, "<output>text</output>").when(i % 4 == 1, " <output></output>\n").when(i % 4 == 2, "<!DOCTYPE x><output>a</output>").otherwise("<output>a<b/></output>")
-    return _docs(spark, d).select("doc_id", (xml.rlike(r"(?s)^\s*<output>[^<]*</output>\s*\z") & ~F.contains(F.lower(xml), F.lit("<!doctype"))).alias("valid"))
-
-
-@F.pandas_udf(BooleanType())
-def _shown_and_read(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: D.strip(D.render(t, [(1, 4), (6, 9)] if len(t) > 9 else [], [(1, "torn"), (len(t), "faded")] if t else [])) == t)
-
-
-@query("""SELECT doc_id, true AS round_trip FROM documents""")
-def f24_display_round_trip(spark, d):
-    return _docs(spark, d).select("doc_id", _shown_and_read(F.concat(F.lit("⟦a\\⟩"), F.col("text"))).alias("round_trip"))
-
-
 @query("""SELECT doc_id, trim(split_part(CASE WHEN doc_id % 2 = 0 THEN 'corrupt : bad byte: 3' ELSE 'empty' END, ':', 1)) AS code FROM documents""")
 def f29_reason_code(spark, d):
     detail = F.when(F.col("doc_id") % 2 == 0, "corrupt : bad byte: 3").otherwise("empty")
@@ -165,18 +112,6 @@ def g15_ink_conservation(spark, d):
 # --- contracts -----------------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {RECTANGLES} SELECT page, id FROM rectangles WHERE id > 4 AND (page + id) % 6 = 0""")
-def c14_residuals_reach_denominator(spark, d):
-    residual = rectangles(spark, d).filter("id > 4").select("page", "id")
-    return residual.join(residual.filter("(page + id) % 6 <> 0"), ["page", "id"], "left_anti")
-
-
-@query("""WITH m AS (SELECT lang, count(*) AS members FROM documents GROUP BY lang), c AS (SELECT *, members + CASE WHEN lang = 'fr' THEN 1 ELSE 0 END AS claimed FROM m) SELECT lang, members, claimed, claimed = members AS honest FROM c""")
-def c15_export_claims(spark, d):
-    members = _docs(spark, d).groupBy("lang").agg(F.count("*").alias("members"))
-    return members.withColumn("claimed", F.col("members") + F.when(F.col("lang") == "fr", 1).otherwise(0)).withColumn("honest", F.col("claimed") == F.col("members"))
-
-
 @query("""SELECT cell, sha256('{"cell":"' || cell || '","measures":["seconds"],"state":"not-run"}') AS seal FROM (VALUES ('B0'), ('B0.5'), ('B2'), ('B3'), ('B4'), ('B5'), ('B5a'), ('B6')) t(cell)""")
 def c19_sealed_cells(spark, d):
     cells = spark.createDataFrame([(c,) for c in ("B0", "B0.5", "B2", "B3", "B4", "B5", "B5a", "B6")], "cell string")
@@ -191,23 +126,6 @@ def k04_corpus_seal(spark, d):
     return K.sealed(_docs(spark, d), ["source"], "doc_id", ["lang"])
 
 
-@query("""SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'refused page carries pixels' WHEN page_id % 6 = 1 THEN 'sealed page without pixels' END AS rule FROM pages WHERE page_id % 6 IN (0, 1)""")
-def k05_page_evidence(spark, d):
-    i = F.col("page_id")
-    rows = table(spark, d, "pages").select("page_id", (i % 2 == 1).alias("sealed"), F.when(i % 6 == 1, None).when((i % 2 == 1) | (i % 6 == 0), F.sha2("html", 256)).alias("pixels"))
-    return K.violations(rows, ["page_id"], {"refused page carries pixels": F.col("sealed") | F.col("pixels").isNull(), "sealed page without pixels": ~F.col("sealed") | F.col("pixels").isNotNull()})
-
-
-@query(f"""WITH {RECTANGLES}, found AS (SELECT page, count(*) AS boxes FROM rectangles WHERE id > 2 GROUP BY page) SELECT p.page, CASE WHEN f.page IS NULL THEN 'fallback' ELSE 'detected' END AS basis, CASE WHEN f.page IS NULL THEN 4 ELSE f.boxes END AS regions FROM (SELECT DISTINCT page FROM rectangles) p LEFT JOIN found f USING (page)""")
-def k06_page_analysis(spark, d):
-    """A page on which nothing was found is cut into bands and still read."""
-    boxes = rectangles(spark, d)
-    found = boxes.filter("id > 2").groupBy("page").agg(F.count("*").alias("boxes"))
-    pages = boxes.select("page").distinct().join(found, "page", "left")
-    bands = F.size(G.bands(F.lit(260).cast("long"), F.lit(320).cast("long"))).cast("long")
-    return pages.select("page", F.when(F.col("boxes").isNull(), "fallback").otherwise("detected").alias("basis"), F.coalesce("boxes", bands).alias("regions"))
-
-
 @query(f"""WITH {RECTANGLES}, a AS (SELECT page, count(*) FILTER (id = 1) AS anchors, count(*) FILTER (id > 1) AS body FROM rectangles GROUP BY page) SELECT page, anchors, body, CASE WHEN body = 0 THEN 'fallback' ELSE 'detected' END AS basis FROM a""")
 def k08_structural_evidence(spark, d):
     return rectangles(spark, d).groupBy("page").agg(F.count_if(F.col("id") == 1).alias("anchors"), F.count_if(F.col("id") > 1).alias("body")).withColumn("basis", F.when(F.col("body") == 0, "fallback").otherwise("detected"))
@@ -222,12 +140,6 @@ def k09_region_cut(spark, d):
     return boxes.select("page", "id", C.identity("region", act_id=act, transform=cut).alias("region_id"))
 
 
-@query(f"""WITH {RECTANGLES} SELECT 'residual:' || CAST(page AS VARCHAR) || ':' || CAST(row_number() OVER (PARTITION BY page ORDER BY y, x, id) - 1 AS VARCHAR) AS act_key, page, 'held' AS outcome FROM rectangles WHERE id > 5""")
-def k10_residual_acts(spark, d):
-    place = F.row_number().over(Window.partitionBy("page").orderBy("y", "x", "id")) - 1
-    return rectangles(spark, d).filter("id > 5").select(F.concat(F.lit("residual:"), F.col("page").cast("string"), F.lit(":"), place.cast("string")).alias("act_key"), "page", F.lit("held").alias("outcome"))
-
-
 @query(f"""WITH {RECTANGLES}, c AS (SELECT * FROM rectangles WHERE id = 1) SELECT page, 260 * 320 - least(260, x + w) * least(320, y + h) + least(260, x + w) * least(320, y + h) - (least(260, x + w) - x) * (least(320, y + h) - y) AS unclaimed FROM c""")
 def k11_unclaimed_coverage(spark, d):
     """What a page's one claim leaves of the page."""
@@ -251,29 +163,6 @@ def k13_proposal_seal(spark, d):
     return rows.select("page", "acts", "held", F.sha2(F.array_join(F.transform("m", lambda x: x.cast("string")), ","), 256).alias("seal"))
 
 
-@query(f"""WITH {ATTEMPTS}, j AS (SELECT subject_id, chair, string_agg(text, chr(10) ORDER BY ordinal) AS page_text FROM attempts GROUP BY ALL) SELECT a.subject_id, a.ordinal, a.chair, strpos(j.page_text, a.text) - 1 AS start, strpos(j.page_text, a.text) - 1 + length(a.text) AS "end" FROM attempts a JOIN j USING (subject_id, chair)""")
-def k16_attachments(spark, d):
-    """Where each act's text lies in its chair's text of the page, joined once for a page and chair."""
-    turns = attempts(spark, d)
-    joined = turns.groupBy("subject_id", "chair").agg(F.array_sort(F.collect_list(F.struct("ordinal", "text"))).alias("m"))
-    joined = joined.select("subject_id", "chair", F.array_join(F.transform("m", lambda x: x["text"]), "\n").alias("page_text"))
-    at = F.call_function("position", F.col("text"), F.col("page_text")) - 1
-    return turns.join(joined, ["subject_id", "chair"]).select("subject_id", "ordinal", "chair", at.alias("start"), (at + F.length("text")).alias("end"))
-
-
-@query("""SELECT doc_id, 'characters' AS rule FROM documents WHERE doc_id % 12 = 0 UNION ALL SELECT doc_id, 'blank' FROM documents WHERE doc_id % 18 = 0""")
-def k17_replayed_health(spark, d):
-    """Recorded health against health computed again from the text."""
-    i = F.col("doc_id")
-    rows = _docs(spark, d).select("doc_id", T.health(F.col("text"), F.lit(True)).alias("now"), F.when(i % 12 == 0, -1).otherwise(F.length("text")).alias("characters"), F.when(i % 18 == 0, True).otherwise(F.trim("text") == "").alias("blank"))
-    return K.violations(rows, ["doc_id"], {"characters": F.col("now.characters") == F.col("characters"), "blank": F.col("now.blank") == F.col("blank")})
-
-
-@query(f"""WITH {CURRENT} SELECT act, count(DISTINCT chair) AS chairs, count(DISTINCT chair) = 5 AS whole FROM current GROUP BY act""")
-def k18_testimony_denominator(spark, d):
-    return current_readings(spark, d).groupBy("act").agg(F.count_distinct("chair").alias("chairs"), (F.count_distinct("chair") == 5).alias("whole"))
-
-
 @query("""SELECT page_id, page_id % 14 <> 0 AS delivered_as_recorded FROM pages""")
 def k21_delivered_digest(spark, d):
     pages = table(spark, d, "pages").select("page_id", F.sha2("html", 256).alias("recorded"))
@@ -301,17 +190,6 @@ def k24_reproof_requests(spark, d):
     return flagged.select("doc_id", F.explode(F.transform("flags", lambda f: F.concat(F.lit("read again: "), f))).alias("request"))
 
 
-@query(f"""WITH {CURRENT} SELECT act, chair, outcome, attempt % 7 <> 0 AS attached, value > 50 AS long_text FROM current""")
-def k26_attempt_facts(spark, d):
-    return current_readings(spark, d).select("act", "chair", "outcome", (F.col("attempt") % 7 != 0).alias("attached"), (F.col("value") > 50).alias("long_text"))
-
-
-@query(f"""WITH {CURRENT}, f AS (SELECT act, count(*) AS chairs, count(*) FILTER (outcome IN ('read', 'genuinely-empty')) AS readings FROM current GROUP BY act) SELECT act, 'chair missing' AS rule FROM f WHERE chairs <> 5 UNION ALL SELECT act, 'under the floor' FROM f WHERE readings < 3""")
-def k27_chair_coverage(spark, d):
-    facts = current_readings(spark, d).groupBy("act").agg(F.count("*").alias("chairs"), F.count_if(V.is_rereading(F.col("outcome"))).alias("readings"))
-    return K.violations(facts, ["act"], {"chair missing": F.col("chairs") == 5, "under the floor": F.col("readings") >= 3})
-
-
 @query(f"""WITH {RECTANGLES}, f AS (SELECT page, CAST(sum(w * h) AS BIGINT) AS total, CAST(coalesce(sum(w * h) FILTER (id > 3), 0) AS BIGINT) AS outside FROM rectangles GROUP BY page) SELECT o_custkey AS act, count(*) AS checked, count(*) FILTER (outside * 2 > total) AS flagged FROM orders JOIN f ON page = o_orderkey GROUP BY o_custkey""")
 def k28_checked_and_flagged_pages(spark, d):
     area = F.col("w") * F.col("h")
@@ -326,18 +204,6 @@ def k29_receipt_from_artifacts(spark, d):
     return A.zero_filled(counted, "class", A.CLASSES)
 
 
-@query(f"""WITH {READINGS}, q AS (SELECT act, max(attempt) AS request, count(*) AS used FROM readings WHERE outcome = 'failed' GROUP BY act) SELECT act, request, used, used <= 12 AS within_cap FROM q""")
-def k30_current_recovery_request(spark, d):
-    asked = readings(spark, d).filter("outcome = 'failed'").groupBy("act").agg(F.max("attempt").alias("request"), F.count("*").alias("used"))
-    return asked.withColumn("within_cap", F.col("used") <= 12)
-
-
-@query("""SELECT l.l_orderkey AS act, l.l_linenumber AS region, 'no page' AS rule FROM lineitem l ANTI JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') o ON o.o_orderkey = l.l_orderkey""")
-def k32_crop_closure(spark, d):
-    pages = table(spark, d, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return table(spark, d, "lineitem").join(pages, "l_orderkey", "left_anti").select(F.col("l_orderkey").alias("act"), F.col("l_linenumber").alias("region"), F.lit("no page").alias("rule"))
-
-
 @query("""SELECT l_orderkey, l_linenumber, o_orderpriority AS file, c_name AS folder FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 1000""")
 def k34_citation_link(spark, d):
     census = table(spark, d, "orders").filter("o_totalprice > 1000").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
@@ -412,13 +278,6 @@ def k50_dossier_by_condition(spark, d):
     return every.withColumns({"shows_image": F.col("condition") != "text-only", "shows_testimonies": F.col("condition") != "image-only"})
 
 
-@query("""SELECT event_id, 'no model' AS rule FROM events WHERE event_id % 17 = 0 UNION ALL SELECT event_id, 'no revision' FROM events WHERE event_id % 19 = 0""")
-def k51_serving_provenance(spark, d):
-    i = F.col("event_id")
-    rows = table(spark, d, "events").select("event_id", F.when(i % 17 != 0, "model").alias("model"), F.when(i % 19 == 0, "main").otherwise(F.left(F.sha2(i.cast("string"), 256), F.lit(40))).alias("revision"))
-    return K.violations(rows, ["event_id"], {"no model": F.col("model").isNotNull(), "no revision": C.is_revision(F.col("revision"))})
-
-
 @query("""SELECT source, count(DISTINCT lang) AS configurations, count(DISTINCT lang) = 1 AS sealed FROM documents GROUP BY source""")
 def k52_config_at_use(spark, d):
     return _docs(spark, d).groupBy("source").agg(F.count_distinct("lang").alias("configurations"), (F.count_distinct("lang") == 1).alias("sealed"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from lectern.functions import canonical as C
 from lectern.operators import admission as N
-from lectern.operators import contracts as K
 from lectern.operators import reconcile as R
 from lectern.plans.registry import Registry
 from lectern.sources import sinks, structure

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions import canonical as C
+from lectern.functions import display as D
 from lectern.functions import geometry as G
 from lectern.functions import text as T
 from lectern.operators import layers as L
@@ -104,6 +105,61 @@ def k48_text_lineage(spark, d):
     return _docs(spark, d).select("doc_id", F.array_join(F.array_distinct(forms), ",").alias("lineage"))
 
 
+_SHOWN = ["span outside the text", "spans overlap", "gap past the end", "gap inside a span"]
+
+
+@query(f"""SELECT doc_id, CASE doc_id % 6 {" ".join(f"WHEN {k} THEN '{r}'" for k, r in enumerate(_SHOWN))} ELSE 'same' END AS shown FROM documents""")
+def f24_display_round_trip(spark, d):
+    """Texts with doubts and gaps, shown and read back; what can't be shown is refused by name."""
+    n = F.length("text")
+    doubts = lambda *s: F.array(*[F.struct(F.lit(a).alias("start"), (F.lit(b) if isinstance(b, int) else b).alias("end")) for a, b in s])
+    gaps = lambda *s: F.array(*[F.struct((F.lit(p) if isinstance(p, int) else p).alias("position"), F.lit("torn").alias("kind")) for p in s])
+    rows = _docs(spark, d).select("doc_id", F.concat(F.lit("⟦a\\⟩ b⟧c⟨ "), "text").alias("text")).withColumns({"doubts": doubts((1, 4), (4, 9)), "gaps": gaps(1, 4, n)})
+    changes = [{"doubts": doubts((1, n + 1)), "gaps": gaps(0)}, {"doubts": doubts((1, 4), (3, 9))}, {"gaps": gaps(n + 1)}, {"gaps": gaps(2)}]
+    bad = _planted(rows, "doc_id", list(zip(_SHOWN, changes, strict=True)))
+    return bad.select("doc_id", D.display_round_trip("text", "doubts", "gaps").alias("shown"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'repetition' WHEN 1 THEN 'order' WHEN 2 THEN 'outside every flag' WHEN 3 THEN 'testimony-diff' END AS flag FROM documents""")
+def f12_change_attribution(spark, d):
+    """The class of the narrowest flag that holds all of a change; ties by start, then class; nothing without a change."""
+    c = F.col
+    before = F.concat(F.lit("0123456789" * 6), "text")
+    at = lambda a, b: F.concat(F.left("before", F.lit(a)), F.lit("#"), F.substr("before", F.lit(b + 1), F.length("before")))
+    k = c("doc_id") % 5
+    after = F.when(k == 0, at(12, 14)).when(k == 1, at(5, 40)).when(k == 2, at(1, 55)).when(k == 3, at(31, 33)).otherwise(c("before"))
+    flags = [(0, 50, "order"), (10, 20, "repetition"), (30, 40, "testimony-diff"), (30, 40, "year-order"), (8, 20, "year-order")]
+    spans = F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(w).alias("class")) for a, b, w in flags])
+    rows = _docs(spark, d).select("doc_id", before.alias("before")).withColumn("after", after)
+    return rows.select("doc_id", D.change_class("before", "after", spans).alias("flag"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN '0123456789' || CASE WHEN doc_id % 3 = 0 THEN 'AAAA' ELSE 'BBBBB' END || 'klmnopqrst' || CASE WHEN doc_id % 2 = 0 THEN 'DD' ELSE 'CCC' END || 'uvwxyz' END AS text FROM documents""")
+def f19_adjudicated_text(spark, d):
+    """A draft rebuilt from the choices made for its disagreements; choices that aren't exactly those are refused."""
+    c = F.col
+    i = c("doc_id")
+    first, second = F.lit("0123456789AAAAklmnopqrstCCCuvwxyz"), F.lit("0123456789BBBBBklmnopqrstDDuvwxyz")
+    choice = lambda a, b, t: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), t.alias("text"))
+    one = choice(10, 14, F.when(i % 3 == 0, "AAAA").otherwise("BBBBB"))
+    both = F.array(one, choice(24, 27, F.when(i % 2 == 0, "DD").otherwise("CCC")))
+    return _docs(spark, d).select("doc_id", D.adjudicated(first, second, F.when(i % 3 == 2, F.array(one)).otherwise(both)).alias("text"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'document type' WHEN 1 THEN 'not one output element' WHEN 2 THEN 'not one output element' WHEN 3 THEN 'malformed' WHEN 4 THEN 'element inside' END AS fault, CASE WHEN doc_id % 7 > 4 THEN sha256(lang || ' & <' || source || '>') END AS text_sha256 FROM documents""")
+def f23_plain_output(spark, d):
+    """Whether an answer is one <output> element of plain text, and that text with its entities decoded."""
+    c = F.col
+    k = c("doc_id") % 7
+    inside = F.concat("lang", F.lit(" &amp; &lt;"), "source", F.lit(">"))
+    whole = F.concat(F.lit("<output>"), inside, F.lit("</output>"))
+    xml = (
+        F.when(k == 0, F.concat(F.lit("<!DOCTYPE output>"), whole)).when(k == 1, F.lit("<answer>x</answer>")).when(k == 2, F.concat(F.lit("text "), whole)).when(k == 3, F.lit("<output>a</outpu>")).when(k == 4, F.lit("<output>a<b/>c</output>"))
+        .when(k == 5, F.concat(F.lit(" <?xml version='1.0'?>\n"), whole, F.lit("\n"))).otherwise(whole)
+    )
+    return _docs(spark, d).select("doc_id", T.plain_output(xml).alias("o")).select("doc_id", "o.fault", F.sha2("o.text", 256).alias("text_sha256"))
+
+
 # --- pages ----------------------------------------------------------------------------------------------------------------
 
 

@@ -338,7 +338,7 @@ def f18_excised(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(T.excise(F.col("text"), gaps), 256).alias("digest"))
 
 
-@query("""SELECT doc_id, (length(text) - length(replace(text, '(', ''))) <> (length(text) - length(replace(text, ')', ''))) OR (length(text) - length(replace(text, '[', ''))) <> (length(text) - length(replace(text, ']', ''))) AS unclosed,
+@query("""SELECT doc_id, (length(text) - length(replace(text, '(', ''))) <> (length(text) - length(replace(text, ')', ''))) OR (length(text) - length(replace(text, '[', ''))) <> (length(text) - length(replace(text, ']', ''))) OR (length(text) - length(replace(text, '“', ''))) <> (length(text) - length(replace(text, '”', ''))) AS unclosed,
  length(text) > 0 AND 1000000 > 2000 * length(text) AS short, ends_with(rtrim(text), '-') AS abrupt FROM documents""")
 def f20_truncation_signals(spark, d):
     t = F.col("text")
@@ -355,12 +355,14 @@ def f22_content_health(spark, d):
     return table(spark, d, "documents").select("doc_id", T.health(F.col("text"), F.col("doc_id") % 6 != 0).alias("h")).select("doc_id", "h.*")
 
 
-@query("""SELECT doc_id, 2 + 3 * (doc_id % 4) AS start, CASE WHEN doc_id % 4 = 3 THEN 12 ELSE 6 + 3 * (doc_id % 4) END AS "end" FROM documents""")
+@query("""SELECT doc_id, 3 + 4 * (doc_id % 5) AS start, 3 + 4 * (doc_id % 5) + 2 AS "end" FROM documents""")
 def f25_raw_span(spark, d):
-    offsets = F.expr("transform(sequence(0, 11), i -> if(i % 5 = 4, cast(null as int), i))")
-    i = (F.col("doc_id") % 4).cast("int")
-    span = T.raw_span(offsets, 2 + 3 * i, F.lit(6) + 3 * i)
-    return table(spark, d, "documents").select("doc_id", span.alias("s")).select("doc_id", "s.start", "s.end")
+    """A span of the plain view back to the markup that supplied it, through the view's own offset map."""
+    i = (F.col("doc_id") % 5).cast("int")
+    rows = table(spark, d, "documents").select("doc_id", i.alias("k"), F.concat(F.lit("<i>"), F.repeat(F.lit("xy  "), 6), F.lit("</i>")).alias("markup"))
+    view = rows.withColumn("v", T.markup_text_view("markup"))
+    span = T.raw_span(F.col("v.offset_map"), 3 * F.col("k"), 3 * F.col("k") + 3)  # two letters and a collapsed space
+    return view.select("doc_id", span.alias("s")).select("doc_id", "s.start", "s.end")
 
 
 @query("""SELECT doc_id, text = trim(text) AND NOT contains(text, chr(13)) AND text = nfc_normalize(text) AS gold FROM documents""")

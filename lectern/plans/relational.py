@@ -11,7 +11,7 @@ from lectern.operators import reconcile as R
 from lectern.operators import sampling as S
 from lectern.plans.registry import Registry
 from lectern.sources import formats, sinks
-from lectern.sources.tables import ATTEMPTS, CURRENT, INTERVALS, RECTANGLES, attempts, current_readings, intervals, rectangles, table
+from lectern.sources.tables import CURRENT, INTERVALS, RECTANGLES, current_readings, intervals, rectangles, table
 
 query = Registry()
 
