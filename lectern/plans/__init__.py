@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lectern.plans import accounting, contracts, evidence, layers, measures, pages, records, relational, stateful
+from lectern.plans import accounting, audits, contracts, evidence, layers, measures, pages, records, relational, stateful
 from lectern.plans.registry import Query
 
-_MODULES = (accounting, relational, measures, contracts, records, evidence, layers, pages, stateful)
+_MODULES = (accounting, relational, measures, contracts, records, evidence, layers, pages, audits, stateful)
 
 
 def queries() -> dict[str, Query]:

@@ -10,7 +10,6 @@ from lectern.functions import geometry as G
 from lectern.functions import text as T
 from lectern.operators import accounting as A
 from lectern.operators import contracts as K
-from lectern.operators import intervals as I
 from lectern.operators import reconcile as R
 from lectern.plans.registry import Registry
 from lectern.sources.tables import ATTEMPTS, CURRENT, READINGS, RECTANGLES, attempts, current_readings, readings, rectangles, table
@@ -33,13 +32,6 @@ def j04_admissions_and_authority(spark, d):
     return R.reconcile(docs.filter("ordinal % 9 <> 4"), moved, ["ordinal"], ["lang", "source"])
 
 
-@query(f"""WITH {ATTEMPTS} SELECT a.subject_id, a.chair, count(*) AS spans, CAST(sum(length(a.text)) AS BIGINT) AS characters FROM attempts a JOIN (SELECT DISTINCT subject_id, chair FROM attempts WHERE ordinal <= 2) t USING (subject_id, chair) GROUP BY ALL""")
-def j06_spans_and_attachments(spark, d):
-    spans = attempts(spark, d)
-    attached = spans.filter("ordinal <= 2").select("subject_id", "chair").distinct()
-    return spans.join(attached, ["subject_id", "chair"]).groupBy("subject_id", "chair").agg(F.count("*").alias("spans"), F.sum(F.length("text")).alias("characters"))
-
-
 @query(f"""WITH {RECTANGLES} SELECT page, id, 'missing' AS side FROM rectangles WHERE id > 3 AND page % 5 = 0""")
 def j07_components_and_residuals(spark, d):
     parts = rectangles(spark, d).filter("id > 3").select("page", "id")
@@ -90,9 +82,11 @@ def f29_reason_code(spark, d):
     return _docs(spark, d).select("doc_id", A.reason_code(detail).alias("code"))
 
 
-@query("""SELECT doc_id, sha256('{"id":' || CAST(doc_id AS VARCHAR) || ',"rate":' || CASE WHEN doc_id % 2 = 0 THEN '0.5' ELSE '1.25' END || '}') AS digest FROM documents""")
+@query("""SELECT doc_id, sha256('{"id":' || CAST(doc_id AS VARCHAR) || ',"rate":' || CAST(n_chars / 8.0::DOUBLE AS VARCHAR) || ',"share":' || CASE WHEN n_chars % 2 = 0 THEN 'null' ELSE CAST(n_chars % 7 / 4.0::DOUBLE AS VARCHAR) END || '}') AS digest FROM documents""")
 def f32_measurement_record(spark, d):
-    return _docs(spark, d).select("doc_id", C.digest(C.record(id=F.col("doc_id"), rate=F.when(F.col("doc_id") % 2 == 0, 0.5).otherwise(1.25))).alias("digest"))
+    """Measured rates, which are fractions or missing, in canonical form."""
+    n = F.col("n_chars")
+    return _docs(spark, d).select("doc_id", C.digest(C.record(id=F.col("doc_id"), rate=n / F.lit(8.0), share=F.when(n % 2 == 1, n % 7 / F.lit(4.0)))).alias("digest"))
 
 
 # --- geometry ---------------------------------------------------------------------------------------------------------
@@ -140,15 +134,6 @@ def k09_region_cut(spark, d):
     return boxes.select("page", "id", C.identity("region", act_id=act, transform=cut).alias("region_id"))
 
 
-@query(f"""WITH {RECTANGLES}, c AS (SELECT * FROM rectangles WHERE id = 1) SELECT page, 260 * 320 - least(260, x + w) * least(320, y + h) + least(260, x + w) * least(320, y + h) - (least(260, x + w) - x) * (least(320, y + h) - y) AS unclaimed FROM c""")
-def k11_unclaimed_coverage(spark, d):
-    """What a page's one claim leaves of the page."""
-    n = lambda v: F.lit(v).cast("long")
-    page = G.box(n(0), n(0), n(260), n(320))
-    claim = rectangles(spark, d).filter("id = 1").select("page", F.array(G.box(*(F.col(c) for c in "xywh"))).alias("claims"))
-    return claim.select("page", G.area(G.remaining(page, F.col("claims"))).alias("unclaimed"))
-
-
 @query(f"""WITH {RECTANGLES}, a AS (SELECT * FROM rectangles WHERE id = 1), b AS (SELECT * FROM rectangles WHERE id = 2) SELECT a.page, CASE WHEN b.x <= a.x AND b.y <= a.y AND b.x + b.w >= a.x + a.w AND b.y + b.h >= a.y + a.h THEN 'adds nothing' ELSE 'allowed' END AS verdict FROM a JOIN b USING (page)""")
 def k12_recrop_guard(spark, d):
     """A recrop has to add a pixel that the crops so far don't cover."""
@@ -170,26 +155,6 @@ def k21_delivered_digest(spark, d):
     return pages.join(sent, "page_id").select("page_id", (F.col("recorded") == F.col("sent")).alias("delivered_as_recorded"))
 
 
-_YEARS = "years AS (SELECT source, doc_id, 1000 + (doc_id * 7919) % 900 AS year FROM documents)"
-
-
-@query(f"""WITH {_YEARS}, l AS (SELECT *, lag(year) OVER (PARTITION BY source ORDER BY doc_id) AS p, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS a, row_number() OVER (PARTITION BY source ORDER BY year, doc_id) AS b FROM years)
-SELECT source, doc_id, concat_ws(',', CASE WHEN year < p THEN 'date-sequence' END, CASE WHEN a <> b THEN 'order' END) AS flags FROM l WHERE year < p OR a <> b""")
-def k23_page_flags(spark, d):
-    """All flags of a page at once, from one ordering of its acts."""
-    rows = _docs(spark, d).select("source", "doc_id", (1000 + (F.col("doc_id") * 7919) % 900).alias("year"))
-    rows = I.lagged(I.ranked(I.ranked(rows, ["source"], ["doc_id"], "a"), ["source"], ["year", "doc_id"], "b"), ["source"], ["doc_id"], "year", "p")
-    flags = F.concat_ws(",", F.when(F.col("year") < F.col("p"), "date-sequence"), F.when(F.col("a") != F.col("b"), "order"))
-    return rows.select("source", "doc_id", flags.alias("flags")).filter("flags <> ''")
-
-
-@query(f"""WITH {_YEARS}, l AS (SELECT *, lag(year) OVER (PARTITION BY source ORDER BY doc_id) AS p FROM years) SELECT doc_id, 'read again: date-sequence' AS request FROM l WHERE year < p""")
-def k24_reproof_requests(spark, d):
-    rows = _docs(spark, d).select("source", "doc_id", (1000 + (F.col("doc_id") * 7919) % 900).alias("year"))
-    flagged = I.lagged(rows, ["source"], ["doc_id"], "year", "p").filter("year < p").withColumn("flags", F.array(F.lit("date-sequence")))
-    return flagged.select("doc_id", F.explode(F.transform("flags", lambda f: F.concat(F.lit("read again: "), f))).alias("request"))
-
-
 @query(f"""WITH {RECTANGLES}, f AS (SELECT page, CAST(sum(w * h) AS BIGINT) AS total, CAST(coalesce(sum(w * h) FILTER (id > 3), 0) AS BIGINT) AS outside FROM rectangles GROUP BY page) SELECT o_custkey AS act, count(*) AS checked, count(*) FILTER (outside * 2 > total) AS flagged FROM orders JOIN f ON page = o_orderkey GROUP BY o_custkey""")
 def k28_checked_and_flagged_pages(spark, d):
     area = F.col("w") * F.col("h")
@@ -223,12 +188,6 @@ def k38_aggregate_recomputed(spark, d):
     return R.difference(basis, basis.withColumn("n", F.when(F.col("act") % 4 == 0, F.col("n") + 1).otherwise(F.col("n"))))
 
 
-@query("""SELECT doc_id, 15 <= n_chars AS anchored, (doc_id % 40) < 15 AND 5 < (doc_id % 40) + 6 AS over_uncertainty FROM documents""")
-def k40_annotation_anchors(spark, d):
-    s = F.col("doc_id") % 40
-    return _docs(spark, d).select("doc_id", K.within(F.lit(5), F.lit(15), F.col("n_chars")).alias("anchored"), ((s < 15) & (s + 6 > 5)).alias("over_uncertainty"))
-
-
 @query("""WITH h AS (SELECT doc_id, left(sha256('{"page_sha256":"' || sha256(text) || '","purpose":"gold-set-v1"}'), 1) IN ('0','1','2','3','4','5','6','7') AS cal FROM documents) SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'calibration' ELSE 'locked-acceptance' END AS stated, CASE WHEN cal THEN 'calibration' ELSE 'locked-acceptance' END AS derived FROM h""")
 def k41_manual_pick(spark, d):
     """A hand-picked page keeps its stated set beside the one that its content gives."""
@@ -271,24 +230,6 @@ def k49_repository(spark, d):
     return table(spark, d, "part").select("p_partkey", F.lower(F.trim(F.split_part(F.trim(name), F.lit("@"), F.lit(1)))).alias("repository"))
 
 
-@query("""SELECT doc_id, condition, condition <> 'text-only' AS shows_image, condition <> 'image-only' AS shows_testimonies FROM labels CROSS JOIN (VALUES ('image-only'), ('text-only'), ('both')) k(condition)""")
-def k50_dossier_by_condition(spark, d):
-    conditions = spark.createDataFrame([("image-only",), ("text-only",), ("both",)], "condition string")
-    every = table(spark, d, "labels").select("doc_id").join(F.broadcast(conditions))
-    return every.withColumns({"shows_image": F.col("condition") != "text-only", "shows_testimonies": F.col("condition") != "image-only"})
-
-
-@query("""SELECT source, count(DISTINCT lang) AS configurations, count(DISTINCT lang) = 1 AS sealed FROM documents GROUP BY source""")
-def k52_config_at_use(spark, d):
-    return _docs(spark, d).groupBy("source").agg(F.count_distinct("lang").alias("configurations"), (F.count_distinct("lang") == 1).alias("sealed"))
-
-
-@query("""SELECT source || '/' || CAST(doc_id AS VARCHAR) AS residue FROM documents WHERE source NOT IN ('src1', 'src2', 'src3')""")
-def k54_cleanup_residue(spark, d):
-    allowed = spark.createDataFrame([("src1",), ("src2",), ("src3",)], "source string")
-    return _docs(spark, d).join(F.broadcast(allowed), "source", "left_anti").select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("residue"))
-
-
 @query(f"""WITH {ATTEMPTS}, b AS (SELECT subject_id, chair, CASE WHEN lag(chair) OVER (PARTITION BY subject_id ORDER BY ordinal) = chair THEN 0 ELSE 1 END AS new FROM attempts) SELECT subject_id, chair, CAST(sum(new) AS BIGINT) AS residencies, sum(new) > 1 AS reloaded FROM b GROUP BY subject_id, chair""")
 def t08_single_residency(spark, d):
     before = F.lag("chair").over(Window.partitionBy("subject_id").orderBy("ordinal"))

@@ -156,7 +156,7 @@ def w07_uncovered_ranges(spark, d):
 @query(None)
 def w08_ink_runs(spark, d):
     """Runs of ink in scanlines: a row of pixels for each order line, ink where a digit of its key repeats."""
-    rows = table(spark, d, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("page"), F.lit(0).alias("y"), F.md5(F.col("l_partkey").cast("string")).alias("m"))
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").cast("int").alias("y"), F.md5(F.col("l_partkey").cast("string")).alias("m"))
     ink = F.concat(*[F.when(F.substring("m", k, 1) < "8", F.lit(bytearray(b"\x01"))).otherwise(F.lit(bytearray(b"\x00"))) for k in range(1, 33)])
     return rows.select("page", "y", ink.alias("row")).mapInPandas(B.ink_runs, "page long, y int, x0 long, x1 long")
 
