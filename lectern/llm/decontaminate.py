@@ -11,8 +11,8 @@ shingles' counts. A window qualifies at 0.75 or more.
    common shingles to be the best is followed by the one e words on; none between can be better.
 3. What is found on shingle hashes is computed once more on the words.
 
-The benchmark is broadcast in parts of at most PART_WORDS words, one pass over the documents each; the
-documents are never shuffled, only verified rows are.
+The benchmark is broadcast in parts of about PART_WORDS words (every item counts ITEM_WORDS more), one pass over the
+documents each; the documents are never shuffled, only verified rows are.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from lectern.llm.shared import without
 
 PERCENT = 75
 SHINGLE = 5
-PART_WORDS = 500_000
+#: The broadcast of a part: words, and as many more for each item as its row and its first anchor weigh.
+PART_WORDS, ITEM_WORDS = 500_000, 16
 
 _WORDS = r"""
   if(trim(BOTH ' \t\n\u000b\u000c\r' FROM coalesce({text}, '')) = '', array(),
@@ -89,7 +90,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     """
     items = benchmark.select("item_id", F.expr(_WORDS.format(text="text")).alias("iw")).filter("size(iw) > 0").distinct()
     items = items.withColumn("m", F.size("iw")).withColumn("k", F.least(F.lit(SHINGLE), F.col("m")))
-    sizes = items.groupBy("k").agg(F.sum("m").alias("words")).collect()  # at most SHINGLE rows
+    sizes = items.groupBy("k").agg(F.sum(F.col("m") + ITEM_WORDS).alias("words")).collect()  # at most SHINGLE rows
     docs = docs.select(F.col(id_column).alias("doc_id"), "text")
     found = [
         _pass(docs, items.filter((F.col("k") == r["k"]) & (F.pmod(F.xxhash64("item_id", "iw"), F.lit(parts)) == p)), r["k"], percent)

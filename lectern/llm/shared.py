@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session names none (tests, a local run) is a folder of our own set.
+    Only where the session names none and runs on one machine is a folder of our own set; executors elsewhere
+    would each write to their own disks, so that is refused.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lectern-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
