@@ -43,6 +43,16 @@ def test_stages(spark, folder, tmp_path):
     assert all(model.decode(r["token_ids"]) == texts[r["doc_id"]] and r["n_tokens"] == len(r["token_ids"]) for r in docs.collect())
 
 
+def test_columns_named_like_a_stage_s_own(spark, folder):
+    odd = spark.read.parquet(f"{folder}/documents.parquet")
+    for c in ("lang_pred", "score", "own_lang_pred", "own_score", "row", "token_ids", "spans", "held_out", "n"):
+        odd = odd.withColumn(c, F.concat(F.lit(c), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, odd, folder)
+        assert got.columns == odd.columns, name
+        assert got.filter("doc_id is not null and (score <> concat('score', doc_id) or own_score <> concat('own_score', doc_id) or row <> concat('row', doc_id))").count() == 0, name
+
+
 def test_null_and_repeated_ids(spark):
     one, two, three = prose(80, 91), prose(80, 92), prose(80, 93)
     rows = [(None, one), (None, one), (None, " ".join(edited(one.split(), 1, 4))), (5, two), (5, three), (5, three), (6, two), (None, "")]
