@@ -20,17 +20,21 @@ LEAST_SCORE = 0.5
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model tells with LEAST_SCORE or more; texts without letters go."""
-    plain = docs.withColumnsRenamed({c: f"own_{c}" for c in ("lang_pred", "score") if c in docs.columns})
-    found = language_id.identify(plain, language_id.fit(docs))
+    """Documents in a language that the model tells with LEAST_SCORE or more; null texts and those without letters go.
+
+    Columns named like the model's are kept: all of a row's travel as one.
+    """
+    rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    found = language_id.identify(rows, language_id.fit(docs))
     kept = found.filter((F.col("lang_pred") != language_id.UNDECIDED) & (F.col("score") >= LEAST_SCORE))
-    return kept.drop("lang_pred", "score").withColumnsRenamed({f"own_{c}": c for c in ("lang_pred", "score")}).select(*docs.columns)
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked rows the one of least doc_id, nulls last; of equal texts under one doc_id, one.
 
-    Where a doc_id is null or repeated, rows are numbered in the order of doc_id and linked by number.
+    Where a doc_id is null or repeated, rows are numbered in the order of doc_id and linked by number, so that rows of
+    different texts are judged each by its own. Null and empty texts link with nothing and stay.
     """
     if docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty():
         return without(docs, jaccard_join(docs).filter("doc_id <> component_id").select("doc_id"))
@@ -44,10 +48,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text holds no item of the benchmark; null and empty texts hold none and stay."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with the secrets in its text masked, n_chars with it; null texts stay as they are."""
     masked = redact(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
