@@ -36,6 +36,26 @@ def best_match(declared: DataFrame, groups: DataFrame) -> DataFrame:
     return best.join(ties, ["page", "id"]).select("page", "id", F.when(verdict == "matched", F.col("b.group")).alias("group"), F.col("top").alias("overlap"), verdict.alias("verdict"))
 
 
+def structural_evidence(declared: DataFrame, groups: DataFrame, analysis: DataFrame) -> DataFrame:
+    """(page, id, basis, bounds, body, anchors, rationale, refused): the evidence that stands behind each declared box.
+
+    groups: page, id, x, y, w, h, body, anchors, rationale. analysis: page, basis. On a page cut into bands there is nothing to
+    match, and it says so with nulls and zeros; elsewhere a box that no group covers half of, or that several cover
+    alike, is refused, as are two boxes that claim one group.
+    """
+    c = F.col
+    found = best_match(declared, groups).join(analysis.select("page", "basis"), "page")
+    facts = groups.select("page", c("id").alias("group"), F.struct("x", "y", "w", "h").alias("bounds"), "body", "anchors", "rationale")
+    rows = found.join(facts, ["page", "group"], "left")
+    owners = found.filter("basis = 'detected' and group is not null").groupBy("page", "group").agg(F.count("*").alias("owners"))
+    rows = rows.join(owners, ["page", "group"], "left")
+    detected = c("basis") == "detected"
+    refused = F.when(detected, F.when(c("verdict") != "matched", c("verdict")).when(c("owners") > 1, "claimed twice"))
+    sound = detected & refused.isNull()
+    none = lambda k: F.when(sound, c(k)).otherwise(F.lit(0).cast("long"))
+    return rows.select("page", "id", "basis", F.when(sound, c("bounds")).alias("bounds"), none("body").alias("body"), none("anchors").alias("anchors"), F.when(detected, F.when(sound, c("rationale"))).otherwise("fallback band").alias("rationale"), refused.alias("refused"))
+
+
 def uncontained(candidates: DataFrame, claims: DataFrame) -> DataFrame:
     """(page, id, touched): candidates that no claim on their page contains, and how many claims they touch."""
     a, b = _named(candidates, "id_"), _named(claims, "claim")

@@ -120,11 +120,6 @@ def k04_corpus_seal(spark, d):
     return K.sealed(_docs(spark, d), ["source"], "doc_id", ["lang"])
 
 
-@query(f"""WITH {RECTANGLES}, a AS (SELECT page, count(*) FILTER (id = 1) AS anchors, count(*) FILTER (id > 1) AS body FROM rectangles GROUP BY page) SELECT page, anchors, body, CASE WHEN body = 0 THEN 'fallback' ELSE 'detected' END AS basis FROM a""")
-def k08_structural_evidence(spark, d):
-    return rectangles(spark, d).groupBy("page").agg(F.count_if(F.col("id") == 1).alias("anchors"), F.count_if(F.col("id") > 1).alias("body")).withColumn("basis", F.when(F.col("body") == 0, "fallback").otherwise("detected"))
-
-
 @query(f"""WITH {RECTANGLES}, p AS (SELECT page, id, greatest(0, x - (w * 500 + 5000) // 10000) AS x, greatest(0, y - (h * 500 + 5000) // 10000) AS y, least(260, x + w + (w * 500 + 5000) // 10000) AS x1, least(320, y + h + (h * 500 + 5000) // 10000) AS y1 FROM rectangles)
 SELECT page, id, 'rgn_' || left(sha256('{{"bindings":{{"act_id":"act-' || CAST(page AS VARCHAR) || '-' || CAST(id AS VARCHAR) || '","transform":{{"h":' || CAST(y1 - y AS VARCHAR) || ',"w":' || CAST(x1 - x AS VARCHAR) || ',"x":' || CAST(x AS VARCHAR) || ',"y":' || CAST(y AS VARCHAR) || '}}}},"kind":"region"}}'), 16) AS region_id FROM p""")
 def k09_region_cut(spark, d):

@@ -306,7 +306,9 @@ def f13_alignment(spark, d):
 
 @query(None)
 def f14_departures(spark, d):
-    return _turn_pairs(spark, d).select("subject_id", "ordinal", F.size(T.departure_spans("before", "after")).alias("departures"))
+    """How many departures a turn has from the one before, or no answer where they are too long to tell."""
+    found = _turn_pairs(spark, d).select("subject_id", "ordinal", T.departure_spans("before", "after").alias("s"))
+    return found.select("subject_id", "ordinal", F.when(F.col("s").isNull(), "unknown").otherwise("compared").alias("status"), F.when(F.col("s").isNotNull(), F.size("s")).alias("departures"))
 
 
 @query("""WITH p AS (SELECT a.conv_id AS subject_id, a.turn + 1 AS ordinal, a.text AS x, b.text AS y FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
@@ -322,14 +324,18 @@ def f15_dissent(spark, d):
 
 @query(None)
 def f16_edit_distance(spark, d):
+    """Substitutions, insertions and deletions between items and edited ones, whose sum has to be the native distance."""
     pairs = table(spark, d, "benchmark").select("item_id", F.lower("text").alias("r"), F.lower(F.expr("substring(text, 3)")).alias("h"))
-    return pairs.select("item_id", F.levenshtein("r", "h").alias("errors"))
+    found = pairs.select("item_id", F.levenshtein("r", "h").alias("errors"), T.code_point_edits("r", "h").alias("e"))
+    return found.select("item_id", "errors", "e.*", (F.col("e.substitutions") + F.col("e.insertions") + F.col("e.deletions") == F.col("errors")).alias("agrees"))
 
 
 @query(None)
 def f17_character_and_word_scores(spark, d):
-    pairs = _turn_pairs(spark, d)
-    return pairs.select("subject_id", "ordinal", T.character_score("before", "after").alias("cer"), T.word_score("before", "after").alias("wer"))
+    """Errors by characters and by words of every answer, non-answers as nothing; blank references can't be scored."""
+    status = F.get(F.array(*map(F.lit, M.STATES)), (F.col("ordinal") % 7).cast("int"))
+    pairs = _turn_pairs(spark, d).withColumn("status", status).withColumn("given", T.hypothesis_of(F.col("status"), F.col("after"))).filter(T.scoreable(F.col("before")))
+    return pairs.select("subject_id", "ordinal", "status", T.character_score("before", "given").alias("cer"), T.word_score("before", "given").alias("wer"))
 
 
 @query("""SELECT doc_id, sha256(left(text, 10) || substr(text, 21, 30) || substr(text, 61)) AS digest FROM documents""")

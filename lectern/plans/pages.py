@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import geometry as G
 from lectern.operators import pages as P
+from lectern.operators import rectangles as B
 from lectern.plans.records import _expected, _planted
 from lectern.plans.registry import Registry
 from lectern.sources.tables import RECTANGLES, rectangles, table
@@ -52,6 +53,21 @@ def k06_page_analysis(spark, d):
     return P.page_analysis(boxes.select("page").distinct(), levels, boxes.filter("id > 2"), 260, 320)
 
 
+@query(f"""WITH {RECTANGLES}, a AS (SELECT * FROM rectangles WHERE id <= 2), b AS (SELECT * FROM rectangles WHERE id > 2),
+s AS (SELECT a.page, a.id, a.w * a.h AS size, b.id AS g, CASE WHEN b.id IS NULL THEN 0 ELSE greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) END AS o FROM a LEFT JOIN b USING (page)),
+m AS (SELECT page, id, size, max(o) AS top FROM s GROUP BY ALL), n AS (SELECT s.page, s.id, count(*) AS n, min(g) AS g, max(top) * 2 >= max(s.size) AND count(*) = 1 AS matched FROM s JOIN m ON s.page = m.page AND s.id = m.id AND s.o = m.top GROUP BY ALL),
+w AS (SELECT page, g, count(*) AS owners FROM n WHERE matched AND page % 3 <> 0 GROUP BY ALL),
+v AS (SELECT n.page, n.id, g, CASE WHEN n.page % 3 = 0 THEN NULL WHEN m.top * 2 < m.size THEN 'missed' WHEN n > 1 THEN 'tie' WHEN owners > 1 THEN 'claimed twice' END AS refused FROM n JOIN m USING (page, id) LEFT JOIN w USING (page, g))
+SELECT page, id, CASE WHEN page % 3 = 0 THEN 'fallback' ELSE 'detected' END AS basis, CASE WHEN page % 3 <> 0 AND refused IS NULL THEN g ELSE 0 END AS body, CASE WHEN page % 3 <> 0 AND refused IS NULL THEN 1 ELSE 0 END AS anchors,
+  CASE WHEN page % 3 = 0 THEN 'fallback band' WHEN refused IS NULL THEN 'single anchor' END AS rationale, refused FROM v""")
+def k08_structural_evidence(spark, d):
+    """What was found behind each declared box: the group that covers it, or that nothing was looked for."""
+    boxes = rectangles(spark, d)
+    groups = boxes.filter("id > 2").withColumns({"body": F.col("id"), "anchors": F.lit(1).cast("long"), "rationale": F.lit("single anchor")})
+    analysis = boxes.select("page").distinct().withColumn("basis", F.when(F.col("page") % 3 == 0, "fallback").otherwise("detected"))
+    return B.structural_evidence(boxes.filter("id <= 2"), groups, analysis).drop("bounds")
+
+
 @query("""SELECT doc_id AS act, CASE doc_id % 7 WHEN 0 THEN 'held: page not sealed' WHEN 1 THEN 'held: page not sealed' WHEN 2 THEN 'held: page failed' WHEN 3 THEN 'held: continuation missing' ELSE 'proposed' END AS disposition FROM documents""")
 def k07_declared_act(spark, d):
     """Every declared act is proposed, or held with the first reason that holds."""
