@@ -137,3 +137,22 @@ def s21_salvage_tier(spark, d):
     docs = _docs(spark, d).select("doc_id")
     salvage = docs.join(acts, "doc_id", "left_anti").unionByName(docs.filter("doc_id % 20 = 0")).distinct()
     return R.firewalled(salvage, acts, "doc_id")
+
+
+@query("""SELECT 'act-' || CAST(doc_id AS VARCHAR) AS act_key, sha256(text) AS text_sha256 FROM documents WHERE doc_id % 3 <> 0""")
+def s16_index_round_trip(spark, d):
+    """A derived index written over the one before it, and read again: the later one alone, whole."""
+    acts = _acts(spark, d).select("act_key", "doc_id", "text_sha256")
+    with sinks.shared_folder(spark) as path:
+        sinks.overwrite_index(acts.withColumn("text_sha256", F.lit("old")), path)
+        return sinks.overwrite_index(acts.filter("doc_id % 3 <> 0"), path).select("act_key", "text_sha256").checkpoint()
+
+
+@query("""SELECT source AS folder, count(*) AS acts, 'published' AS first, 'refused' AS second FROM documents GROUP BY source""")
+def s24_sealed_publication(spark, d):
+    """A sealed bundle is published once: a second one at its place is refused, and what stands there is the first."""
+    acts = _acts(spark, d).select("act_key", "folder", "text_sha256")
+    with sinks.shared_folder(spark) as path:
+        first, second = sinks.publish_sealed(acts, ["folder"], path), sinks.publish_sealed(acts.limit(1), ["folder"], path)
+        held = spark.read.schema(acts.schema).parquet(path).groupBy("folder").agg(F.count("*").alias("acts"))
+        return held.withColumns({"first": F.lit(first), "second": F.lit(second)}).checkpoint()

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,6 +144,27 @@ def inventory(spark: SparkSession, folder: str, max_bytes: int, max_entries: int
     return both.select("relative_path", size.alias("bytes"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("sha256"))
 
 
+@contextmanager
+def shared_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own under spark.checkpoint.dir, which is removed afterwards; what is returned from it has to be checkpointed.
+
+    Only a session on one machine may have none: a folder of that machine stands in.
+    """
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lectern-"))
+        named = sc.getCheckpointDir()
+    path = f"{named.rstrip('/')}/lectern-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def overwrite_index(df: DataFrame, path: str) -> DataFrame:
     """A derived index in the place of the one before, reread; readers see one or the other by Spark's commit."""
     df.write.mode("overwrite").parquet(path)
@@ -148,3 +174,14 @@ def overwrite_index(df: DataFrame, path: str) -> DataFrame:
 def publish_tree(df: DataFrame, keys: list[str], path: str) -> None:
     """An artifact table partitioned by its keys; a path that exists is refused, not merged into."""
     df.write.partitionBy(*keys).mode("errorifexists").parquet(path)
+
+
+def publish_sealed(df: DataFrame, keys: list[str], path: str) -> str:
+    """publish_tree, and what became of it: 'published', or 'refused' where something stands at the path, which stays as it was."""
+    try:
+        publish_tree(df, keys, path)
+    except AnalysisException as e:
+        if "PATH_ALREADY_EXISTS" not in str(e):
+            raise
+        return "refused"
+    return "published"
