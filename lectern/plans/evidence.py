@@ -8,7 +8,7 @@ from lectern.functions import canonical as C
 from lectern.operators import admission as N
 from lectern.operators import reconcile as R
 from lectern.plans.registry import Registry
-from lectern.sources import sinks, structure
+from lectern.sources import policies, sinks, structure
 from lectern.sources.samples import file_of as _file
 from lectern.sources.tables import table
 
@@ -156,3 +156,29 @@ def s24_sealed_publication(spark, d):
         first, second = sinks.publish_sealed(acts, ["folder"], path), sinks.publish_sealed(acts.limit(1), ["folder"], path)
         held = spark.read.schema(acts.schema).parquet(path).groupBy("folder").agg(F.count("*").alias("acts"))
         return held.withColumns({"first": F.lit(first), "second": F.lit(second)}).checkpoint()
+
+
+_POLICY_TEXTS = [
+    ("alignment", "[limits]\nmax_characters = 5\nmax_character_pairs = 6\ntimeout_seconds = 7\n", None),
+    ("alignment", "[limits]\nmax_characters = 0\nmax_character_pairs = 6\ntimeout_seconds = 7\n", "max_characters"),
+    ("alignment", "[limits]\nmax_characters = 5\n", "limits: keys"),
+    ("recovery", "absolute_cap = 3\n[budget]\nfallback_recrop = 1\npage_level_reread = 2\n", None),
+    ("recovery", "absolute_cap = 2\n[budget]\nfallback_recrop = 1\npage_level_reread = 2\n", "over the absolute cap"),
+    ("recovery", "absolute_cap = 3\n[budget]\nfallback_recrop = true\npage_level_reread = 2\n", "fallback_recrop"),
+    ("padding", "[padding]\ntop_bp = 1\nright_bp = 0\nbottom_bp = 2\nleft_bp = 3\n[padding.provenance]\nsource = 'gold'\ncaveat = 'few'\n", None),
+    ("padding", "[padding]\ntop_bp = 1\nright_bp = 0\nbottom_bp = 2\nleft_bp = 3\n[padding.provenance]\nsource = ' '\ncaveat = 'few'\n", "source"),
+    ("hard-failure", "threshold = 2\n[[kind]]\nstage = 'perlector'\noutcome = 'failed'\n[[kind]]\nstage = 'door'\noutcome = 'refused'\nreason = 'corrupt'\n", None),
+    ("hard-failure", "threshold = 2\n[[kind]]\nstage = 'perlector'\noutcome = 'read'\n", "no failure of that stage"),
+    ("hard-failure", "threshold = 3\n[[kind]]\nstage = 'perlector'\noutcome = 'failed'\n", "threshold"),
+    ("tiles", "[tiles]\nwidth_px = 8\nheight_px = 6\nvertical_offset_px = 3\nhorizontal_overlap_px = 4\n", None),
+    ("tiles", "[tiles]\nwidth_px = 8\nheight_px = 6\nvertical_offset_px = 2\nhorizontal_overlap_px = 4\n", "not half a tile"),
+    ("tiles", "[tiles\n", "unreadable"),
+]
+
+
+@query(f"""SELECT doc_id, f.fault FROM documents JOIN (VALUES {", ".join(f"({k}, '{why}')" for k, (*_, why) in enumerate(_POLICY_TEXTS) if why)}) f(k, fault) ON doc_id % {len(_POLICY_TEXTS)} = f.k""")
+def s25_policy_faults(spark, d):
+    """Policies with closed keys and bounded values: what keeps each text from being taken."""
+    k = (F.col("doc_id") % len(_POLICY_TEXTS)).cast("int")
+    pick = lambda n: F.get(F.array(*[F.lit(p[n]) for p in _POLICY_TEXTS]), k)
+    return _docs(spark, d).select("doc_id", policies.policy_fault(pick(0), pick(1)).alias("fault")).filter("fault is not null")
