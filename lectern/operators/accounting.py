@@ -53,6 +53,18 @@ def classify(units: DataFrame) -> DataFrame:
     return units.join(vocabulary(units.sparkSession), ["stage", "outcome"], "left")
 
 
+#: Names that a matrix may be multiplied by: roles, chairs, candidates.
+MOST_NAMES = 256
+
+
+def few_names(df: DataFrame, column: str, name: str) -> DataFrame:
+    """(name): the distinct values of a column of configured names, to be broadcast; more than MOST_NAMES are refused."""
+    found = [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MOST_NAMES + 1).collect()]
+    if len(found) > MOST_NAMES:
+        raise ValueError(f"{column} holds more than {MOST_NAMES} names")
+    return F.broadcast(df.sparkSession.createDataFrame([(x,) for x in found], f"{name} string"))
+
+
 def unknown_outcomes(units: DataFrame) -> DataFrame:
     """(stage, outcome, units) of outcomes outside the vocabulary: each is fatal to accounting."""
     return units.join(vocabulary(units.sparkSession), ["stage", "outcome"], "left_anti").groupBy("stage", "outcome").agg(F.count("*").alias("units"))

@@ -239,7 +239,7 @@ SELECT a.act, c.chair, CASE WHEN r.act IS NULL THEN 'dead' WHEN r.outcome = 'not
 FROM acts a CROSS JOIN chairs c LEFT JOIN current r ON r.act = a.act AND r.chair = c.chair""")
 def k14_attempt_resolution(spark, d):
     now = current_readings(spark, d)
-    every = now.select("act").distinct().join(F.broadcast(now.select("chair").distinct()))  # five chairs
+    every = now.select("act").distinct().join(A.few_names(now, "chair", "chair"))
     case = (
         F.when(F.col("outcome").isNull(), "dead").when(F.col("outcome") == "not-run", "not-run").when(F.col("outcome") == "failed", "failed")
         .when(F.col("value") < 5, "malformed").when(F.col("outcome") == "genuinely-empty", "genuinely-empty").otherwise("read")

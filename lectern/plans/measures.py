@@ -466,7 +466,7 @@ def g11_columns(spark, d):
 def g12_ink_threshold(spark, d):
     values = table(spark, d, "lineitem").select("l_returnflag", F.col("l_quantity").cast("int").alias("q"))
     level = M.histogram_mode(values, ["l_returnflag"], "q").select("l_returnflag", "mode")
-    return values.join(F.broadcast(level), "l_returnflag").groupBy("l_returnflag").agg(F.count_if(F.col("q") <= F.col("mode") - 5).alias("ink"), F.count("*").alias("pixels"))
+    return values.join(level, "l_returnflag").groupBy("l_returnflag").agg(F.count_if(F.col("q") <= F.col("mode") - 5).alias("ink"), F.count("*").alias("pixels"))
 
 
 @query(None)

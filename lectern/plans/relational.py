@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions import canonical as C
+from lectern.operators import accounting as A
 from lectern.operators import intervals as I
 from lectern.operators import rectangles as B
 from lectern.operators import reconcile as R
@@ -265,15 +266,14 @@ def j19_set_equality(spark, d):
 @query("""WITH chairs AS (SELECT DISTINCT role AS chair FROM conversations), acts AS (SELECT DISTINCT conv_id AS act FROM conversations) SELECT chair, act, row_number() OVER (ORDER BY chair, act) AS place FROM chairs CROSS JOIN acts""")
 def j20_schedule(spark, d):
     turns = table(spark, d, "conversations")
-    chairs = turns.select(F.col("role").alias("chair")).distinct()  # a few configured names
-    return sinks.numbered_in_order(turns.select(F.col("conv_id").alias("act")).distinct().join(F.broadcast(chairs)), ("chair", "act"), "place")
+    return sinks.numbered_in_order(turns.select(F.col("conv_id").alias("act")).distinct().join(A.few_names(turns, "role", "chair")), ("chair", "act"), "place")
 
 
 @query("""WITH c AS (SELECT DISTINCT role AS candidate FROM conversations), a AS (SELECT DISTINCT conv_id AS act FROM conversations), k(condition) AS (VALUES ('image-only'), ('witnessed'), ('primed')) SELECT candidate, act, condition FROM c CROSS JOIN a CROSS JOIN k""")
 def j21_experiment_matrix(spark, d):
     turns = table(spark, d, "conversations")
     conditions = spark.createDataFrame([("image-only",), ("witnessed",), ("primed",)], "condition string")
-    return turns.select(F.col("conv_id").alias("act")).distinct().join(F.broadcast(turns.select(F.col("role").alias("candidate")).distinct())).join(F.broadcast(conditions)).select("candidate", "act", "condition")
+    return turns.select(F.col("conv_id").alias("act")).distinct().join(A.few_names(turns, "role", "candidate")).join(F.broadcast(conditions)).select("candidate", "act", "condition")
 
 
 @query(f"""WITH {CURRENT}, policy(outcome, threshold) AS (VALUES ('failed', 3), ('not-run', 5)) SELECT c.act, c.chair, p.threshold FROM current c JOIN policy p USING (outcome)""")

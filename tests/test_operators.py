@@ -44,6 +44,13 @@ def test_unknown_outcome_and_empty_run(spark):
     assert len({(s, o) for s, o, _, _ in A.ALGEBRA}) == len(A.ALGEBRA)
 
 
+def test_names_that_are_broadcast_are_few(spark):
+    names = spark.range(300).select(F.col("id").cast("string").alias("n"))
+    assert A.few_names(names.filter("id < 256"), "n", "name").count() == 256 and A.few_names(names.limit(0), "n", "name").count() == 0
+    with pytest.raises(ValueError, match="more than 256"):
+        A.few_names(names, "n", "name")
+
+
 def test_page_category(spark):
     cases = [(None, "held-for-review"), ([], "held-for-review"), (["delivered", "confirmed-blank"], "delivered"), (["confirmed-blank"] * 2, "confirmed-blank"), (["excluded-with-approval"], "excluded-with-approval"), (["confirmed-blank", "excluded-with-approval"], "held-for-review")]
     rows = spark.createDataFrame([(c,) for c, _ in cases], "c array<string>")
