@@ -5,10 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: How many rows are drawn for each bound between ranges.
+BOUND_ROWS = 20
 
-def _ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """df dealt to tasks by ranges of (keys, order), with the range's number: a key of many rows spans several."""
-    return df.repartitionByRange(*keys, *order).withColumn("__part", F.spark_partition_id())
+
+def _ranged(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose key spans several ranges of (keys, order), and all of them, with __part: the number of a row's range.
+
+    The bounds are values of the rows, drawn once and fixed in the plan: a row's range follows from its own values, in whichever
+    branch it is told. What repartitionByRange draws differs from branch to branch, once there are more rows than it samples.
+    Only a key that a bound names lies on both sides of it.
+    """
+    columns = [*keys, *order]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(columns)))
+    drawn = df.select(own.alias("own")).orderBy(F.rand()).limit(BOUND_ROWS * n)
+    tiles = drawn.withColumn("tile", F.ntile(n).over(Window.orderBy("own"))).groupBy("tile").agg(F.min("own").alias("low")).filter("tile > 1")
+    bounds = tiles.select(*(F.col(f"low.c{k}").cast("string") for k in range(len(columns)))).collect()
+    if not bounds:
+        return df.withColumn("__part", F.lit(0)).filter(F.lit(False)), df.withColumn("__part", F.lit(0))
+    kinds = [f.dataType.simpleString() for f in df.select(*columns).schema.fields]
+    value = lambda v, kind: "CAST(" + ("NULL" if v is None else f"CAST(X'{v.encode().hex()}' AS STRING)") + f" AS {kind})"
+    row = lambda b, m: "named_struct(" + ", ".join(f"'c{k}', {value(b[k], kinds[k])}" for k in range(m)) + ")"
+    held = F.expr("sort_array(array(" + ", ".join(row(b, len(columns)) for b in bounds) + "))")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    part = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(held, at + step - 1) <= own, at + step).otherwise(at))
+    ranged = df.withColumn("__part", part)
+    if not keys:
+        return ranged, ranged
+    named = F.struct(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keys))).isin(*[F.expr(r) for r in sorted({row(b, len(keys)) for b in bounds})])
+    return df.filter(named).withColumn("__part", part), ranged
+
+
+def _carried(ranged: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
+    """ranged with what the ranges before hold of a row's key, null for a key of one range; there are fewer than two rows for each bound."""
+    small = carried.withColumnsRenamed({k: f"__key_{k}" for k in [*keys, "__part"]})
+    same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in [*keys, "__part"]]
+    return ranged.join(F.broadcast(small), same, "left")
 
 
 def lagged(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
@@ -16,32 +49,31 @@ def lagged(df: DataFrame, keys: list[str], order: list[str], value: str, name: s
 
     A range's first row of a key gets the last value of the range before, of which there is a row for each range and key.
     """
-    ranged = _ranged(df, keys, order)
+    split, ranged = _ranged(df, keys, order)
     own = Window.partitionBy(*keys, "__part")
     ranged = ranged.withColumns({name: F.lag(value).over(own.orderBy(*order)), "__place": F.row_number().over(own.orderBy(*order))})
-    lasts = ranged.groupBy(*keys, "__part").agg(F.max_by(value, F.struct(*order)).alias("__last"))
+    lasts = split.groupBy(*keys, "__part").agg(F.max_by(value, F.struct(*order)).alias("__last"))
     carried = lasts.withColumn("__last", F.lag("__last").over(Window.partitionBy(*keys).orderBy("__part")))
-    out = ranged.join(carried, [*keys, "__part"]).withColumn(name, F.when(F.col("__place") == 1, F.col("__last")).otherwise(F.col(name)))
-    return out.select(*df.columns, name)
+    return _carried(ranged, carried, keys).withColumn(name, F.when(F.col("__place") == 1, F.col("__last")).otherwise(F.col(name))).select(*df.columns, name)
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """df with a position from 1, by order within keys; no task holds all rows of a key."""
-    ranged = _ranged(df, keys, order)
+    split, ranged = _ranged(df, keys, order)
     ranged = ranged.withColumn(name, F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*order)))
-    sizes = ranged.groupBy(*keys, "__part").agg(F.max(name).alias("__n"))
-    before = sizes.withColumn("__base", F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranged.join(before, [*keys, "__part"]).withColumn(name, F.col(name) + F.col("__base")).select(*df.columns, name)
+    sizes = split.groupBy(*keys, "__part").agg(F.count("*").alias("__n"))
+    before = sizes.withColumn("__base", F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
+    return _carried(ranged, before, keys).withColumn(name, F.col(name) + F.coalesce("__base", F.lit(0).cast("long"))).select(*df.columns, name)
 
 
 def running_sum(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
     """df with the sum of a value up to each row, by a total order of all rows; the sums of whole ranges go to one task."""
-    ranged = _ranged(df, [], order)
+    split, ranged = _ranged(df, [], order)
     upto = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranged = ranged.withColumn(name, F.sum(value).over(upto))
-    sums = ranged.groupBy("__part").agg(F.sum(value).alias("__n"))
-    before = sums.withColumn("__base", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranged.join(F.broadcast(before), "__part").withColumn(name, F.col(name) + F.col("__base")).select(*df.columns, name)
+    sums = split.groupBy("__part").agg(F.sum(value).alias("__n"))
+    before = sums.withColumn("__base", F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
+    return _carried(ranged, before, []).withColumn(name, F.col(name) + F.coalesce("__base", F.lit(0))).select(*df.columns, name)
 
 
 def _islands(df: DataFrame, keys: list[str], starts_new: Column, order: list[str]) -> DataFrame:

@@ -14,23 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.canonical import canonical
+from lectern.operators.intervals import ranked
 
 
 def numbered_in_order(df: DataFrame, order: str | tuple[str, ...], name: str) -> DataFrame:
-    """df with a position from 1 in a total order of all rows, without gathering them in one task.
-
-    Rows are dealt by ranges of the order; a row's position is its place in its part and the sizes of the
-    parts before, of which there is one number each.
-    """
-    keys = [order] if isinstance(order, str) else list(order)
-    from pyspark.sql import Window
-
-    ranged = df.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id())
-    place = F.row_number().over(Window.partitionBy("__part").orderBy(*keys))
-    placed = ranged.withColumn("__place", place)
-    sizes = placed.groupBy("__part").agg(F.max("__place").alias("n"))
-    before = sizes.withColumn("__base", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    return placed.join(F.broadcast(before), "__part").withColumn(name, F.col("__place") + F.col("__base")).drop("__part", "__place", "__base")
+    """df with a position from 1 in a total order of all rows, without gathering them in one task."""
+    return ranked(df, [], [order] if isinstance(order, str) else list(order), name)
 
 
 def json_lines(df: DataFrame, row: Column, order: str) -> DataFrame:
