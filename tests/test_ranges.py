@@ -60,7 +60,7 @@ def test_running_sum(rows):
     assert got == dict(zip((i for _, i, _ in ordered), itertools.accumulate(i for _, i, _ in ordered), strict=True))
 
 
-@pytest.mark.parametrize("name", ["k23_page_flags", "k24_reproof_requests", "s02_source_inventory", "s08_container_pages"])
+@pytest.mark.parametrize("name", ["k02_admissions_by_source", "k23_page_flags", "k24_reproof_requests", "s02_source_inventory", "s08_container_pages"])
 def test_query_of_many_rows_equals_its_sql(spark, tmp_path, name):
     """20,000 documents in several files, so that each branch of a plan would draw ranges of its own."""
     path = str(tmp_path / "documents.parquet")
