@@ -6,11 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import geometry as G
 
+#: How many pairs of boxes are compared at once; those of one box may be more.
+PAIRS = 1 << 20
+
 
 def _named(df: DataFrame, name: str) -> DataFrame:
     return df.select("page", F.col("id").alias(name), G.box(*(F.col(c) for c in "xywh")).alias(name + "_box"))
@@ -83,30 +87,86 @@ def continuations(groups: DataFrame, pages: DataFrame, reach: int, column_overla
     return last.join(first, "ordinal").filter(near & column).select("page", "next_page", F.col("a.id").alias("trailing"), F.col("b.id").alias("leading"))
 
 
+def _turns(page: pa.Array) -> np.ndarray:
+    """Which rows are of another page than the row before."""
+    value, null = page.fill_null(0).to_numpy(zero_copy_only=False), page.is_null().to_numpy(zero_copy_only=False)
+    return np.concatenate(([False], (value[1:] != value[:-1]) | (null[1:] != null[:-1])))
+
+
+def _whole_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that come by page, in batches of whole pages: a page waits for its last row."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        page = batch.column("page")
+        cut = int(np.flatnonzero(_turns(page)).max(initial=0))
+        if cut:
+            held.append(batch.slice(0, cut))
+        if held and (cut or held[-1].column("page")[-1].as_py() != page[0].as_py()):
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _link(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Makes one of the components of each pair (a, b); root holds the least row of each row's component."""
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        if (low == high).all():
+            return
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+def _roots(rows: pa.RecordBatch, gap: int) -> np.ndarray:
+    """The first row of each row's component, for whole pages; a box with a null coordinate, or NaN, is near none.
+
+    A page's boxes are taken by their tops: those near one, and not above it, start no more than gap below its end.
+    """
+    named = [rows.column(c) for c in "xywh"]
+    known = ~np.logical_or.reduce([v.is_null(nan_is_null=True).to_numpy(zero_copy_only=False) for v in named])
+    x0, y0, w, h = (v.fill_null(0).to_numpy(zero_copy_only=False) for v in named)
+    page = np.cumsum(_turns(rows.column("page")))
+    root = np.arange(len(page))
+    at = np.flatnonzero(known)
+    at = at[np.lexsort((y0[at], page[at]))]
+    n, x0, y0, x1, y1 = len(at), x0[at], y0[at], (x0 + w)[at], (y0 + h)[at]
+    first = np.arange(n) + 1
+    low, high = first, np.searchsorted(page[at], page[at], side="right")
+    while (low < high).any():
+        middle = (low + high) // 2
+        near = (low < high) & (y0[np.minimum(middle, n - 1)] - y1 <= gap)
+        low, high = np.where(near, middle + 1, low), np.where(near, high, np.minimum(middle, high))
+    upto = np.cumsum(low - first)
+    top = 0
+    while top < n:
+        end = max(top + 1, int(np.searchsorted(upto, (upto[top - 1] if top else 0) + PAIRS, side="right")))
+        each = (low - first)[top:end]
+        i = np.repeat(np.arange(top, end), each)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(each) - each, each)
+        near = (x0[j] - x1[i] <= gap) & (x0[i] - x1[j] <= gap) & (y0[i] - y1[j] <= gap)
+        _link(root, at[i[near]], at[j[near]])
+        top = end
+    return root
+
+
 def components(boxes: DataFrame, gap: int) -> DataFrame:
     """(page, id, component): boxes of a page no more than gap apart, in either direction, are one; named by least id.
 
-    One grouped map for each page; a page's boxes are compared in blocks.
+    Pages come in sorted tasks, and all of a batch are labelled together; a task holds one page and one batch.
     """
 
-    def label(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("id", ignore_index=True)
-        x0, y0 = page["x"].to_numpy(), page["y"].to_numpy()
-        x1, y1 = x0 + page["w"].to_numpy(), y0 + page["h"].to_numpy()
-        root = np.arange(len(page))
-        while True:
-            low = root.copy()
-            for top in range(0, len(page), 512):
-                s = slice(top, top + 512)
-                apart = np.maximum(np.maximum(x0[s, None] - x1[None], x0[None] - x1[s, None]), np.maximum(y0[s, None] - y1[None], y0[None] - y1[s, None]))
-                low[s] = np.where(apart <= gap, root[None, :], len(page)).min(axis=1)
-            low = np.minimum(low, low[low])
-            if (low == root).all():
-                break
-            root = low
-        return pd.DataFrame({"page": page["page"], "id": page["id"], "component": page["id"].to_numpy()[root]})
-
-    return boxes.select("page", "id", "x", "y", "w", "h").groupBy("page").applyInPandas(label, "page long, id long, component long")
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_pages(batches):
+            page, own = (rows.column(c).cast(pa.int64()) for c in ("page", "id"))
+            yield pa.RecordBatch.from_arrays([page, own, own.take(pa.array(_roots(rows, gap)))], ["page", "id", "component"])
+
+    by_page = boxes.select("page", "id", "x", "y", "w", "h").repartition("page").sortWithinPartitions("page", F.col("id").asc_nulls_last())
+    return by_page.mapInArrow(label, "page long, id long, component long")
 
 
 def columns_and_runs(boxes: DataFrame, page_w: int, gap: int, reach: int, brace: int) -> DataFrame:

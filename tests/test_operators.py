@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,19 @@ def test_components_against_brute_force(spark):
     assert found == root
 
 
+def test_components_of_many_pages_and_of_large_ones(spark):
+    """40,000 pages, which took a call each; a page over several batches whose boxes meet in one chain; null pages and coordinates."""
+    schema = "page long, id long, x long, y long, w long, h long"
+    many = spark.range(120_000).select(F.expr("id div 3").alias("page"), "id", (F.col("id") % 3 * 12).alias("x"), F.lit(0).cast("long").alias("y"), F.when(F.col("id") % 3 == 0, 10).otherwise(5).cast("long").alias("w"), F.lit(5).cast("long").alias("h"))
+    began = time.monotonic()
+    got = B.components(many, 2).groupBy((F.col("component") - F.col("id")).alias("k"), (F.col("id") % 3).alias("m")).count().collect()
+    assert {(r["k"], r["m"], r["count"]) for r in got} == {(0, 0, 40_000), (-1, 1, 40_000), (0, 2, 40_000)} and time.monotonic() - began < 30
+    chain = spark.range(30_000).select(F.lit(7).cast("long").alias("page"), "id", F.lit(0).cast("long").alias("x"), (F.col("id") * 7919 % 30_000 * 3).alias("y"), F.lit(1).cast("long").alias("w"), F.lit(1).cast("long").alias("h"))
+    assert [tuple(r) for r in B.components(chain, 2).groupBy("page", "component").count().collect()] == [(7, 0, 30_000)]
+    odd = spark.createDataFrame([(None, 1, 0, 0, 5, 5), (None, 2, 6, 0, 5, 5), (0, 1, 0, 0, 5, 5), (0, 2, 0, None, 5, 5), (0, 3, 1, 1, 5, 5)], schema)
+    assert {tuple(r) for r in B.components(odd, 2).collect()} == {(None, 1, 1), (None, 2, 1), (0, 1, 1), (0, 2, 2), (0, 3, 1)}
+
+
 def test_grouping_doesnt_depend_on_order(spark):
     base = [(1, 10, 2, 10, 8, 6), (1, 20, 60, 12, 80, 5), (1, 30, 60, 19, 80, 5), (1, 40, 2, 40, 8, 40), (1, 50, 60, 45, 70, 6), (1, 60, 60, 90, 70, 6)]
     schema = "page long, id long, x long, y long, w long, h long"
