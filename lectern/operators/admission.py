@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.operators.intervals import ranked
+from lectern.operators.intervals import running_sum
 from lectern.operators.reconcile import publish
 from lectern.sources.formats import sniff
 from lectern.sources.structure import pages_of, structural_fault
@@ -43,13 +43,17 @@ def decide(sources: DataFrame, max_bytes: int) -> DataFrame:
 
 
 def expanded(sources: DataFrame, order: list[str]) -> DataFrame:
-    """sources (content, ...), a row for each page: page_index is null for what is no container, ordinal counts all pages from 1."""
+    """sources (content, ...), a row for each page: page_index is null for what is no container, ordinal counts all pages from 1.
+
+    Files are numbered through by the pages of those before, so that a file moves once, whatever its pages, and rows of one
+    order, or of none, stay apart.
+    """
+    c = F.col
     data = F.coalesce("content", F.lit(bytearray()))
-    pages = pages_of(sniff(data), data)
-    rows = sources.withColumn("pages", pages).withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-    rows = rows.withColumn("page_index", F.when(F.col("pages") > 1, F.col("page")))
-    numbered = ranked(rows.drop("content").withColumn("__all", F.lit(0)), ["__all"], [*order, "page"], "ordinal")
-    return numbered.select(*order, "page_index", "ordinal").join(sources, order)
+    rows = running_sum(sources.withColumn("__pages", pages_of(sniff(data), data)), order, "__pages", "__upto")
+    rows = rows.withColumn("__page", F.explode(F.sequence(F.lit(0), c("__pages") - 1)))
+    numbers = [F.when(c("__pages") > 1, c("__page")).alias("page_index"), (c("__upto") - c("__pages") + c("__page") + 1).alias("ordinal")]
+    return rows.select(*order, *numbers, *(k for k in sources.columns if k not in order))
 
 
 def admissions(sources: DataFrame, order: list[str], max_bytes: int, stored: DataFrame) -> DataFrame:

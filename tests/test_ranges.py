@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern import plans
+from lectern.operators import admission
 from lectern.operators import intervals as I
 from lectern.sources import sinks
+from lectern.sources.samples import sample_file
 from tests.conftest import same
 
 N = 20_000
@@ -68,3 +70,21 @@ def test_query_of_many_rows_equals_its_sql(spark, tmp_path, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
     same(plans.queries()[name](spark, str(tmp_path)), con, plans.oracle_sql()[name])
+
+
+@pytest.fixture(scope="module")
+def repeated_files(spark, many_parts):
+    """Files of one and three pages: each id twice, with other content, and three of no id."""
+    ids = [*range(50), *range(50), None, None, None]
+    rows = [(i, k, sample_file(3 if k % 3 == 0 else 4, "")) for k, i in enumerate(ids)]
+    return spark.createDataFrame(rows, "doc_id long, file long, content binary").repartition(5), rows
+
+
+def test_pages_of_repeated_and_null_ids_are_numbered_once(repeated_files):
+    df, rows = repeated_files
+    got = admission.expanded(df, ["doc_id"]).orderBy("ordinal").collect()
+    assert [r["ordinal"] for r in got] == list(range(1, sum(3 if k % 3 == 0 else 1 for k in range(len(rows))) + 1))
+    files = [(f, [r["page_index"] for r in own]) for f, own in itertools.groupby(got, key=lambda r: r["file"])]
+    assert sorted(files) == [(k, [0, 1, 2] if k % 3 == 0 else [None]) for _, k, _ in rows]
+    assert [r["doc_id"] for r in got] == sorted((r["doc_id"] for r in got), key=lambda i: -1 if i is None else i)
+    assert {r["file"]: bytes(r["content"]) for r in got} == {k: c for _, k, c in rows}
