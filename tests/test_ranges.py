@@ -88,3 +88,12 @@ def test_pages_of_repeated_and_null_ids_are_numbered_once(repeated_files):
     assert sorted(files) == [(k, [0, 1, 2] if k % 3 == 0 else [None]) for _, k, _ in rows]
     assert [r["doc_id"] for r in got] == sorted((r["doc_id"] for r in got), key=lambda i: -1 if i is None else i)
     assert {r["file"]: bytes(r["content"]) for r in got} == {k: c for _, k, c in rows}
+
+
+def test_admissions_of_repeated_ids_equal_their_sql(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.range(600).select((F.col("id") % 300).alias("doc_id"), F.lit("text").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source")).repartition(3).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    name = "k02_admissions_by_source"
+    same(plans.queries()[name](spark, str(tmp_path)), con, plans.oracle_sql()[name])
