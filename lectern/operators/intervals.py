@@ -30,6 +30,7 @@ def _ranged(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame
     held = F.expr("sort_array(array(" + ", ".join(row(b, len(columns)) for b in bounds) + "))")
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
     part = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(held, at + step - 1) <= own, at + step).otherwise(at))
+    part = F.when(F.spark_partition_id() >= 0, part)  # holds always, and keeps the optimizer from pushing all bounds below a union
     ranged = df.withColumn("__part", part)
     if not keys:
         return ranged, ranged

@@ -97,3 +97,10 @@ def test_admissions_of_repeated_ids_equal_their_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
     name = "k02_admissions_by_source"
     same(plans.queries()[name](spark, str(tmp_path)), con, plans.oracle_sql()[name])
+
+
+def test_bounds_stay_above_a_union(rows):
+    """Below it the optimizer told constraints of all bounds for each side, and raised an error on three million acts in 200 ranges."""
+    df, _ = rows
+    plan = I.ranked(df.unionByName(df.withColumn("id", F.col("id") + N)), ["key"], ["o"], "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == plan.count(" AS __part#") == 2
